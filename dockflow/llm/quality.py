@@ -1,7 +1,7 @@
 """Operator 1: quality classifier, a hashed word n-gram logistic regression trained by follow-the-regularised-leader.
 
 Features are hashes of single words and pairs of words, and of one, two and three word shapes (case, digits, symbols,
-length, sameness with the word before), each over the number of words.  A text's score is one sparse dot product, taken
+length, sameness with the word before), each over the root of the number of words.  A text's score is one sparse dot product, taken
 with array operations over a whole batch.  Weights are one array of 2**18 floats, whatever the corpus.
 """
 
@@ -20,10 +20,10 @@ from . import store
 
 SLOTS = 1 << 18
 #: Labelled documents that the classifier is fitted on, at most, and passes over them.
-TRAINING_DOCS = 12_000
-PASSES = 2
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
-SCALE = 8.0
+TRAINING_DOCS = 8_000
+PASSES = 3
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-4
+SCALE = 2.0
 THRESHOLD = 0.3
 
 #: Byte classes: white space, letters and digits (all bytes of non-ASCII characters), other symbols.
@@ -87,8 +87,13 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(out) >> K.U64(64 - 18)).astype(np.int64), np.concatenate(at), np.diff(first)
 
 
-def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], passes: int = PASSES) -> np.ndarray:
-    """Weights, the bias last, by the per-coordinate follow-the-regularised-leader rule over (data, offsets, labels)."""
+def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
+def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], heads: int = 1, passes: int = PASSES) -> np.ndarray:
+    """Weights (heads x slots, the bias last) by the per-coordinate follow-the-regularised-leader rule, over batches of
+    (data, offsets, labels: rows x heads). A label that is not a number doesn't move its head."""
     examples = []
     for data, offsets, labels in texts_and_labels:
         for lo, hi in K.slices(offsets):
@@ -97,53 +102,59 @@ def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], p
             cuts = np.searchsorted(row[turn], np.arange(hi - lo + 1))
             for r in range(hi - lo):
                 ids, times = np.unique(slot[turn[cuts[r] : cuts[r + 1]]], return_counts=True)
-                examples.append((np.append(ids, SLOTS).astype(np.int32), np.append(times * (SCALE / max(1, size[r])), 1.0).astype(np.float32), float(labels[lo + r])))
-    z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-
-    def weights(zi, ni):
-        return np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
-
-    for _ in range(passes):
-        for ids, x, y in examples:
-            zi, ni = z[ids], n[ids]
-            w = weights(zi, ni)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
-            up = ni + g * g
-            z[ids] = zi + g - (np.sqrt(up) - np.sqrt(ni)) / ALPHA * w
-            n[ids] = up
-    return weights(z, n).astype(np.float32)
-
-
-def train(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int = TRAINING_DOCS) -> np.ndarray:
-    """Fit on at most ``limit`` labelled documents, those with the lowest hash of doc_id, whose crc32(doc_id) mod 5 is
-    not 0. A document labelled more than once has its highest label; null labels don't count; without labels all weights are 0.
-    Only ids (``limit`` of them) are broadcast and only the weights come to the driver."""
+                examples.append((np.append(ids, SLOTS).astype(np.int32), np.append(times * (SCALE / max(1, size[r]) ** 0.5), 1.0).astype(np.float32), labels[lo + r]))
+    out = np.zeros((heads, SLOTS + 1), np.float32)
+    for head in range(heads):
+        z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
+        for _ in range(passes):
+            for ids, x, labels in examples:
+                if np.isnan(labels[head]):
+                    continue
+                zi, ni = z[ids], n[ids]
+                w = _weights(zi, ni)
+                g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[head]) * x
+                up = ni + g * g
+                z[ids] = zi + g - (np.sqrt(up) - np.sqrt(ni)) / ALPHA * w
+                n[ids] = up
+        out[head] = _weights(z, n)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quality",), limit: int = TRAINING_DOCS) -> np.ndarray:
+    """Fit one head for each label column on at most ``limit`` labelled documents, those with the lowest hash of doc_id,
+    whose crc32(doc_id) mod 5 is not 0. A document labelled more than once has its highest label; null labels don't count;
+    without labels all weights are 0. Only ids (``limit`` of them) are broadcast and only the weights come to the driver."""
     chosen = (
-        labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.max(column).cast("double").alias("__label"))
+        labels.where(F.coalesce(*columns).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id").agg(*(F.max(c).cast("double").alias(f"__label{i}") for i, c in enumerate(columns)))
         .withColumn("__turn", F.xxhash64("doc_id")).orderBy("__turn", "doc_id").limit(limit)
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").repartition(1).sortWithinPartitions("__turn", "doc_id", "text").select("text", "__label")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").repartition(1).sortWithinPartitions("__turn", "doc_id", "text").select("text", *(f"__label{i}" for i in range(len(columns))))
+    heads = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = fit((*K.text_bytes(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)) for b in batches)
+        w = fit(((*K.text_bytes(b.column(0)), np.stack([b.column(1 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(heads)], axis=1)) for b in batches), heads)
         yield pa.RecordBatch.from_pydict({"weights": [w.tobytes()]})
 
     got = sample.mapInArrow(run, "weights binary").first()
-    return np.frombuffer(got[0], np.float32) if got else np.zeros(SLOTS + 1, np.float32)
+    return (np.frombuffer(got[0], np.float32) if got else np.zeros(heads * (SLOTS + 1), np.float32)).reshape(heads, SLOTS + 1)
 
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def batch_scores(column, weights: np.ndarray) -> np.ndarray:
+def batch_scores(column, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities (rows x heads) of a text column, and its numbers of words."""
     data, offsets = K.text_bytes(column)
-    out = np.full(len(offsets) - 1, float(weights[SLOTS]))
+    out = np.tile(weights[:, SLOTS].astype(float), (len(offsets) - 1, 1))
+    words = np.zeros(len(offsets) - 1, np.int64)
     for lo, hi in K.slices(offsets):
         slot, row, size = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        out[lo:hi] += np.bincount(row, weights[slot], hi - lo) * (SCALE / np.maximum(1, size))
-    return 1 / (1 + np.exp(-out))
+        words[lo:hi] = size
+        for head, w in enumerate(weights):
+            out[lo:hi, head] += np.bincount(row, w[slot], hi - lo) * (SCALE / np.sqrt(np.maximum(1, size)))
+    return 1 / (1 + np.exp(-np.clip(out, -700, 700))), words
 
 
 def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
@@ -156,7 +167,7 @@ def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(batch_scores(b.column(at), held.value), pa.float64())], [*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(batch_scores(b.column(at), held.value)[0][:, 0], pa.float64())], [*b.schema.names, name])
 
     return kept.mapInArrow(run, schema)
 

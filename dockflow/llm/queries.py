@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, quality, simple8b, store
+from . import chat, decontam, mixing, quality, simple8b, store
 
 
 def op8_token_binary(spark, sf_dir):
@@ -12,6 +12,8 @@ def op8_token_binary(spark, sf_dir):
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_chat_formatting": chat.op2_chat_formatting,
+    "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
+    "op6_soft_mixing": mixing.op6_soft_mixing,
     "op8_token_binary": op8_token_binary,
 }
 ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE}
