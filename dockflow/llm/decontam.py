@@ -167,4 +167,4 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
     hit = leaks(docs, store.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(store.checked(hit, "leaks"), "doc_id", "left_anti").select(*docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, quality, simple8b, store
+from . import chat, decontam, mixing, parity, quality, simple8b, store
 
 
 def op8_token_binary(spark, sf_dir):
@@ -13,6 +13,7 @@ QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
+    "op4_ngram_jaccard": parity.op4_ngram_jaccard,
     "op6_soft_mixing": mixing.op6_soft_mixing,
     "op8_token_binary": op8_token_binary,
 }

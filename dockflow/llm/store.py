@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,3 +49,34 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows of ids that may be broadcast, after they have been counted.
+BROADCAST_IDS = 400_000
+
+
+def checked(ids: DataFrame, name: str = "ids", limit: int = BROADCAST_IDS) -> DataFrame:
+    """A narrow frame of ids, written and counted: to be broadcast if it has at most ``limit`` rows, else hash-joined."""
+    kept = written(ids, name)
+    return F.broadcast(kept) if kept.count() <= limit else kept.hint("shuffle_hash")
+
+
+def bitmap_of(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Packed bitmap (2**bits bits, whatever the input) of the hashes of a column; null values set nothing."""
+    held = df.where(F.col(column).isNotNull()).select(F.shiftrightunsigned(F.xxhash64(column), 64 - bits).cast("int").alias("at")).distinct()
+    packed = held.groupBy(F.shiftright("at", 12).alias("block")).agg(F.collect_set(F.expr("at & 4095")).alias("spots"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for block, spots in packed.toLocalIterator(prefetchPartitions=True):
+        part = np.zeros(4096, np.uint8)
+        part[spots] = 1
+        out[block << 9 : (block + 1) << 9] = np.packbits(part, bitorder="little")
+    return out
+
+
+def in_bitmap(column: str, bits: int) -> F.Column:
+    """Where a value's bit stands in ``bitmap_of``'s map."""
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - bits).cast("int")
+
+
+def look_up(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
