@@ -113,7 +113,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     return range_hashes(LOWER[data] if lower else data, starts, ends), np.searchsorted(starts, offsets), starts
 
 
-_STEP = [U64(_BASE * (2 * k + 1) * 0xD1B54A32D192ED03 % (1 << 64) | 1) for k in range(64)]
+_STEP = list(mix(np.arange(1, 65, dtype=U64) * U64(_BASE)) | U64(1))
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
