@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, parity, quality, simple8b, store
+from . import chat, decontam, mixing, parity, prefixfree, quality, simple8b, store
 
 
 def op8_token_binary(spark, sf_dir):
@@ -16,5 +16,6 @@ QUERIES = {
     "op4_ngram_jaccard": parity.op4_ngram_jaccard,
     "op6_soft_mixing": mixing.op6_soft_mixing,
     "op8_token_binary": op8_token_binary,
+    "op9_suffix_dedup": prefixfree.op9_suffix_dedup,
 }
 ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE}
