@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, parity, prefixfree, quality, simple8b, store
+from . import chat, decontam, hnsw, mixing, parity, prefixfree, quality, secrets, simple8b, store, triecount
 
 
 def op8_token_binary(spark, sf_dir):
@@ -14,8 +14,11 @@ QUERIES = {
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
     "op4_ngram_jaccard": parity.op4_ngram_jaccard,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op6_soft_mixing": mixing.op6_soft_mixing,
+    "op7_embedding_near_dedup": hnsw.op7_embedding_near_dedup,
     "op8_token_binary": op8_token_binary,
     "op9_suffix_dedup": prefixfree.op9_suffix_dedup,
+    "op10_token_counts": triecount.op10_token_counts,
 }
 ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE}
