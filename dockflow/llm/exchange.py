@@ -11,8 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PACKED = "bucket int, keys binary, extra binary, owners binary, counts binary"
-_ARROW = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("extra", pa.binary()), ("owners", pa.binary()), ("counts", pa.binary())])
+PACKED = "bucket int, keys binary, extra binary, owners binary, counts binary, info binary"
+_ARROW = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("extra", pa.binary()), ("owners", pa.binary()), ("counts", pa.binary()), ("info", pa.binary())])
 #: Keys of a bucket, about.
 BUCKET_KEYS = 600_000
 
@@ -21,10 +21,10 @@ def buckets_for(keys: float) -> int:
     return int(min(1 << 20, max(8, keys / BUCKET_KEYS)))
 
 
-def pack(keys: np.ndarray, row: np.ndarray, owners: np.ndarray, buckets: int, extra: np.ndarray | None = None, by: np.ndarray | None = None) -> pa.RecordBatch:
+def pack(keys: np.ndarray, row: np.ndarray, owners: np.ndarray, buckets: int, extra: np.ndarray | None = None, info: np.ndarray | None = None) -> pa.RecordBatch:
     """``keys`` (uint64) of rows ``row`` (ascending) with the rows' ``owners`` (int64); ``extra``: an array beside the
-    keys; ``by``: what the bucket is taken from instead of the keys."""
-    bucket = ((keys if by is None else by) >> np.uint64(32)) % np.uint64(buckets)
+    keys; ``info``: an array beside the owners."""
+    bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
     turn = np.argsort(bucket, kind="stable")
     b, k, r = bucket[turn].astype(np.int64), keys[turn], row[turn]
     e = extra[turn] if extra is not None else None
@@ -36,17 +36,19 @@ def pack(keys: np.ndarray, row: np.ndarray, owners: np.ndarray, buckets: int, ex
     used, at = np.unique(b, return_index=True)
     ends = np.append(at[1:], len(b))
     run = np.append(np.searchsorted(lead, at), len(lead))
-    cols: list[list] = [[], [], [], [], []]
+    told = info[r[lead]] if info is not None else None
+    cols: list[list] = [[], [], [], [], [], []]
     for i, x in enumerate(used.tolist()):
         s, t = slice(at[i], ends[i]), slice(run[i], run[i + 1])
-        for c, v in zip(cols, (x, k[s].tobytes(), b"" if e is None else e[s].tobytes(), owner[t].tobytes(), counts[t].tobytes()), strict=True):
+        for c, v in zip(cols, (x, k[s].tobytes(), b"" if e is None else e[s].tobytes(), owner[t].tobytes(), counts[t].tobytes(), b"" if told is None else told[t].tobytes()), strict=True):
             c.append(v)
     return pa.RecordBatch.from_pydict(dict(zip(_ARROW.names, cols, strict=True)), schema=_ARROW)
 
 
-def unpack(table: pa.Table, extra: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """Keys, owners and extras of a bucket's rows, one after another."""
-    def join(name, kind):
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+def column(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    return join("keys", np.uint64), np.repeat(join("owners", np.int64), join("counts", np.uint32)), join("extra", extra) if extra else None
+
+def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and owners of a bucket's rows, one after another."""
+    return column(table, "keys", np.uint64), np.repeat(column(table, "owners", np.int64), column(table, "counts", np.uint32))

@@ -210,7 +210,7 @@ def near_links(nodes: DataFrame) -> DataFrame:
 
     def build(t: pa.Table) -> pa.Table:
         made = Graph(t["node"].to_numpy(), _matrix(t["vector"].combine_chunks()))
-        return pa.table({"shard": [t["shard"][0].as_py()], "dim": [t["dim"][0].as_py()], "graph": pa.array([pickle.dumps(made)], pa.binary())})
+        return pa.table({"shard": t["shard"].combine_chunks()[:1], "dim": t["dim"].combine_chunks()[:1], "graph": pa.array([pickle.dumps(made)], pa.binary())})
 
     graphs = store.written(dealt.groupBy("shard", "dim").applyInArrow(build, "shard int, dim int, graph binary"), "graphs")
     spread = graphs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select("dim", "shard", "salt", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("array<double>").alias("vector"), "graph")

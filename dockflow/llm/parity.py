@@ -7,6 +7,10 @@ Hamming distance of the sketches, part by part) are at most the symmetric differ
 one global order, linked sets share at least one.  Those parts are the join keys; empty parts are never keys.  Keys that are
 common go last in the global order (an order from a bounded sample; any order is right, this one keeps candidates few).
 
+With SPARE more keys linked sets share SPARE + 1 of them, which few other pairs do. Candidates are then held against a dense
+sketch of a power of two of bits (at least 4n): the Hamming distance of two, the longer folded to the length of the
+shorter, is again at most the symmetric difference.
+
 Copies are one node: a node is the 64-bit fingerprint of a set (two different sets share one with a chance of
 2**-64).  Keys travel packed by bucket; candidates of a large key group are first tried along a star and a path, and only pairs
 that are still in different components are tried after that, all of them.  Sets are read again for candidates alone, and
@@ -33,9 +37,11 @@ LEAST_PARTS = 1 << 16
 ORDER_DOCS = 20_000
 ORDER_SHINGLES = 1_000_000
 #: Key groups up to this size make all their pairs at once.
-SMALL_GROUP = 12
-STAR_ROUNDS = 2
+SMALL_GROUP = 16
+STAR_ROUNDS = 1
 BITMAP_BITS = 24
+#: Keys beyond the D + 1 that a set must send: linked sets then share as many more (SPARE + 1, if they have so many).
+SPARE = 3
 
 
 def sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,17 +57,28 @@ def _sizes_and_prints(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.
     return size, K.mix((sums[ends] - sums[ends - size]) ^ (size.astype(np.uint64) << K.U64(40)))
 
 
+def _sketches(values: np.ndarray, rows: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Dense parity sketches: bit (hash mod width) is the parity of the shingles that fall on it."""
+    width = 1 << np.ceil(np.log2(np.maximum(4 * size, 256))).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(width)])
+    bit = base[rows] + (K.mix(values ^ K.U64(0xA24BAED4963EE407)) & (width[rows] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(bit, minlength=base[-1]) & 1).astype(np.uint8), bitorder="little")
+    return [packed[a >> 3 : b >> 3].tobytes() for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
 def shingle_table(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and node (the fingerprint of the set) of every row; null texts are empty."""
+    """doc_id, n_shingles, node (the fingerprint of the set) and dense sketch of every row; null texts are empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = K.text_bytes(b.column(1))
-            size, node = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint64)
+            size, node, sketch = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint64), []
             for lo, hi in K.slices(offsets):
-                size[lo:hi], node[lo:hi] = _sizes_and_prints(*sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]), hi - lo)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(node.view(np.int64))], ["doc_id", "n_shingles", "node"])
+                v, r = sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                size[lo:hi], node[lo:hi] = _sizes_and_prints(v, r, hi - lo)
+                sketch += _sketches(v, r, size[lo:hi])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(node.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "node", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
 
 
 def _common(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +97,7 @@ def _common(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
                 yield exchange.pack(v, np.zeros(len(v), np.int64), np.zeros(1, np.int64), 16, n.astype(np.uint32))
 
     def count(t: pa.Table) -> pa.Table:
-        v, _, n = exchange.unpack(t, "u4")
+        v, n = exchange.column(t, "keys", np.uint64), exchange.column(t, "extra", np.uint32)
         u, at = np.unique(v, return_inverse=True)
         times = np.bincount(at, n)
         keep = times >= 2
@@ -94,8 +111,10 @@ def _common(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     return v[turn], (1 + np.log2(np.maximum(n[turn], 1))).astype(np.uint8)
 
 
-def part_keys(values: np.ndarray, rows: np.ndarray, size: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of every set of a batch, and their rows (ascending). ``size``: of every row's set."""
+def part_keys(values: np.ndarray, rows: np.ndarray, size: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Join keys of every set of a batch, their rows (ascending), and how many keys (1 to SPARE + 1) a row surely shares with a
+    linked one. ``size``: of every row's set."""
+    need = np.full(len(size), SPARE + 1)
     level = np.zeros(len(values), np.uint8)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], values), len(common[0]) - 1)
@@ -131,90 +150,138 @@ def part_keys(values: np.ndarray, rows: np.ndarray, size: np.ndarray, common: tu
         turn = np.lexsort((key, rank, r))
         key, r = key[turn], r[turn]
         first = np.searchsorted(r, np.arange(len(size)))
-        most = (size + size * 4 // 3) // 7 + 1
-        keep = np.arange(len(r)) - first[r] < most[r]
+        most = (size + size * 4 // 3) // 7
+        keep = np.arange(len(r)) - first[r] <= most[r] + SPARE
+        need[use] = np.minimum(need[use], np.maximum(1, np.bincount(r, minlength=len(size))[use] - most[use]))
         out.append(key[keep])
         to.append(r[keep])
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), need
     key, row = np.concatenate(out), np.concatenate(to)
     turn = np.argsort(row, kind="stable")
-    return key[turn], row[turn]
+    return key[turn], row[turn], need
 
 
-def _pairs(starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs within small groups."""
+def _pairs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs within small groups."""
     a, b = [], []
     size = ends - starts
     for n in np.unique(size):
         i, j = np.triu_indices(int(n), 1)
         at = starts[size == n][:, None]
-        a.append(owner[at + i].ravel())
-        b.append(owner[at + j].ravel())
+        a.append((at + i).ravel())
+        b.append((at + j).ravel())
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
 
 
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
+def _unique_pairs(a: np.ndarray, b: np.ndarray, shared: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Pairs without order, once each; ``shared`` is summed."""
     lo, hi = np.minimum(a, b), np.maximum(a, b)
     turn = np.lexsort((hi, lo))
     lo, hi = lo[turn], hi[turn]
     new = np.ones(len(lo), bool)
     new[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-    new &= lo != hi
-    return pa.table({"u": lo[new], "v": hi[new]})
+    lead = np.flatnonzero(new)
+    out = {"u": lo[lead], "v": hi[lead]}
+    if shared is not None:
+        out["shared"] = np.add.reduceat(shared[turn], lead) if len(lead) else shared[:0]
+    keep = out["u"] != out["v"]
+    return {k: x[keep] for k, x in out.items()}
 
 
 def _candidates(t: pa.Table) -> pa.Table:
-    """Pairs of a bucket to try first; a group that is too large for all pairs is passed on in ``members`` as well."""
-    key, owner, _ = exchange.unpack(t)
-    owner, key = K.distinct(owner.view(np.uint64), key)  # sorted by key, then owner
-    owner = owner.view(np.int64)
+    """Pairs of a bucket to try first, with the share of the keys that they need; a group that is too large for all its
+    pairs is passed on in ``members`` as well."""
+    key, owner = exchange.unpack(t)
+    info = np.repeat(exchange.column(t, "info", np.uint32), exchange.column(t, "counts", np.uint32))
+    turn = np.lexsort((owner, key))
+    key, owner, info = key[turn], owner[turn], info[turn]
+    once = np.ones(len(key), bool)
+    once[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    key, owner, info = key[once], owner[once], info[once]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(key))
+    ends = np.append(starts[1:], len(key))[: len(starts)]
     size = ends - starts
-    small = (size > 1) & (size <= SMALL_GROUP)
-    a, b = _pairs(starts[small], ends[small], owner)
-    large = np.flatnonzero(size > SMALL_GROUP)
-    groups = []
-    for g in large:
-        m = owner[starts[g] : ends[g]]
-        groups.append(m.tobytes())
-        lead = m[np.argmin(K.mix(m.view(np.uint64)))]
-        a = np.concatenate([a, np.full(len(m), lead), m[:-1]])
-        b = np.concatenate([b, m, m[1:]])
-    pairs = _unique_pairs(a, b)
-    groups = sorted(set(groups))  # many keys have the same members
-    return pa.table({"u": pa.array([pairs["u"].to_numpy().tobytes()] + [None] * len(groups), pa.binary()), "v": pa.array([pairs["v"].to_numpy().tobytes()] + [None] * len(groups), pa.binary()), "members": pa.array([None, *groups], pa.binary())})
-
-
-def _unpacked_pairs(packed: DataFrame) -> DataFrame:
+    few = (size > 1) & (size <= SMALL_GROUP)
+    i, j = _pairs(starts[few], ends[few])
+    x, y = (info[i] >> 3).astype(np.int64), (info[j] >> 3).astype(np.int64)
+    fit = 4 * np.minimum(x, y) >= 3 * np.maximum(x, y)
+    i, j = i[fit], j[fit]
+    a, b, shared = [owner[i]], [owner[j]], [1.0 / np.minimum(info[i] & 7, info[j] & 7)]
+    groups = set()  # many keys have the same members
+    for g in np.flatnonzero(size > SMALL_GROUP):
+        groups.add(owner[starts[g] : ends[g]].tobytes())
+    for g in groups:
+        m = np.frombuffer(g, np.int64)
+        a += [np.full(len(m), m[np.argmin(K.mix(m.view(np.uint64)))]), m[:-1]]
+        b += [m, m[1:]]
+        shared.append(np.full(2 * len(m) - 1, 2.0))
+    pairs = _unique_pairs(np.concatenate(a), np.concatenate(b), np.concatenate(shared))
+    none = [None] * len(groups)
+    return pa.table({k: pa.array([pairs[k].tobytes(), *none], pa.binary()) for k in ("u", "v", "shared")} | {"members": pa.array([None, *sorted(groups)], pa.binary())})
+
+
+def _likely_pairs(packed: DataFrame) -> DataFrame:
+    """Pairs that share the keys they need (their shares add up to one), or that a large group tries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(u, np.int64)), pa.array(np.frombuffer(v, np.int64))], ["u", "v"])
+            for u, v, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(u, np.int64)), pa.array(np.frombuffer(v, np.int64)), pa.array(np.frombuffer(n, np.float64))], ["u", "v", "shared"])
+
+    return packed.where("u is not null").select("u", "v", "shared").mapInArrow(run, "u long, v long, shared double").groupBy("u", "v").agg(F.sum("shared").alias("shared")).where("shared > 0.999").select("u", "v")
+
 
-    return packed.where("u is not null").select("u", "v").mapInArrow(run, "u long, v long").distinct()
+_ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
 
 
-def _candidate_sets(docs: DataFrame, ids: np.ndarray) -> DataFrame:
-    """node and packed set of the documents whose id is in a bitmap."""
-    held = docs.sparkSession.sparkContext.broadcast(ids)
+def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose sketches are near enough: none of the others can link."""
+    def side(at: str, mark: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(at), F.col("n").alias(f"n{mark}"), F.col("sketch").alias(f"s{mark}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            keep = []
+            for i, (na, a, nb, b) in enumerate(zip(*(t.column(c).to_pylist() for c in range(2, 6)), strict=True)):
+                x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+                if len(x) > len(y):
+                    x, y = y, x
+                while len(y) > len(x):
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                if 4 * min(na, nb) >= 3 * max(na, nb) and 7 * _ONES[x ^ y].sum() <= na + nb:
+                    keep.append(i)
+            if keep:
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(keep)) for c in t.columns[:2]], ["u", "v"])
+
+    return pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").select("u", "v", "na", "sa", "nb", "sb").mapInArrow(run, "u long, v long")
+
+
+def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and packed set of ``wanted`` (node, lowest: a doc_id). While the ids are few they are broadcast; else a bitmap of fixed
+    size thins the texts and the join does the rest."""
+    ids = wanted.select(F.col("lowest").alias("doc_id"))
+    few = ids.count() <= store.BROADCAST_IDS
+    held = docs.sparkSession.sparkContext.broadcast(None if few else store.bitmap_of(wanted, "lowest", BITMAP_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit = np.flatnonzero(store.look_up(held.value, b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)))
-            if not len(hit):
-                continue
-            data, offsets = K.text_bytes(b.column(1).take(pa.array(hit)))
+            text = b.column(1)
+            if held.value is not None:
+                text = text.take(pa.array(np.flatnonzero(store.look_up(held.value, b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)))))
+            data, offsets = K.text_bytes(text)
             for lo, hi in K.slices(offsets):
                 v, r = sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 size, node = _sizes_and_prints(v, r, hi - lo)
                 ends = np.cumsum(size)
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array([v[e - s : e].tobytes() for e, s in zip(ends, size, strict=True)], pa.binary())], ["node", "held"])
 
-    return docs.select(store.in_bitmap("doc_id", BITMAP_BITS).alias("at"), "text").where("text is not null").mapInArrow(run, "node long, held binary")
+    near = docs.where("text is not null")
+    if few:
+        near = near.join(F.broadcast(ids), "doc_id", "left_semi")
+    made = near.select(store.in_bitmap("doc_id", BITMAP_BITS).alias("at"), "text").mapInArrow(run, "node long, held binary")
+    return made.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held"))
 
 
 def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -254,13 +321,13 @@ def _open_pairs(groups: DataFrame, label: DataFrame, salt: int | None) -> DataFr
             lead[1:] = comp[1:] != comp[:-1]
             rest = node[lead]
             big = node[np.argmax(np.bincount(np.cumsum(lead) - 1)[np.cumsum(lead) - 1])]
-            return _unique_pairs(np.full(len(rest), big), rest)
+            return pa.table(_unique_pairs(np.full(len(rest), big), rest))
         a, b = [], []
         for i in range(len(node)):
             other = node[i + 1 :][comp[i + 1 :] != comp[i]]
             a.append(np.full(len(other), node[i]))
             b.append(other)
-        return _unique_pairs(np.concatenate(a), np.concatenate(b))
+        return pa.table(_unique_pairs(np.concatenate(a), np.concatenate(b)))
 
     near = groups.select(F.xxhash64("members").alias("g"), "members").mapInArrow(spread, "g long, node long").join(label.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("g", "node", F.coalesce("component", "node").alias("component"))
     mixed = near.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g")
@@ -282,29 +349,36 @@ def similar_components(docs: DataFrame) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = K.text_bytes(b.column(0))
-            found, owners = [], np.zeros(b.num_rows, np.int64)
+            found, owners, info = [], np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint32)
             for lo, hi in K.slices(offsets):
                 v, r = sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 size, node = _sizes_and_prints(v, r, hi - lo)
                 owners[lo:hi] = node.view(np.int64)
-                key, row = part_keys(v, r, size, common.value)
+                key, row, need = part_keys(v, r, size, common.value)
+                info[lo:hi] = size * 8 + need
                 found.append((key, row + lo))
             key, row = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             if len(key):
-                yield exchange.pack(key, row, owners, buckets)
-
-    candidates = store.written(docs.select("text").where("text is not null").mapInArrow(keys, exchange.PACKED).groupBy("bucket").applyInArrow(_candidates, "u binary, v binary, members binary"), "candidates")
-    pairs = store.written(_unpacked_pairs(candidates), "pairs")
-    nodes = table.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("lowest"))
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    held = wanted.join(nodes, "node")
-    sets_of = store.written(_candidate_sets(docs, store.bitmap_of(held, "lowest", BITMAP_BITS)).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held")), "sets")
+                yield exchange.pack(key, row, owners, buckets, info=info)
+
+    candidates = store.written(docs.select("text").where("text is not null").mapInArrow(keys, exchange.PACKED).groupBy("bucket").applyInArrow(_candidates, "u binary, v binary, shared binary, members binary"), "candidates")
+    nodes = store.written(table.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("lowest"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    pairs = store.written(_sketched(_likely_pairs(candidates), nodes), "pairs")
+    groups = store.written(candidates.where("members is not null").select("members").distinct(), "groups")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for m in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(m, np.int64))], ["node"])
+
+    known = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).union(groups.mapInArrow(spread, "node long")).distinct()
+    wanted = store.written(known.join(nodes, "node").select("node", "lowest"), "wanted")
+    sets_of = store.written(_candidate_sets(docs, wanted), "sets")
     links = store.written(_verified(pairs, sets_of), "links")
     label = store.written(graph.components(links), "labels")
-    groups = candidates.where("members is not null").select("members").distinct()
     if groups.limit(1).count():
         for salt in [*range(1, STAR_ROUNDS + 1), None]:
-            more = store.written(_verified(_open_pairs(groups, label, salt), sets_of), "links")
+            more = store.written(_verified(_sketched(_open_pairs(groups, label, salt), nodes), sets_of), "links")
             links = links.union(more)
             label = store.written(graph.components(links), "labels")
     lowest = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "lowest")
