@@ -37,9 +37,10 @@ _LOW = K.U64((1 << 20) - 1)
 
 _PACKED = "bucket int, keys binary, blocks binary, owners binary, counts binary, at binary, n binary"
 _ARROW = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("keys", "blocks", "owners", "counts", "at", "n"))])
-#: What is known of a document: runs of string starts (first, number) that are repeats, or are to be settled string by string.
-_RUNS = "owner long, open boolean, runs binary"
-REPEAT, OPEN = False, True
+#: What is known of documents: runs of string starts (first, number) that are repeats, or are to be settled string by string;
+#: packed by a hash of the owner on the way, then one row for each owner.
+_SENT = "part int, owners binary, counts binary, state binary, runs binary"
+_RUNS = "owner long, repeats binary, open binary"
 
 
 def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -118,18 +119,40 @@ def _column(t: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
 
 
-def _run_rows(owner, at, n, state) -> pa.Table:
-    turn = np.lexsort((at, state, owner))
-    owner, at, n, state = owner[turn], at[turn], n[turn], state[turn]
+def _run_rows(owner, at, n, state, parts) -> pa.Table:
+    part = (K.mix(owner.view(np.uint64)) % K.U64(parts)).astype(np.int64)
+    turn = np.lexsort((at, owner, part))
+    part, owner, state = part[turn], owner[turn], state[turn].astype(np.uint8)
+    runs = np.stack([at, n], axis=1).astype(np.uint32)[turn]
     new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (state[1:] != state[:-1])
+    new[1:] = owner[1:] != owner[:-1]
     lead = np.flatnonzero(new)
-    ends = np.append(lead[1:], len(owner))[: len(lead)]
-    runs = np.stack([at, n], axis=1).astype(np.uint32)
-    return pa.table({"owner": pa.array(owner[lead], pa.int64()), "open": pa.array(state[lead], pa.bool_()), "runs": pa.array([runs[a:b].tobytes() for a, b in zip(lead.tolist(), ends.tolist(), strict=True)], pa.binary())})
-
-
-def _settle(t: pa.Table) -> pa.Table:
+    counts = np.diff(np.append(lead, len(owner))).astype(np.uint32)
+    used, first = np.unique(part, return_index=True)
+    last = np.append(first[1:], len(part))[: len(first)]
+    run, stop = np.searchsorted(lead, first), np.searchsorted(lead, last)
+    cut = [(slice(a, b), slice(c, d)) for a, b, c, d in zip(first.tolist(), last.tolist(), run.tolist(), stop.tolist(), strict=True)]
+    columns = {"owners": [owner[lead[t]].tobytes() for _, t in cut], "counts": [counts[t].tobytes() for _, t in cut], "state": [state[s].tobytes() for s, _ in cut], "runs": [runs[s].tobytes() for s, _ in cut]}
+    return pa.table({"part": pa.array(used, pa.int32())} | {k: pa.array(v, pa.binary()) for k, v in columns.items()})
+
+
+def _gather(t: pa.Table) -> pa.Table:
+    """All that was sent about the owners of a part, one row for each owner."""
+    owner = np.repeat(_column(t, "owners", np.int64), _column(t, "counts", np.uint32))
+    state, runs = _column(t, "state", np.uint8), _column(t, "runs", np.uint32).reshape(-1, 2)
+    turn = np.lexsort((state, owner))
+    owner, state, runs = owner[turn], state[turn], runs[turn]
+    known, first = np.unique(owner, return_index=True)
+    last = np.append(first[1:], len(owner))[: len(first)]
+    middle = last - np.add.reduceat(state.astype(np.int64), first) if len(first) else last
+    return pa.table({
+        "owner": pa.array(known, pa.int64()),
+        "repeats": pa.array([runs[a:b].tobytes() for a, b in zip(first.tolist(), middle.tolist(), strict=True)], pa.binary()),
+        "open": pa.array([runs[a:b].tobytes() for a, b in zip(middle.tolist(), last.tolist(), strict=True)], pa.binary()),
+    })
+
+
+def _settle(t: pa.Table, part_count: int) -> pa.Table:
     """A bucket's phrases or strings to runs: a key that stood earlier is a repeat; with ``blocks`` (phrases), a new
     block of a trigger that has other blocks stays open."""
     done = t.filter(pa.compute.equal(pa.compute.binary_length(t["keys"]), 0))
@@ -137,7 +160,7 @@ def _settle(t: pa.Table) -> pa.Table:
     parts = []
     if done.num_rows:
         owner = np.repeat(_column(done, "owners", np.int64), _column(done, "counts", np.uint32))
-        parts.append(_run_rows(owner, _column(done, "at", np.uint32), _column(done, "n", np.uint32), np.zeros(len(owner), bool)))
+        parts.append(_run_rows(owner, _column(done, "at", np.uint32), _column(done, "n", np.uint32), np.zeros(len(owner), bool), part_count))
     if t.num_rows:
         key, block = _column(t, "keys", np.uint64), _column(t, "blocks", np.uint64)
         owner = np.repeat(_column(t, "owners", np.int64), _column(t, "counts", np.uint32))
@@ -149,7 +172,7 @@ def _settle(t: pa.Table) -> pa.Table:
         else:
             repeat, open_ = _later(key, owner, at), np.zeros(len(key), bool)
         tell = repeat | open_
-        parts.append(_run_rows(owner[tell], at[tell], n[tell], open_[tell]))
+        parts.append(_run_rows(owner[tell], at[tell], n[tell], open_[tell], part_count))
     return pa.concat_tables(parts)
 
 
@@ -181,8 +204,8 @@ def _string_keys(docs_with_runs: DataFrame, buckets: int) -> DataFrame:
             owners = b.column(0).to_numpy(zero_copy_only=False)
             data, offsets = K.text_bytes(b.column(1))
             got = []
-            for i, lists in enumerate(b.column(2).to_pylist()):
-                runs = np.frombuffer(b"".join(lists), np.uint32).reshape(-1, 2).astype(np.int64)
+            for i, packed in enumerate(b.column(2).to_pylist()):
+                runs = np.frombuffer(packed, np.uint32).reshape(-1, 2).astype(np.int64)
                 runs = runs[np.argsort(runs[:, 0])]
                 at = np.repeat(runs[:, 0] - np.concatenate([[0], np.cumsum(runs[:-1, 1])]), runs[:, 1]) + np.arange(runs[:, 1].sum())
                 got.append((np.full(len(at), i), at, K.range_hashes(data[offsets[i] : offsets[i + 1]], at, at + LENGTH)))
@@ -238,17 +261,19 @@ def remove_repeats(docs: DataFrame, spans: bool = False) -> DataFrame:
     else:
         docs = docs.withColumn("owner", F.col("doc_id"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    runs = store.written(_phrase_keys(docs, exchange.buckets_for(size / 35)).groupBy("bucket").applyInArrow(_settle, _RUNS), "phrases")
-    open_ = runs.where("open").groupBy("owner").agg(F.collect_list("runs").alias("runs"), F.sum(F.octet_length("runs")).alias("bytes"))
-    open_ = store.written(open_, "open")
-    count, strings = open_.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0)) * 4).first()
-    if count <= store.BROADCAST_IDS:
-        near = docs.join(F.broadcast(open_.select("owner")), "owner", "left_semi")
-    else:
-        near = docs
-    strings_of = near.join(open_.select("owner", "runs").hint("shuffle_hash"), "owner").select("owner", "text", "runs")
-    more = store.written(_string_keys(strings_of, exchange.buckets_for(strings)).groupBy("bucket").applyInArrow(_settle, _RUNS), "strings")
-    found = runs.where("not open").select("owner", "runs").union(more.select("owner", "runs")).groupBy("owner").agg(F.collect_list("runs").alias("runs"))
+    parts = exchange.buckets_for(size / 100)
+
+    def settled(keys: DataFrame, name: str) -> DataFrame:
+        sent = keys.groupBy("bucket").applyInArrow(lambda t: _settle(t, parts), _SENT)
+        return store.written(sent.groupBy("part").applyInArrow(_gather, _RUNS), name)
+
+    phrases = settled(_phrase_keys(docs, exchange.buckets_for(size / 35)), "phrases")
+    left = phrases.where(F.octet_length("open") > 0).select("owner", F.col("open").alias("runs"))
+    count, strings = left.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("runs")), F.lit(0)) * 4).first()
+    near = docs.join(F.broadcast(left.select("owner")), "owner", "left_semi") if count <= store.BROADCAST_IDS else docs
+    strings_of = near.join(left.hint("shuffle_hash"), "owner").select("owner", "text", "runs")
+    more = settled(_string_keys(strings_of, exchange.buckets_for(strings)), "strings")
+    found = phrases.select("owner", "repeats").union(more.select("owner", "repeats")).where(F.octet_length("repeats") > 0).groupBy("owner").agg(F.collect_list("repeats").alias("runs"))
     return _cleaned(docs.join(found.hint("shuffle_hash"), "owner", "left").select("doc_id", "text", "runs"), spans)
 
 
