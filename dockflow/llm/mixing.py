@@ -3,8 +3,8 @@
 Domains are the classes of the labelled table (quality x toxic).  A classifier with one head for each label gives every
 document domain posteriors p; with n words it adds n * p to the expected totals of the domains.  Document rates r >= 0 are
 fitted so that the totals sum(r * n * p) match the targets: least squares, each domain over its own expected total,
-by projected gradient steps that start at r = 1.  In the metric of n the curvature is at most 1, so the step is 1 and
-needs no search.  A step needs one sum over a table of a few numbers a document; a document's rate is the fold of the
+and a small pull towards 1, by projected gradient steps that start at r = 1.  In the metric of n the curvature of the fit is at most
+1, so the step is 1 / (1 + pull) and needs no search.  A step needs one sum over a table of a few numbers a document; a document's rate is the fold of the
 steps so far, so no rate is stored or shuffled between them.
 """
 
@@ -22,6 +22,8 @@ from . import quality, store
 #: Domains in order: low and toxic are classes of the labelled table. Shares of the mixture.
 DOMAINS = ("clean", "toxic", "low", "low_toxic")
 TARGET_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "low": 0.015, "low_toxic": 0.005}
+#: Pull of the rates towards 1, which decides where the posteriors don't.
+RIDGE = 0.02
 TOLERANCE = 1e-4
 MAX_STEPS = 60
 
@@ -44,7 +46,7 @@ def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
     r = np.ones(len(p))
     for g in steps:
-        r = np.maximum(0.0, r - p @ g)
+        r = np.maximum(0.0, r - (p @ g + RIDGE * (r - 1)) / (1 + RIDGE))
     return r
 
 
@@ -71,10 +73,10 @@ def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) ->
     scale = np.where(base > 0, base, np.inf)
     steps, now = [], base
     for _ in range(MAX_STEPS):
-        if np.abs(now - target)[base > 0].sum() <= TOLERANCE * target.sum():
-            break
         steps.append((now - target) / scale)
-        now = _totals(member, steps)
+        was, now = now, _totals(member, steps)
+        if np.abs(now - was).sum() <= TOLERANCE * target.sum():
+            break
     return steps, now, target
 
 

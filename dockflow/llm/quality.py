@@ -19,9 +19,11 @@ from . import kernel as K
 from . import store
 
 SLOTS = 1 << 18
-#: Labelled documents that the classifier is fitted on, at most, and passes over them.
+#: Labelled documents that the classifier is fitted on, at most, and passes over them, at least.
 TRAINING_DOCS = 8_000
 PASSES = 3
+#: Updates of a head, at least: a small sample is passed over more often.
+UPDATES = 24_000
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-4
 SCALE = 2.0
 THRESHOLD = 0.3
@@ -91,7 +93,7 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], heads: int = 1, passes: int = PASSES) -> np.ndarray:
+def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], heads: int = 1) -> np.ndarray:
     """Weights (heads x slots, the bias last) by the per-coordinate follow-the-regularised-leader rule, over batches of
     (data, offsets, labels: rows x heads). A label that is not a number doesn't move its head."""
     examples = []
@@ -104,6 +106,7 @@ def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], h
                 ids, times = np.unique(slot[turn[cuts[r] : cuts[r + 1]]], return_counts=True)
                 examples.append((np.append(ids, SLOTS).astype(np.int32), np.append(times * (SCALE / max(1, size[r]) ** 0.5), 1.0).astype(np.float32), labels[lo + r]))
     out = np.zeros((heads, SLOTS + 1), np.float32)
+    passes = min(40, max(PASSES, UPDATES // max(1, len(examples))))
     for head in range(heads):
         z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
         for _ in range(passes):
