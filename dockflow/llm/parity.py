@@ -12,8 +12,8 @@ sketch of a power of two of bits (at least 4n): the Hamming distance of two, the
 shorter, is again at most the symmetric difference.
 
 Copies are one node: a node is the 64-bit fingerprint of a set (two different sets share one with a chance of
-2**-64).  Keys travel packed by bucket; candidates of a large key group are first tried along a star and a path, and only pairs
-that are still in different components are tried after that, all of them.  Sets are read again for candidates alone, and
+2**-64).  Keys travel packed by bucket; candidates of a large key group are tried along spanning trees of their sketches, and after that
+all pairs that are still in different components.  Sets are read again for candidates alone, and
 every candidate is verified by counting.
 """
 
@@ -38,7 +38,9 @@ ORDER_DOCS = 20_000
 ORDER_SHINGLES = 1_000_000
 #: Key groups up to this size make all their pairs at once.
 SMALL_GROUP = 16
-STAR_ROUNDS = 1
+#: Clusters of more members in a bucket are dealt to SALTS blocks; rounds of spanning trees before all open pairs are tried.
+SALT_FROM, SALTS = 2048, 16
+TREE_ROUNDS = 3
 BITMAP_BITS = 24
 #: Keys beyond the D + 1 that a set must send: linked sets then share as many more (SPARE + 1, if they have so many).
 SPARE = 3
@@ -189,9 +191,9 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray, shared: np.ndarray | None = None
     return {k: x[keep] for k, x in out.items()}
 
 
-def _candidates(t: pa.Table) -> pa.Table:
-    """Pairs of a bucket to try first, with the share of the keys that they need; a group that is too large for all its
-    pairs is passed on in ``members`` as well."""
+def _candidates(t: pa.Table, parts: int) -> pa.Table:
+    """Pairs of a bucket with the share of the keys that they need, packed by a hash of the pair. A group that is too large
+    for all its pairs joins the cluster of its lead (the member of the lowest hash), which comes out in ``members``."""
     key, owner = exchange.unpack(t)
     info = np.repeat(exchange.column(t, "info", np.uint32), exchange.column(t, "counts", np.uint32))
     turn = np.lexsort((owner, key))
@@ -209,31 +211,52 @@ def _candidates(t: pa.Table) -> pa.Table:
     x, y = (info[i] >> 3).astype(np.int64), (info[j] >> 3).astype(np.int64)
     fit = 4 * np.minimum(x, y) >= 3 * np.maximum(x, y)
     i, j = i[fit], j[fit]
-    a, b, shared = [owner[i]], [owner[j]], [1.0 / np.minimum(info[i] & 7, info[j] & 7)]
-    groups = set()  # many keys have the same members
+    pairs = _unique_pairs(owner[i], owner[j], 1.0 / np.minimum(info[i] & 7, info[j] & 7))
+    part = (K.mix(pairs["u"].view(np.uint64) ^ K.mix(pairs["v"].view(np.uint64))) % K.U64(parts)).astype(np.int64)
+    turn = np.argsort(part, kind="stable")
+    used, at = np.unique(part[turn], return_index=True)
+    cut = list(zip(at.tolist(), np.append(at[1:], len(part)).tolist(), strict=True)) if len(used) else []
+    clusters: dict[int, list[np.ndarray]] = {}
     for g in np.flatnonzero(size > SMALL_GROUP):
-        groups.add(owner[starts[g] : ends[g]].tobytes())
-    for g in groups:
-        m = np.frombuffer(g, np.int64)
-        a += [np.full(len(m), m[np.argmin(K.mix(m.view(np.uint64)))]), m[:-1]]
-        b += [m, m[1:]]
-        shared.append(np.full(2 * len(m) - 1, 2.0))
-    pairs = _unique_pairs(np.concatenate(a), np.concatenate(b), np.concatenate(shared))
-    none = [None] * len(groups)
-    return pa.table({k: pa.array([pairs[k].tobytes(), *none], pa.binary()) for k in ("u", "v", "shared")} | {"members": pa.array([None, *sorted(groups)], pa.binary())})
+        m = owner[starts[g] : ends[g]]
+        clusters.setdefault(int(m[np.argmin(K.mix(m.view(np.uint64)))]), []).append(m)
+    lead, salt, members = [], [], []
+    for c, lists in clusters.items():
+        m = np.unique(np.concatenate(lists))
+        spread = (K.mix(m.view(np.uint64)) % K.U64(SALTS)).astype(np.int64) if len(m) > SALT_FROM else np.full(len(m), -1)
+        for k in np.unique(spread):
+            lead.append(c)
+            salt.append(int(k))
+            members.append(m[spread == k].tobytes())
+    none, n = [None] * len(lead), len(cut)
+    packed = {k: pa.array([pairs[k][turn[a:b]].tobytes() for a, b in cut] + none, pa.binary()) for k in ("u", "v", "shared")}
+    return pa.table({"part": pa.array(used.tolist() + none, pa.int32())} | packed | {"lead": pa.array([None] * n + lead, pa.int64()), "salt": pa.array([None] * n + salt, pa.int32()), "members": pa.array([None] * n + members, pa.binary())})
+
+
+_CANDIDATES = "part int, u binary, v binary, shared binary, lead long, salt int, members binary"
 
 
 def _likely_pairs(packed: DataFrame) -> DataFrame:
-    """Pairs that share the keys they need (their shares add up to one), or that a large group tries."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for u, v, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(u, np.int64)), pa.array(np.frombuffer(v, np.int64)), pa.array(np.frombuffer(n, np.float64))], ["u", "v", "shared"])
+    """Pairs that share the keys they need: their shares add up to one."""
+    def add_up(t: pa.Table) -> pa.Table:
+        p = _unique_pairs(*(exchange.column(t, c, k) for c, k in (("u", np.int64), ("v", np.int64), ("shared", np.float64))))
+        keep = p["shared"] > 0.999
+        return pa.table({"u": p["u"][keep], "v": p["v"][keep]})
+
+    return packed.where("part is not null").select("part", "u", "v", "shared").groupBy("part").applyInArrow(add_up, "u long, v long")
+
+
+def _clusters(packed: DataFrame) -> DataFrame:
+    """(lead, salt, node) of the clusters of large groups, each node once in a block; blocks are of bounded size."""
+    def merge(t: pa.Table) -> pa.Table:
+        m = np.unique(exchange.column(t, "members", np.int64))
+        return pa.table({"lead": np.full(len(m), t["lead"][0].as_py()), "salt": pa.array(np.full(len(m), t["salt"][0].as_py()), pa.int32()), "node": m})
 
-    return packed.where("u is not null").select("u", "v", "shared").mapInArrow(run, "u long, v long, shared double").groupBy("u", "v").agg(F.sum("shared").alias("shared")).where("shared > 0.999").select("u", "v")
+    return packed.where("members is not null").select("lead", "salt", "members").groupBy("lead", "salt").applyInArrow(merge, "lead long, salt int, node long")
 
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
+_ONES16 = (_ONES[:, None] + _ONES[None, :]).ravel().astype(np.uint8)
 
 
 def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -303,35 +326,68 @@ def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _open_pairs(groups: DataFrame, label: DataFrame, salt: int | None) -> DataFrame:
-    """Pairs of a group's members that lie in different components: one for each component with the group's lead under
-    ``salt``, or all of them."""
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for g, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                m = np.frombuffer(m, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), g)), pa.array(m)], ["g", "node"])
+def _near(i: int, n: np.ndarray, width: np.ndarray, grids: dict[int, np.ndarray], rest: np.ndarray) -> np.ndarray:
+    """Which of ``rest`` are near enough to member i by size and sketch."""
+    rest = rest[4 * np.minimum(n[i], n[rest]) >= 3 * np.maximum(n[i], n[rest])]
+    out = []
+    for w in np.unique(width[rest]):
+        j = rest[width[rest] == w]
+        low = min(int(w), int(width[i]))
+        far = _ONES16[grids[low][i] ^ grids[low][j]].sum(axis=1)
+        out.append(j[7 * far <= n[i] + n[j]])
+    return np.concatenate(out) if out else rest
+
+
+def _open_pairs(clusters: DataFrame, label: DataFrame, nodes: DataFrame, trees: bool) -> DataFrame:
+    """Pairs of a cluster's members in different components that sizes and sketches allow: a spanning forest of them, or all.
+    Every pair of blocks is looked at once, in a task of its own."""
+    blocks = clusters.groupBy("lead").agg(F.collect_set("salt").alias("salts"))
+    sized = clusters.join(blocks, "lead").join(nodes.select("node", "n", "sketch"), "node").join(label.withColumnRenamed("node", "l"), F.col("node") == F.col("l"), "left")
+    keyed = sized.select("lead", "salt", "node", "n", "sketch", F.coalesce("component", "node").alias("component"), F.explode("salts").alias("other"))
+    keyed = keyed.select("lead", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "n", "sketch", "component")
 
     def pick(t: pa.Table) -> pa.Table:
-        node, comp = t["node"].to_numpy(), t["component"].to_numpy()
-        if salt is not None:
-            turn = np.lexsort((K.mix(node.view(np.uint64) ^ K.U64(salt)), comp))
-            node, comp = node[turn], comp[turn]
-            lead = np.ones(len(comp), bool)
-            lead[1:] = comp[1:] != comp[:-1]
-            rest = node[lead]
-            big = node[np.argmax(np.bincount(np.cumsum(lead) - 1)[np.cumsum(lead) - 1])]
-            return pa.table(_unique_pairs(np.full(len(rest), big), rest))
-        a, b = [], []
+        node, comp, n, salt = (t[c].to_numpy() for c in ("node", "component", "n", "salt"))
+        if len(node) < 2 or (comp == comp[0]).all():
+            return pa.table({"u": node[:0], "v": node[:0]})
+        raw = t["sketch"].to_pylist()
+        width = np.array([len(x) for x in raw])
+        grids = {}
+        for w in np.unique(width):  # every member folded to each width up to its own
+            g = np.zeros((len(raw), int(w)), np.uint8)
+            for i, x in enumerate(raw):
+                x = np.frombuffer(x, np.uint8)
+                if len(x) < w:
+                    continue
+                while len(x) > w:
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                g[i] = x
+            grids[int(w)] = g.view(np.uint16)
+        across = t["a"][0].as_py() != t["b"][0].as_py()
+        group = {int(c): int(c) for c in np.unique(comp)}
+
+        def find(c: int) -> int:
+            while group[c] != c:
+                group[c] = group[group[c]]
+                c = group[c]
+            return c
+
+        u, v = [], []
+        numbers = np.arange(len(node))
         for i in range(len(node)):
-            other = node[i + 1 :][comp[i + 1 :] != comp[i]]
-            a.append(np.full(len(other), node[i]))
-            b.append(other)
-        return pa.table(_unique_pairs(np.concatenate(a), np.concatenate(b)))
+            rest = numbers[i + 1 :]
+            rest = rest[(comp[rest] != comp[i]) & ((salt[rest] != salt[i]) | (not across)) & (node[rest] != node[i])]
+            for j in _near(i, n, width, grids, rest).tolist():
+                if trees:
+                    x, y = find(int(comp[i])), find(int(comp[j]))
+                    if x == y:
+                        continue
+                    group[x] = y
+                u.append(node[i])
+                v.append(node[j])
+        return pa.table(_unique_pairs(np.array(u, np.int64), np.array(v, np.int64)))
 
-    near = groups.select(F.xxhash64("members").alias("g"), "members").mapInArrow(spread, "g long, node long").join(label.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("g", "node", F.coalesce("component", "node").alias("component"))
-    mixed = near.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g")
-    return near.join(mixed, "g").groupBy("g").applyInArrow(pick, "u long, v long").distinct()
+    return keyed.groupBy("lead", "a", "b").applyInArrow(pick, "u long, v long").distinct()
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -361,26 +417,22 @@ def similar_components(docs: DataFrame) -> DataFrame:
             if len(key):
                 yield exchange.pack(key, row, owners, buckets, info=info)
 
-    candidates = store.written(docs.select("text").where("text is not null").mapInArrow(keys, exchange.PACKED).groupBy("bucket").applyInArrow(_candidates, "u binary, v binary, shared binary, members binary"), "candidates")
+    parts = exchange.buckets_for(shingles / 50)
+    candidates = store.written(docs.select("text").where("text is not null").mapInArrow(keys, exchange.PACKED).groupBy("bucket").applyInArrow(lambda t: _candidates(t, parts), _CANDIDATES), "candidates")
     nodes = store.written(table.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("lowest"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     pairs = store.written(_sketched(_likely_pairs(candidates), nodes), "pairs")
-    groups = store.written(candidates.where("members is not null").select("members").distinct(), "groups")
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for m in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(m, np.int64))], ["node"])
-
-    known = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).union(groups.mapInArrow(spread, "node long")).distinct()
+    clusters = store.written(_clusters(candidates), "clusters")
+    known = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).union(clusters.select("node")).distinct()
     wanted = store.written(known.join(nodes, "node").select("node", "lowest"), "wanted")
     sets_of = store.written(_candidate_sets(docs, wanted), "sets")
     links = store.written(_verified(pairs, sets_of), "links")
     label = store.written(graph.components(links), "labels")
-    if groups.limit(1).count():
-        for salt in [*range(1, STAR_ROUNDS + 1), None]:
-            more = store.written(_verified(_sketched(_open_pairs(groups, label, salt), nodes), sets_of), "links")
-            links = links.union(more)
-            label = store.written(graph.components(links), "labels")
+    if clusters.limit(1).count():
+        for trees in [*[True] * TREE_ROUNDS, False]:
+            more = store.written(_verified(store.written(_open_pairs(clusters, label, nodes, trees), "open"), sets_of), "links")
+            if more.limit(1).count():
+                links = links.union(more)
+                label = store.written(graph.components(links), "labels")
     lowest = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "lowest")
     final = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
     of_node = lowest.join(final, "component").select("node", "component_id")
