@@ -1,10 +1,10 @@
 """Operator 3: benchmark decontamination by template windows.
 
 A text becomes a template: numbers, names and units of measure are typed placeholders, other words are lower-cased.
-Windows of ``WINDOW`` template tokens are hashed and joined with the windows of the benchmark items.  A window also has a slot
-pattern, which says which of its placeholders hold equal values: a re-parameterised question keeps the pattern, so hash
-and pattern must both agree.  Texts are hashed with array operations; a bitmap of fixed size, filled from the benchmark,
-leaves out windows that cannot join, and the join itself is an ordinary equi-join on (hash, pattern).
+Windows of ``WINDOW`` template tokens are hashed and joined with the windows of the benchmark items.  A window also carries the
+values of its slots: over all windows that a document shares with an item, the values must be one to one, as they are in a
+re-parameterised question, or the windows equal as they stand.  Texts are hashed with array operations; a bitmap of fixed size,
+filled from the benchmark, leaves out windows that cannot join, and the join itself is an ordinary equi-join on the hash.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.nda
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, names: bool) -> tuple[np.ndarray, ...]:
-    """Hash, slot pattern, literal hash and row of every window. ``lengths``: besides WINDOW, shorter ones; ``whole``: a
+    """Hash, slot pattern, literal hash, row and slot values of every window. ``lengths``: besides WINDOW, shorter ones; ``whole``: a
     shorter length only for rows of exactly that many tokens."""
     h, slot, rows = template(data, offsets, names)
     per = np.bincount(rows, minlength=len(offsets) - 1) if len(rows) else np.zeros(len(offsets) - 1, np.int64)
@@ -110,8 +110,10 @@ def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], who
             grid = slot[busy[:, None] + np.arange(k)]
             first = np.argmax(grid[:, :, None] == grid[:, None, :], axis=2)
             pattern[busy] = ((first * (grid > 0)).astype(np.uint64) * np.array([9**j for j in range(k)], np.uint64)).sum(axis=1) + K.U64(1)
-        out.append((K.mix(sums[ok]), pattern[ok], K.mix(literal[ok]), rows[:n][ok]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 3, np.zeros(0, np.int64))
+        held = np.zeros((len(pattern), WINDOW), np.uint64)
+        held[:, :k] = slot[np.arange(n)[:, None] + np.arange(k)] if len(busy) else 0
+        out.append((K.mix(sums[ok]), pattern[ok], K.mix(literal[ok]), rows[:n][ok], held[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 3, np.zeros(0, np.int64), np.zeros((0, WINDOW), np.uint64))
 
 
 def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole: bool, bitmap: np.ndarray | None) -> DataFrame:
@@ -123,26 +125,28 @@ def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole:
             for lo, hi in K.slices(offsets):
                 part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 got = [windows(part, off, lengths, whole, names) for names in (True, False)]
-                h, pattern, literal, row = (np.concatenate(x) for x in zip(*got, strict=True))
+                h, pattern, literal, row, held_slots = (np.concatenate(x) for x in zip(*got, strict=True))
                 if held.value is not None:
                     at = h >> K.U64(64 - BITMAP_BITS)
                     hit = (held.value[(at >> K.U64(3)).astype(np.int64)] >> (at & K.U64(7)).astype(np.uint8)) & 1 > 0
-                    h, pattern, literal, row = h[hit], pattern[hit], literal[hit], row[hit]
+                    h, pattern, literal, row, held_slots = h[hit], pattern[hit], literal[hit], row[hit], held_slots[hit]
                 if len(h):
                     turn = np.lexsort((literal, pattern, h, row))
-                    h, pattern, literal, row = h[turn], pattern[turn], literal[turn], row[turn]
+                    h, pattern, literal, row, held_slots = h[turn], pattern[turn], literal[turn], row[turn], held_slots[turn]
                     new = np.ones(len(h), bool)
                     new[1:] = (h[1:] != h[:-1]) | (pattern[1:] != pattern[:-1]) | (literal[1:] != literal[:-1]) | (row[1:] != row[:-1])
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(lo + row[new])), *(pa.array(x[new].view(np.int64)) for x in (h, pattern, literal))], [key, "h", "pattern", "literal"])
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, new.sum() * WINDOW + 1, WINDOW), pa.int32()), pa.array(held_slots[new].ravel().view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(lo + row[new])), *(pa.array(x[new].view(np.int64)) for x in (h, pattern, literal)), lists], [key, "h", "pattern", "literal", "slots"])
 
-    return df.select(key, "text").where(f"{key} is not null and text is not null").mapInArrow(run, f"{key} long, h long, pattern long, literal long")
+    return df.select(key, "text").where(f"{key} is not null and text is not null").mapInArrow(run, f"{key} long, h long, pattern long, literal long, slots array<long>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, n_windows (distinct windows of the item that
-    the document shares), n_item_windows, reparameterised (true if no shared window has the item's own slot values).
+    the document shares), n_item_windows, reparameterised (true if some shared windows hold other slot values than the item's).
 
-    A document holds an item if it shares SHARED of its windows, or all of them if the item has fewer. Items shorter than
+    A document holds an item if it shares SHARED of its windows, or all of them if the item has fewer, and its slot values are one to
+one with the item's over all shared windows, or stand as they do in the item. Items shorter than
     WINDOW tokens are one window; items under PLAIN tokens are not looked for. Rows with a null id or text hold nothing;
     repeated rows count once; other columns are ignored; an empty table gives no pairs."""
     spark = docs.sparkSession
@@ -151,13 +155,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = np.zeros(1 << BITMAP_BITS, np.uint8)  # its size is fixed, whatever the benchmark
     bits[spots] = 1
     found = _template_windows(docs, "doc_id", tuple(range(PLAIN, WINDOW)), False, np.packbits(bits, bitorder="little"))
-    needed = items.groupBy("item_id").agg(F.countDistinct("h", "pattern").alias("n_item_windows"))
-    pairs = (
-        found.join(items.withColumnRenamed("literal", "own"), ["h", "pattern"])
-        .groupBy("doc_id", "item_id").agg(F.countDistinct("h", "pattern").alias("n_windows"), F.max((F.col("literal") == F.col("own")).cast("int")).alias("exact"))
-        .join(needed, "item_id").where(F.col("n_windows") >= F.least(F.lit(SHARED), "n_item_windows"))
-    )
-    return pairs.select("doc_id", "item_id", "n_windows", "n_item_windows", (F.col("exact") == 0).alias("reparameterised"))
+    needed = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"))
+    joined = found.join(items.select("item_id", "h", F.col("literal").alias("own"), F.col("slots").alias("own_slots"), (F.col("pattern") != 0).alias("slotted")), "h")
+    slots = F.filter(F.arrays_zip("own_slots", "slots"), lambda p: p["slots"] != 0)
+    exact, slotted = F.col("literal") == F.col("own"), F.col("slotted")
+    pairs = joined.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("h").alias("n_windows"), F.countDistinct(F.when(exact, F.col("h"))).alias("exact_windows"), F.countDistinct(F.when(slotted, F.col("h"))).alias("slotted"),
+        F.countDistinct(F.when(slotted & exact, F.col("h"))).alias("exact_slotted"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("filled"),
+    ).join(needed, "item_id")
+    least = F.least(F.lit(SHARED), "n_item_windows")
+    one_to_one = (F.size("filled") == F.size(F.array_distinct("filled.own_slots"))) & (F.size("filled") == F.size(F.array_distinct("filled.slots")))
+    held = pairs.where((F.col("exact_windows") >= least) | (F.col("n_windows") >= least) & one_to_one)
+    return held.select("doc_id", "item_id", "n_windows", "n_item_windows", (F.col("slotted") > F.col("exact_slotted")).alias("reparameterised"))
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
