@@ -174,24 +174,24 @@ def viterbi(e: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 
 def decode(e: np.ndarray, rows: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Best tags of every row's sequence. A token whose lead for outside is more than any neighbours could repay is
-    outside on the best path; next to one, the neighbours' part of the bound is known."""
+    """Best tags of every row's sequence. A token whose lead for outside is more than its neighbours could repay is outside
+    on the best path, whatever their tags; a neighbour that is known to be outside, or missing, repays what it does, not the most."""
     tags = np.zeros(len(e), np.int64)
     if not len(e):
         return tags
     lead = e[:, OUT, None] - e[:, 1:]
-    gain = _gain(t)
-    sure = (lead > gain.max(axis=(0, 1))).all(axis=1)
+    left_gain, right_gain = t[:, 1:] - t[:, OUT, None], (t[1:, :] - t[OUT, :]).T  # neighbour x secret tag
     first, last = np.ones(len(e), bool), np.ones(len(e), bool)
     first[1:], last[:-1] = rows[1:] != rows[:-1], rows[1:] != rows[:-1]
-    for _ in range(4):  # a sure neighbour (or none) narrows what could be gained
-        left = np.concatenate([[True], sure[:-1]]) | first
-        right = np.concatenate([sure[1:], [True]]) | last
-        bound = np.where((left & right)[:, None], gain[0, 0], np.where(left[:, None], gain[0].max(axis=0), np.where(right[:, None], gain[:, 0].max(axis=0), gain.max(axis=(0, 1)))))
-        more = (lead > bound).all(axis=1)
+    sure = np.zeros(len(e), bool)
+    for _ in range(6):
+        before, after = np.concatenate([[False], sure[:-1]]), np.concatenate([sure[1:], [False]])
+        left = np.where(first[:, None], 0.0, np.where(before[:, None], left_gain[OUT], left_gain.max(axis=0)))
+        right = np.where(last[:, None], 0.0, np.where(after[:, None], right_gain[OUT], right_gain.max(axis=0)))
+        more = (lead > left + right).all(axis=1)
         if (more == sure).all():
             break
-        sure = sure | more
+        sure = more
     at = np.flatnonzero(~sure)
     if not len(at):
         return tags
@@ -207,12 +207,6 @@ def decode(e: np.ndarray, rows: np.ndarray, t: np.ndarray) -> np.ndarray:
     return tags
 
 
-def _gain(t: np.ndarray) -> np.ndarray:
-    """What a secret tag could gain over outside from its neighbours' tags (left x right x tag); no neighbour counts as
-    outside with nothing gained, which is covered by taking at least zero."""
-    return np.maximum(t[:, None, 1:] + t[1:, :].T[None, :, :] - t[:, OUT][:, None, None] - t[OUT, :][None, :, None], 0)
-
-
 def _training_rows(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     data, offsets = K.text_bytes(b.column(0))
     for lo, hi in K.slices(offsets):
