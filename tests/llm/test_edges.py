@@ -166,7 +166,7 @@ def test_slots_must_be_consistent(spark):
     item = spark.createDataFrame([(0, "there are 5 red apples and 5 green pears in one big basket today")], "item_id long, text string")
     d = spark.createDataFrame([(0, "there are 7 red apples and 7 green pears in one big basket today"), (1, "there are 7 red apples and 8 green pears in one big basket today")], "doc_id long, text string")
     got = {r.doc_id: r.n_windows for r in decontam.leaks(d, item).collect()}
-    assert set(got) == {0} and got[0] == 6  # windows that hold both numbers disagree in the other
+    assert set(got) == {0} and got[0] == 7  # 14 tokens; windows that hold both numbers disagree in the other
 
 
 def brute_spans(text):
