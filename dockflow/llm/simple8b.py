@@ -12,7 +12,9 @@ document order; ``part`` and ``seq`` give the order of the rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,17 @@ from . import store
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 BLOCK_IDS = 1024
-ROW_IDS = 1 << 19
+ROW_IDS = 1 << 20
 
 FILE_SCHEMA = "part int, seq int, start_in_part long, n_docs int, n_ids long, words binary, blocks binary, escapes binary, doc_words binary, doc_blocks binary, doc_escapes binary, len_words binary, len_blocks binary, len_escapes binary, null_ids binary"
 
 
+_SHORT = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
 def _bit_lengths(v: np.ndarray) -> np.ndarray:
+    if not len(v) or int(v.max()) < 1 << 16:
+        return _SHORT[v]
     out = np.zeros(len(v), np.uint8)
     rest = v.astype(np.uint64)
     for step in (32, 16, 8, 4, 2, 1):
@@ -64,27 +71,31 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             span += step
         best = np.where(widest[:, :BLOCK_IDS] <= BITS[s], np.uint8(s), best)
     jump = COUNTS[best]
-    at, live, order, starts = np.zeros(blocks, np.int64), np.arange(blocks), [], []
-    last = np.full(blocks, BLOCK_IDS)
-    last[-1] = n - (blocks - 1) * BLOCK_IDS
-    while len(live):  # one word of every block at a time
-        order.append(live)
-        starts.append(at[live])
-        at[live] += jump[live, at[live]]
-        live = live[at[live] < last[live]]
-    block, start = np.concatenate(order), np.concatenate(starts)
-    turn = np.argsort(block, kind="stable")
-    block, start = block[turn], start[turn]
-    chosen = best[block, start]
+    jump, best = jump.ravel(), best.ravel()
+    at = np.arange(blocks) * BLOCK_IDS
+    last = np.minimum(at + BLOCK_IDS, n)
+    starts = []
+    while len(at):  # one word of every block at a time
+        starts.append(at)
+        at = at + jump[at]
+        go = at < last
+        if not go.all():
+            at, last = at[go], last[go]
+    place = np.sort(np.concatenate(starts))
+    block, start = place // BLOCK_IDS, place % BLOCK_IDS
+    chosen = best[place]
+    wide = BLOCK_IDS + pad
+    place = block * wide + start
+    grid = grid.ravel()
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
         if BITS[s] == 0 or s == 0:
             continue
         k = np.flatnonzero(chosen == s)
         for j in range(int(COUNTS[s])):
-            words[k] |= grid[block[k], start[k] + j] << np.uint64(j * int(BITS[s]))
+            words[k] |= grid[place[k] + j] << np.uint64(j * int(BITS[s]))
     k = np.flatnonzero(chosen == 0)
-    escapes = grid[block[k], start[k]]
+    escapes = grid[place[k]]
     words[k] = np.arange(len(k), dtype=np.uint64)
     return words, np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))]).astype(np.uint32), escapes
 
@@ -112,12 +123,18 @@ def decode(words: np.ndarray, blocks: np.ndarray, escapes: np.ndarray, n: int) -
     return out
 
 
+#: Latin letters, digits and ASCII symbols but the apostrophe: runs of one kind, space-led or not, are pre-tokens.
+_LATIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
+_RUN = rf" ?(?:[{_LATIN}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)"
+_RUNS, _RUN = re.compile(f"(?:{_RUN})+"), re.compile(_RUN)
+
+
 class Encoder:
     """Token ids of whole texts by the ``tokenizers`` library, with a memory of what each space-led piece gave.
 
     Byte-level pre-tokenisation always starts anew at a space before a non-space, so the pieces between single spaces are
-    encoded once per worker; a text with runs of spaces, or one that ends in a space, is encoded whole. A piece of Latin
-    letters with an optional full stop or comma is one or two pre-tokens and goes straight to the model."""
+    encoded once per worker; a text with runs of spaces, or one that ends in a space, is encoded whole. A piece of plain
+    runs, with single line ends between them, is cut into its pre-tokens, which go straight to the model."""
 
     KEEP = 700_000
 
@@ -127,9 +144,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
         pre = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.table = {}
-        for c in [*range(32, 127), *range(0xA1, 0x250)]:
-            self.table[c] = pre.pre_tokenize_str(chr(c))[0][0]
+        self.table = {c: pre.pre_tokenize_str(chr(c))[0][0] for c in [10, *range(32, 127), *range(0xC0, 0x250)]}
         self.pieces: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
         self.special = [x.content for x in self.tok.get_added_tokens_decoder().values()]
@@ -139,38 +154,40 @@ class Encoder:
         if got is None:
             if len(self.tokens) >= self.KEEP:
                 self.tokens.clear()
-            got = self.tokens[pretoken] = np.array([x.id for x in self.tok.model.tokenize(pretoken.translate(self.table))], np.uint32).tobytes()
+            got = self.tokens[pretoken] = array("I", [x.id for x in self.tok.model.tokenize(pretoken.translate(self.table))]).tobytes()
         return got
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece[1:] if piece[:1] == " " else piece
-        if letters and max(letters) < "ɐ":
-            if letters.isalpha():
-                return self._model(piece)
-            if letters[-1] in ".," and letters[:-1].isalpha():
-                return self._model(piece[:-1]) + self._model(letters[-1])
-        return self._whole(piece)
+        if any(s in piece for s in self.special):
+            return self._whole(piece)
+        if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
+            return self._model(piece)
+        out = []
+        for i, line in enumerate(piece.split("\n")):
+            if not _RUNS.fullmatch(line):
+                return self._whole(piece)
+            if i:
+                out.append(self._model("\n"))
+            out += map(self._model, _RUN.findall(line))
+        return b"".join(out)
 
     def ids(self, text: str) -> bytes:
-        if "  " in text or text[-1:] == " " or any(s in text and " " in s for s in self.special):
+        if "  " in text or text[-1:] == " " or any(" " in s and s in text for s in self.special):
             return self._whole(text)
         parts, known = text.split(" "), self.pieces
-        first = self._piece(parts[0]) if parts[0] else b""
+        first = parts.pop(0)
+        start = self._piece(first) if first else b""
         try:
-            return first + b"".join([known[p] for p in parts[1:]])
+            return start + b"".join([known[p] for p in parts])
         except KeyError:
             if len(known) >= self.KEEP:
                 known.clear()
-            out = [first]
-            for p in parts[1:]:
-                got = known.get(p)
-                if got is None:
-                    got = known[p] = self._piece(" " + p)
-                out.append(got)
-            return b"".join(out)
+            for p in set(parts).difference(known):
+                known[p] = self._piece(" " + p)
+            return start + b"".join([known[p] for p in parts])
 
 
 _encoders: dict[str, Encoder] = {}
