@@ -185,3 +185,22 @@ def selected_model(reports: DataFrame) -> DataFrame:
 def predict_issue(model, features: list[str], rows: DataFrame, version: Column, created_at: Column) -> DataFrame:
     """Scoring rows to versioned predictions (ML-08)."""
     return predict_counts(model, rows, features).select("station_id", "hour_start", version.alias("model_version"), F.col("prediction").alias("predicted_rentals"), created_at.alias("created_at"))
+
+
+def predict_both(model, frame: DataFrame, features: list[str], other_weather: DataFrame, weather: list[str]) -> DataFrame:
+    """The same rows scored twice with only the weather swapped (FW-10): from_forecast and from_observed by station and hour. All other columns
+    are carried over from one frame, so they can't differ."""
+    keys = ["station_id", "hour_start"]
+    swapped = frame.drop(*weather).join(other_weather.select("hour_start", *weather), "hour_start")
+    a = predict_counts(model, frame, features).select(*keys, F.col("prediction").alias("from_forecast"))
+    return a.join(predict_counts(model, swapped, features).select(*keys, F.col("prediction").alias("from_observed")), keys)
+
+
+def recompute_predictions(model, features: list[str], stations: DataFrame, forecast: DataFrame, base: str, holidays: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
+    """Scores of an old issue's stations with its own forecast (RB-26)."""
+    from .features import scoring_rows
+    from .weather import pivot_forecast
+
+    weather = pivot_forecast(forecast.where(F.col("base_at") == F.lit(base).cast("timestamp_ntz"))).withColumn("is_new_snow", F.col("is_snow").cast("boolean")).drop("is_snow", "base_at")
+    rows = scoring_rows(stations, weather.select("hour_start"), weather, holidays, stats)
+    return predict_counts(model, rows, features).select("station_id", "hour_start", F.col("prediction").alias("predicted_rentals"))

@@ -128,3 +128,16 @@ def level_ratio(predicted: DataFrame, actual: DataFrame, keys: list[str]) -> Dat
     both = predicted.select(*keys, F.col("mean").alias("p"), "n").join(actual.select(*keys, F.col("mean").alias("a")), keys)
     p, a = F.sum(F.col("p") * F.col("n")) / F.sum("n"), F.sum(F.col("a") * F.col("n")) / F.sum("n")
     return both.agg(F.count("*").alias("cells"), p.alias("mean_predicted"), a.alias("mean_actual"), F.try_divide(p, a).alias("ratio"))
+
+
+def full_report(rows: DataFrame, score: Column | None = None) -> DataFrame:
+    """Long report (metric, grp, value) over main rows: counts, positive rate, rows by stratum of b0, and the rank metrics of a score,
+    expected shortfall unless another is given (MT-09, MT-17). Strata are exploded, so all of them come from one aggregation."""
+    main = rows.where("reason = 'main'").withColumn("score", F.coalesce(score if score is not None else F.col("e") - F.col("b0"), F.lit(0.0)))
+    counts = main.agg(F.count("*").cast("double").alias("rows"), F.countDistinct("as_of").cast("double").alias("issues"), F.avg("y").alias("positive_rate"))
+    totals = counts.select(F.explode(F.map_from_arrays(F.array(F.lit("rows"), F.lit("issues"), F.lit("positive_rate")), F.array("rows", "issues", "positive_rate"))).alias("metric", "value")).select("metric", F.lit("all").alias("grp"), "value")
+    strata = main.withColumn("grp", F.explode(F.filter(F.array(F.lit("all"), F.when(F.col("b0") >= 2, "b0>=2"), F.when(F.col("b0") >= 3, "b0>=3")), lambda x: x.isNotNull())))
+    sizes = strata.where("grp <> 'all'").groupBy("grp").agg(F.count("*").cast("double").alias("value")).select(F.lit("rows").alias("metric"), "grp", "value")
+    ranks = rank_metrics(score_groups(strata, "score", "y", ["grp"]), ["grp"])
+    long = ranks.select("grp", F.explode(F.map_from_arrays(F.array(F.lit("auc"), F.lit("average_precision")), F.array("auc", "average_precision"))).alias("metric", "value"))
+    return totals.unionByName(sizes).unionByName(long)

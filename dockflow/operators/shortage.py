@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch, hour_of, plus_minutes, slot_of
+from ..functions.time import epoch, hour_of, overlap_weight, plus_hours, plus_minutes, slot_of
 from .pit import nearest_snapshot, overlapping_hours, reference_snapshot, window_rows
 
 MAIN_HOURS = 3
@@ -91,6 +91,41 @@ def exclusion_reason(b0: Column, ok: Column, e: Column, r: Column, q: Column) ->
     return F.when(b0 < 1, "already_empty").when(~ok, "station_sparse").when(e.isNull(), "no_prediction").when(r.isNull() | q.isNull(), "no_profile").otherwise("main")
 
 
+def horizon_inputs(rows: DataFrame, values: DataFrame, value: str, horizons: tuple[int, ...] = (1, 2, 3, 4, 5, 6)) -> DataFrame:
+    """A horizon sum for every horizon, long: as_of, station_id, horizon and the sum, NULL where an hour is missing (RB-11). Hours and
+    weights of all horizons are exploded once and joined once."""
+    first, top = hour_of(F.col("as_of")), max(horizons)
+    frac = (epoch(F.col("as_of")) - epoch(first)) / 3600.0
+    need = rows.select("as_of", "station_id", F.explode(F.array(*(F.lit(h) for h in horizons))).alias("horizon")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(top))))
+    need = need.withColumn("weight", overlap_weight(F.col("k"), frac, F.col("horizon"))).where("weight > 0").withColumn("hour_start", plus_hours(first, F.col("k")))
+    keys = [c for c in ("station_id", "hour_start", "as_of") if c in values.columns]
+    got = need.join(values.select(*keys, F.col(value).alias("__v")), keys, "left")
+    return got.groupBy("as_of", "station_id", "horizon").agg(F.when(F.count("__v") == F.count("*"), F.sum(F.col("__v") * F.col("weight"))).alias(value))
+
+
+def build_rows(issues: DataFrame, snapshots: DataFrame, predictions: DataFrame, profile: DataFrame, calendar: DataFrame, hours: int = MAIN_HOURS) -> DataFrame:
+    """Labelled rows of every issue with E, R, Q over the horizon and the reason they are or aren't main rows (RB-08, RB-12,
+    RB-21). ``predictions``: station_id, hour_start, as_of, predicted_rentals; ``profile``: rent_mean and return_mean by station, off day, hour."""
+    by = ["as_of", "station_id"]
+    rows = labels(issues.select("as_of"), snapshots, hours)
+    e = horizon_sum(rows.select(*by), predictions, hours, by, "predicted_rentals", "e")
+    cal = F.broadcast(calendar.select("hour_start", "is_offday", "hour_of_day"))
+    hourly = overlapping_hours(rows.select(*by), hours).join(cal, "hour_start", "left").join(profile, ["station_id", "is_offday", "hour_of_day"], "left")
+
+    def total(c: str) -> Column:
+        return F.when(F.count(c) == F.count("*"), F.sum(F.col(c) * F.col("weight")))
+
+    rq = hourly.groupBy(*by).agg(total("rent_mean").alias("r"), total("return_mean").alias("q"))
+    return rows.join(e, by).join(rq, by).withColumn("reason", exclusion_reason(F.col("b0"), F.col("ok"), F.col("e"), F.col("r"), F.col("q")))
+
+
+def issue_log(rows: DataFrame, status: DataFrame) -> DataFrame:
+    """Every issue with its status and number of main rows (RB-21)."""
+    n = rows.groupBy("as_of").agg(F.count("*").alias("rows"), F.count_if(F.col("reason") == "main").alias("main_rows"))
+    zero = F.lit(0).cast("long")
+    return status.join(n, "as_of", "left").withColumns({"rows": F.coalesce("rows", zero), "main_rows": F.coalesce("main_rows", zero)})
+
+
 def already_empty(rows: DataFrame) -> DataFrame:
     """Stations at zero at the reference: their share, and how many recover in the window (RB-13)."""
     empty = F.col("b0") == 0
@@ -181,8 +216,6 @@ def stored_vs_recomputed(stored: DataFrame, recomputed: DataFrame, keys: list[st
 
 def stored_predictions(predictions: DataFrame, version: str, first: str) -> DataFrame:
     """Seven hours of one version (RB-23)."""
-    from ..functions.time import plus_hours
-
     start = F.lit(first).cast("timestamp_ntz")
     return predictions.where((F.col("model_version") == version) & (F.col("hour_start") >= start) & (F.col("hour_start") < plus_hours(start, 7)))
 

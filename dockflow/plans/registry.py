@@ -465,20 +465,9 @@ def rb09(s, d):
 
 
 def main_rows(s, d) -> DataFrame:
-    """Labelled rows with E, R, Q over three hours and the reason they are or aren't main rows (RB-08, RB-11, RB-12, RB-21)."""
-    snaps, by = A.snapshots(s, d), ["as_of", "station_id"]
-    rows = shortage.labels(A.issues(s, d).select("as_of"), snaps)
     p = A.predictions(s, d).select("station_id", "hour_start", F.col("created_at").alias("as_of"), "predicted_rentals")
-    e = shortage.horizon_sum(rows.select(*by), p, 3, by, "predicted_rentals", "e")
-    cal = A.calendar(s, d).select("hour_start", "is_offday", "hour_of_day")
-    prof = features.season_profile(A.hourly(s, d), A.grid(s, d), A.calendar(s, d), "2024-01-01", "2024-02-01")
-    hourly = pit.overlapping_hours(rows.select(*by), 3).join(F.broadcast(cal), "hour_start", "left").join(prof, ["station_id", "is_offday", "hour_of_day"], "left")
-    def total(c):
-        return F.when(F.count(c) == F.count("*"), F.sum(F.col(c) * F.col("weight")))
-
-    rq = hourly.groupBy(*by).agg(total("rent_mean").alias("r"), total("return_mean").alias("q"))
-    j = rows.join(e, by).join(rq, by)
-    return j.withColumn("reason", shortage.exclusion_reason(F.col("b0"), F.col("ok"), F.col("e"), F.col("r"), F.col("q")))
+    profile = features.season_profile(A.hourly(s, d), A.grid(s, d), A.calendar(s, d), "2024-01-01", "2024-02-01")
+    return shortage.build_rows(A.issues(s, d), A.snapshots(s, d), p, profile, A.calendar(s, d))
 
 
 _REASON = "case when b0 < 1 then 'already_empty' when not ok then 'station_sparse' when e is null then 'no_prediction' when r is null or q is null then 'no_profile' else 'main' end"

@@ -222,3 +222,24 @@ def ml07(s, d):
 @query("dm09_latest_snapshot", over("snaps_st", "select station_no, max(snapshot) as snapshot from snaps_st group by 1"))
 def dm09(s, d):
     return marts.latest_per_key(A.snapshots_of_stations(s, d), ["station_no"], [F.desc("snapshot")]).select("station_no", "snapshot")
+
+
+@query("rb11_horizons", over("labels3 pred", """select l.as_of, l.station_id, h::int as horizon, case when count(p.predicted_rentals) = count(*) then round(sum(p.predicted_rentals * w), 6) end as predicted_rentals from labels3 l
+    join (select as_of, h, k, date_trunc('hour', as_of)::timestamp + to_hours(k) as hour_start, greatest(0, least(1, least(k + 1, f + h) - greatest(k, f)))::double as w from (select as_of, minute(as_of) / 60.0::double as f from issues) cross join (select unnest(range(1, 7))::int as h) cross join (select unnest(range(0, 7))::int as k)) x using (as_of)
+    left join pred p on p.station_id = l.station_id and p.hour_start = x.hour_start and p.created_at = l.as_of where w > 0 group by all"""))
+def rb11(s, d):
+    p = A.predictions(s, d).select("station_id", "hour_start", F.col("created_at").alias("as_of"), "predicted_rentals")
+    return r6(shortage.horizon_inputs(shortage.labels(A.issues(s, d).select("as_of"), A.snapshots(s, d)), p, "predicted_rentals"), "predicted_rentals")
+
+
+@query("rb21_issue_log", over("rows3 status", "select s.as_of, s.reference_at, s.slots, s.status, coalesce(n, 0) as rows, coalesce(m, 0) as main_rows from status s left join (select as_of, count(*) as n, count(*) filter (where b0 >= 1 and ok and e is not null and r is not null and q is not null) as m from rows3 group by 1) using (as_of)"))
+def rb21(s, d):
+    return shortage.issue_log(main_rows(s, d), shortage.issue_status(A.issues(s, d).select("as_of"), A.snapshots(s, d)))
+
+
+@query("mt17_full_report", over("rows3", """select 'rows' as metric, 'all' as grp, count(*)::double as value from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
+    union all select 'issues', 'all', count(distinct as_of) from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
+    union all select 'positive_rate', 'all', round(avg(y), 6) from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
+    union all select 'rows', 'b0>=' || k, count(*) from rows3 cross join (select unnest([2, 3]) as k) where b0 >= k and ok and e is not null and r is not null and q is not null group by k"""))
+def mt17(s, d):
+    return metrics.full_report(main_rows(s, d)).withColumn("value", F.round("value", 6)).where("metric in ('rows', 'issues', 'positive_rate')")
