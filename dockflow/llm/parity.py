@@ -39,7 +39,7 @@ ORDER_SHINGLES = 1_000_000
 #: Key groups up to this size make all their pairs at once.
 SMALL_GROUP = 16
 #: Clusters of more members in a bucket are dealt to SALTS blocks; rounds of spanning trees before all open pairs are tried.
-SALT_FROM, SALTS = 2048, 16
+SALT_FROM, SALTS = 8192, 8
 TREE_ROUNDS = 3
 BITMAP_BITS = 24
 #: Keys beyond the D + 1 that a set must send: linked sets then share as many more (SPARE + 1, if they have so many).
@@ -326,6 +326,12 @@ def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _links(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Verified links of a written frame of pairs; only the sets that the pairs name are shuffled."""
+    named = store.checked(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), "named")
+    return store.written(_verified(pairs, members.join(named, "node", "left_semi")), "links")
+
+
 def _near(i: int, n: np.ndarray, width: np.ndarray, grids: dict[int, np.ndarray], rest: np.ndarray) -> np.ndarray:
     """Which of ``rest`` are near enough to member i by size and sketch."""
     rest = rest[4 * np.minimum(n[i], n[rest]) >= 3 * np.maximum(n[i], n[rest])]
@@ -390,6 +396,25 @@ def _open_pairs(clusters: DataFrame, label: DataFrame, nodes: DataFrame, trees:
     return keyed.groupBy("lead", "a", "b").applyInArrow(pick, "u long, v long").distinct()
 
 
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components."""
+    def at(side: str) -> DataFrame:
+        return label.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+
+    return pairs.join(at("u"), "u", "left").join(at("v"), "v", "left").where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+
+
+def _relabelled(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only the graph of the components that they join is solved."""
+    def at(side: str) -> DataFrame:
+        return label.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+
+    joined = links.join(at("u"), "u", "left").join(at("v"), "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    merged = store.written(graph.components(joined), "merged")
+    moved = label.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return moved.union(merged.join(label.select("node"), "node", "left_anti").select("node", "component"))
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach, itself included) of every row.
 
@@ -425,14 +450,22 @@ def similar_components(docs: DataFrame) -> DataFrame:
     known = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).union(clusters.select("node")).distinct()
     wanted = store.written(known.join(nodes, "node").select("node", "lowest"), "wanted")
     sets_of = store.written(_candidate_sets(docs, wanted), "sets")
-    links = store.written(_verified(pairs, sets_of), "links")
-    label = store.written(graph.components(links), "labels")
-    if clusters.limit(1).count():
-        for trees in [*[True] * TREE_ROUNDS, False]:
-            more = store.written(_verified(store.written(_open_pairs(clusters, label, nodes, trees), "open"), sets_of), "links")
-            if more.limit(1).count():
-                links = links.union(more)
-                label = store.written(graph.components(links), "labels")
+    first = store.written(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first")  # one pair a node; most of the others then lie in one component
+    label = store.written(graph.components(_links(first, sets_of)), "labels")
+    rest = store.written(_apart(pairs.join(first, ["u", "v"], "left_anti"), label), "rest")
+    if rest.limit(1).count():
+        label = store.written(_relabelled(label, _links(rest, sets_of)), "labels")
+    rounds = [*[True] * TREE_ROUNDS, False] if clusters.limit(1).count() else []
+    while rounds:
+        trees = rounds.pop(0)
+        tried = store.written(_open_pairs(clusters, label, nodes, trees), "open")
+        if not tried.limit(1).count():
+            break  # no pair that could link is open
+        more = _links(tried, sets_of)
+        if more.limit(1).count():
+            label = store.written(_relabelled(label, more), "labels")
+        elif trees:
+            rounds = [False]  # trees find no more: all open pairs are next
     lowest = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "lowest")
     final = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
     of_node = lowest.join(final, "component").select("node", "component_id")
