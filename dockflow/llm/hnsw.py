@@ -215,7 +215,8 @@ def near_links(nodes: DataFrame) -> DataFrame:
     # many partitions for few shards: builds are long, and two of them shouldn't wait for each other
     graphs = store.written(dealt.repartition(min(16 * shards, 1 << 14), "shard", "dim").groupBy("shard", "dim").applyInArrow(build, "shard int, dim int, graph binary"), "graphs")
     spread = graphs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select("dim", "shard", "salt", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("array<double>").alias("vector"), "graph")
-    asked = dealt.select("dim", F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards // 2)), lambda k: ((F.col("shard") + k) % shards).cast("int"))).alias("shard"), F.pmod(F.xxhash64("node", F.lit(7)), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), "node", "vector", F.lit(None).cast("binary").alias("graph"))
+    asked = dealt.select("dim", F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards // 2)), lambda k: ((F.col("shard") + k) % shards).cast("int"))).alias("shard"), F.pmod(F.xxhash64("node", F.lit(7)), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), "node", "vector", F.lit(None).cast("binary").alias("graph"), F.col("shard").alias("home"))
+    asked = asked.where(~((F.lit(2) * F.pmod(F.col("shard") - F.col("home"), F.lit(shards)) == shards) & (F.col("home") * 2 >= shards))).drop("home")  # of opposite shards one asks
     streams = spread.unionByName(asked).repartition(min(4 * shards * salts, 1 << 14), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", "kind", "node")
 
     def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
