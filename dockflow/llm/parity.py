@@ -8,7 +8,7 @@ one global order, linked sets share at least one.  Those parts are the join keys
 common go last in the global order (an order from a bounded sample; any order is right, this one keeps candidates few).
 
 With SPARE more keys linked sets share SPARE + 1 of them, which few other pairs do. Candidates are then held against a dense
-sketch of a power of two of bits (at least 4n): the Hamming distance of two, the longer folded to the length of the
+sketch of a power of two of bits (at least 2n): the Hamming distance of two, the longer folded to the length of the
 shorter, is again at most the symmetric difference.
 
 Copies are one node: a node is the 64-bit fingerprint of a set (two different sets share one with a chance of
@@ -61,7 +61,7 @@ def _sizes_and_prints(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.
 
 def _sketches(values: np.ndarray, rows: np.ndarray, size: np.ndarray) -> list[bytes]:
     """Dense parity sketches: bit (hash mod width) is the parity of the shingles that fall on it."""
-    width = 1 << np.ceil(np.log2(np.maximum(4 * size, 256))).astype(np.int64)
+    width = 1 << np.ceil(np.log2(np.maximum(2 * size, 256))).astype(np.int64)
     base = np.concatenate([[0], np.cumsum(width)])
     bit = base[rows] + (K.mix(values ^ K.U64(0xA24BAED4963EE407)) & (width[rows] - 1).astype(np.uint64)).astype(np.int64)
     packed = np.packbits((np.bincount(bit, minlength=base[-1]) & 1).astype(np.uint8), bitorder="little")
