@@ -2,8 +2,8 @@
 
 A text becomes a template: numbers, names and units of measure are typed placeholders, other words are lower-cased.
 Windows of ``WINDOW`` template tokens are hashed and joined with the windows of the benchmark items.  A window also carries the
-values of its slots: over all windows that a document shares with an item, the values must be one to one, as they are in a
-re-parameterised question, or the windows equal as they stand.  Texts are hashed with array operations; a bitmap of fixed size,
+values of its slots: over all windows that a document shares with an item, or those of one occurrence of it, the values must be one
+to one, as they are in a re-parameterised question, or the windows equal as they stand.  Texts are hashed with array operations; a bitmap of fixed size,
 filled from the benchmark, leaves out windows that cannot join, and the join itself is an ordinary equi-join on the hash.
 """
 
@@ -85,11 +85,14 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.nda
     return hashes[lead], np.where(slot[lead] > 0, value, K.U64(0)), rows[lead]
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, names: bool) -> tuple[np.ndarray, ...]:
-    """Hash, slot pattern, literal hash, row and slot values of every window. ``lengths``: besides WINDOW, shorter ones; ``whole``: a
-    shorter length only for rows of exactly that many tokens."""
+def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, names: bool, bitmap: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Hash, literal hash, row, place in the row (in template tokens) and slot values of every window that ``bitmap`` lets through.
+    ``lengths``: besides WINDOW, shorter ones; ``whole``: a shorter length only for rows of exactly that many tokens."""
     h, slot, rows = template(data, offsets, names)
     per = np.bincount(rows, minlength=len(offsets) - 1) if len(rows) else np.zeros(len(offsets) - 1, np.int64)
+    begin = np.cumsum(per) - per
+    free = np.concatenate([[0], np.cumsum(slot == 0)])
+    steps = np.array(K._STEP[8 : 8 + WINDOW], np.uint64)
     out = []
     for k in sorted({WINDOW, *lengths}):
         n = len(h) - k + 1
@@ -98,47 +101,47 @@ def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], who
         ok = rows[:n] == rows[k - 1 :]
         if whole and k < WINDOW:
             ok &= per[rows[:n]] == k
-        sums, literal, plain = np.full(n, K.U64(k)), np.full(n, K.U64(k)), np.zeros(n, np.int64)
+        ok &= free[k:] - free[:n] >= min(PLAIN, k)
+        sums = np.full(n, K.U64(k))
         for j in range(k):
             sums += h[j : n + j] * K._STEP[j]
-            literal += (h[j : n + j] ^ slot[j : n + j]) * K._STEP[j + 8]
-            plain += slot[j : n + j] == 0
-        ok &= plain >= min(PLAIN, k)
-        pattern = np.zeros(n, np.uint64)
-        busy = np.flatnonzero(ok & (plain < k))
-        if len(busy):
-            grid = slot[busy[:, None] + np.arange(k)]
-            first = np.argmax(grid[:, :, None] == grid[:, None, :], axis=2)
-            pattern[busy] = ((first * (grid > 0)).astype(np.uint64) * np.array([9**j for j in range(k)], np.uint64)).sum(axis=1) + K.U64(1)
-        held = np.zeros((len(pattern), WINDOW), np.uint64)
-        held[:, :k] = slot[np.arange(n)[:, None] + np.arange(k)] if len(busy) else 0
-        out.append((K.mix(sums[ok]), pattern[ok], K.mix(literal[ok]), rows[:n][ok], held[ok]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 3, np.zeros(0, np.int64), np.zeros((0, WINDOW), np.uint64))
+        at = np.flatnonzero(ok)
+        key = K.mix(sums[at])
+        if bitmap is not None:
+            spot = key >> K.U64(64 - BITMAP_BITS)
+            hit = (bitmap[(spot >> K.U64(3)).astype(np.int64)] >> (spot & K.U64(7)).astype(np.uint8)) & 1 > 0
+            at, key = at[hit], key[hit]
+        inside = at[:, None] + np.arange(k)
+        held = np.zeros((len(at), WINDOW), np.uint64)
+        held[:, :k] = slot[inside]
+        literal = K.mix(((h[inside] ^ held[:, :k]) * steps[:k]).sum(axis=1, dtype=np.uint64) + K.U64(k))
+        out.append((key, literal, rows[at], at - begin[rows[at]], held))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 2, np.zeros((0, WINDOW), np.uint64))
 
 
 def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole: bool, bitmap: np.ndarray | None) -> DataFrame:
+    """Windows of every row, once with names as slots and once without (``names``); ``source`` tells the texts of one key apart."""
     held = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = K.text_bytes(b.column(1))
+            data, offsets = K.text_bytes(b.column(2))
             for lo, hi in K.slices(offsets):
                 part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                got = [windows(part, off, lengths, whole, names) for names in (True, False)]
-                h, pattern, literal, row, held_slots = (np.concatenate(x) for x in zip(*got, strict=True))
-                if held.value is not None:
-                    at = h >> K.U64(64 - BITMAP_BITS)
-                    hit = (held.value[(at >> K.U64(3)).astype(np.int64)] >> (at & K.U64(7)).astype(np.uint8)) & 1 > 0
-                    h, pattern, literal, row, held_slots = h[hit], pattern[hit], literal[hit], row[hit], held_slots[hit]
-                if len(h):
-                    turn = np.lexsort((literal, pattern, h, row))
-                    h, pattern, literal, row, held_slots = h[turn], pattern[turn], literal[turn], row[turn], held_slots[turn]
-                    new = np.ones(len(h), bool)
-                    new[1:] = (h[1:] != h[:-1]) | (pattern[1:] != pattern[:-1]) | (literal[1:] != literal[:-1]) | (row[1:] != row[:-1])
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, new.sum() * WINDOW + 1, WINDOW), pa.int32()), pa.array(held_slots[new].ravel().view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(lo + row[new])), *(pa.array(x[new].view(np.int64)) for x in (h, pattern, literal)), lists], [key, "h", "pattern", "literal", "slots"])
-
-    return df.select(key, "text").where(f"{key} is not null and text is not null").mapInArrow(run, f"{key} long, h long, pattern long, literal long, slots array<long>")
+                for names in (True, False):
+                    h, literal, row, at, slots = windows(part, off, lengths, whole, names, held.value)
+                    if len(h):
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(h) * WINDOW + 1, WINDOW), pa.int32()), pa.array(slots.ravel().view(np.int64)))
+                        of = pa.array(lo + row)
+                        cols = [b.column(0).take(of), b.column(1).take(of), pa.array(np.full(len(h), names)), pa.array(h.view(np.int64)), pa.array(literal.view(np.int64)), pa.array(at), lists]
+                        yield pa.RecordBatch.from_arrays(cols, [key, "source", "names", "h", "literal", "at", "slots"])
+
+    texts = df.where(f"{key} is not null and text is not null").select(key, F.xxhash64("text").alias("source"), "text")
+    return texts.mapInArrow(run, f"{key} long, source long, names boolean, h long, literal long, at long, slots array<long>")
+
+
+def _one_to_one(filled: str) -> F.Column:
+    return (F.size(filled) == F.size(F.array_distinct(f"{filled}.own_slots"))) & (F.size(filled) == F.size(F.array_distinct(f"{filled}.slots")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -146,8 +149,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the document shares), n_item_windows, reparameterised (true if some shared windows hold other slot values than the item's).
 
     A document holds an item if it shares SHARED of its windows, or all of them if the item has fewer, and its slot values are one to
-one with the item's over all shared windows, or stand as they do in the item. Items shorter than
-    WINDOW tokens are one window; items under PLAIN tokens are not looked for. Rows with a null id or text hold nothing;
+    one with the item's over all shared windows, or stand as they do in the item. It also does if that is so for one occurrence
+    alone: the shared windows that are as far apart in the document as in the item, whatever else the document shares. Items shorter
+    than WINDOW tokens are one window; items under PLAIN tokens are not looked for. Rows with a null id or text hold nothing;
     repeated rows count once; other columns are ignored; an empty table gives no pairs."""
     spark = docs.sparkSession
     items = store.written(_template_windows(benchmark, "item_id", tuple(range(PLAIN, WINDOW)), True, None).distinct(), "benchmark-windows")
@@ -156,16 +160,25 @@ one with the item's over all shared windows, or stand as they do in the item. It
     bits[spots] = 1
     found = _template_windows(docs, "doc_id", tuple(range(PLAIN, WINDOW)), False, np.packbits(bits, bitorder="little"))
     needed = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"))
-    joined = found.join(items.select("item_id", "h", F.col("literal").alias("own"), F.col("slots").alias("own_slots"), (F.col("pattern") != 0).alias("slotted")), "h")
+    # a window without names is found without them too, so windows of one kind meet all that they can
+    own = items.select("item_id", "h", "names", F.col("source").alias("own_source"), F.col("literal").alias("own"), F.col("at").alias("own_at"), F.col("slots").alias("own_slots"), F.exists("slots", lambda x: x != 0).alias("slotted"))
     slots = F.filter(F.arrays_zip("own_slots", "slots"), lambda p: p["slots"] != 0)
-    exact, slotted = F.col("literal") == F.col("own"), F.col("slotted")
+    place = ["doc_id", "item_id", "source", "own_source", "names"]
+    joined = store.written(found.join(own, ["h", "names"]).select(*place, (F.col("at") - F.col("own_at")).alias("shift"), "h", "slotted", (F.col("literal") == F.col("own")).alias("exact"), slots.alias("pairs")), "shared-windows")
+
+    def distinct(condition: F.Column) -> F.Column:
+        return F.size(F.collect_set(F.when(condition, F.col("h"))))
+
+    exact, slotted = F.col("exact"), F.col("slotted")
+    filled = F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("filled")
     pairs = joined.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("h").alias("n_windows"), F.countDistinct(F.when(exact, F.col("h"))).alias("exact_windows"), F.countDistinct(F.when(slotted, F.col("h"))).alias("slotted"),
-        F.countDistinct(F.when(slotted & exact, F.col("h"))).alias("exact_slotted"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("filled"),
+        distinct(F.lit(True)).cast("long").alias("n_windows"), distinct(exact).alias("exact_windows"), distinct(slotted).alias("slotted"), distinct(slotted & exact).alias("exact_slotted"), filled,
     ).join(needed, "item_id")
+    of_kind = items.groupBy("item_id", "names").agg(F.countDistinct("h").alias("n_kind"))
+    occurrences = joined.groupBy(*place, "shift").agg(distinct(F.lit(True)).alias("here"), filled).join(of_kind, ["item_id", "names"])
+    whole = occurrences.where((F.col("here") >= F.least(F.lit(SHARED), "n_kind")) & _one_to_one("filled")).select("doc_id", "item_id", F.lit(True).alias("whole")).distinct()
     least = F.least(F.lit(SHARED), "n_item_windows")
-    one_to_one = (F.size("filled") == F.size(F.array_distinct("filled.own_slots"))) & (F.size("filled") == F.size(F.array_distinct("filled.slots")))
-    held = pairs.where((F.col("exact_windows") >= least) | (F.col("n_windows") >= least) & one_to_one)
+    held = pairs.join(whole, ["doc_id", "item_id"], "left").where((F.col("exact_windows") >= least) | (F.col("n_windows") >= least) & _one_to_one("filled") | F.col("whole"))
     return held.select("doc_id", "item_id", "n_windows", "n_item_windows", (F.col("slotted") > F.col("exact_slotted")).alias("reparameterised"))
 
 

@@ -169,6 +169,21 @@ def test_slots_must_be_consistent(spark):
     assert set(got) == {0} and got[0] == 7  # 14 tokens; windows that hold both numbers disagree in the other
 
 
+def test_each_occurrence_has_slots_of_its_own(spark):
+    one = "there are 5 red apples and 6 green pears in one big basket today"
+    two = "we count 4 big birds on 9 old trees we count 8 big birds on 3 old trees"  # its own windows cross-match
+    item = spark.createDataFrame([(0, one), (1, two)], "item_id long, text string")
+    copy = lambda t, m: re.sub(r"\d", lambda x: str(m[x.group()]), t)
+    texts = [
+        copy(one, {"5": 7, "6": 8}) + " and then " + copy(one, {"5": 11, "6": 7}),
+        copy(one, {"5": 7, "6": 8}) + " but elsewhere 3 red apples and 3 green pears in one bag",
+        copy(two, {"4": 11, "9": 12, "8": 13, "3": 14}),
+        copy(one, {"5": 7, "6": 7}) + " and then " + copy(one, {"5": 8, "6": 8}),  # neither is one to one
+    ]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.reparameterised) for r in decontam.leaks(d, item).collect()} == {(0, 0, True), (1, 0, True), (2, 1, True)}
+
+
 def brute_spans(text):
     out = [("assign", *m.span()) for m in re.finditer(r"""(?a:((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", text or "") if len(m.group(2)) >= 6]
     out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text or "") if len(m.group()) >= 20]
