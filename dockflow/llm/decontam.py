@@ -20,7 +20,7 @@ from . import kernel as K
 from . import store
 
 WINDOW = 8
-#: Plain words that a window must hold, and windows of an item that a document must share (or all of a shorter item).
+#: Plain words that a template window must hold (a window with fewer is compared as it stands), and windows of an item that a document must share (or all of a shorter item).
 PLAIN = 4
 SHARED = 3
 BITMAP_BITS = 22
@@ -33,6 +33,7 @@ _KIND[K.IS_SPACE] = 0
 _KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _KIND[48:58] = 3
 _NUM, _NAME, _UNIT = (K.U64(K.fnv(f"\x00{x}")) for x in ("number", "name", "unit"))
+_BARE = K.U64(K.fnv("\x00bare"))
 _UNIT_HASHES = np.sort(np.array([K.fnv(u) for u in UNITS], np.uint64))
 _STOP = np.zeros(256, bool)
 _STOP[[*b".!?:;\n\r\"|*#>-("]] = True
@@ -86,8 +87,9 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.nda
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, names: bool, bitmap: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Hash, literal hash, row, place in the row (in template tokens) and slot values of every window that ``bitmap`` lets through.
-    ``lengths``: besides WINDOW, shorter ones; ``whole``: a shorter length only for rows of exactly that many tokens."""
+    """Hash, literal hash, row, place in the row (in template tokens), size, whether it is bare, and slot values of every window that
+    ``bitmap`` lets through. A bare window has too few plain words for a template and is hashed as it stands. ``lengths``: besides
+    WINDOW, shorter ones; ``whole``: a shorter length only for rows of exactly that many tokens."""
     h, slot, rows = template(data, offsets, names)
     per = np.bincount(rows, minlength=len(offsets) - 1) if len(rows) else np.zeros(len(offsets) - 1, np.int64)
     begin = np.cumsum(per) - per
@@ -101,10 +103,13 @@ def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], who
         ok = rows[:n] == rows[k - 1 :]
         if whole and k < WINDOW:
             ok &= per[rows[:n]] == k
-        ok &= free[k:] - free[:n] >= min(PLAIN, k)
+        bare = free[k:] - free[:n] < min(PLAIN, k)
         sums = np.full(n, K.U64(k))
         for j in range(k):
             sums += h[j : n + j] * K._STEP[j]
+        few = np.flatnonzero(ok & bare)
+        inside = few[:, None] + np.arange(k)
+        sums[few] = K.mix(((h[inside] ^ slot[inside]) * steps[:k]).sum(axis=1, dtype=np.uint64) + K.U64(k)) ^ _BARE
         at = np.flatnonzero(ok)
         key = K.mix(sums[at])
         if bitmap is not None:
@@ -115,8 +120,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], who
         held = np.zeros((len(at), WINDOW), np.uint64)
         held[:, :k] = slot[inside]
         literal = K.mix(((h[inside] ^ held[:, :k]) * steps[:k]).sum(axis=1, dtype=np.uint64) + K.U64(k))
-        out.append((key, literal, rows[at], at - begin[rows[at]], held))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 2, np.zeros((0, WINDOW), np.uint64))
+        out.append((key, literal, rows[at], at - begin[rows[at]], np.full(len(at), k, np.int32), bare[at], held))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 2, np.zeros(0, np.int32), np.zeros(0, bool), np.zeros((0, WINDOW), np.uint64))
 
 
 def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole: bool, bitmap: np.ndarray | None) -> DataFrame:
@@ -129,19 +134,23 @@ def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole:
             for lo, hi in K.slices(offsets):
                 part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 for names in (True, False):
-                    h, literal, row, at, slots = windows(part, off, lengths, whole, names, held.value)
+                    h, literal, row, at, size, bare, slots = windows(part, off, lengths, whole, names, held.value)
                     if len(h):
                         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(h) * WINDOW + 1, WINDOW), pa.int32()), pa.array(slots.ravel().view(np.int64)))
                         of = pa.array(lo + row)
-                        cols = [b.column(0).take(of), b.column(1).take(of), pa.array(np.full(len(h), names)), pa.array(h.view(np.int64)), pa.array(literal.view(np.int64)), pa.array(at), lists]
-                        yield pa.RecordBatch.from_arrays(cols, [key, "source", "names", "h", "literal", "at", "slots"])
+                        cols = [b.column(0).take(of), b.column(1).take(of), pa.array(np.full(len(h), names)), pa.array(h.view(np.int64)), pa.array(literal.view(np.int64)), pa.array(at), pa.array(size), pa.array(bare), lists]
+                        yield pa.RecordBatch.from_arrays(cols, [key, "source", "names", "h", "literal", "at", "size", "bare", "slots"])
 
     texts = df.where(f"{key} is not null and text is not null").select(key, F.xxhash64("text").alias("source"), "text")
-    return texts.mapInArrow(run, f"{key} long, source long, names boolean, h long, literal long, at long, slots array<long>")
+    return texts.mapInArrow(run, f"{key} long, source long, names boolean, h long, literal long, at long, size int, bare boolean, slots array<long>")
 
 
-def _one_to_one(filled: str) -> F.Column:
-    return (F.size(filled) == F.size(F.array_distinct(f"{filled}.own_slots"))) & (F.size(filled) == F.size(F.array_distinct(f"{filled}.slots")))
+def _held(n: str, template: str) -> F.Column:
+    """Whether shared windows suffice, of an item that has ``n`` windows, ``template`` of them not bare."""
+    all_of, some_of = F.least(F.lit(SHARED), n), F.greatest(F.lit(1), F.least(F.lit(SHARED), template))
+    one_to_one = (F.size("filled") == F.size(F.array_distinct("filled.own_slots"))) & (F.size("filled") == F.size(F.array_distinct("filled.slots")))
+    exact = (F.col("exact_windows") >= all_of) | (F.col("exact_template") >= some_of)
+    return exact | ((F.col("n_windows") >= all_of) | (F.col("template_windows") >= some_of)) & one_to_one
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -150,35 +159,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document holds an item if it shares SHARED of its windows, or all of them if the item has fewer, and its slot values are one to
     one with the item's over all shared windows, or stand as they do in the item. It also does if that is so for one occurrence
-    alone: the shared windows that are as far apart in the document as in the item, whatever else the document shares. Items shorter
-    than WINDOW tokens are one window; items under PLAIN tokens are not looked for. Rows with a null id or text hold nothing;
+    alone: the shared windows that are as far apart in the document as in the item, whatever else the document shares. Windows with
+    fewer plain words than PLAIN (and than tokens) are shared only as they stand; where an item has too few others for SHARED, all
+    of the others suffice as well. Items shorter than WINDOW tokens are one window. Rows with a null id or text hold nothing;
     repeated rows count once; other columns are ignored; an empty table gives no pairs."""
     spark = docs.sparkSession
-    items = store.written(_template_windows(benchmark, "item_id", tuple(range(PLAIN, WINDOW)), True, None).distinct(), "benchmark-windows")
+    items = store.written(_template_windows(benchmark, "item_id", tuple(range(1, WINDOW)), True, None).distinct(), "benchmark-windows")
     spots = items.select(F.shiftrightunsigned("h", 64 - BITMAP_BITS).cast("int").alias("at")).distinct().toPandas()["at"].to_numpy(np.int64)
     bits = np.zeros(1 << BITMAP_BITS, np.uint8)  # its size is fixed, whatever the benchmark
     bits[spots] = 1
-    found = _template_windows(docs, "doc_id", tuple(range(PLAIN, WINDOW)), False, np.packbits(bits, bitorder="little"))
-    needed = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"))
+    lengths = tuple(sorted(r[0] for r in items.select("size").distinct().collect()))  # WINDOW or less: other sizes join with nothing
+    found = _template_windows(docs, "doc_id", lengths, False, np.packbits(bits, bitorder="little"))
+    template = F.when(~F.col("bare"), F.col("h"))
+    needed = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"), F.countDistinct(template).alias("n_item_template"))
     # a window without names is found without them too, so windows of one kind meet all that they can
     own = items.select("item_id", "h", "names", F.col("source").alias("own_source"), F.col("literal").alias("own"), F.col("at").alias("own_at"), F.col("slots").alias("own_slots"), F.exists("slots", lambda x: x != 0).alias("slotted"))
     slots = F.filter(F.arrays_zip("own_slots", "slots"), lambda p: p["slots"] != 0)
     place = ["doc_id", "item_id", "source", "own_source", "names"]
-    joined = store.written(found.join(own, ["h", "names"]).select(*place, (F.col("at") - F.col("own_at")).alias("shift"), "h", "slotted", (F.col("literal") == F.col("own")).alias("exact"), slots.alias("pairs")), "shared-windows")
+    joined = store.written(found.join(own, ["h", "names"]).select(*place, (F.col("at") - F.col("own_at")).alias("shift"), "h", "bare", "slotted", (F.col("literal") == F.col("own")).alias("exact"), slots.alias("pairs")), "shared-windows")
 
     def distinct(condition: F.Column) -> F.Column:
         return F.size(F.collect_set(F.when(condition, F.col("h"))))
 
-    exact, slotted = F.col("exact"), F.col("slotted")
-    filled = F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("filled")
-    pairs = joined.groupBy("doc_id", "item_id").agg(
-        distinct(F.lit(True)).cast("long").alias("n_windows"), distinct(exact).alias("exact_windows"), distinct(slotted).alias("slotted"), distinct(slotted & exact).alias("exact_slotted"), filled,
-    ).join(needed, "item_id")
-    of_kind = items.groupBy("item_id", "names").agg(F.countDistinct("h").alias("n_kind"))
-    occurrences = joined.groupBy(*place, "shift").agg(distinct(F.lit(True)).alias("here"), filled).join(of_kind, ["item_id", "names"])
-    whole = occurrences.where((F.col("here") >= F.least(F.lit(SHARED), "n_kind")) & _one_to_one("filled")).select("doc_id", "item_id", F.lit(True).alias("whole")).distinct()
-    least = F.least(F.lit(SHARED), "n_item_windows")
-    held = pairs.join(whole, ["doc_id", "item_id"], "left").where((F.col("exact_windows") >= least) | (F.col("n_windows") >= least) & _one_to_one("filled") | F.col("whole"))
+    exact, slotted, bare = F.col("exact"), F.col("slotted"), F.col("bare")
+    counts = [
+        distinct(F.lit(True)).cast("long").alias("n_windows"), distinct(~bare).alias("template_windows"), distinct(exact).alias("exact_windows"), distinct(exact & ~bare).alias("exact_template"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(~bare, F.col("pairs"))))).alias("filled"),
+    ]
+    pairs = joined.groupBy("doc_id", "item_id").agg(*counts, distinct(slotted).alias("slotted"), distinct(slotted & exact).alias("exact_slotted")).join(needed, "item_id")
+    of_kind = items.groupBy("item_id", "names").agg(F.countDistinct("h").alias("n_kind"), F.countDistinct(template).alias("n_kind_template"))
+    occurrences = joined.groupBy(*place, "shift").agg(*counts).join(of_kind, ["item_id", "names"])
+    whole = occurrences.where(_held("n_kind", "n_kind_template")).select("doc_id", "item_id", F.lit(True).alias("whole")).distinct()
+    held = pairs.join(whole, ["doc_id", "item_id"], "left").where(_held("n_item_windows", "n_item_template") | F.col("whole"))
     return held.select("doc_id", "item_id", "n_windows", "n_item_windows", (F.col("slotted") > F.col("exact_slotted")).alias("reparameterised"))
 
 

@@ -184,6 +184,15 @@ def test_each_occurrence_has_slots_of_its_own(spark):
     assert {(r.doc_id, r.item_id, r.reparameterised) for r in decontam.leaks(d, item).collect()} == {(0, 0, True), (1, 0, True), (2, 1, True)}
 
 
+def test_items_of_numbers_and_short_items_are_found_as_they_stand(spark):
+    items = ["What is 12 + 7 * 3 - 5?", "1 + 2 + 3 + 4 + 5 + 6 + 7 + 8 + 9 + 10 + 11 = 66", "Name two primes", "a table of rows here 5 km 6 km 7 km 8 km 9 km 10 km"]
+    d = [f"{prose(9, i)} {t} {prose(9, 50 + i)}" for i, t in enumerate(items)]
+    d += ["so what is 12 + 7 * 4 - 5 then", "1 + 2 + 3 + 4 + 15 + 6 + 7 + 8 + 9 + 20 + 11 = 77", "name two big primes", "a table of rows here 15 km 16 km 17 km 18 km 19 km 20 km"]
+    got = decontam.leaks(spark.createDataFrame(list(enumerate(d)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    # the table's template windows are enough alone, with other numbers too
+    assert {(r.doc_id, r.item_id, r.reparameterised) for r in got.collect()} == {(0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (7, 3, True)}
+
+
 def brute_spans(text):
     out = [("assign", *m.span()) for m in re.finditer(r"""(?a:((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", text or "") if len(m.group(2)) >= 6]
     out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text or "") if len(m.group()) >= 20]
