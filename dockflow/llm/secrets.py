@@ -61,8 +61,12 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         while i >= 0:
             at.append(i)
             i = text.find(stem, i + 1)
-    stop = np.flatnonzero(~np.concatenate([[False], _HEXES[data], [False]]))
-    at += (stop[:-1][np.diff(stop) > 24]).tolist()
+    live = np.diff(np.concatenate([[0], _HEXES[data].view(np.int8), [0]]))
+    edge = offsets[1:-1]
+    edge = edge[(edge > 0) & (edge < len(data))]
+    edge = np.unique(edge[_HEXES[data[edge - 1]] & _HEXES[data[edge]]])  # a run goes on in the next row: two runs
+    begin, end = (np.sort(np.concatenate([np.flatnonzero(live == x), edge])) for x in (1, -1))
+    at += begin[end - begin >= 24].tolist()
     return np.unique(np.searchsorted(offsets, np.array(at, np.int64), "right") - 1) if at else np.zeros(0, np.int64)
 
 

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,17 @@ def test_secrets(spark, docs, empty):
     assert secrets.secret_spans(empty).count() == 0
 
 
+def test_hex_runs_end_with_their_row(spark):
+    key = "0641917ea4e9feb9cda83477b57ac2654884f485"
+    texts = ["abc", key, "", "the code", key[:24], key[:23], "a" * 12, "b" * 12, key + "\n", "2024", "é" + key]
+    got = {r.doc_id: r for r in secrets.secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()}
+    for i, t in enumerate(texts):
+        spans = brute_spans(t)
+        assert (got[i].n_hex, got[i].base_sha256) == (len(spans), hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()), i
+    data, offsets = K.text_bytes(pa.array(texts))
+    assert set(secrets._suspects(data, offsets).tolist()) == {1, 4, 8, 10}
+
+
 def test_field_decodes_exactly_and_finds_secrets():
     rnd = np.random.RandomState(0)
     for _ in range(30):
