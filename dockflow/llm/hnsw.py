@@ -3,8 +3,9 @@
 Equal vectors are one node first.  Nodes are dealt to shards by a hash; each shard's graph is built in one task of bounded
 size and nodes query the shards, streamed past the graph in blocks: of two shards one queries the other, so every pair of
 nodes is looked for once.  Searches run side by side on arrays, beam by
-beam.  The beam widens in a shard until a recall audit against brute force passes, and for a single query as long as
-its whole beam is within the threshold.  Found pairs are verified by cosine in double precision; links are joined into
+beam.  The first queries of a shard, in an order of chance, are compared with every node; the beam widens until it finds
+their links again, and where none does, or links are too few to tell, all queries are compared with every node.  For a single
+query the beam also widens as long as its whole beam is within the threshold.  Found pairs are verified by cosine in double precision; links are joined into
 components.
 """
 
@@ -31,6 +32,8 @@ DEGREE, UPPER_DEGREE = 24, 12
 BUILD_BEAM, FIRST_BEAM = 40, 32
 #: Queries of a shard's audit, and the share of their true neighbours that must be found.
 AUDIT, AUDIT_RECALL = 128, 0.99
+#: Links of these queries, at least, and links of one query that count.
+AUDIT_PAIRS, AUDIT_EACH = 400, 8
 
 
 def _diverse(sim: np.ndarray, ids: np.ndarray, vectors: np.ndarray, degree: int) -> np.ndarray:
@@ -172,28 +175,78 @@ class Graph:
             todo, beam = todo[full], beam * 4
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    def pairs(self, ids: np.ndarray, raw: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Verified links of query vectors with the shard's nodes, as ids."""
-        q, n = self.neighbours(raw, beam)
+    def _verified(self, ids: np.ndarray, raw: np.ndarray, q: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the found pairs that are links, in double precision and of different nodes."""
         keep = ids[q] != self.ids[n]
         q, n = q[keep], n[keep]
         a, b = raw[q], self.raw[n]
         cos = np.einsum("pd,pd->p", a, b) / (np.sqrt(np.einsum("pd,pd->p", a, a)) * np.sqrt(np.einsum("pd,pd->p", b, b)))
         good = cos >= THRESHOLD
-        return ids[q][good], self.ids[n][good]
+        return q[good], n[good]
+
+    def near(self, ids: np.ndarray, raw: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of queries and nodes of the links that the graph finds."""
+        return self._verified(ids, raw, *self.neighbours(raw, beam))
+
+    def exact(self, ids: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of queries and nodes of all links: every query against every node, in blocks."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for lo in range(0, len(ids), AUDIT):
+            part = raw[lo : lo + AUDIT]
+            unit = (part / np.linalg.norm(part, axis=1, keepdims=True)).astype(np.float32)
+            q, n = np.nonzero(unit @ self.vectors.T >= THRESHOLD - 1e-3)
+            q, n = self._verified(ids[lo : lo + AUDIT], part, q, n)
+            out.append((q + lo, n))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
 
-    def audited_beam(self, raw: np.ndarray) -> int:
-        """The first beam whose recall on ``raw`` passes; the widest is the whole shard."""
-        unit = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
-        true = {(int(i), int(j)) for i, j in np.argwhere(unit @ self.vectors.T >= THRESHOLD)}
+class Audit:
+    """A stream of queries to a shard, in an order of chance. The first queries are compared with every node, until AUDIT of them
+    and AUDIT_PAIRS real links are seen (a query counts with AUDIT_EACH at most). Then ``beam`` is the first whose recall on the
+    queries with links passes, over all links and as a mean of the queries; if none does, every query is compared with every node."""
+
+    def __init__(self, shard: Graph):
+        self.shard, self.beam = shard, 0
+        self.seen, self.enough = 0, 0
+        self.held: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
+
+    def _add(self, ids: np.ndarray, raw: np.ndarray, q: np.ndarray, n: np.ndarray) -> None:
+        live, at, many = np.unique(q, return_index=True, return_counts=True)  # queries rise
+        self.held.append((ids[live], raw[live], [n[a : a + m] for a, m in zip(at, many, strict=True)]))
+        self.seen += len(ids)
+        self.enough += int(np.minimum(many, AUDIT_EACH).sum())
+        if self.seen >= AUDIT and self.enough >= AUDIT_PAIRS:
+            self.beam = self._passing()
+            self.held = []
+
+    def _passing(self) -> int:
+        ids, raw = (np.concatenate([h[i] for h in self.held]) for i in (0, 1))
+        true = [set(n.tolist()) for h in self.held for n in h[2]]
         beam = FIRST_BEAM
-        while beam < len(self.ids):
-            found = set(zip(*(x.tolist() for x in self.neighbours(raw, beam)), strict=True))
-            if len(true & found) >= AUDIT_RECALL * len(true):
+        while beam < len(self.shard.ids):
+            found: list[set[int]] = [set() for _ in true]
+            for i, j in zip(*(x.tolist() for x in self.shard.near(ids, raw, beam)), strict=True):
+                found[i].add(j)
+            got = np.array([len(t & f) for t, f in zip(true, found, strict=True)])
+            size = np.array([len(t) for t in true])
+            if got.sum() >= AUDIT_RECALL * size.sum() and (got / size).mean() >= AUDIT_RECALL:
                 break
             beam *= 2
         return beam
 
+    def links(self, ids: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of the next queries with the shard's nodes, as ids."""
+        out, lo = [], 0
+        while lo < len(ids):
+            hi = len(ids) if self.beam else lo + AUDIT
+            part, of = ids[lo:hi], raw[lo:hi]
+            q, n = self.shard.near(part, of, self.beam) if 0 < self.beam < len(self.shard.ids) else self.shard.exact(part, of)
+            out.append((part[q], self.shard.ids[n]))
+            if not self.beam:
+                self._add(part, of, q, n)
+            lo = hi
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
 
 def _matrix(column) -> np.ndarray:
     n = len(column)
@@ -217,26 +270,24 @@ def near_links(nodes: DataFrame) -> DataFrame:
     spread = graphs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select("dim", "shard", "salt", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("array<double>").alias("vector"), "graph")
     asked = dealt.select("dim", F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards // 2)), lambda k: ((F.col("shard") + k) % shards).cast("int"))).alias("shard"), F.pmod(F.xxhash64("node", F.lit(7)), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), "node", "vector", F.lit(None).cast("binary").alias("graph"), F.col("shard").alias("home"))
     asked = asked.where(~((F.lit(2) * F.pmod(F.col("shard") - F.col("home"), F.lit(shards)) == shards) & (F.col("home") * 2 >= shards))).drop("home")  # of opposite shards one asks
-    streams = spread.unionByName(asked).repartition(min(4 * shards * salts, 1 << 14), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", "kind", "node")
+    streams = spread.unionByName(asked).repartition(min(4 * shards * salts, 1 << 14), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", "kind", F.xxhash64("node", F.lit(11)))
 
     def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, key, beam = None, None, None
+        audit, key = None, None
         for b in batches:
             keys = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
             kind = b.column(3).to_numpy()
             cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1) | (kind[1:] != kind[:-1])]))
             for lo, hi in zip(cut, np.append(cut[1:], b.num_rows), strict=True):
                 if kind[lo] == 0:
-                    made, key, beam = pickle.loads(b.column(6)[int(lo)].as_py()), tuple(keys[lo]), None
+                    audit, key = Audit(pickle.loads(b.column(6)[int(lo)].as_py())), tuple(keys[lo])
                     continue
-                if made is None or key != tuple(keys[lo]):
+                if audit is None or key != tuple(keys[lo]):
                     continue  # no node of this dimension in the shard
                 for at in range(lo, hi, BLOCK):
                     part = b.slice(at, min(BLOCK, hi - at))
                     ids, raw = part.column(4).to_numpy(), _matrix(part.column(5))
-                    if beam is None:
-                        beam = made.audited_beam(raw[np.argsort(K.mix(ids.view(np.uint64)))[:AUDIT]])
-                    u, v = made.pairs(ids, raw, beam)
+                    u, v = audit.links(ids, raw)
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
     return streams.mapInArrow(query, "u long, v long").distinct()

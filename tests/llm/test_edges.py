@@ -293,6 +293,28 @@ def test_vectors(spark, monkeypatch):
     assert hnsw.near_vectors(d.where("false")).count() == 0
 
 
+def test_audit_counts_real_links_alone():
+    r = np.random.RandomState(3)
+    raw = r.randn(1500, 24)
+    shard = hnsw.Graph(np.arange(1500), raw)
+
+    def links(ids, q, size):
+        audit = hnsw.Audit(shard)
+        parts = [audit.links(ids[i : i + size], q[i : i + size]) for i in range(0, len(ids), size)]
+        return {(int(a), int(b)) for u, v in parts for a, b in zip(u, v, strict=True)}, audit.beam
+
+    few = np.concatenate([raw, raw[:6] + 0.01 * r.randn(6, 24)])  # the shard's own nodes and six real links
+    ids = np.concatenate([np.arange(1500), 5000 + np.arange(6)])
+    turn = r.permutation(len(ids))
+    many = raw + 0.01 * r.randn(1500, 24)
+    assert 0 < links(5000 + np.arange(1500), many, 100)[1] < 1500  # a sound graph keeps a beam
+    for layer in shard.layers:  # nodes that no walk reaches
+        layer.links[layer.links % 10 == 1] = -1
+    assert links(ids[turn], few[turn], 100)[0] == {(5000 + i, i) for i in range(6)}
+    got, beam = links(5000 + np.arange(1500), many, 1024)
+    assert got == {(5000 + i, i) for i in range(1500)} and beam >= 1500
+
+
 def test_simple8b_round_trip():
     rnd = np.random.RandomState(2)
     for v in (np.zeros(0), np.zeros(5000), np.arange(3000), rnd.randint(0, 50257, 4097), np.array([2**64 - 1, 0, 2**60, 2**60 - 1, 1], np.uint64), rnd.randint(0, 2, 1025), (rnd.rand(5000) ** 8 * 2**62)):
