@@ -42,6 +42,7 @@ SMALL_GROUP = 16
 SALT_FROM, SALTS = 8192, 8
 TREE_ROUNDS = 3
 BITMAP_BITS = 24
+ROW_KEY = "_row_key"
 #: Keys beyond the D + 1 that a set must send: linked sets then share as many more (SPARE + 1, if they have so many).
 SPARE = 3
 
@@ -477,9 +478,13 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id stays (one row of it)."""
-    found = store.written(similar_components(docs), "components")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    kept = docs.join(store.checked(gone.distinct(), "copies"), "doc_id", "left_anti").select(*docs.columns)
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if again else kept
+    """Pipeline stage: of each component the row with the smallest doc_id stays (null ids last, then the first row). Rows are told
+    apart by a key of their own, so rows that share a doc_id, or have none, go only as copies."""
+    keyed = store.written(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")
+    found = store.written(similar_components(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text")), "components")
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias(ROW_KEY), "component_id")
+    leads = others.select(F.col("component_id").alias(ROW_KEY), "component_id").distinct()
+    members = store.written(others.union(leads).join(keyed.select(ROW_KEY, "doc_id"), ROW_KEY), "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW_KEY)).alias("first")).select(F.col(f"first.{ROW_KEY}").alias(ROW_KEY))
+    gone = members.select(ROW_KEY).join(first, ROW_KEY, "left_anti")
+    return keyed.join(store.checked(gone, "copies"), ROW_KEY, "left_anti").select(*docs.columns)

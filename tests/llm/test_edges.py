@@ -153,6 +153,14 @@ def test_parity_stage_keeps_one_of_each_group(spark, docs, sf_dir):
     assert 7 not in ids and 8 not in ids and 6 in ids and ids.count(14) == 1 and 9 in ids and None in ids
 
 
+def test_parity_stage_tells_rows_of_one_id_apart(spark, sf_dir):
+    t = [prose(60, 900 + i) for i in range(7)]
+    rows = [(1, t[0]), (1, t[1]), (2, t[2]), (2, t[2]), (None, t[3]), (None, t[4]), (None, t[0]), (4, t[5]), (5, t[6]), (5, edited(t[5], 1, 1)), (None, edited(t[4], 1, 2)), (3, t[3])]
+    kept = parity.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), sf_dir).collect()
+    got = [(r.doc_id, next(i for i, x in enumerate(t) if len(shingle_set(x) & shingle_set(r.text)) > 20)) for r in kept]
+    assert sorted(got, key=repr) == sorted([(1, 0), (1, 1), (2, 2), (3, 3), (None, 4), (4, 5), (5, 6)], key=repr)
+
+
 def test_leaks(spark, docs, empty, sf_dir, empty_dir):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     got = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.leaks(docs, bench).collect()}
