@@ -38,8 +38,8 @@ ORDER_DOCS = 20_000
 ORDER_SHINGLES = 1_000_000
 #: Key groups up to this size make all their pairs at once.
 SMALL_GROUP = 16
-#: Clusters of more members in a bucket are dealt to SALTS blocks; rounds of spanning trees before all open pairs are tried.
-SALT_FROM, SALTS = 8192, 8
+#: Members of a block of a cluster, about; rounds of spanning trees before all open pairs are tried.
+SALT_FROM = 8192
 TREE_ROUNDS = 3
 BITMAP_BITS = 24
 ROW_KEY = "_row_key"
@@ -221,20 +221,13 @@ def _candidates(t: pa.Table, parts: int) -> pa.Table:
     for g in np.flatnonzero(size > SMALL_GROUP):
         m = owner[starts[g] : ends[g]]
         clusters.setdefault(int(m[np.argmin(K.mix(m.view(np.uint64)))]), []).append(m)
-    lead, salt, members = [], [], []
-    for c, lists in clusters.items():
-        m = np.unique(np.concatenate(lists))
-        spread = (K.mix(m.view(np.uint64)) % K.U64(SALTS)).astype(np.int64) if len(m) > SALT_FROM else np.full(len(m), -1)
-        for k in np.unique(spread):
-            lead.append(c)
-            salt.append(int(k))
-            members.append(m[spread == k].tobytes())
+    lead, members = list(clusters), [np.unique(np.concatenate(lists)).tobytes() for lists in clusters.values()]
     none, n = [None] * len(lead), len(cut)
     packed = {k: pa.array([pairs[k][turn[a:b]].tobytes() for a, b in cut] + none, pa.binary()) for k in ("u", "v", "shared")}
-    return pa.table({"part": pa.array(used.tolist() + none, pa.int32())} | packed | {"lead": pa.array([None] * n + lead, pa.int64()), "salt": pa.array([None] * n + salt, pa.int32()), "members": pa.array([None] * n + members, pa.binary())})
+    return pa.table({"part": pa.array(used.tolist() + none, pa.int32())} | packed | {"lead": pa.array([None] * n + lead, pa.int64()), "members": pa.array([None] * n + members, pa.binary())})
 
 
-_CANDIDATES = "part int, u binary, v binary, shared binary, lead long, salt int, members binary"
+_CANDIDATES = "part int, u binary, v binary, shared binary, lead long, members binary"
 
 
 def _likely_pairs(packed: DataFrame) -> DataFrame:
@@ -248,12 +241,14 @@ def _likely_pairs(packed: DataFrame) -> DataFrame:
 
 
 def _clusters(packed: DataFrame) -> DataFrame:
-    """(lead, salt, node) of the clusters of large groups, each node once in a block; blocks are of bounded size."""
-    def merge(t: pa.Table) -> pa.Table:
-        m = np.unique(exchange.column(t, "members", np.int64))
-        return pa.table({"lead": np.full(len(m), t["lead"][0].as_py()), "salt": pa.array(np.full(len(m), t["salt"][0].as_py()), pa.int32()), "node": m})
+    """(lead, node) of the clusters of large groups, each node once in a cluster."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                m = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), c)), pa.array(m)], ["lead", "node"])
 
-    return packed.where("members is not null").select("lead", "salt", "members").groupBy("lead", "salt").applyInArrow(merge, "lead long, salt int, node long")
+    return packed.where("members is not null").select("lead", "members").mapInArrow(spread, "lead long, node long").distinct()
 
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
@@ -345,13 +340,44 @@ def _near(i: int, n: np.ndarray, width: np.ndarray, grids: dict[int, np.ndarray]
     return np.concatenate(out) if out else rest
 
 
-def _open_pairs(clusters: DataFrame, label: DataFrame, nodes: DataFrame, trees: bool) -> DataFrame:
-    """Pairs of a cluster's members in different components that sizes and sketches allow: a spanning forest of them, or all.
+def _blocks(clusters: DataFrame, label: DataFrame, how: str) -> DataFrame:
+    """(lead, a, b, salt, node, component): members of pairs of blocks that ``how`` looks at, of clusters with several components.
+
+    A block holds about SALT_FROM members at most, whatever the size of its cluster. ``inside``: each block with itself. Else the members outside
+    the largest component make blocks of their own (negative salts), and these meet each other and the blocks of the largest
+    component, which needn't meet each other. ``heads``: the same for one member of each component and block."""
+    of = clusters.join(label.withColumnRenamed("node", "l"), F.col("node") == F.col("l"), "left").select("lead", "node", F.coalesce("component", "node").alias("component"))
+    spot = F.xxhash64("node", F.lit(3))
+
+    def with_sizes(members: DataFrame) -> DataFrame:
+        size = members.groupBy("lead", "component").agg(F.count("*").alias("n"))
+        leads = size.groupBy("lead").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+        return members.join(store.checked(leads.select("lead", "total", F.col("top.n").alias("most"), F.col("top.component").alias("main")), "leads"), "lead")
+
+    def blocks(n: F.Column) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(n / SALT_FROM)).cast("int")
+
+    if how == "heads":
+        # one member of each component in each block of the round before
+        of = with_sizes(of).groupBy("lead", "component", F.pmod(spot, blocks(F.col("total"))).alias("block")).agg(F.min("node").alias("node")).select("lead", "node", "component")
+    sized = with_sizes(of)
+    if how == "inside":
+        salt = F.pmod(spot, blocks(F.col("total"))).cast("int")
+        return sized.select("lead", salt.alias("a"), salt.alias("b"), salt.alias("salt"), "node", "component")
+    inner, outer = blocks(F.col("most")), blocks(F.col("total") - F.col("most"))
+    first = F.col("component") == F.col("main")
+    salt = F.when(first, F.pmod(spot, inner).cast("int")).otherwise(-1 - F.pmod(spot, outer).cast("int"))
+    others = F.sequence(-outer, F.lit(-1))
+    met = F.when(first, others).otherwise(F.concat(others, F.sequence(F.lit(0), inner - 1)))
+    dealt = sized.select("lead", salt.alias("salt"), "node", "component", F.explode(met).alias("other"))
+    return dealt.select("lead", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "component")
+
+
+def _open_pairs(clusters: DataFrame, label: DataFrame, nodes: DataFrame, how: str) -> DataFrame:
+    """Pairs of a cluster's members in different components that sizes and sketches allow: a spanning forest of them, or ``all``.
     Every pair of blocks is looked at once, in a task of its own."""
-    blocks = clusters.groupBy("lead").agg(F.collect_set("salt").alias("salts"))
-    sized = clusters.join(blocks, "lead").join(nodes.select("node", "n", "sketch"), "node").join(label.withColumnRenamed("node", "l"), F.col("node") == F.col("l"), "left")
-    keyed = sized.select("lead", "salt", "node", "n", "sketch", F.coalesce("component", "node").alias("component"), F.explode("salts").alias("other"))
-    keyed = keyed.select("lead", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "n", "sketch", "component")
+    trees = how != "all"
+    keyed = _blocks(clusters, label, how).join(nodes.select("node", "n", "sketch"), "node").select("lead", "a", "b", "salt", "node", "n", "sketch", "component")
 
     def pick(t: pa.Table) -> pa.Table:
         node, comp, n, salt = (t[c].to_numpy() for c in ("node", "component", "n", "salt"))
@@ -456,17 +482,22 @@ def similar_components(docs: DataFrame) -> DataFrame:
     rest = store.written(_apart(pairs.join(first, ["u", "v"], "left_anti"), label), "rest")
     if rest.limit(1).count():
         label = store.written(_relabelled(label, _links(rest, sets_of)), "labels")
-    rounds = [*[True] * TREE_ROUNDS, False] if clusters.limit(1).count() else []
+    largest = clusters.groupBy("lead").count().agg(F.max("count")).first()[0] or 0
+    rounds = [*["trees"] * TREE_ROUNDS, "all"] if largest else []
+    if largest > SALT_FROM:
+        rounds = ["inside", "heads", *rounds]  # most members join here, and few are left for pairs of blocks
     while rounds:
-        trees = rounds.pop(0)
-        tried = store.written(_open_pairs(clusters, label, nodes, trees), "open")
+        how = rounds.pop(0)
+        tried = store.written(_open_pairs(clusters, label, nodes, how), "open")
         if not tried.limit(1).count():
+            if how in ("inside", "heads"):
+                continue
             break  # no pair that could link is open
         more = _links(tried, sets_of)
         if more.limit(1).count():
             label = store.written(_relabelled(label, more), "labels")
-        elif trees:
-            rounds = [False]  # trees find no more: all open pairs are next
+        elif how == "trees":
+            rounds = ["all"]  # trees find no more: all open pairs are next
     lowest = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "lowest")
     final = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
     of_node = lowest.join(final, "component").select("node", "component_id")

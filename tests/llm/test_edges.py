@@ -139,6 +139,21 @@ def test_jaccard_of_a_large_group_and_chains(spark):
     assert got == brute_components(rows)
 
 
+def test_jaccard_blocks_are_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(parity, "SALT_FROM", 16)
+    rows = [(i, edited(BASE, 1 + i % 9, i)) for i in range(150)] + [(400 + i, prose(20, 500 + i) + " " + BASE[:400]) for i in range(40)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in parity.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == brute_components(rows)
+    clusters = spark.range(2000).select(F.lit(0).cast("long").alias("lead"), F.col("id").alias("node"))
+    label = spark.range(1900).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))
+    for how in ("inside", "heads", "trees", "all"):
+        blocks = parity._blocks(clusters, label, how).groupBy("lead", "a", "b").agg(F.count("*").alias("n"), F.countDistinct("node").alias("m")).collect()
+        assert max(r.n for r in blocks) <= 4 * 16 and all(r.n == r.m for r in blocks)
+    met = parity._blocks(clusters, label, "all")
+    assert met.where("a < 0").groupBy("lead").agg(F.countDistinct("node").alias("n")).first().n == 2000  # everyone meets the 100 others
+    assert met.count() <= 2000 * 7 + 100 * 126
+
+
 def test_jaccard_at_the_threshold(spark):
     w = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(w[:n])) for i, n in enumerate((104, 79, 78, 100, 75, 74, 9, 8, 7, 5, 4))]
