@@ -12,9 +12,9 @@ sketch of a power of two of bits (at least 2n): the Hamming distance of two, the
 shorter, is again at most the symmetric difference.
 
 Copies are one node: a node is the 64-bit fingerprint of a set (two different sets share one with a chance of
-2**-64).  Keys travel packed by bucket; candidates of a large key group are tried along spanning trees of their sketches, and after that
-all pairs that are still in different components.  Sets are read again for candidates alone, and
-every candidate is verified by counting.
+2**-64).  Keys travel packed by bucket, a node's once from each task.  A key group that is too large for all its pairs is a cluster: its
+members meet in blocks of bounded size, block by block, and those of different components that sizes and sketches allow are
+compared.  Sets are read again for candidates alone, and every candidate is verified by counting.
 """
 
 from __future__ import annotations
@@ -38,9 +38,9 @@ ORDER_DOCS = 20_000
 ORDER_SHINGLES = 1_000_000
 #: Key groups up to this size make all their pairs at once.
 SMALL_GROUP = 16
-#: Members of a block of a cluster, about; rounds of spanning trees before all open pairs are tried.
-SALT_FROM = 8192
-TREE_ROUNDS = 3
+#: Members of a block of a cluster, and shingles of them, about.
+SALT_FROM = 2048
+BLOCK_SHINGLES = 1 << 20
 BITMAP_BITS = 24
 ROW_KEY = "_row_key"
 #: Keys beyond the D + 1 that a set must send: linked sets then share as many more (SPARE + 1, if they have so many).
@@ -340,87 +340,110 @@ def _near(i: int, n: np.ndarray, width: np.ndarray, grids: dict[int, np.ndarray]
     return np.concatenate(out) if out else rest
 
 
-def _blocks(clusters: DataFrame, label: DataFrame, how: str) -> DataFrame:
-    """(lead, a, b, salt, node, component): members of pairs of blocks that ``how`` looks at, of clusters with several components.
+def _blocks(clusters: DataFrame, label: DataFrame, nodes: DataFrame, how: str) -> DataFrame:
+    """(lead, a, b, salt, node, n, component): members of pairs of blocks that ``how`` looks at, of clusters with several components.
+    Clusters of one block are looked at ``inside`` alone.
 
-    A block holds about SALT_FROM members at most, whatever the size of its cluster. ``inside``: each block with itself. Else the members outside
-    the largest component make blocks of their own (negative salts), and these meet each other and the blocks of the largest
-    component, which needn't meet each other. ``heads``: the same for one member of each component and block."""
-    of = clusters.join(label.withColumnRenamed("node", "l"), F.col("node") == F.col("l"), "left").select("lead", "node", F.coalesce("component", "node").alias("component"))
+    A block holds about SALT_FROM members and BLOCK_SHINGLES shingles of them at most, whatever the size of its cluster. ``inside``: each block
+    with itself. ``all``: the members outside the largest component make blocks of their own (negative salts), and these meet each other
+    and the blocks of the largest component, which needn't meet each other. ``heads``: the same for one member of each component and block."""
+    of = clusters.join(label.withColumnRenamed("node", "l"), F.col("node") == F.col("l"), "left").select("lead", "node", F.coalesce("component", "node").alias("component")).join(nodes.select("node", "n"), "node")
     spot = F.xxhash64("node", F.lit(3))
 
+    def weight(count: F.Column, shingles: F.Column) -> F.Column:
+        return F.greatest(count / SALT_FROM, shingles / BLOCK_SHINGLES)
+
     def with_sizes(members: DataFrame) -> DataFrame:
-        size = members.groupBy("lead", "component").agg(F.count("*").alias("n"))
-        leads = size.groupBy("lead").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-        return members.join(store.checked(leads.select("lead", "total", F.col("top.n").alias("most"), F.col("top.component").alias("main")), "leads"), "lead")
+        size = members.groupBy("lead", "component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+        leads = size.groupBy("lead").agg(F.sum("members").alias("members"), F.sum("shingles").alias("shingles"), F.max(F.struct("members", "shingles", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        total, most = weight(F.col("members"), F.col("shingles")), weight(F.col("main.members"), F.col("main.shingles"))
+        rest = weight(F.col("members") - F.col("main.members"), F.col("shingles") - F.col("main.shingles"))
+        return members.join(store.checked(leads.select("lead", total.alias("total"), most.alias("most"), rest.alias("rest"), F.col("main.component").alias("main")), "leads"), "lead")
 
-    def blocks(n: F.Column) -> F.Column:
-        return F.greatest(F.lit(1), F.ceil(n / SALT_FROM)).cast("int")
+    def blocks(weight: F.Column) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(weight)).cast("int")
 
+    sized = with_sizes(of)
+    if how != "inside":
+        sized = sized.where("total > 1")
     if how == "heads":
         # one member of each component in each block of the round before
-        of = with_sizes(of).groupBy("lead", "component", F.pmod(spot, blocks(F.col("total"))).alias("block")).agg(F.min("node").alias("node")).select("lead", "node", "component")
-    sized = with_sizes(of)
+        heads = sized.groupBy("lead", "component", F.pmod(spot, blocks(F.col("total"))).alias("block")).agg(F.min(F.struct("node", "n")).alias("head"))
+        sized = with_sizes(heads.select("lead", "component", "head.node", "head.n"))
     if how == "inside":
         salt = F.pmod(spot, blocks(F.col("total"))).cast("int")
-        return sized.select("lead", salt.alias("a"), salt.alias("b"), salt.alias("salt"), "node", "component")
-    inner, outer = blocks(F.col("most")), blocks(F.col("total") - F.col("most"))
+        return sized.select("lead", salt.alias("a"), salt.alias("b"), salt.alias("salt"), "node", "n", "component")
+    inner, outer = blocks(F.col("most")), blocks(F.col("rest"))
     first = F.col("component") == F.col("main")
     salt = F.when(first, F.pmod(spot, inner).cast("int")).otherwise(-1 - F.pmod(spot, outer).cast("int"))
     others = F.sequence(-outer, F.lit(-1))
     met = F.when(first, others).otherwise(F.concat(others, F.sequence(F.lit(0), inner - 1)))
-    dealt = sized.select("lead", salt.alias("salt"), "node", "component", F.explode(met).alias("other"))
-    return dealt.select("lead", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "component")
-
-
-def _open_pairs(clusters: DataFrame, label: DataFrame, nodes: DataFrame, how: str) -> DataFrame:
-    """Pairs of a cluster's members in different components that sizes and sketches allow: a spanning forest of them, or ``all``.
-    Every pair of blocks is looked at once, in a task of its own."""
-    trees = how != "all"
-    keyed = _blocks(clusters, label, how).join(nodes.select("node", "n", "sketch"), "node").select("lead", "a", "b", "salt", "node", "n", "sketch", "component")
-
-    def pick(t: pa.Table) -> pa.Table:
-        node, comp, n, salt = (t[c].to_numpy() for c in ("node", "component", "n", "salt"))
-        if len(node) < 2 or (comp == comp[0]).all():
-            return pa.table({"u": node[:0], "v": node[:0]})
-        raw = t["sketch"].to_pylist()
-        width = np.array([len(x) for x in raw])
-        grids = {}
-        for w in np.unique(width):  # every member folded to each width up to its own
-            g = np.zeros((len(raw), int(w)), np.uint8)
-            for i, x in enumerate(raw):
-                x = np.frombuffer(x, np.uint8)
-                if len(x) < w:
+    dealt = sized.select("lead", salt.alias("salt"), "node", "n", "component", F.explode(met).alias("other"))
+    return dealt.select("lead", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "n", "component")
+
+
+def _grids(raw: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Widths of sketches, and every sketch folded to each width up to its own."""
+    width, grids = np.array([len(x) for x in raw]), {}
+    for w in np.unique(width):
+        g = np.zeros((len(raw), int(w)), np.uint8)
+        for i, x in enumerate(raw):
+            x = np.frombuffer(x, np.uint8)
+            if len(x) < w:
+                continue
+            while len(x) > w:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            g[i] = x
+        grids[int(w)] = g.view(np.uint16)
+    return width, grids
+
+
+def _open_pairs(t: pa.Table, comp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Members of a pair of blocks, each with the later ones of other components that sizes and sketches allow. ``comp`` may change
+    on the way."""
+    n, salt = t["n"].to_numpy(), t["salt"].to_numpy()
+    if len(n) < 2 or (comp == comp[0]).all():
+        return
+    across = t["a"][0].as_py() != t["b"][0].as_py()
+    width, grids = _grids(t["sketch"].to_pylist())
+    for i in range(len(n)):
+        rest = i + 1 + np.flatnonzero((comp[i + 1 :] != comp[i]) & ((salt[i + 1 :] != salt[i]) | (not across)))
+        yield i, _near(i, n, width, grids, rest)
+
+
+def _cluster_links(clusters: DataFrame, label: DataFrame, nodes: DataFrame, sets_of: DataFrame, how: str) -> DataFrame:
+    """Links that join the components of a cluster's members, of all pairs of members that ``how`` looks at. Every pair of blocks is looked
+    at once, in a task of its own: first by sizes and sketches, and what these leave open by the sets, but for pairs that are joined by then."""
+    sketches = nodes.select("node", "sketch")
+
+    def leave_open(t: pa.Table) -> pa.Table:
+        live = np.zeros(t.num_rows, bool)
+        for i, near in _open_pairs(t, t["component"].to_numpy()):
+            if len(near):
+                live[i] = live[near] = True
+        return t.select(["lead", "a", "b", "salt", "node", "n", "component"]).filter(pa.array(live))
+
+    def verify(t: pa.Table) -> pa.Table:
+        node, comp = t["node"].to_numpy(), t["component"].to_numpy().copy()
+        held, u, v = [np.frombuffer(x, np.uint64) for x in t["held"].to_pylist()], [], []
+        for i, near in _open_pairs(t, comp):
+            for j in near.tolist():
+                if comp[j] == comp[i]:
                     continue
-                while len(x) > w:
-                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-                g[i] = x
-            grids[int(w)] = g.view(np.uint16)
-        across = t["a"][0].as_py() != t["b"][0].as_py()
-        group = {int(c): int(c) for c in np.unique(comp)}
-
-        def find(c: int) -> int:
-            while group[c] != c:
-                group[c] = group[group[c]]
-                c = group[c]
-            return c
-
-        u, v = [], []
-        numbers = np.arange(len(node))
-        for i in range(len(node)):
-            rest = numbers[i + 1 :]
-            rest = rest[(comp[rest] != comp[i]) & ((salt[rest] != salt[i]) | (not across)) & (node[rest] != node[i])]
-            for j in _near(i, n, width, grids, rest).tolist():
-                if trees:
-                    x, y = find(int(comp[i])), find(int(comp[j]))
-                    if x == y:
-                        continue
-                    group[x] = y
-                u.append(node[i])
-                v.append(node[j])
+                a, b = (held[i], held[j]) if len(held[i]) <= len(held[j]) else (held[j], held[i])
+                shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+                if 100 * shared >= PERCENT * (len(a) + len(b) - shared):
+                    u.append(node[i])
+                    v.append(node[j])
+                    comp[comp == comp[j]] = comp[i]
         return pa.table(_unique_pairs(np.array(u, np.int64), np.array(v, np.int64)))
 
-    return keyed.groupBy("lead", "a", "b").applyInArrow(pick, "u long, v long").distinct()
+    blocks = _blocks(clusters, label, nodes, how)
+    schema = "lead long, a int, b int, salt int, node long, n long, component long"
+    left = store.written(blocks.join(sketches, "node").select(*blocks.columns, "sketch").groupBy("lead", "a", "b").applyInArrow(leave_open, schema), "open")
+    named = store.checked(left.select("node").distinct(), "open-nodes")
+    keyed = left.join(sketches.join(sets_of, "node").join(named, "node", "left_semi"), "node")
+    return keyed.groupBy("lead", "a", "b").applyInArrow(verify, "u long, v long")
 
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -455,6 +478,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     buckets = exchange.buckets_for(0.35 * shingles)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for b in batches:
             data, offsets = K.text_bytes(b.column(0))
             found, owners, info = [], np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint32)
@@ -462,6 +486,9 @@ def similar_components(docs: DataFrame) -> DataFrame:
                 v, r = sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 size, node = _sizes_and_prints(v, r, hi - lo)
                 owners[lo:hi] = node.view(np.int64)
+                new = np.array([x not in sent and not sent.add(x) for x in node.tolist()], bool)  # a copy's keys are sent once
+                v, r = v[new[r]], r[new[r]]
+                size = np.where(new, size, 0)
                 key, row, need = part_keys(v, r, size, common.value)
                 info[lo:hi] = size * 8 + need
                 found.append((key, row + lo))
@@ -482,22 +509,14 @@ def similar_components(docs: DataFrame) -> DataFrame:
     rest = store.written(_apart(pairs.join(first, ["u", "v"], "left_anti"), label), "rest")
     if rest.limit(1).count():
         label = store.written(_relabelled(label, _links(rest, sets_of)), "labels")
-    largest = clusters.groupBy("lead").count().agg(F.max("count")).first()[0] or 0
-    rounds = [*["trees"] * TREE_ROUNDS, "all"] if largest else []
-    if largest > SALT_FROM:
-        rounds = ["inside", "heads", *rounds]  # most members join here, and few are left for pairs of blocks
-    while rounds:
-        how = rounds.pop(0)
-        tried = store.written(_open_pairs(clusters, label, nodes, how), "open")
-        if not tried.limit(1).count():
-            if how in ("inside", "heads"):
-                continue
-            break  # no pair that could link is open
-        more = _links(tried, sets_of)
+    size = clusters.join(nodes.select("node", "n"), "node").groupBy("lead").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    members, held = size.agg(F.max("members"), F.max("shingles")).first()
+    # in clusters of several blocks most members join within their block and by its heads, and few are left for all pairs of blocks
+    rounds = [] if not members else ["inside", "heads", "all"] if members > SALT_FROM or held > BLOCK_SHINGLES else ["inside"]
+    for how in rounds:
+        more = store.written(_cluster_links(clusters, label, nodes, sets_of, how), "cluster-links")
         if more.limit(1).count():
             label = store.written(_relabelled(label, more), "labels")
-        elif how == "trees":
-            rounds = ["all"]  # trees find no more: all open pairs are next
     lowest = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "lowest")
     final = lowest.groupBy("component").agg(F.min("lowest").alias("component_id"))
     of_node = lowest.join(final, "component").select("node", "component_id")
