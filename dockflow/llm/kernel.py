@@ -14,7 +14,6 @@ import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 BLOCK = 1 << 18
 
 IS_SPACE = np.zeros(256, bool)
@@ -22,15 +21,18 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_pow: list[np.ndarray] = []
+#: A second base, for a second hash of the same bytes.
+OTHER_BASE = 0xD1342543DE82EF95
 
+_pow: dict[int, list[np.ndarray]] = {}
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+
+def powers(n: int, base: int = _BASE) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
-    if not _pow or len(_pow[0]) < n:
+    if base not in _pow or len(_pow[base][0]) < n:
         size = max(n, BLOCK + 4096)
-        _pow[:] = [np.concatenate([np.ones(1, U64), np.cumprod(np.full(size, b, U64))]) for b in (_BASE, _INVERSE)]
-    return _pow[0], _pow[1]
+        _pow[base] = [np.concatenate([np.ones(1, U64), np.cumprod(np.full(size, b, U64))]) for b in (base, pow(base, -1, 1 << 64))]
+    return _pow[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -92,17 +94,17 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Mixed 64-bit hash of each byte range; equal bytes give equal hashes wherever they stand."""
     out = np.empty(len(starts), U64)
     lo = 0
     while lo < len(starts):  # ranges are sorted by start: take as many as fit in a block
-        base = int(starts[lo])
-        hi = max(lo + 1, int(np.searchsorted(starts, base + BLOCK, "left")))
+        at = int(starts[lo])
+        hi = max(lo + 1, int(np.searchsorted(starts, at + BLOCK, "left")))
         top = int(ends[lo:hi].max())
-        p, inv = powers(top - base + 1)
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum((data[base:top].astype(U64) + U64(1)) * p[: top - base])])
-        out[lo:hi] = (sums[ends[lo:hi] - base] - sums[starts[lo:hi] - base]) * inv[starts[lo:hi] - base]
+        p, inv = powers(top - at + 1, base)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum((data[at:top].astype(U64) + U64(1)) * p[: top - at])])
+        out[lo:hi] = (sums[ends[lo:hi] - at] - sums[starts[lo:hi] - at]) * inv[starts[lo:hi] - at]
         lo = hi
     return mix(out ^ (ends - starts).astype(U64))
 

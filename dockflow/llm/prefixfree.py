@@ -2,23 +2,26 @@
 
 Every string of ``LENGTH`` bytes holds a trigger: among its strings of ``TRIGGER`` bytes, the first with the lowest rolling hash.
 The trigger depends on the string's own bytes alone, so equal strings have equal triggers at equal places, wherever they stand.
-The starts of strings that share a trigger make one phrase of the parse.  The dictionary of the parse is the set of distinct phrases
-(with the bytes that their strings cover); the order of the corpus is needed only as far as ``LENGTH`` bytes, so in
-place of whole suffix ranks there are two sorted classes:
-
-1. occurrences of one trigger in corpus order (a parse sort). The first occurrence of a trigger begins no string that was there
-   before. A phrase that stood earlier as a whole begins only such strings. Both are settled without looking at single strings.
-2. what is left (a phrase that is new though its trigger isn't, as at the edge of an edit) is settled by sorting the
-   dictionary's strings: the hash of every string of such a phrase, in corpus order.
-
-Keys travel packed by bucket; within a batch only the first of equal phrases (or strings) does, so a very common passage sends
-a bucket one key for each batch.
+The starts of strings that share a trigger make one phrase of the parse.  The dictionary of the parse is the set of distinct phrases,
+each with the bytes that its strings cover.  Order is needed only as far as ``LENGTH`` bytes, and only within a trigger, so dictionary
+and parse are sorted trigger by trigger:
+
+1. The parse: occurrences of a trigger's phrases, sorted by phrase and then in corpus order.  A phrase that stood earlier as a whole
+   begins only strings that were there before; the only phrase of its trigger begins none.  Both are settled without looking at single strings.
+2. The dictionary: the bytes of what is left (a phrase that is new though its trigger isn't, as at the edge of an edit) go to the trigger's
+   bucket, where the suffix array of all of them is built by prefix doubling to ``LENGTH`` bytes.  Suffixes of equal rank are equal strings, byte by byte; the
+   parse says which of them stands first in the corpus.
+
+The phrases of a very common trigger (more than ``HOT_PHRASES`` distinct ones) would meet in one task. Their strings are sorted instead by a
+hash of 128 bits each, which spreads them over all buckets.  Keys travel packed by bucket; within a batch only the first of equal
+phrases (or strings) does, so a very common passage sends a bucket one key for each batch.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +43,22 @@ _ARROW = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("keys",
 #: What is known of documents: runs of string starts (first, number) that are repeats, or are to be settled string by string;
 #: packed by a hash of the owner on the way, then one row for each owner.
 _SENT = "part int, owners binary, counts binary, state binary, runs binary"
-_RUNS = "owner long, repeats binary, open binary"
+_RUNS = "owner long, repeats binary, open binary, hot binary"
+_REPEAT, _OPEN, _HOT = 0, 1, 2
+#: Distinct phrases of a trigger that are sorted in one task, at most.
+HOT_PHRASES = 4096
+
+#: Dictionary phrases on their way to the bucket of their trigger.
+_PHRASES = "bucket int, phrases binary, owners binary, counts binary, at binary, n binary"
+_PHRASE_ARROW = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("phrases", "owners", "counts", "at", "n"))])
 
 
-def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _wide(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of 128 bits, as two columns."""
+    return np.stack([K.range_hashes(data, starts, ends), K.range_hashes(data, starts, ends, K.OTHER_BASE)], axis=1)
+
+
+def _triggers(data: np.ndarray, offsets: np.ndarray, with_blocks: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Phrases of a batch: first string start, number of starts, hash of the trigger, hash of the covered bytes."""
     firsts, counts, keys, blocks = [], [], [], []
     valid_end = np.maximum(offsets[1:] - LENGTH + 1, offsets[:-1])  # string starts of a row end here
@@ -72,11 +87,11 @@ def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
             firsts.append(lead + lo)
             counts.append(size)
             keys.append(gram[own[lead]])
-            blocks.append(K.range_hashes(data, lead + lo, lead + lo + size + LENGTH - 1))
+            blocks.append(_wide(data, lead + lo, lead + lo + size + LENGTH - 1) if with_blocks else np.zeros((0, 2), np.uint64))
         lo = hi
     if not firsts:
         z = np.zeros(0, np.int64)
-        return z, z, z.view(np.uint64), z.view(np.uint64)
+        return z, z, z.view(np.uint64), np.zeros((0, 2), np.uint64)
     return tuple(np.concatenate(x) for x in (firsts, counts, keys, blocks))
 
 
@@ -107,11 +122,12 @@ def _local_repeats(row, owners, at, n, buckets) -> pa.RecordBatch:
 
 
 def _later(key: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether an equal key stands earlier (smaller owner, or same owner and smaller place)."""
-    turn = np.lexsort((at, owner, key))
+    """Whether an equal key (a number, or a row of two) stands earlier (smaller owner, or same owner and smaller place)."""
+    key = key.reshape(len(owner), -1)
+    turn = np.lexsort((at, owner, *key.T[::-1]))
     out = np.zeros(len(key), bool)
     k = key[turn]
-    out[turn[1:]] = k[1:] == k[:-1]
+    out[turn[1:]] = (k[1:] == k[:-1]).all(axis=1)
     return out
 
 
@@ -143,18 +159,14 @@ def _gather(t: pa.Table) -> pa.Table:
     turn = np.lexsort((state, owner))
     owner, state, runs = owner[turn], state[turn], runs[turn]
     known, first = np.unique(owner, return_index=True)
-    last = np.append(first[1:], len(owner))[: len(first)]
-    middle = last - np.add.reduceat(state.astype(np.int64), first) if len(first) else last
-    return pa.table({
-        "owner": pa.array(known, pa.int64()),
-        "repeats": pa.array([runs[a:b].tobytes() for a, b in zip(first.tolist(), middle.tolist(), strict=True)], pa.binary()),
-        "open": pa.array([runs[a:b].tobytes() for a, b in zip(middle.tolist(), last.tolist(), strict=True)], pa.binary()),
-    })
-
-
-def _settle(t: pa.Table, part_count: int) -> pa.Table:
-    """A bucket's phrases or strings to runs: a key that stood earlier is a repeat; with ``blocks`` (phrases), a new
-    block of a trigger that has other blocks stays open."""
+    cuts = [first, *(first + np.add.reduceat((state <= k).astype(np.int64), first) if len(first) else first for k in (_REPEAT, _OPEN, _HOT))]
+    columns = [pa.array([runs[a:b].tobytes() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary()) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table({"owner": pa.array(known, pa.int64()), "repeats": columns[0], "open": columns[1], "hot": columns[2]})
+
+
+def _settle(t: pa.Table, part_count: int, hot: int | None) -> pa.Table:
+    """A bucket's phrases or strings to runs: a key that stood earlier is a repeat; of phrases (whose ``keys`` are their triggers; ``hot`` is
+    given), a new one of a trigger that has others stays open, or is hot if the trigger has more than ``hot``."""
     done = t.filter(pa.compute.equal(pa.compute.binary_length(t["keys"]), 0))
     t = t.filter(pa.compute.greater(pa.compute.binary_length(t["keys"]), 0))
     parts = []
@@ -162,17 +174,19 @@ def _settle(t: pa.Table, part_count: int) -> pa.Table:
         owner = np.repeat(_column(done, "owners", np.int64), _column(done, "counts", np.uint32))
         parts.append(_run_rows(owner, _column(done, "at", np.uint32), _column(done, "n", np.uint32), np.zeros(len(owner), bool), part_count))
     if t.num_rows:
-        key, block = _column(t, "keys", np.uint64), _column(t, "blocks", np.uint64)
+        key, block = _column(t, "keys", np.uint64), _column(t, "blocks", np.uint64).reshape(-1, 2)
         owner = np.repeat(_column(t, "owners", np.int64), _column(t, "counts", np.uint32))
         at, n = _column(t, "at", np.uint32), _column(t, "n", np.uint32)
-        if len(block):
-            repeat = _later(block, owner, at)
+        repeat = _later(block, owner, at)
+        state = np.full(len(key), _REPEAT)
+        if hot is not None:
             kinds, of = np.unique(key, return_inverse=True)
-            open_ = ~repeat & (np.bincount(of, ~repeat, len(kinds))[of] > 1)
+            many = np.bincount(of, ~repeat, len(kinds))[of]
+            state[~repeat] = np.where(many > hot, _HOT, _OPEN)[~repeat]
+            tell = repeat | (many > 1)
         else:
-            repeat, open_ = _later(key, owner, at), np.zeros(len(key), bool)
-        tell = repeat | open_
-        parts.append(_run_rows(owner[tell], at[tell], n[tell], open_[tell], part_count))
+            tell = repeat
+        parts.append(_run_rows(owner[tell], at[tell], n[tell], state[tell], part_count))
     return pa.concat_tables(parts)
 
 
@@ -198,6 +212,74 @@ def _phrase_keys(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("owner", "text").where("text is not null").mapInArrow(run, _PACKED)
 
 
+def _runs(packed: bytes) -> np.ndarray:
+    runs = np.frombuffer(packed, np.uint32).reshape(-1, 2).astype(np.int64)
+    return runs[np.argsort(runs[:, 0])]
+
+
+def _spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each of some runs."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(many[:-1])]), many) + np.arange(many.sum())
+
+
+def suffix_ranks(data: np.ndarray) -> np.ndarray:
+    """Rank of every suffix by its first LENGTH bytes (of those that have so many): prefix doubling, so equal ranks are equal bytes."""
+    n, span = len(data), 8
+    wide = np.zeros(n + LENGTH, np.uint8)
+    wide[:n] = data
+    key = np.zeros(n, np.uint64)
+    for j in range(span):
+        key |= wide[j : n + j].astype(np.uint64) << np.uint64(8 * (span - 1 - j))
+    rank = np.unique(key, return_inverse=True)[1]
+    while span < LENGTH:
+        step = min(span, LENGTH - span)  # the last step overlaps
+        ahead = np.zeros(n, np.int64)
+        ahead[: max(0, n - step)] = rank[step:]
+        rank = np.unique(rank * (n + 1) + ahead, return_inverse=True)[1]
+        span += step
+    return rank
+
+
+def _phrase_bytes(docs_with_runs: DataFrame, buckets: int) -> DataFrame:
+    """The bytes of open phrases, packed by the bucket of their trigger."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            owners = b.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = K.text_bytes(b.column(1))
+            lists = [_runs(x) for x in b.column(2).to_pylist()]
+            if not lists:
+                continue
+            row, runs = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
+            at, n = runs[:, 0], runs[:, 1]
+            size = n + LENGTH - 1
+            held = data[_spread(offsets[row] + at, size)]
+            begin = np.concatenate([[0], np.cumsum(size)])
+            first, _, key, _ = _triggers(held, begin, with_blocks=False)
+            bucket = ((key[np.searchsorted(first, begin[:-1])] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            turn = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.concatenate([[True], np.diff(bucket[turn]) != 0]))
+            for lo, hi in zip(cut, np.append(cut[1:], len(turn)), strict=True):
+                k = turn[lo:hi]
+                who, many = np.unique(row[k], return_counts=True)
+                cols = (int(bucket[k[0]]), held[_spread(begin[k], size[k])].tobytes(), owners[who].tobytes(), many.astype(np.uint32).tobytes(), at[k].astype(np.uint32).tobytes(), n[k].astype(np.uint32).tobytes())
+                yield pa.RecordBatch.from_pydict(dict(zip(_PHRASE_ARROW.names, ([c] for c in cols), strict=True)), schema=_PHRASE_ARROW)
+
+    return docs_with_runs.mapInArrow(run, _PHRASES)
+
+
+def _settle_dictionary(t: pa.Table, part_count: int) -> pa.Table:
+    """A bucket's dictionary, sorted: runs of string starts whose string stands earlier in the corpus."""
+    data, n, at = _column(t, "phrases", np.uint8), _column(t, "n", np.uint32).astype(np.int64), _column(t, "at", np.uint32).astype(np.int64)
+    owner = np.repeat(_column(t, "owners", np.int64), _column(t, "counts", np.uint32))
+    size = n + LENGTH - 1
+    rank = suffix_ranks(data)[_spread(np.cumsum(size) - size, n)]
+    phrase, place = np.repeat(np.arange(len(n)), n), _spread(at, n)
+    again = np.flatnonzero(_later(rank, owner[phrase], place))
+    lead = np.flatnonzero(np.concatenate([[True], (np.diff(again) > 1) | (np.diff(phrase[again]) > 0)])[: len(again)])
+    many = np.diff(np.append(lead, len(again)))
+    return _run_rows(owner[phrase[again[lead]]], place[again[lead]], many, np.full(len(lead), _REPEAT), part_count)
+
+
 def _string_keys(docs_with_runs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -205,10 +287,9 @@ def _string_keys(docs_with_runs: DataFrame, buckets: int) -> DataFrame:
             data, offsets = K.text_bytes(b.column(1))
             got = []
             for i, packed in enumerate(b.column(2).to_pylist()):
-                runs = np.frombuffer(packed, np.uint32).reshape(-1, 2).astype(np.int64)
-                runs = runs[np.argsort(runs[:, 0])]
-                at = np.repeat(runs[:, 0] - np.concatenate([[0], np.cumsum(runs[:-1, 1])]), runs[:, 1]) + np.arange(runs[:, 1].sum())
-                got.append((np.full(len(at), i), at, K.range_hashes(data[offsets[i] : offsets[i + 1]], at, at + LENGTH)))
+                runs = _runs(packed)
+                at = _spread(runs[:, 0], runs[:, 1])
+                got.append((np.full(len(at), i), at, _wide(data[offsets[i] : offsets[i + 1]], at, at + LENGTH)))
             if not got:
                 continue
             row, at, key = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -216,7 +297,7 @@ def _string_keys(docs_with_runs: DataFrame, buckets: int) -> DataFrame:
             one = np.ones(len(at), np.int64)
             if again.any():
                 yield _local_repeats(row[again], owners, at[again], one[again], buckets)
-            yield _pack(key[~again], np.zeros(0, np.uint64), row[~again], owners, at[~again], one[~again], buckets)
+            yield _pack(key[~again, 0], key[~again], row[~again], owners, at[~again], one[~again], buckets)
 
     return docs_with_runs.mapInArrow(run, _PACKED)
 
@@ -248,7 +329,7 @@ def _cleaned(docs_with_runs: DataFrame, texts: bool) -> DataFrame:
     return docs_with_runs.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, spans: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, spans: bool = False, hot_phrases: int = HOT_PHRASES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row (``spans``: and the removed byte ranges).
 
     A byte goes if a string of 100 bytes that covers it also starts earlier in the corpus, judged on the input. Documents stand in
@@ -263,17 +344,29 @@ def remove_repeats(docs: DataFrame, spans: bool = False) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = exchange.buckets_for(size / 100)
 
-    def settled(keys: DataFrame, name: str) -> DataFrame:
-        sent = keys.groupBy("bucket").applyInArrow(lambda t: _settle(t, parts), _SENT)
+    def gathered(sent: DataFrame, name: str) -> DataFrame:
         return store.written(sent.groupBy("part").applyInArrow(_gather, _RUNS), name)
 
-    phrases = settled(_phrase_keys(docs, exchange.buckets_for(size / 35)), "phrases")
-    left = phrases.where(F.octet_length("open") > 0).select("owner", F.col("open").alias("runs"))
-    count, strings = left.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("runs")), F.lit(0)) * 4).first()
-    near = docs.join(F.broadcast(left.select("owner")), "owner", "left_semi") if count <= store.BROADCAST_IDS else docs
-    strings_of = near.join(left.hint("shuffle_hash"), "owner").select("owner", "text", "runs")
-    more = settled(_string_keys(strings_of, exchange.buckets_for(strings)), "strings")
-    found = phrases.select("owner", "repeats").union(more.select("owner", "repeats")).where(F.octet_length("repeats") > 0).groupBy("owner").agg(F.collect_list("repeats").alias("runs"))
+    def settled(keys: DataFrame, hot: int | None) -> DataFrame:
+        return keys.groupBy("bucket").applyInArrow(lambda t: _settle(t, parts, hot), _SENT)
+
+    phrases = gathered(settled(_phrase_keys(docs, exchange.buckets_for(size / 35)), hot_phrases), "phrases")
+    held = lambda c: F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+    count, opened, hot = phrases.where("octet_length(open) > 0 or octet_length(hot) > 0").agg(F.count("*"), held("open"), held("hot")).first()
+    sent = []
+    for column, size_of in (("open", opened), ("hot", hot)):
+        if not size_of:
+            continue
+        left = phrases.where(F.octet_length(column) > 0).select("owner", F.col(column).alias("runs"))
+        near = docs.join(F.broadcast(left.select("owner")), "owner", "left_semi") if count <= store.BROADCAST_IDS else docs
+        of = near.join(left.hint("shuffle_hash"), "owner").select("owner", "text", "runs")
+        if column == "open":
+            # about 130 bytes a phrase, 8 bytes of which say where it is
+            sent.append(_phrase_bytes(of, exchange.buckets_for(size_of * 16)).groupBy("bucket").applyInArrow(lambda t: _settle_dictionary(t, parts), _SENT))
+        else:
+            sent.append(settled(_string_keys(of, exchange.buckets_for(size_of * 4)), None))
+    more = [gathered(reduce(DataFrame.union, sent), "strings").select("owner", "repeats")] if sent else []
+    found = reduce(DataFrame.union, [phrases.select("owner", "repeats"), *more]).where(F.octet_length("repeats") > 0).groupBy("owner").agg(F.collect_list("repeats").alias("runs"))
     return _cleaned(docs.join(found.hint("shuffle_hash"), "owner", "left").select("doc_id", "text", "runs"), spans)
 
 
