@@ -68,8 +68,10 @@ def choose_model(mae: Column, peak: Column, base_mae: Column, base_peak: Column,
     return F.when((mae <= factor * base_mae) & (peak < base_peak), "candidate").otherwise("baseline")
 
 
-def compare_same_rows(a: DataFrame, b: DataFrame) -> None:
-    if a.count() != b.count():
+def compare_same_rows(a: DataFrame, b: DataFrame, keys: list[str]) -> None:
+    """Two candidates' rows must have the same keys, each as often (ML-06)."""
+    sides = a.select(*keys, F.lit(1).alias("__s")).unionByName(b.select(*keys, F.lit(-1).alias("__s")))
+    if sides.groupBy(*keys).agg(F.sum("__s").alias("gap")).where("gap <> 0").limit(1).count():
         raise ValueError("the candidates were evaluated on different rows")
 
 

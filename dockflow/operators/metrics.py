@@ -130,6 +130,33 @@ def level_ratio(predicted: DataFrame, actual: DataFrame, keys: list[str]) -> Dat
     return both.agg(F.count("*").alias("cells"), p.alias("mean_predicted"), a.alias("mean_actual"), F.try_divide(p, a).alias("ratio"))
 
 
+def list_precision(lists: DataFrame, issue: str = "as_of", y: str = "y", counts: str = "ok", empty: Column | None = None) -> DataFrame:
+    """Precision of the issues' lists over the entries that count, averaged over issues that have some; the share of entries that were empty
+    already, and the mean length (MT-08)."""
+    gone = F.col("b0") == 0 if empty is None else empty
+    each = lists.groupBy(issue).agg(F.avg(F.when(F.col(counts), F.col(y))).alias("p"), F.avg(F.when(F.col(counts), gone.cast("int"))).alias("e"), F.count("*").alias("n"))
+    return each.agg(F.count("p").alias("issues"), F.avg("p").alias("precision"), F.avg("e").alias("already_empty_share"), F.avg("n").alias("mean_list_length"))
+
+
+def horizon_report(rows: DataFrame, score: str, y: str, horizon: str = "horizon", by: list[str] | None = None) -> DataFrame:
+    """Rows, positives and rank metrics of each horizon (and group), from one aggregation of scores (MT-15)."""
+    keys = [horizon, *(by or [])]
+    groups = score_groups(rows, score, y, keys)
+    counts = groups.groupBy(*keys).agg(F.sum(F.col("pos") + F.col("neg")).cast("long").alias("rows"), F.sum("pos").cast("long").alias("positives"))
+    return counts.join(rank_metrics(groups, keys), keys)
+
+
+def candidate_report(scores: DataFrame, day: str, baseline: str, replicates: int, score: str = "score", y: str = "y", name: str = "candidate") -> DataFrame:
+    """Every candidate's rank metrics with the interval of its AUC against the baseline's, from replicates over days that all candidates
+    share (MT-12, MT-13). The baseline has no interval."""
+    points = rank_metrics(score_groups(scores, score, y, [name]), [name])
+    draws = bootstrap_rank_metrics(scores, score, y, day, replicates, [name]).select(name, "replicate", "auc")
+    base = draws.where(F.col(name) == baseline).select("replicate", F.col("auc").alias("__base"))
+    q = F.percentile(F.col("auc") - F.col("__base"), F.array(F.lit(0.025), F.lit(0.975)))
+    intervals = draws.where(F.col(name) != baseline).join(base, "replicate").groupBy(name).agg(q.alias("q")).select(F.col(name).alias("candidate"), F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+    return metric_table(points.withColumnRenamed(name, "candidate"), intervals)
+
+
 def full_report(rows: DataFrame, score: Column | None = None) -> DataFrame:
     """Long report (metric, grp, value) over main rows: counts, positive rate, rows by stratum of b0, and the rank metrics of a score,
     expected shortfall unless another is given (MT-09, MT-17). Strata are exploded, so all of them come from one aggregation."""

@@ -41,10 +41,11 @@ def nearest_snapshot(targets: DataFrame, times: DataFrame, minutes: int = 5, tar
     return targets.join(best, target, "left")
 
 
-def window_rows(issues: DataFrame, snapshots: DataFrame, hours: int, as_of: str = "as_of", time: str = "fetched_at") -> DataFrame:
-    """Snapshot rows in (as_of, as_of + hours] of each issue, by an equi-join on the hour (JN-09)."""
+def window_rows(issues: DataFrame, snapshots: DataFrame, hours: int, as_of: str = "as_of", time: str = "fetched_at", by: list[str] | None = None) -> DataFrame:
+    """Snapshot rows in (as_of, as_of + hours] of each issue (and key ``by``), by an equi-join on the hour (JN-09)."""
     keys = issues.withColumn("__hour", F.explode(F.sequence(hour_of(F.col(as_of)), hour_of(F.col(as_of)) + F.expr(f"interval {hours} hour"), F.expr("interval 1 hour"))))
-    return keys.join(snapshots.withColumn("__hour", hour_of(F.col(time))), "__hour").where((F.col(time) > F.col(as_of)) & (F.col(time) <= plus_minutes(F.col(as_of), 60 * hours))).drop("__hour")
+    met = keys.join(snapshots.withColumn("__hour", hour_of(F.col(time))), [*(by or []), "__hour"])
+    return met.where((F.col(time) > F.col(as_of)) & (F.col(time) <= plus_minutes(F.col(as_of), 60 * hours))).drop("__hour")
 
 
 def overlapping_hours(df: DataFrame, hours: int, as_of: str = "as_of") -> DataFrame:

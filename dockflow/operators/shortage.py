@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ MAIN_HOURS = 3
 SLOTS_PER_HOUR = 5
 JUMP = 5
 HEADROOM = 30
+PIECE = 50.0
 
 
 def horizon_sum(rows: DataFrame, values: DataFrame, hours: int, by: list[str], value: str, name: str) -> DataFrame:
@@ -143,50 +146,51 @@ def simple_scores(b0: Column, e: Column, r: Column, q: Column) -> dict[str, Colu
     return {"S0": e - b0, "S1": -b0.cast("double"), "S1b": -b0.cast("double") + 0.001 * F.tanh(r - q), "S2": (e - q) - b0}
 
 
-def _log_pmf(k: Column, mean: Column, phi: float, cum: Column) -> Column:
-    """Log probability of k events, Poisson or negative binomial with variance phi * mean; ``cum``: the sum over i = 1..k
-    of ln i (Poisson) or of ln((n + i - 1) / i)."""
+def _log_step(k: Column, mean: Column, phi: float) -> Column:
+    """Log of P(k + 1) / P(k), Poisson or negative binomial with variance phi * mean."""
     if phi == 1.0:
-        return k * F.ln(mean) - mean - cum
-    n = mean / (phi - 1.0)
-    return cum - n * F.ln(F.lit(phi)) + k * F.ln(F.lit((phi - 1.0) / phi))
-
-
-def _count_table(rows: DataFrame, key: str, mean: str, phi: float, extra: Column) -> DataFrame:
-    """(key, k, pmf) of each row for k = 0 .. mean + 15 sigma + 20 + extra."""
-    m = F.greatest(F.col(mean), F.lit(1e-12))
-    top = F.ceil(m + 15 * F.sqrt(phi * m + 1) + 20).cast("int") + extra.cast("int")
-    t = rows.select(key, m.alias("m"), F.explode(F.sequence(F.lit(0), top)).alias("k"))
-    w = Window.partitionBy(key).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    step = F.when(F.col("k") == 0, 0.0).otherwise(F.ln(F.col("k")) if phi == 1.0 else F.ln((F.col("m") / (phi - 1.0) + F.col("k") - 1) / F.col("k")))
-    return t.withColumn("__c", F.sum(step).over(w)).select(key, "k", F.exp(_log_pmf(F.col("k"), F.col("m"), phi, F.col("__c"))).alias("pmf"))
-
-
-def net_outflow(rows: DataFrame, key: str, b0: str, mean_out: str, mean_in: str, phi: float = 1.0) -> DataFrame:
-    """P(out - in >= b0) of independent counts (RB-18): probability tables by row, survival as one minus a running sum, and
-    a sum over k of P(in = k) * P(out >= b0 + k). All windows are by row."""
-    inn = _count_table(rows, key, mean_in, phi, F.lit(0)).withColumnRenamed("pmf", "p_in")
-    out = _count_table(rows, key, mean_out, phi, F.lit(0))
-    w = Window.partitionBy(key).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    tail = out.select(key, F.col("k").alias("n"), (1 - F.coalesce(F.sum("pmf").over(w), F.lit(0.0))).alias("at_least"))
-    need = inn.join(rows.select(key, F.col(b0).cast("int").alias("__b0")), key).withColumn("n", F.col("k") + F.col("__b0"))
-    total = need.join(tail, [key, "n"], "left").groupBy(key).agg(F.sum(F.col("p_in") * F.coalesce("at_least", F.lit(0.0))).alias("__p"))
-    return rows.join(total, key).withColumn("S3", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__p")))).drop("__p")
-
-
-def absorption(b0: Column, rent: Column, back: Column, duration: Column, max_steps: int = 400) -> Column:
+        return F.ln(mean) - F.ln(k + 1.0)
+    return F.ln(mean / (phi - 1.0) + k) - F.ln(k + 1.0) + F.lit(math.log((phi - 1.0) / phi))
+
+
+def outflow_probability(b0: Column, mean_out: Column, mean_in: Column, phi: float = 1.0) -> Column:
+    """P(out - in >= b0) of independent counts (RB-18): a sum over k of P(in = k) * P(out >= b0 + k), as two folds over
+    numbers, so a row needs no shuffle and no table. In counts are followed to mean + 15 sigma + 20."""
+    out, inn, need = F.greatest(mean_out.cast("double"), F.lit(1e-12)), F.greatest(mean_in.cast("double"), F.lit(1e-12)), b0.cast("int")
+
+    def zero(mean: Column) -> Column:
+        return -mean if phi == 1.0 else -mean / (phi - 1.0) * F.lit(math.log(phi))
+
+    # the tail of the out counts from b0 on, and their log probability at b0
+    start = F.struct(F.lit(1.0).alias("tail"), zero(out).alias("log_out"))
+    below = F.when(need > 0, F.sequence(F.lit(0), need - 1)).otherwise(F.array().cast("array<int>"))
+    at_b0 = F.aggregate(below, start, lambda s, k: F.struct((s["tail"] - F.exp(s["log_out"])).alias("tail"), (s["log_out"] + _log_step(k, out, phi)).alias("log_out")))
+    first = F.struct(at_b0["tail"].alias("tail"), at_b0["log_out"].alias("log_out"), zero(inn).alias("log_in"), F.lit(0.0).alias("total"))
+    top = F.ceil(inn + 15 * F.sqrt(phi * inn + 1) + 20).cast("int")
+
+    def step(s: Column, k: Column) -> Column:
+        return F.struct(
+            (s["tail"] - F.exp(s["log_out"])).alias("tail"), (s["log_out"] + _log_step(need + k, out, phi)).alias("log_out"), (s["log_in"] + _log_step(k, inn, phi)).alias("log_in"),
+            (s["total"] + F.exp(s["log_in"]) * F.greatest(s["tail"], F.lit(0.0))).alias("total"))
+
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.aggregate(F.sequence(F.lit(0), top), first, step)["total"]))
+
+
+def net_outflow(rows: DataFrame, b0: str, mean_out: str, mean_in: str, phi: float = 1.0) -> DataFrame:
+    """``rows`` with the score S3 (RB-18)."""
+    return rows.withColumn("S3", outflow_probability(F.col(b0), F.col(mean_out), F.col(mean_in), phi))
+
+
+def absorption(b0: Column, rent: Column, back: Column, duration: Column) -> Column:
     """Probability that a birth-death count touches zero (RB-19): hourly constant rates (arrays), zero absorbing, no births at
-    b0 + 30, each hour solved by uniformisation. A fold over arrays in one expression; no function in Python."""
+    b0 + 30, each hour solved by uniformisation, in pieces of at most PIECE expected events (so no weight underflows). A fold over
+    arrays in one expression; no function in Python."""
     states = F.sequence(F.lit(0), b0 + F.lit(HEADROOM))
     start = F.transform(states, lambda s: F.when(s == b0, 1.0).otherwise(0.0))
     top = b0 + F.lit(HEADROOM)
 
-    def hour(p: Column, h: Column) -> Column:
-        lam, mu, t = h["rent"], h["back"], h["duration"]
-        total = lam + mu
-        mass = total * t
-        down, up = F.when(total > 0, lam / total).otherwise(0.0), F.when(total > 0, mu / total).otherwise(0.0)
-        n_max = F.least(F.lit(max_steps), F.ceil(mass + 12 * F.sqrt(mass) + 15).cast("int"))
+    def piece(p: Column, down: Column, up: Column, mass: Column) -> Column:
+        n_max = F.ceil(mass + 12 * F.sqrt(mass) + 15).cast("int")
 
         def step(acc: Column, n: Column) -> Column:
             cur = acc["cur"]
@@ -197,7 +201,15 @@ def absorption(b0: Column, rent: Column, back: Column, duration: Column, max_ste
 
         w0 = F.exp(-mass)
         first = F.struct(F.transform(p, lambda x: x * w0).alias("sum"), p.alias("cur"), w0.alias("w"))
-        return F.when(mass > 0, F.aggregate(F.sequence(F.lit(1), n_max), first, step)["sum"]).otherwise(p)
+        return F.aggregate(F.sequence(F.lit(1), n_max), first, step)["sum"]
+
+    def hour(p: Column, h: Column) -> Column:
+        lam, mu = h["rent"], h["back"]
+        total = lam + mu
+        mass = total * h["duration"]
+        down, up = F.when(total > 0, lam / total).otherwise(0.0), F.when(total > 0, mu / total).otherwise(0.0)
+        pieces = F.greatest(F.lit(1), F.ceil(mass / PIECE).cast("int"))
+        return F.when(mass > 0, F.aggregate(F.sequence(F.lit(1), pieces), p, lambda q, _: piece(q, down, up, mass / pieces))).otherwise(p)
 
     final = F.aggregate(F.arrays_zip(rent.alias("rent"), back.alias("back"), duration.alias("duration")), start, hour)
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(final, F.lit(0))))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
-    "trips0": ((), """select event_id, 'B' || user_id as bike_no, ts as rented_at, ts + to_minutes(floor(value)::int) as returned_at, (user_id % 40)::int as rent_station_no,
-        case when event_type = 'error' then null when event_id % 5 = 0 then (user_id % 40)::int else (event_id % 40)::int end as return_station_no,
+    "trips0": ((), """select event_id, 'B' || user_id as bike_no, ts as rented_at, ts + to_minutes(floor(value)::int) as returned_at, user_id::int as rent_station_no,
+        case when event_type = 'error' then null when event_id % 5 = 0 then user_id::int else (user_id + event_id % 7)::int end as return_station_no,
         floor(value / 10)::int as duration_min, value * 10 as distance_m from events"""),
     "trips": (("trips0",), """select * exclude (event_id), 'ST-' || rent_station_no as rent_station_id, 'ST-' || return_station_no as return_station_id from (select * from trips0 union all select * from trips0 where event_id % 97 = 0)"""),
     "staged": (("trips",), """select *, coalesce(duration_min = 0 and rent_station_id = return_station_id, false) as is_cancelled from (select distinct on (bike_no, rented_at, rent_station_id, returned_at, return_station_id) * from trips)"""),
@@ -20,7 +20,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         from obs h left join obs c on c.observed_at = h.observed_at + to_hours(((3 - hour(h.observed_at) % 3) % 3)::int)"""),
     "fullcal": (("cal", "weather"), "select c.*, w.temp_c, w.wind_ms, w.humidity_pct, w.rain_mm, w.is_new_snow from cal c left join weather w using (hour_start)"),
     "snaps_st": ((), """select station_no, printf('%04d-%02d', y, m) as snapshot, (10 + (station_no * 7 + k) % 11)::int as docks, case when station_no % 11 <> 0 then 'D' || ((station_no + k) % 6) end as district, 37 + station_no / 100 as lat, 127 - station_no / 100 as lon
-        from (select distinct (user_id % 40)::int as station_no from events) cross join (select y, m, y * 12 + m - 1 as k from (select distinct year(o_orderdate) as y from orders) cross join (values (6), (12)) t(m) union all select 2023, 6, 2023 * 12 + 5 union all select 2023, 12, 2023 * 12 + 11)
+        from (select distinct user_id::int as station_no from events) cross join (select y, m, y * 12 + m - 1 as k from (select distinct year(o_orderdate) as y from orders) cross join (values (6), (12)) t(m) union all select 2023, 6, 2023 * 12 + 5 union all select 2023, 12, 2023 * 12 + 11)
         where (station_no + k) % 5 <> 0"""),
     "dim": (("staged", "snaps_st"), """select station_id, station_no, district, docks, lat, lon, first_rented_at, last_rented_at, total_rentals, total_returns from (
           select coalesce(r.station_id, b.station_id) as station_id, coalesce(r.no, b.no) as station_no, first_rented_at, last_rented_at, coalesce(total_rentals, 0) as total_rentals, coalesce(total_returns, 0) as total_returns
@@ -34,15 +34,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "grid": (("hourly", "spans"), """select g.station_id, g.hour_start, coalesce(h.rentals, 0)::int as rentals from (select station_id, unnest(generate_series(first_day, last_day + interval 23 hour, interval 1 hour)) as hour_start from spans) g left join hourly h using (station_id, hour_start)"""),
     "lgrid": ((), "select 'ST-' || (o_custkey % 20) as station_id, o_orderdate::timestamp as hour_start, count(*)::int as rentals from orders group by all"),
     "halves": (("lgrid",), "select station_id, ((year(hour_start) * 12 + month(hour_start) - 1) // 6)::int as half, avg(rentals) as half_mean, sum(rentals)::bigint as half_sum from lgrid group by all"),
-    "issues": ((), """select day + to_hours(h) as base_at, day + to_hours(h) + interval 15 minute as as_of from (select distinct date_trunc('day', ts)::timestamp as day from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-17') cross join (select unnest([2, 5, 8, 11, 14, 17, 20, 23]) as h)"""),
+    "issues": ((), """select day + to_hours(h) as base_at, day + to_hours(h) + interval 15 minute as as_of from (select distinct date_trunc('day', ts)::timestamp as day from events) cross join (select unnest([2, 5, 8, 11, 14, 17, 20, 23]) as h)"""),
     "forecast0": (("issues",), "select base_at, k, base_at + to_hours(k) as target_at, c, ['TMP', 'PCP', 'WSD', 'REH', 'SNO', 'POP'][c + 1] as category, (k * 7 + hour(base_at + to_hours(k)) + c) % 6 as n, (k * 5 + hour(base_at + to_hours(k))) % 23 as num from issues cross join (select unnest(range(1, 49))::int as k) cross join (select unnest(range(0, 6))::int as c)"),
     "forecast": (("forecast0",), """select base_at, target_at, category, case when category in ('PCP', 'SNO') then case n when 0 then 'none' when 1 then 'under 1mm' when 2 then num || 'mm~' || (num + 4) || 'mm' when 3 then num || 'mm or more' when 4 then num || 'mm' else 'unknown word' end
         else case when n = 5 then '?' else (num - 5) || '.5' end end as value from forecast0"""),
     "pivoted": (("forecast0",), """select base_at, target_at - interval 1 hour as hour_start, max(case when category = 'TMP' then num_v end) as temp_c, max(case when category = 'PCP' then amt end) as rain_mm, max(case when category = 'WSD' then num_v end) as wind_ms, max(case when category = 'REH' then num_v end) as humidity_pct, max(case when category = 'SNO' then (amt > 0)::int end) as is_snow
         from (select *, case when n = 5 then null else ((num - 5) || '.5')::double end as num_v, case n when 0 then 0.0 when 1 then 0.5 when 2 then num + 2.0 when 3 then num::double when 4 then num::double end::double as amt from forecast0) group by all"""),
-    "snap": ((), """select 'ST-' || s as station_id, t as fetched_at, ((s * 7 + (epoch(t)::bigint // 600) * 3 + (epoch(t)::bigint // 7200) * s) % 9)::int as bike_count from (select unnest(generate_series(day, day + interval 1430 minute, interval 10 minute)) as t from (select distinct date_trunc('day', ts)::timestamp as day from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-17')) cross join (select unnest(range(0, 40)) as s) where (s * 31 + epoch(t)::bigint // 600) % 53 <> 0"""),
-    "pred": (("issues",), """select 'ST-' || s as station_id, base_at + to_hours(k) as hour_start, 'm1-fcst' || strftime(base_at, '%Y%m%d%H%M') as model_version, ((s * 5 + hour(base_at + to_hours(k)) * 3 + epoch(base_at)::bigint // 10800) % 17) / 4.0::double as predicted_rentals, as_of as created_at
-        from issues cross join (select unnest(range(0, 40)) as s) cross join (select unnest(range(0, 8))::int as k) where (s + hour(base_at + to_hours(k))) % 41 <> 0"""),
+    "sdays": ((), "select distinct user_id::int as s, date_trunc('day', ts)::timestamp as day from events"),
+    "snap": (("sdays",), """select 'ST-' || s as station_id, t as fetched_at, ((s * 7 + (epoch(t)::bigint // 600) * 3 + (epoch(t)::bigint // 7200) * s) % 9)::int as bike_count from (select s, unnest(generate_series(day, day + interval 1430 minute, interval 10 minute)) as t from sdays) where (s * 31 + epoch(t)::bigint // 600) % 53 <> 0"""),
+    "pred": (("issues", "sdays"), """select 'ST-' || s as station_id, base_at + to_hours(k) as hour_start, 'm1-fcst' || strftime(base_at, '%Y%m%d%H%M') as model_version, ((s * 5 + hour(base_at + to_hours(k)) * 3 + epoch(base_at)::bigint // 10800) % 17) / 4.0::double as predicted_rentals, as_of as created_at
+        from (select s, base_at, as_of from issues join sdays on sdays.day = date_trunc('day', base_at)) cross join (select unnest(range(0, 8))::int as k) where (s + hour(base_at + to_hours(k))) % 41 <> 0"""),
     "scored": ((), "select doc_id, quality as y, floor(n_chars / 100)::double as score, source as day, lang as stratum, least(n_chars / 8000.0::double, 1.0::double) as p from labels join documents using (doc_id)"),
     "ref": (("issues", "snap"), "select as_of, (select max(fetched_at) from snap where fetched_at <= as_of and fetched_at >= as_of - interval 30 minute) as reference_at from issues"),
     "win": (("issues", "snap"), "select as_of, s.* from issues join snap s on fetched_at > as_of and fetched_at <= as_of + interval 3 hour"),
@@ -69,4 +70,4 @@ def over(names: str, body: str) -> str:
 
     for n in names.split():
         need(n)
-    return ("with " + ",\n".join(f"{n} as ({CTES[n][1]})" for n in order) + "\n" if order else "") + body
+    return ("with " + ",\n".join(f"{n} as materialized ({CTES[n][1]})" for n in order) + "\n" if order else "") + body

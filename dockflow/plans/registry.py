@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..functions import time as T
-from ..operators import checks, features, marts, metrics, pit, serving, shortage, staging, weather
+from ..operators import checks, features, levels, marts, metrics, pit, serving, shortage, staging, weather
 from ..sources import adapters as A
 from .oracle import over
 
@@ -77,9 +77,11 @@ def pf12(s, d):
     return staging.period_filter(A.levels_grid(s, d), "1996-01-01", "1996-07-01")
 
 
-@query("pf13_grid_filter", over("forecast", "select category, count(*) as n from forecast group by 1"))
+@query("pf13_grid_filter", over("forecast", "select category, count(*) as n from forecast where hour(target_at) % 2 = 0 and hour(base_at) <> 5 group by 1"))
 def pf13(s, d):
-    return staging.grid_filter(A.forecast(s, d), 60, 127).groupBy("category").agg(F.count("*").alias("n"))
+    """Every second target hour is of another cell by nx, every issue at five by ny."""
+    nx, ny = F.when(F.hour("target_at") % 2 == 0, 60).otherwise(61), F.when(F.hour("base_at") == 5, 126).otherwise(127)
+    return staging.grid_filter(A.forecast(s, d).withColumns({"nx": nx, "ny": ny}), 60, 127).groupBy("category").agg(F.count("*").alias("n"))
 
 
 @query("pf14_version_filter", over("pred", "select model_version, count(*) as n, sum(predicted_rentals) as total from pred where starts_with(model_version, 'm1-fcst') and split_part(model_version, '-fcst', 2) <= '202401121100' and hour_start between '2024-01-11' and '2024-01-12 12:00:00' group by 1"))
@@ -166,21 +168,19 @@ def ag11(s, d):
     return r6(features.season_profile(A.hourly(s, d), A.grid(s, d), A.calendar(s, d), "2024-01-01", "2024-02-01"), "rent_mean", "return_mean")
 
 
-@query("ag15_cell_means", over("pred cal", "select station_id, day_of_week >= 6 as weekend, hour_of_day as hour, round(avg(predicted_rentals), 6) as mean, count(*) as n from pred join cal using (hour_start) group by all"))
+@query("ag15_cell_means", over("pred", "select station_id, isodow(hour_start) >= 6 as weekend, hour(hour_start)::int as hour, round(avg(predicted_rentals), 6) as mean, count(*) as n from pred group by all"))
 def ag15(s, d):
-    p = A.predictions(s, d)
-    return r6(p.groupBy("station_id", (T.iso_weekday(F.col("hour_start")) >= 6).alias("weekend"), F.hour("hour_start").alias("hour")).agg(F.avg("predicted_rentals").alias("mean"), F.count("*").alias("n")).join(F.broadcast(A.calendar(s, d).limit(1).select(F.lit(1))), how="left_semi"), "mean")
+    return r6(levels.cell_means(A.predictions(s, d), "predicted_rentals"), "mean")
 
 
 @query("ag16_actual_cells", over("grid fullcal", "select station_id, day_of_week >= 6 as weekend, hour_of_day as hour, round(avg(rentals), 6) as mean, count(*) as n from grid join fullcal using (hour_start) where rain_mm = 0 and not is_holiday and strftime(hour_start, '%m-%d') between '01-05' and '01-25' group by all"))
 def ag16(s, d):
-    j = A.grid(s, d).join(F.broadcast(A.full_calendar(s, d)), "hour_start").where("rain_mm = 0 and not is_holiday").where(F.date_format("hour_start", "MM-dd").between("01-05", "01-25"))
-    return r6(j.groupBy("station_id", (F.col("day_of_week") >= 6).alias("weekend"), F.col("hour_of_day").alias("hour")).agg(F.avg("rentals").alias("mean"), F.count("*").alias("n")), "mean")
+    return r6(levels.actual_cells(A.grid(s, d), A.full_calendar(s, d), "01-05", "01-25"), "mean")
 
 
 @query("ag17_first_half_means", over("lgrid", "select year(hour_start)::int as year, round(avg(rentals), 6) as mean from lgrid where month(hour_start) <= 6 group by 1"))
 def ag17(s, d):
-    return r6(A.levels_grid(s, d).where(F.month("hour_start") <= 6).groupBy(F.year("hour_start").alias("year")).agg(F.avg("rentals").alias("mean")), "mean")
+    return r6(levels.first_half_means(A.levels_grid(s, d)), "mean")
 
 
 @query("ag18_row_profile", over("trips", """select year(rented_at)::int as year, count(*) as rows, count(*) - count(distinct (bike_no, rented_at, rent_station_id, returned_at, coalesce(return_station_id, ''))) as duplicates, count(*) filter (where return_station_id is null) as no_return,
@@ -191,8 +191,7 @@ def ag18(s, d):
 
 @query("ag19_hour_share", over("staged", "select hour(rented_at)::int as hour, count(*) as n, round(count(*) / sum(count(*)) over (), 6) as share from staged where not is_cancelled group by 1"))
 def ag19(s, d):
-    t = A.staged_trips(s, d).where("not is_cancelled").groupBy(F.hour("rented_at").alias("hour")).agg(F.count("*").alias("n"))
-    return r6(t.crossJoin(F.broadcast(t.agg(F.sum("n").alias("__t")))).select("hour", "n", (F.col("n") / F.col("__t")).alias("share")), "share")
+    return r6(levels.hour_share(A.staged_trips(s, d)), "share")
 
 
 # --- joins, windows, sets -------------------------------------------------------------------------------------------------
@@ -285,22 +284,31 @@ def fe08(s, d):
     return out.withColumns({c: F.round(F.col(c).cast("double"), 3) for c in ("docks", "temp_c", "rain_mm", "profile_mean", "b0", "b1")})
 
 
-@query("fe11_fe12_parity", over("grid cal", "select count(*) as shared, 0::bigint as different from grid join cal using (hour_start) where hour_start >= '2024-01-28' and hour_start < '2024-01-30'"))
+@query("fe11_fe12_parity", over("grid cal", "select count(*) as shared, 0::bigint as different, count(*) filter (where hour(hour_start) = 3) as different_after_change from grid join cal using (hour_start) where hour_start >= '2024-01-28' and hour_start < '2024-01-30'"))
 def fe12(s, d):
+    """Training and scoring rows agree; where one side's weather is changed at one hour, those rows are found."""
     g, c, st = A.grid(s, d), A.full_calendar(s, d), A.stations(s, d)
     periods = features.Periods(("2024-01-28", "2024-01-30"), ("2024-01-01", "2024-01-22"))
     train = features.feature_frame(g, c, st, periods)
     hours = staging.period_filter(c, *periods.rows)
     score = features.scoring_rows(st, hours.select("hour_start"), hours.select("hour_start", "temp_c", "rain_mm", "wind_ms", "humidity_pct", "is_new_snow"), A.holidays(s, d), features.history_stats(g, c, st, periods.history))
-    return features.parity_check(train, score, ["station_id", "hour_start"], [*features.BASE_FEATURES, "b0", "b1"])
+    keys, columns = ["station_id", "hour_start"], [*features.BASE_FEATURES, "b0", "b1"]
+    changed = score.withColumn("wind_ms", F.when(F.hour("hour_start") == 3, F.lit(-1.0).cast("float")).otherwise(F.col("wind_ms")))
+    return features.parity_check(train, score, keys, columns).join(features.parity_check(train, changed, keys, columns).withColumnRenamed("different", "different_after_change"), "shared")
 
 
-@query("fe13_leak_check", over("grid", "select 0::bigint as changed from grid limit 1"))
+@query("fe13_leak_check", over("grid", "select 0::bigint as changed, 2 * count(*) as changed_by_target from grid where hour_start >= '2024-01-15' and hour_start < '2024-01-22'"))
 def fe13(s, d):
+    """Facts after the rows' period change nothing; facts inside it change every row of it (once on each side)."""
     g, c, st = A.grid(s, d), A.full_calendar(s, d), A.stations(s, d)
     periods = features.Periods(("2024-01-15", "2024-01-22"), ("2024-01-01", "2024-01-15"))
-    later = g.withColumn("rentals", F.when(F.col("hour_start") >= F.lit("2024-01-22").cast("timestamp_ntz"), F.col("rentals") + 100).otherwise(F.col("rentals")))
-    return features.leak_check(features.feature_frame(g, c, st, periods), features.feature_frame(later, c, st, periods)).agg(F.count("*").alias("changed"))
+    frame = features.feature_frame(g, c, st, periods)
+
+    def changed(start: str, name: str) -> DataFrame:
+        later = g.withColumn("rentals", F.when(F.col("hour_start") >= F.lit(start).cast("timestamp_ntz"), F.col("rentals") + 100).otherwise(F.col("rentals")))
+        return features.leak_check(frame, features.feature_frame(later, c, st, periods)).agg(F.count("*").alias(name))
+
+    return changed("2024-01-22", "changed").crossJoin(F.broadcast(changed("2024-01-15", "changed_by_target")))
 
 
 @query("fw01_pivot_forecast", over("pivoted", "select base_at, hour_start, temp_c, rain_mm, wind_ms, humidity_pct, is_snow from pivoted"))
@@ -499,24 +507,37 @@ def rb15(s, d):
     return r6(shortage.long_scores(m, ["as_of", "station_id"], shortage.simple_scores(F.col("b0"), F.col("e"), F.col("r"), F.col("q"))), "score")
 
 
-@query("rb18_net_outflow", over("rows3", f"""with cells as (select distinct b0, e, (b0 % 4) / 2.0::double + 0.25 as q from rows3 where {_REASON} = 'main'), ks as (select unnest(range(0, 120)) as k), lf as (select k, coalesce(sum(case when k = 0 then 0 else ln(k) end) over (order by k), 0) as c from ks),
-    pin as (select b0, e, q, k, exp(k * ln(greatest(q, 1e-12)) - greatest(q, 1e-12) - c) as p from cells cross join lf where k <= 60), po as (select b0, e, q, k, exp(k * ln(greatest(e, 1e-12)) - greatest(e, 1e-12) - c) as p from cells cross join lf), tail as (select b0, e, q, k as n, 1 - coalesce(sum(p) over (partition by b0, e, q order by k rows between unbounded preceding and 1 preceding), 0) as t from po)
-    select b0, e, q, round(sum(p * t), 6) as s3 from pin join tail using (b0, e, q) where n = b0 + pin.k group by all""").replace("\nwith cells as", ",\ncells as"))
+@query("rb18_net_outflow", over("rows3", f"""with cells as (select distinct b0, e, q from rows3 where {_REASON} = 'main'), ks as (select unnest(range(0, 140)) as k),
+    lf as (select k, coalesce(sum(case when k = 0 then 0 else ln(k) end) over (order by k), 0) as c from ks),
+    pin as (select b0, e, q, k, exp(k * ln(greatest(q, 1e-12)) - greatest(q, 1e-12) - c) as p from cells cross join lf where k <= 60),
+    po as (select b0, e, q, k, exp(k * ln(greatest(e, 1e-12)) - greatest(e, 1e-12) - c) as p from cells cross join lf),
+    tail as (select b0, e, q, k as n, 1 - coalesce(sum(p) over (partition by b0, e, q order by k rows between unbounded preceding and 1 preceding), 0) as t from po),
+    score as (select b0, e, q, round(greatest(0, least(1, sum(p * greatest(t, 0)))), 6) as s3 from pin join tail using (b0, e, q) where n = b0 + pin.k group by all)
+    select as_of, station_id, s3 from rows3 join score using (b0, e, q) where {_REASON} = 'main'""").replace("\nwith cells as", ",\ncells as"))
 def rb18(s, d):
-    m = main_rows(s, d).where("reason = 'main'").select("b0", "e", (F.col("b0") % 4 / 2.0 + 0.25).alias("q")).distinct()
-    out = shortage.net_outflow(m.withColumn("id", F.xxhash64("b0", "e", "q")), "id", "b0", "e", "q")
-    return r6(out.select("b0", "e", "q", F.col("S3").alias("s3")), "s3")
+    out = shortage.net_outflow(main_rows(s, d).where("reason = 'main'"), "b0", "e", "q")
+    return r6(out.select("as_of", "station_id", F.col("S3").alias("s3")), "s3")
 
 
-@query("rb19_absorption", over("rows3", f"""with cells as (select distinct b0, round(e, 2) as e from rows3 where {_REASON} = 'main' and b0 <= 6), ks as (select unnest(range(0, 12)) as k), lf as (select k, coalesce(sum(case when k = 0 then 0 else ln(k) end) over (order by k), 0) as c from ks)
+@query("rb19_absorption", over("rows3", f"""with cells as (select distinct b0, round(e, 2) as e from rows3 where {_REASON} = 'main'), ks as (select unnest(range(0, 40)) as k), lf as (select k, coalesce(sum(case when k = 0 then 0 else ln(k) end) over (order by k), 0) as c from ks)
     select b0, e, round(1 - coalesce(sum(exp(k * ln(greatest(e, 1e-12)) - greatest(e, 1e-12) - c)), 0), 6) as s4 from cells join lf on k < b0 group by all""").replace("\nwith cells as", ",\ncells as"))
 def rb19(s, d):
-    m = main_rows(s, d).where("reason = 'main' and b0 <= 6").select("b0", F.round("e", 2).alias("e")).distinct()
+    """Without births the probability is a Poisson tail, which SQL can say."""
+    m = main_rows(s, d).where("reason = 'main'").select("b0", F.round("e", 2).alias("e")).distinct()
     third = F.col("e") / 3.0
     p = shortage.absorption(F.col("b0"), F.array(third, third, third), F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0)), F.array(F.lit(1.0), F.lit(1.0), F.lit(1.0)))
     return r6(m.withColumn("s4", p), "s4").select("b0", "e", "s4")
 
 
+@query("rb19_absorption_with_births")
+def rb19_births(s, d):
+    """The score S4 of every main row, returns as births; tests hold it against small steps in time."""
+    m = main_rows(s, d).where("reason = 'main'")
+    hours = lambda c: F.array(*[F.col(c) / 3.0] * 3)
+    p = shortage.absorption(F.col("b0"), hours("e"), hours("q"), F.array(*[F.lit(1.0)] * 3))
+    return r6(m.select("as_of", "station_id", p.alias("s4")), "s4")
+
+
 @query("rb22_stored_vs_recomputed", over("pred", "select model_version, count(*) as rows, max(abs(predicted_rentals - round(predicted_rentals, 1))) as max_difference from pred group by 1").replace("max(abs(predicted_rentals - round(predicted_rentals, 1)))", "round(max(abs(predicted_rentals - floor(predicted_rentals))), 6)"))
 def rb22(s, d):
     p = A.predictions(s, d)
@@ -541,7 +562,7 @@ def rb25(s, d):
 # --- serving and checks ------------------------------------------------------------------------------------------------------
 
 _LATEST = "(select model_version from pred order by created_at desc, model_version desc limit 1)"
-_NOW = "2024-01-16 23:40:00"
+_NOW = "2024-01-30 23:40:00"
 
 
 @query("sv01_02_freshness", over("pred snap", f"select (select max(fetched_at) from snap) as latest_snapshot, max(hour_start) as last_hour from pred where model_version = {_LATEST}"))
@@ -554,7 +575,7 @@ def sv03(s, d):
     return serving.list_stations(A.stations(s, d), "D3").select("station_id", "district", "docks")
 
 
-@query("sv04_station_detail", over("dim snap pred", f"select s.station_id, s.docks, c.fetched_at, c.bike_count, p.hour_start, p.predicted_rentals from (select * from dim where station_id = 'ST-7') s left join (select * from snap where station_id = 'ST-7' order by fetched_at desc limit 1) c using (station_id) left join (select * from pred where station_id = 'ST-7' and model_version = {_LATEST} and hour_start >= '2024-01-16 23:00:00' and hour_start < '2024-01-17 05:00:00') p using (station_id)"))
+@query("sv04_station_detail", over("dim snap pred", f"select s.station_id, s.docks, c.fetched_at, c.bike_count, p.hour_start, p.predicted_rentals from (select * from dim where station_id = 'ST-7') s left join (select * from snap where station_id = 'ST-7' order by fetched_at desc limit 1) c using (station_id) left join (select * from pred where station_id = 'ST-7' and model_version = {_LATEST} and hour_start >= '2024-01-30 23:00:00' and hour_start < '2024-01-31 05:00:00') p using (station_id)"))
 def sv04(s, d):
     return serving.station_detail(A.stations(s, d), A.snapshots(s, d), A.predictions(s, d), "ST-7", _NOW).select("station_id", "docks", "fetched_at", "bike_count", "hour_start", "predicted_rentals")
 

@@ -14,21 +14,22 @@ from ..streaming import streams
 from .oracle import over
 from .registry import _AUC, _DRAWS, _RANK, main_rows, query, r6
 
-_FILES = "(select o_orderkey, 'trips_' || strftime(o_orderdate, '%y%m') || '.csv' as source_file, strftime(o_orderdate, '%Y-%m') as month from orders)"
+#: Orders are moved eight years on, as file names have two digits for years from 2000 on.
+_FILES = "(select o_orderkey, 'trips_' || strftime(o_orderdate + interval 8 year, '%y%m') || '.csv' as source_file, strftime(o_orderdate + interval 8 year, '%Y-%m') as month from orders)"
 
 
 def files(s: SparkSession, d: str) -> DataFrame:
-    """A landed file name for each order's month (years from 2000 on have the century the rule adds)."""
-    o = A.table(s, d, "orders").where("o_orderdate >= timestamp_ntz'2000-01-01'")
-    return o.select("o_orderkey", "o_orderdate", F.concat(F.lit("trips_"), F.date_format("o_orderdate", "yyMM"), F.lit(".csv")).alias("source_file")).withColumn("month", parse.month_of_file(F.col("source_file")))
+    """A landed file name for each order's month, eight years on (the century is added by rule)."""
+    o = A.table(s, d, "orders").withColumn("day", F.add_months("o_orderdate", 96))
+    return o.select("o_orderkey", F.concat(F.lit("trips_"), F.date_format("day", "yyMM"), F.lit(".csv")).alias("source_file")).withColumn("month", parse.month_of_file(F.col("source_file")))
 
 
-@query("sr04_month_of_file", f"select month, count(*) as n from {_FILES} where month >= '2000-01' group by 1")
+@query("sr04_month_of_file", f"select month, count(*) as n from {_FILES} group by 1")
 def sr04(s, d):
     return files(s, d).groupBy("month").agg(F.count("*").alias("n"))
 
 
-@query("sr05_duplicate_periods", f"select month, count(distinct source_file || (o_orderkey % 2)) as sources from {_FILES} where month >= '2000-01' group by 1 having count(distinct source_file || (o_orderkey % 2)) > 1")
+@query("sr05_duplicate_periods", f"select month, count(distinct source_file || (o_orderkey % 2)) as sources from {_FILES} group by 1 having count(distinct source_file || (o_orderkey % 2)) > 1")
 def sr05(s, d):
     return readers.duplicate_periods(files(s, d).withColumn("source_file", F.concat("source_file", F.col("o_orderkey") % 2)))
 
@@ -38,9 +39,9 @@ def sr07(s, d):
     return readers.latest_period(files(s, d)).withColumn("last_day", F.col("last_day").cast("string"))
 
 
-@query("sr10_pending_months", f"select strftime(m, '%Y-%m') as month from (select unnest(generate_series(date '1999-06-01', date '2002-03-01', interval 1 month)) as m) where strftime(m, '%Y-%m') not in (select month from {_FILES} where month >= '2000-01') and last_day(m) < date '2002-02-28'")
+@query("sr10_pending_months", f"select strftime(m, '%Y-%m') as month from (select unnest(generate_series(date '2002-06-01', date '2010-03-01', interval 1 month)) as m) where strftime(m, '%Y-%m') not in (select month from {_FILES}) and last_day(m) < date '2010-02-28'")
 def sr10(s, d):
-    return readers.pending_months(readers.month_range(s, "1999-06", "2002-03"), files(s, d), "2002-02-28")
+    return readers.pending_months(readers.month_range(s, "2002-06", "2010-03"), files(s, d), "2010-02-28")
 
 
 @query("sr15_issue_calendar", "with n as (select date_trunc('second', max(ts)) as now from events) select day + to_hours(h) as base_at from n, (select unnest(range(-2, 1)) as k), (select unnest([2, 5, 8, 11, 14, 17, 20, 23]) as h), lateral (select date_trunc('day', now) + to_days(k::int) as day) where day + to_hours(h) + interval 10 minute <= now and day + to_hours(h) > now - interval 24 hour")
@@ -54,9 +55,12 @@ def sr16(s, d):
     return readers.missing_issues(A.issues(s, d).select("base_at"), landed)
 
 
-@query("sr18_holidays", "select distinct ts::date::varchar as holiday_date from events where ts::date in (date '2024-01-01', date '2024-01-15')")
+@query("sr18_holidays", "select ts::date::varchar as holiday_date, min(event_type) as holiday_name from events where event_type in ('click', 'error') group by 1")
 def sr18(s, d):
-    return A.holidays(s, d).select(F.col("holiday_date").cast("string").alias("holiday_date"))
+    """A seed of days and names, written as CSV and read back; a day named twice is one row."""
+    path = sinks.scratch_folder(s)
+    A.table(s, d, "events").where("event_type in ('click', 'error')").select(F.to_date("ts").cast("string").alias("holiday_date"), F.col("event_type").alias("holiday_name")).write.option("header", "true").csv(path)
+    return readers.read_holidays(s, path).select(F.col("holiday_date").cast("string").alias("holiday_date"), "holiday_name")
 
 
 @query("sr19_insert_ignore", "select user_id, event_type, count(*) as n from (select distinct user_id, event_type, ts::date as day from events) e where not exists (select 1 from events t where t.event_id % 3 = 0 and t.user_id = e.user_id and t.event_type = e.event_type and t.ts::date = e.day) group by all")
@@ -84,18 +88,21 @@ def sr22(s, d):
     return sinks.discover_stations(A.snapshots(s, d), known)
 
 
-@query("sr24_pending_days", over("snap", "select fetched_at::date::varchar as day, count(distinct fetched_at) as files from snap where fetched_at::date > date '2024-01-09' and day(fetched_at) % 2 = 0 group by 1"))
+@query("sr24_pending_days", over("snap", "select fetched_at::date::varchar as day, count(distinct fetched_at) as files from snap where fetched_at::date > date '2024-01-23' and day(fetched_at) % 2 = 0 group by 1"))
 def sr24(s, d):
     landed = A.snapshots(s, d).select(F.to_date("fetched_at").alias("day"), F.date_format("fetched_at", "HHmm").alias("file")).distinct()
     manifest = landed.where((F.dayofmonth("day") % 2 != 0) | (F.col("file") != "0500"))
-    return sinks.pending_days(landed, manifest, "2024-01-16").select(F.col("day").cast("string").alias("day"), F.size("landed").cast("long").alias("files"))
+    return sinks.pending_days(landed, manifest, "2024-01-30").select(F.col("day").cast("string").alias("day"), F.size("landed").cast("long").alias("files"))
 
 
 @query("sr27_predictions_upsert", over("pred", "select model_version, count(*) as n, round(sum(case when hour(hour_start) = 12 then predicted_rentals + 1 else predicted_rentals end), 6) as total from pred group by 1"))
 def sr27(s, d):
-    p = A.predictions(s, d).withColumn("updated_at", F.col("created_at"))
-    again = p.where(F.hour("hour_start") == 12).withColumns({"predicted_rentals": F.col("predicted_rentals") + 1, "updated_at": T.plus_hours(F.col("created_at"), 1)})
-    return r6(sinks.merged(p, again, ["station_id", "hour_start", "model_version"]).groupBy("model_version").agg(F.count("*").alias("n"), F.sum("predicted_rentals").alias("total")), "total")
+    """Predictions written, and the noon hours written again with other values."""
+    path, p = sinks.scratch_folder(s), A.predictions(s, d)
+    sinks.write_predictions(path, p)
+    again = p.where(F.hour("hour_start") == 12).withColumns({"predicted_rentals": F.col("predicted_rentals") + 1, "created_at": T.plus_hours(F.col("created_at"), 1)})
+    sinks.write_predictions(path, again)
+    return r6(s.read.parquet(path).groupBy("model_version").agg(F.count("*").alias("n"), F.sum("predicted_rentals").alias("total")), "total")
 
 
 @query("fe14_level_coverage", over("halves", "select round(avg((p.half_mean is not null)::int), 6) as coverage from halves h left join halves p on p.station_id = h.station_id and p.half = h.half - 2"))
@@ -153,23 +160,31 @@ def mt08(s, d):
     from ..operators.weather import top_lists
 
     m = main_rows(s, d).withColumn("gap", F.col("e") - F.col("b0"))
-    lists = top_lists(m.where("gap > 0"), "as_of", "gap", "station_id", 10)
-    each = lists.groupBy("as_of").agg(F.avg(F.when(F.col("ok"), F.col("y"))).alias("p"), F.avg(F.when(F.col("ok"), (F.col("b0") == 0).cast("int"))).alias("empty"), F.count("*").alias("n"))
-    return r6(each.agg(F.count("p").alias("issues"), F.avg("p").alias("precision"), F.avg("empty").alias("already_empty_share"), F.avg("n").alias("mean_list_length")), "precision", "already_empty_share", "mean_list_length")
+    return r6(metrics.list_precision(top_lists(m.where("gap > 0"), "as_of", "gap", "station_id", 10)), "precision", "already_empty_share", "mean_list_length")
 
 
-@query("mt13_mt14_decision", over("scored", "select case when low > 0 then 'length' when high < 0 then 'S1b' else 'S0' end as decision, round(low, 6) as low, round(high, 6) as high from (select quantile_cont(2 * auc - 1, 0.025) as low, quantile_cont(2 * auc - 1, 0.975) as high from (select replicate, sum(neg * (pa + 0.5 * pos)) / (sum(pos) * sum(neg)) as auc from s group by 1))").replace("\nselect case", f",\n{_DRAWS},\ng as (select replicate, score, sum(y * times)::double as pos, sum((1 - y) * times)::double as neg from scored join times using (day) group by all),\n{_RANK.format(part='partition by replicate ')}\nselect case"))
+@query("mt13_mt14_decision", over("scored", f"""with {_DRAWS},
+    g as (select replicate, score, sum(y * times)::double as pos, sum((1 - y) * times)::double as neg from scored join times using (day) group by all),
+    {_RANK.format(part='partition by replicate ')},
+    ends as (select quantile_cont(2 * auc - 1, 0.025) as low, quantile_cont(2 * auc - 1, 0.975) as high from (select replicate, sum(neg * (pa + 0.5 * pos)) / (sum(pos) * sum(neg)) as auc from s group by 1)),
+    pairs as (select sum((a.score > b.score)::int + 0.5 * (a.score = b.score)::int) / count(*) as auc from scored a join scored b on a.y = 1 and b.y = 0),
+    first as (select *, case when low > 0 then 'length' when high < 0 then 'S1b' else 'S0' end as decision from ends cross join pairs)
+    select decision, case when low > 0 and auc >= 1 - auc then 'N' else decision end as final, round(low, 6) as low, round(high, 6) as high, round(auc, 6) as auc from first""").replace("\nwith days as", ",\ndays as"))
 def mt13(s, d):
     t = A.scored(s, d)
     both = t.withColumn("candidate", F.lit("length")).unionByName(t.withColumn("score", -F.col("score")).withColumn("candidate", F.lit("inverse")))
-    ci = metrics.paired_interval(metrics.bootstrap_rank_metrics(both, "score", "y", "day", 50, ["candidate"]), "candidate", "length", "inverse")
-    return r6(ci.select(metrics.decide(F.col("low"), F.col("high"), "length").alias("decision"), "low", "high"), "low", "high")
+    table = metrics.candidate_report(both, "day", "inverse", 50).where("candidate = 'length'")
+    first = metrics.decide(F.col("low"), F.col("high"), "length")
+    final = metrics.decide_final(first, [F.col("low")], F.lit(0.1), F.lit(0.2), F.col("auc"), 1 - F.col("auc"), F.lit(12))
+    return r6(table.select(first.alias("decision"), final.alias("final"), "low", "high", "auc"), "low", "high", "auc")
 
 
-@query("mt15_horizon_report", over("scored", f"select h::int as horizon, {_AUC} from s group by 1").replace("\nselect h", f",\ng as (select h, score, sum(y)::double as pos, sum(1 - y)::double as neg from scored cross join (select unnest(range(1, 7)) as h) where doc_id % 7 <> h group by all),\n{_RANK.format(part='partition by h ')}\nselect h"))
+@query("mt15_horizon_report", over("scored", f"""with g as (select h, score, sum(y)::double as pos, sum(1 - y)::double as neg from scored cross join (select unnest(range(1, 7)) as h) where doc_id % 7 <> h group by all),
+    {_RANK.format(part='partition by h ')}
+    select h::int as horizon, sum(pos + neg)::bigint as rows, sum(pos)::bigint as positives, {_AUC} from s group by 1""").replace("\nwith g as", ",\ng as"))
 def mt15(s, d):
     t = A.scored(s, d).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(6)))).where("doc_id % 7 <> horizon")
-    return r6(metrics.rank_metrics(metrics.score_groups(t, "score", "y", ["horizon"]), ["horizon"]), "auc", "average_precision")
+    return r6(metrics.horizon_report(t, "score", "y"), "auc", "average_precision")
 
 
 @query("rb10_relocation_report")
@@ -181,7 +196,12 @@ def rb10(s, d):
 
 @query("st05_day_routing", over("snap", "select fetched_at::date::varchar as day, count(*) as n from snap group by 1"))
 def st05(s, d):
-    return A.snapshots(s, d).groupBy(F.to_date("fetched_at").cast("string").alias("day")).agg(F.count("*").alias("n"))
+    """The sink's writer, twice on the same rows: each lands once, in the folder of its day."""
+    path = sinks.scratch_folder(s)
+    rows = A.snapshots(s, d).withColumn("day", F.to_date("fetched_at"))
+    for _ in range(2):
+        sinks.insert_ignore(path, rows, ["station_id", "fetched_at"], "day")
+    return s.read.parquet(path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
 @query("st06_slot_coverage", over("snap", "select time_bucket(interval 10 minute, fetched_at) as slot_start, count(*) as rows, count(distinct station_id) as stations from snap group by 1"))
@@ -189,15 +209,15 @@ def st06(s, d):
     return streams.slot_coverage_batch(A.snapshots(s, d))
 
 
-@query("st07_latest_state", over("snap", "select station_id, max(fetched_at) as fetched_at, arg_max(bike_count, fetched_at) as bike_count from snap where fetched_at >= timestamp '2024-01-16 23:00:00' group by 1"))
+@query("st07_latest_state", over("snap", "select station_id, max(fetched_at) as fetched_at, arg_max(bike_count, fetched_at) as bike_count from snap where fetched_at >= timestamp '2024-01-30 23:00:00' group by 1"))
 def st07(s, d):
-    return pit.latest_state(A.snapshots(s, d), after=F.lit("2024-01-16 23:00:00").cast("timestamp_ntz"))
+    return pit.latest_state(A.snapshots(s, d), after=F.lit("2024-01-30 23:00:00").cast("timestamp_ntz"))
 
 
-@query("st09_zero_alerts", over("win", "select as_of, station_id, min(fetched_at) as first_zero from win where bike_count = 0 group by all"))
+@query("st09_zero_alerts", over("win pred", "select w.as_of, w.station_id, min(fetched_at) as first_zero from win w join (select distinct station_id, created_at as as_of from pred) p on p.as_of = w.as_of and p.station_id = w.station_id where bike_count = 0 group by all"))
 def st09(s, d):
-    w = pit.window_rows(A.issues(s, d).select("as_of"), A.snapshots(s, d).where("bike_count = 0"), 3)
-    return w.groupBy("as_of", "station_id").agg(F.min("fetched_at").alias("first_zero"))
+    rows = A.predictions(s, d).select(F.col("created_at").alias("as_of"), "station_id").distinct()
+    return streams.zero_alerts_batch(rows, A.snapshots(s, d))
 
 
 @query("so01_union_months", over("lgrid", "select month(hour_start)::int as month, sum(rentals)::bigint as rentals from lgrid where month(hour_start) in (1, 2) group by 1"))
@@ -237,9 +257,143 @@ def rb21(s, d):
     return shortage.issue_log(main_rows(s, d), shortage.issue_status(A.issues(s, d).select("as_of"), A.snapshots(s, d)))
 
 
-@query("mt17_full_report", over("rows3", """select 'rows' as metric, 'all' as grp, count(*)::double as value from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
-    union all select 'issues', 'all', count(distinct as_of) from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
-    union all select 'positive_rate', 'all', round(avg(y), 6) from rows3 where b0 >= 1 and ok and e is not null and r is not null and q is not null
-    union all select 'rows', 'b0>=' || k, count(*) from rows3 cross join (select unnest([2, 3]) as k) where b0 >= k and ok and e is not null and r is not null and q is not null group by k"""))
+_MAIN = "b0 >= 1 and ok and e is not null and r is not null and q is not null"
+
+
+@query("mt17_full_report", over("rows3", f"""with m as (select *, e - b0 as score from rows3 where {_MAIN}), strata as (select *, unnest(case when b0 >= 3 then ['all', 'b0>=2', 'b0>=3'] when b0 >= 2 then ['all', 'b0>=2'] else ['all'] end) as grp from m),
+    g as (select grp, score, sum(y)::double as pos, sum(1 - y)::double as neg from strata group by all),
+    {_RANK.format(part='partition by grp ')}, ranks as (select grp, {_AUC} from s group by 1)
+    select 'rows' as metric, 'all' as grp, count(*)::double as value from m union all select 'issues', 'all', count(distinct as_of) from m union all select 'positive_rate', 'all', round(avg(y), 6) from m
+    union all select 'rows', grp, count(*) from strata where grp <> 'all' group by 2 union all select 'auc', grp, auc from ranks union all select 'average_precision', grp, average_precision from ranks""").replace("\nwith m as", ",\nm as"))
 def mt17(s, d):
-    return metrics.full_report(main_rows(s, d)).withColumn("value", F.round("value", 6)).where("metric in ('rows', 'issues', 'positive_rate')")
+    return metrics.full_report(main_rows(s, d)).withColumn("value", F.round("value", 6))
+
+
+# --- files that are written and read back -----------------------------------------------------------------------------------
+
+
+_HEADERS = {f"column {i}": c for i, c in enumerate(readers.TRIP_COLUMNS)}
+
+
+@query("sr01_03_trip_csv", "select 'trips_24' || right('0' || (1 + event_id % 3), 2) || '.csv' as source_file, '2024-' || right('0' || (1 + event_id % 3), 2) as month, count(*) as n, count(*) filter (where event_type <> 'error') as returned, count(distinct user_id) as bikes from events group by all")
+def sr01(s, d):
+    """Trips of three months as CSV files with other header names, one column missing, and the reader over them. A file is a folder here, as Spark
+    writes them, so its own name stands in for the file's."""
+    path, t = sinks.scratch_folder(s), A.table(s, d, "events")
+    out = []
+    for m in ("01", "02", "03"):
+        rows = t.where(1 + F.col("event_id") % 3 == int(m))
+        columns = {"bike_no": F.concat(F.lit("B"), "user_id"), "rented_at": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "return_station_no": F.when(F.col("event_type") == "error", "\\N").otherwise(F.col("event_id").cast("string"))}
+        file = rows.select(*(columns.get(c, F.lit("")).alias(h) for h, c in _HEADERS.items() if c not in readers.OPTIONAL_COLUMNS))
+        sinks.write_csv_file(file, f"{path}/trips_24{m}.csv")
+        out.append(readers.read_trip_csv(s, [f"{path}/trips_24{m}.csv"], _HEADERS, encoding="UTF-8", named=f"trips_24{m}.csv"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("source_file", "month").agg(F.count("*").alias("n"), F.count("return_station_no").alias("returned"), F.countDistinct("bike_no").alias("bikes"))
+
+
+@query("sr06_sr17_month_partitions", f"select month, count(*) as n, sum(case when month = '2005-03' then -1 else o_orderkey end)::bigint as keys from {_FILES} where month in ('2005-02', '2005-03', '2005-04') group by 1")
+def sr06(s, d):
+    """Partitions by month; one of them is written again, and three are scanned."""
+    path, f = sinks.scratch_folder(s), files(s, d)
+    sinks.write_month_partition(f.select("o_orderkey", "month"), path)
+    sinks.write_month_partition(f.where("month = '2005-03'").select(F.lit(-1).cast("long").alias("o_orderkey"), "month"), path)
+    return readers.scan_months(s, path, ["2005-02", "2005-03", "2005-04"]).groupBy("month").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("sr08_station_sheets", over("snaps_st", "select snapshot, count(*) as n, count(district) as districts, sum(docks)::bigint as docks from snaps_st where snapshot < '2020' group by 1"))
+def sr08(s, d):
+    """A sheet for each half-year with its header rows; files are named by half-year."""
+    path, st = sinks.scratch_folder(s), A.snapshots_of_stations(s, d)
+    blank = [F.lit("").alias(c) for c in readers.STATION_COLUMNS]
+    head = s.range(3).select("id", *(F.when(F.col("id") == 1, c).otherwise("title" if c == "station_no" else "").alias(c) for c in readers.STATION_COLUMNS)).drop("id")
+    values = {"station_no": F.concat(F.lit(" "), "station_no"), "district": F.coalesce("district", F.lit(" ")), "lcd_docks": F.col("docks").cast("string")}
+    for r in st.select("snapshot").distinct().where("snapshot < '2020'").collect():  # half-years are few
+        rows = st.where(F.col("snapshot") == r[0]).select(*(values.get(c, b).alias(c) for c, b in zip(readers.STATION_COLUMNS, blank, strict=True)))
+        sinks.write_csv_file(head.union(rows), f"{path}/stations_{r[0]}.csv", header=False)
+    got = readers.read_station_snapshots(s, f"{path}/*.csv")
+    return got.groupBy("snapshot").agg(F.count("*").alias("n"), F.count("district").alias("districts"), F.sum(F.col("lcd_docks").cast("int")).alias("docks"))
+
+
+_OBSERVATIONS = {"tm": "observed_at", "ta": "temp_c", "rn": "rain_mm"}
+
+
+@query("sr09_observations_json", over("obs0", "select count(*) as n, count(rain_mm) as rainy, sum(floor(temp_c))::bigint as temp_c from obs0"))
+def sr09(s, d):
+    path, o = sinks.scratch_folder(s), A.observations(s, d).where("observed_at < timestamp_ntz'2024-02-01'")
+    text = {"tm": F.col("observed_at").cast("string"), "ta": F.floor("temp_c").cast("string"), "rn": F.coalesce(F.col("rain_mm").cast("string"), F.lit(""))}
+    month = F.to_json(F.collect_list(F.struct(*(c.alias(n) for n, c in text.items()))))  # a month's file is one array of hours
+    o.groupBy(F.date_trunc("month", "observed_at")).agg(month.alias("value")).select("value").write.text(path)
+    got = readers.read_observations_json(s, path, _OBSERVATIONS)
+    return got.agg(F.count("*").alias("n"), F.count("rain_mm").alias("rainy"), F.sum(F.col("temp_c").cast("long")).alias("temp_c"))
+
+
+def _payloads(s: SparkSession, d: str) -> DataFrame:
+    """A landed payload for each time of two hours a day: its stations, and two pages with their totals; one time an hour repeats a station, one has a short page."""
+    snap = A.snapshots(s, d).where("hour(fetched_at) in (3, 9)")
+    fields = {"rackTotCnt": F.lit("10"), "stationName": F.col("station_id"), "parkingBikeTotCnt": F.col("bike_count").cast("string"), "shared": F.lit(""), "stationLatitude": F.lit("37"), "stationLongitude": F.lit("127"), "stationId": F.col("station_id")}
+    rows = snap.groupBy("fetched_at").agg(F.collect_list(F.struct(*(c.alias(n) for n, c in fields.items()))).alias("r"))
+    rows = rows.withColumn("r", F.when(F.minute("fetched_at") == 50, F.concat("r", F.slice("r", 1, 1))).otherwise(F.col("r")))
+    n = F.size("r")
+    return rows.select(F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), F.struct(F.col("r").alias("row")).alias("rentBikeStatus"), F.array(F.struct(n.alias("total"), F.when(F.minute("fetched_at") == 20, n - 1).otherwise(n).alias("rows")), F.struct(n.alias("total"), F.lit(0).alias("rows"))).alias("pages"))
+
+
+@query("sr11_snapshot_json", over("snap", "select strftime(fetched_at, '%Y-%m-%d %H:%M:%S') as fetched_at, count(*) + (minute(fetched_at) = 50)::int as n, count(distinct station_id) as stations, 0::bigint as shared from snap where hour(fetched_at) in (3, 9) group by 1, fetched_at"))
+def sr11(s, d):
+    path = sinks.scratch_folder(s)
+    _payloads(s, d).write.json(path)
+    return readers.snapshot_rows(s.read.schema(readers.SNAPSHOT_SCHEMA).json(path)).groupBy("fetched_at").agg(F.count("*").alias("n"), F.countDistinct("station_id").alias("stations"), F.count("shared").alias("shared"))
+
+
+@query("sr12_snapshot_pages", over("snap", "select distinct strftime(fetched_at, '%Y-%m-%d %H:%M:%S') as fetched_at from snap where hour(fetched_at) in (3, 9) and minute(fetched_at) in (20, 50)"))
+def sr12(s, d):
+    return readers.snapshot_page_faults(_payloads(s, d)).select("fetched_at")
+
+
+def _issue_files(s: SparkSession, d: str) -> DataFrame:
+    """A landed file for each issue: two pages of items; one in five says another total on its second page."""
+    text = lambda c: F.date_format(c, "yyyyMMdd"), lambda c: F.date_format(c, "HHmm")
+    item = {"baseDate": text[0]("base_at"), "baseTime": text[1]("base_at"), "fcstDate": text[0]("target_at"), "fcstTime": text[1]("target_at"), "category": F.col("category"), "fcstValue": F.col("value"), "nx": F.lit(60), "ny": F.lit(127)}
+    f = A.forecast(s, d).groupBy("base_at", (F.unix_seconds(F.col("target_at").cast("timestamp")) % 2).alias("odd"), (F.hour("target_at") % 2).alias("page")).agg(F.collect_list(F.struct(*(c.alias(n) for n, c in item.items()))).alias("items"))
+    total = F.lit(288) + F.when((F.hour("base_at") == 11) & (F.col("page") == 1), 1).otherwise(0)
+    pages = f.groupBy("base_at").agg(F.collect_list(F.struct(total.alias("total"), "items")).alias("pages"))
+    return pages.select(F.date_format("base_at", "yyyy-MM-dd HH:mm").alias("base_at"), F.lit(60).alias("nx"), F.lit(127).alias("ny"), F.date_format("base_at", "yyyy-MM-dd HH:mm").alias("fetched_at"), "pages")
+
+
+@query("sr13_sr23_forecasts", over("forecast", "select base_at, category, count(*) as n, min(target_at) as first_target, max(value) as top from forecast group by all"))
+def sr13(s, d):
+    """Issue files read, and loaded twice: the second load adds nothing."""
+    path, target = sinks.scratch_folder(s), sinks.scratch_folder(s)
+    _issue_files(s, d).write.json(path)
+    for _ in range(2):
+        sinks.load_forecasts(target, readers.forecast_rows(s.read.schema(readers.FORECAST_SCHEMA).json(path)))
+    return s.read.parquet(target).groupBy("base_at", "category").agg(F.count("*").alias("n"), F.min("target_at").alias("first_target"), F.max("value").alias("top"))
+
+
+@query("sr14_forecast_pages", over("issues", "select strftime(base_at, '%Y-%m-%d %H:%M') as base_at from issues where hour(base_at) = 11"))
+def sr14(s, d):
+    return readers.forecast_page_faults(_issue_files(s, d)).select("base_at")
+
+
+@query("sr25_sr26_artifacts", over("rq", "select count(*) as n, round(sum(rent_mean), 6) as rent_mean, 0::bigint as optional from rq"))
+def sr25(s, d):
+    path = sinks.scratch_folder(s)
+    sinks.write_artifacts({"profile": features.season_profile(A.hourly(s, d), A.grid(s, d), A.calendar(s, d), "2024-01-01", "2024-02-01")}, path)
+    got = sinks.read_artifacts(s, path, ["profile"], {"levels": "station_id string, level double"})
+    return r6(got["profile"].agg(F.count("*").alias("n"), F.sum("rent_mean").alias("rent_mean"), F.lit(got["levels"].count()).cast("long").alias("optional")), "rent_mean")
+
+
+@query("sr28_generations", "select 'second' as generation, count(*) as n from events where event_type = 'click'")
+def sr28(s, d):
+    """Two generations of a table; readers see the one that was published last."""
+    path, e = sinks.scratch_folder(s), A.table(s, d, "events")
+    sinks.publish_generation({"events": e}, path, "first")
+    sinks.publish_generation({"events": e.where("event_type = 'click'")}, path, "second")
+    now = sinks.current_generation(s, path)
+    return s.read.parquet(f"{path}/generation={now}/events").agg(F.lit(now).alias("generation"), F.count("*").alias("n"))
+
+
+@query("sr29_report_rows", over("rows3", f"select 'rows' as metric, 'b0=' || b0 as grp, count(*)::double as value from rows3 where {_MAIN} group by 2"))
+def sr29(s, d):
+    path = sinks.scratch_folder(s)
+    rows = main_rows(s, d).where("reason = 'main'").groupBy("b0").agg(F.count("*").cast("double").alias("value"))
+    sinks.write_report(rows.select(F.lit("rows").alias("metric"), F.concat(F.lit("b0="), "b0").alias("group"), "value"), path)
+    return s.read.schema("metric string, `group` string, value double").json(path).withColumnRenamed("group", "grp")

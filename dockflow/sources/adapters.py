@@ -17,8 +17,8 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def trips(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    rent = (F.col("user_id") % 40).cast("int")
-    back = F.when(F.col("event_type") == "error", F.lit(None)).when(F.col("event_id") % 5 == 0, rent).otherwise((F.col("event_id") % 40).cast("int"))
+    rent = F.col("user_id").cast("int")
+    back = F.when(F.col("event_type") == "error", F.lit(None)).when(F.col("event_id") % 5 == 0, rent).otherwise((F.col("user_id") + F.col("event_id") % 7).cast("int"))
     t = e.select(
         "event_id", F.concat(F.lit("B"), F.col("user_id")).alias("bike_no"), F.col("ts").alias("rented_at"), plus_minutes(F.col("ts"), F.floor("value").cast("int")).alias("returned_at"), rent.alias("rent_station_no"), back.alias("return_station_no"),
         F.concat(F.lit("ST-"), rent).alias("rent_station_id"), F.concat(F.lit("ST-"), back).alias("return_station_id"), F.floor(F.col("value") / 10).cast("int").alias("duration_min"), (F.col("value") * 10).alias("distance_m"))
@@ -56,10 +56,15 @@ def full_calendar(spark: SparkSession, d: str) -> DataFrame:
     return marts.attach_weather(calendar(spark, d), weather(spark, d))
 
 
+def station_days(spark: SparkSession, d: str) -> DataFrame:
+    """A station for each user, on the days with events of theirs."""
+    return table(spark, d, "events").select(F.col("user_id").cast("int").alias("s"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).distinct()
+
+
 def snapshots_of_stations(spark: SparkSession, d: str) -> DataFrame:
-    """Half-yearly station info; numbers are the suppliers' and users' modulo 40, every fifth pair is missing."""
+    """Half-yearly info on the users' stations; every fifth pair is missing."""
     months = table(spark, d, "orders").select(F.year("o_orderdate").alias("y")).distinct().select("y", F.explode(F.array(F.lit(6), F.lit(12))).alias("m")).union(spark.createDataFrame([(2023, 6), (2023, 12)], "y int, m int"))
-    numbers = table(spark, d, "events").select((F.col("user_id") % 40).cast("int").alias("station_no")).distinct()
+    numbers = table(spark, d, "events").select(F.col("user_id").cast("int").alias("station_no")).distinct()
     key = F.col("y") * 12 + F.col("m") - 1
     s = numbers.crossJoin(F.broadcast(months)).where((F.col("station_no") + key) % 5 != 0)
     return s.select(
@@ -86,7 +91,7 @@ def levels_grid(spark: SparkSession, d: str) -> DataFrame:
 
 def issues(spark: SparkSession, d: str) -> DataFrame:
     """Eight issues a day at 02, 05, .. 23 on the events' days."""
-    days = table(spark, d, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).distinct().where("day between timestamp_ntz'2024-01-10' and timestamp_ntz'2024-01-16'")
+    days = station_days(spark, d).select("day").distinct()
     base = plus_hours(F.col("day"), F.col("h"))
     return days.withColumn("h", F.explode(F.sequence(F.lit(2), F.lit(23), F.lit(3)))).select(base.alias("base_at"), plus_minutes(base, 15).alias("as_of"))
 
@@ -104,16 +109,16 @@ def forecast(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, d: str) -> DataFrame:
-    """Ten-minute bike counts of 40 stations for a week; some cells are absent."""
-    days = table(spark, d, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).distinct().where("day between timestamp_ntz'2024-01-10' and timestamp_ntz'2024-01-16'")
-    t = days.select(F.explode(F.sequence(F.col("day"), plus_minutes(F.col("day"), 1430), F.expr("interval 10 minute"))).alias("fetched_at")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    """Ten-minute bike counts of the stations on their days; some cells are absent."""
+    t = station_days(spark, d).select("s", F.explode(F.sequence(F.col("day"), plus_minutes(F.col("day"), 1430), F.expr("interval 10 minute"))).alias("fetched_at"))
     slot = slot_of(F.col("fetched_at"))
     return t.where((F.col("s") * 31 + slot) % 53 != 0).select(F.concat(F.lit("ST-"), "s").alias("station_id"), "fetched_at", ((F.col("s") * 7 + slot * 3 + F.floor(epoch(F.col("fetched_at")) / 7200) * F.col("s")) % 9).cast("int").alias("bike_count"))
 
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:
     """Eight hours an issue from one version each; some hours are absent."""
-    p = issues(spark, d).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(39)))).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    base = plus_hours(F.col("day"), F.col("h"))
+    p = station_days(spark, d).withColumn("h", F.explode(F.sequence(F.lit(2), F.lit(23), F.lit(3)))).select("s", base.alias("base_at"), plus_minutes(base, 15).alias("as_of")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7))))
     hour = plus_hours(F.col("base_at"), F.col("k"))
     number = F.floor(epoch(F.col("base_at")) / 10800)
     return p.where((F.col("s") + F.hour(hour)) % 41 != 0).select(

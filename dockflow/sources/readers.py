@@ -30,9 +30,9 @@ def check_headers(found: list[str], known: dict[str, str], optional: set[str] =
     return [known[h] for h in found]
 
 
-def read_trip_csv(spark: SparkSession, paths: list[str], headers: dict[str, str], encoding: str = "MS949") -> DataFrame:
+def read_trip_csv(spark: SparkSession, paths: list[str], headers: dict[str, str], encoding: str = "MS949", named: str | None = None) -> DataFrame:
     r"""Trip files as strings in a fixed column order; ``\N`` and empty values are NULL, also when quoted (SR-01..03). ``headers``
-    maps the files' header names to ours. Only header lines come to the driver. Korean charsets need
+    maps the files' header names to ours; ``named``: the name that counts where a file is a folder of parts. Only header lines come to the driver. Korean charsets need
     ``spark.sql.legacy.javaCharsets``."""
     parts = []
     for path in paths:
@@ -40,7 +40,7 @@ def read_trip_csv(spark: SparkSession, paths: list[str], headers: dict[str, str]
         names = check_headers([h for h in header if h is not None], headers)
         schema = ", ".join(f"`{n}` string" for n in names)
         df = spark.read.schema(schema).option("header", "true").option("encoding", encoding).option("nullValue", "\\N").option("emptyValue", "").option("enforceSchema", "true").csv(path)
-        df = df.withColumn("source_file", F.col("_metadata.file_name"))
+        df = df.withColumn("source_file", F.lit(named) if named else F.col("_metadata.file_name"))
         parts.append(df.select(*((F.nullif(blank_to_null(c), F.lit("\\N")) if c in names else F.lit(None).cast("string")).alias(c) for c in TRIP_COLUMNS), "source_file"))
     out = parts[0]
     for p in parts[1:]:
@@ -67,7 +67,7 @@ def latest_period(files: DataFrame, period: str = "month") -> DataFrame:
 def read_station_snapshots(spark: SparkSession, path: str, header: str = "station_no") -> DataFrame:
     """Exported station sheets: the five header rows are dropped after their column was checked, ten columns by position, trimmed, blank
     to NULL, no row without a number; the snapshot is in the file name (SR-08)."""
-    raw = spark.read.schema(", ".join(f"{c} string" for c in STATION_COLUMNS)).option("header", "false").csv(path).withColumn("source_file", F.col("_metadata.file_name"))
+    raw = spark.read.schema(", ".join(f"{c} string" for c in STATION_COLUMNS)).option("header", "false").csv(path).withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*[0-9]{4}-[0-9]{2}[^/]*)", 1))
     headed = raw.groupBy("source_file").agg(F.max((F.trim("station_no") == header).cast("int")).alias("ok")).where("ok is null or ok = 0").limit(1).collect()
     if headed:
         raise ValueError(f"no header row in {headed[0][0]}")

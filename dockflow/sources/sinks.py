@@ -3,6 +3,8 @@ results out of sight."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,16 @@ def write_month_partition(df: DataFrame, path: str, partition: str = "month") ->
     df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder beside the warehouse, which a cluster's nodes share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def write_csv_file(df: DataFrame, path: str, header: bool = True) -> None:
+    """One CSV part of a file that is small by nature (a month's export)."""
+    df.coalesce(1).write.mode("overwrite").option("header", header).option("emptyValue", "").csv(path)
+
+
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     try:
         return spark.read.schema(like.schema).parquet(path)
@@ -23,17 +35,25 @@ def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def unseen(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """First row of each key of ``rows`` that ``target`` lacks (SR-19)."""
-    return rows.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
+    """Of each key of ``rows`` that ``target`` lacks, one row: the lowest by its other columns (SR-19)."""
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, *(F.col(f"__r.{c}").alias(c) for c in rest)) if rest else rows.distinct()
+    return one.select(*rows.columns).join(target.select(*keys).distinct(), keys, "left_anti")
 
 
-def insert_ignore(path: str, rows: DataFrame, keys: list[str]) -> int:
-    """Append unseen keys; the number of rows added. Running it again adds none."""
-    new = unseen(read_or_empty(rows.sparkSession, path, rows), rows, keys).persist()
+def insert_ignore(path: str, rows: DataFrame, keys: list[str], partition: str | None = None) -> int:
+    """Append unseen keys; the number of rows added. Running it again adds none. With ``partition``, a column that the keys decide, only the
+    folders of the partitions that ``rows`` holds are read and written (a batch holds few)."""
+    target = read_or_empty(rows.sparkSession, path, rows)
+    if partition:
+        held = [r[0] for r in rows.select(partition).distinct().collect()]
+        target = target.where(F.col(partition).isin(held))
+    new = unseen(target, rows, keys).persist()
     try:
         n = new.count()
         if n:
-            new.write.mode("append").parquet(path)
+            out = new.write.mode("append")
+            (out.partitionBy(partition) if partition else out).parquet(path)
         return n
     finally:
         new.unpersist()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.pit import window_rows
 from ..sources.readers import SNAPSHOT_SCHEMA, snapshot_rows
 from ..sources.sinks import insert_ignore, load_snapshots
 
@@ -31,9 +32,10 @@ def dedupe_stream(stream: DataFrame, late: str = LATE) -> DataFrame:
 
 
 def write_once(stream: DataFrame, path: str, checkpoint: str, keys: list[str], partition: str | None = "day", available_now: bool = True) -> StreamingQuery:
-    """Exactly-once sink: a batch adds only unseen keys, so a replay adds none (ST-02). The collection time decides the day (ST-05)."""
+    """Exactly-once sink: a batch adds only unseen keys, so a replay adds none (ST-02). The collection time, which is one of the keys, decides
+    the day, whose folder alone is read and written (ST-05)."""
     def sink(batch: DataFrame, _: int) -> None:
-        insert_ignore(path, batch.withColumn("day", F.to_date("fetched_at")) if partition else batch, keys)
+        insert_ignore(path, batch.withColumn(partition, F.to_date("fetched_at")) if partition else batch, keys, partition)
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")).start()
@@ -58,8 +60,17 @@ def score_issues(forecasts: DataFrame, score: Callable[[DataFrame, int], None],
     return forecasts.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def zero_alerts(issues: DataFrame, snapshots: DataFrame, hours: int = 3, late: str = "1 hour") -> DataFrame:
-    """Issues with the snapshots that reach zero inside their horizon, by a stream-stream left join with both watermarks (ST-09)."""
-    i = issues.withWatermark("as_of", late)
-    z = snapshots.where("bike_count = 0").select("station_id", F.col("fetched_at").alias("zero_at")).withWatermark("zero_at", late)
-    return i.join(z, F.expr(f"zero_at > as_of and zero_at <= as_of + interval {hours} hours"), "leftOuter")
+def zero_alerts(rows: DataFrame, snapshots: DataFrame, hours: int = 3, late: str = "1 hour") -> DataFrame:
+    """First zero of each issue and station within its horizon (ST-09), from streams of issue rows (as_of, station_id) and of snapshots: a
+    stream-stream join on the station with both watermarks, whose matches are folded by issue. An alert comes out when its horizon is over."""
+    i = rows.select("as_of", "station_id").withWatermark("as_of", late)
+    z = snapshots.where("bike_count = 0").select(F.col("station_id").alias("zero_station"), F.col("fetched_at").alias("zero_at")).withWatermark("zero_at", late)
+    met = i.join(z, F.expr(f"station_id = zero_station and zero_at > as_of and zero_at <= as_of + interval {hours} hours"))
+    return met.groupBy("as_of", "station_id").agg(F.min("zero_at").alias("first_zero"))
+
+
+def zero_alerts_batch(rows: DataFrame, snapshots: DataFrame, hours: int = 3) -> DataFrame:
+    """The batch twin: the same join by station and hour."""
+    zeros = snapshots.where("bike_count = 0").select("station_id", F.col("fetched_at").alias("zero_at"))
+    met = window_rows(rows.select("as_of", "station_id"), zeros, hours, time="zero_at", by=["station_id"])
+    return met.groupBy("as_of", "station_id").agg(F.min("zero_at").alias("first_zero"))

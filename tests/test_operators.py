@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def test_reliability_has_every_bin(spark):
 
 @pytest.mark.parametrize("phi", [1.0, 2.0])
 def test_net_outflow_against_sums(spark, phi):
-    cases = [(1, 2, 3.0, 1.5), (2, 1, 0.5, 2.0), (3, 4, 6.0, 0.0)]
+    cases = [(1, 2, 3.0, 1.5), (2, 1, 0.5, 2.0), (3, 4, 6.0, 0.0), (4, 0, 2.0, 2.0), (5, 9, 4.0, 4.0)]
 
     def pmf(k, m):
         m = max(m, 1e-12)
@@ -104,7 +105,7 @@ def test_net_outflow_against_sums(spark, phi):
         return math.exp(math.lgamma(n + k) - math.lgamma(n) - math.lgamma(k + 1) + n * math.log(1 / phi) + k * math.log(1 - 1 / phi))
 
     d = spark.createDataFrame(cases, "id int, b0 int, e double, q double")
-    for r in shortage.net_outflow(d, "id", "b0", "e", "q", phi).collect():
+    for r in shortage.net_outflow(d, "b0", "e", "q", phi).collect():
         want = sum(pmf(o, r.e) * pmf(i, r.q) for o in range(120) for i in range(120) if o - i >= r.b0)
         assert r.S3 == pytest.approx(want, abs=1e-8)
 
@@ -128,6 +129,38 @@ def test_absorption_against_fine_steps(spark):
     assert got == pytest.approx(p[0], abs=2e-3)
 
 
+def test_absorption_of_many_events(spark):
+    """Rates far over those that one exponential can weigh: the count is gone in the first case, and a tail of a Poisson count in the second."""
+    d = spark.createDataFrame([(3, [900.0], [800.0], [1.0]), (60, [90.0], [0.0], [1.0])], "b0 int, r array<double>, q array<double>, t array<double>")
+    busy, drained = (r[0] for r in d.select(shortage.absorption(F.col("b0"), F.col("r"), F.col("q"), F.col("t"))).collect())
+    assert busy > 0.9
+    assert drained == pytest.approx(1 - sum(math.exp(k * math.log(90) - 90 - math.lgamma(k + 1)) for k in range(60)), abs=1e-9)
+
+
+def test_absorption_with_births_against_a_matrix(spark):
+    cases = [(1, 0.7, 1.2), (4, 3.0, 2.0), (0, 1.0, 1.0), (2, 0.0, 3.0)]
+    d = spark.createDataFrame([(b, [x / 3] * 3, [y / 3] * 3, [1.0] * 3) for b, x, y in cases], "b0 int, r array<double>, q array<double>, t array<double>")
+    got = [r[0] for r in d.select(shortage.absorption(F.col("b0"), F.col("r"), F.col("q"), F.col("t"))).collect()]
+    for value, (b, x, y) in zip(got, cases, strict=True):
+        n, out, back = b + 31, x / 3, y / 3
+        move = np.zeros((n, n))  # rates of change of the state's probabilities
+        for k in range(1, n):
+            move[k - 1, k] += out
+            move[k, k] -= out
+            if k < n - 1:
+                move[k + 1, k] += back
+                move[k, k] -= back
+        p, term = np.zeros(n), np.zeros(n)
+        p[b] = 1.0
+        for _ in range(3):
+            term, total = p, p
+            for i in range(1, 60):
+                term = move @ term / i
+                total = total + term
+            p = total
+        assert value == pytest.approx(p[0], abs=1e-9)
+
+
 def test_relocation_events(spark):
     snaps = spark.createDataFrame([("A", T(2024, 1, 1, 8, 10), 7), ("A", T(2024, 1, 1, 8, 20), 2), ("A", T(2024, 1, 1, 8, 30), 0), ("A", T(2024, 1, 1, 8, 40), 6), ("B", T(2024, 1, 1, 8, 10), 1), ("B", T(2024, 1, 1, 8, 30), 9)], "station_id string, fetched_at timestamp_ntz, bike_count int")
     rows = spark.createDataFrame([(T(2024, 1, 1, 8, 15), T(2024, 1, 1, 8, 10), s) for s in "AB"], "as_of timestamp_ntz, reference_at timestamp_ntz, station_id string")
@@ -149,9 +182,35 @@ def test_parameter_bounds():
 
 
 def test_insert_ignore_is_idempotent(spark, tmp_path):
-    d = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
     assert sinks.insert_ignore(p, d, ["k"]) == 2 and sinks.insert_ignore(p, d, ["k"]) == 0
+    assert sorted((r.k, r.v) for r in spark.read.parquet(p).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_insert_ignore_reads_the_partitions_of_the_batch_alone(spark, tmp_path):
+    p = f"file://{tmp_path}/t"
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, part string")
+    assert sinks.insert_ignore(p, first, ["k", "part"], "part") == 2
+    (next((tmp_path / "t" / "part=y").glob("*.parquet"))).write_bytes(b"not a table")
+    again = spark.createDataFrame([(1, "z", "x"), (3, "c", "x")], "k int, v string, part string")
+    assert sinks.insert_ignore(p, again, ["k", "part"], "part") == 1  # the broken folder isn't opened
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{p}/part=x").collect()) == [(1, "a"), (3, "c")]
+
+
+def test_candidates_must_have_the_same_rows(spark):
+    a = spark.createDataFrame([(1, 0.1), (2, 0.2)], "k int, p double")
+    learn.compare_same_rows(a, a.withColumn("p", F.lit(0.0)), ["k"])
+    for b in (a.where("k = 1"), a.withColumn("k", F.col("k") + 1), a.union(a.limit(1))):
+        with pytest.raises(ValueError):
+            learn.compare_same_rows(a, b, ["k"])
+
+
+def test_decision_of_two_steps(spark):
+    d = spark.createDataFrame([(0.1, 0.2, 12, 0.1), (-0.1, 0.2, 12, 0.1), (0.1, 0.2, 9, 0.1), (0.1, 0.2, 12, 0.3)], "low double, high double, days int, brier double")
+    first = metrics.decide(F.col("low"), F.col("high"), "S3")
+    final = metrics.decide_final(first, [F.col("low")], F.col("brier"), F.lit(0.2), F.lit(0.9), F.lit(0.8), F.col("days"))
+    assert [tuple(r) for r in d.select(first, final).collect()] == [("S3", "N"), ("S0", "S0"), ("S3", None), ("S3", "S3")]
 
 
 def test_upsert_replaces_in_touched_partitions(spark, tmp_path):

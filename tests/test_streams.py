@@ -10,7 +10,7 @@ SCHEMA = "station_id string, fetched_at timestamp, bike_count int"
 
 
 def typed(spark):
-    return adapters.snapshots(spark, D).where("fetched_at < timestamp_ntz'2024-01-10 06:00:00'").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    return adapters.snapshots(spark, D).where("fetched_at >= timestamp_ntz'2024-01-10' and fetched_at < timestamp_ntz'2024-01-10 06:00:00'").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
 
 
 def test_sink_is_exactly_once_and_routes_by_collection_day(spark, tmp_path):
@@ -40,3 +40,18 @@ def test_latest_state_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     want = {r.station_id: r.bike_count for r in batch.groupBy("station_id").agg(F.max_by("bike_count", "fetched_at").alias("bike_count")).collect()}
     assert {r.station_id: r.bike_count for r in spark.table("latest").collect()} == want
+
+
+def test_zero_alerts_equal_batch(spark, tmp_path):
+    """Alerts of issues whose horizon is over by the watermark are those of the batch twin."""
+    snaps = typed(spark)
+    issues = snaps.where("fetched_at in (timestamp'2024-01-10 00:20:00', timestamp'2024-01-10 01:40:00')").select(F.col("fetched_at").alias("as_of"), "station_id")
+    late = spark.createDataFrame([("end", 9)], "station_id string, bike_count int").withColumn("fetched_at", F.lit("2024-01-11 12:00:00").cast("timestamp"))
+    snaps.union(late.select("station_id", "fetched_at", F.lit(0).alias("bike_count"))).repartition(2).write.parquet(f"file://{tmp_path}/snaps")
+    issues.union(late.select("fetched_at", "station_id")).repartition(2).write.parquet(f"file://{tmp_path}/issues")
+    stream = streams.zero_alerts(streams.typed_stream(spark, f"file://{tmp_path}/issues", "as_of timestamp, station_id string"), streams.typed_stream(spark, f"file://{tmp_path}/snaps", SCHEMA))
+    q = stream.writeStream.outputMode("append").format("memory").queryName("alerts").trigger(availableNow=True).option("checkpointLocation", f"file://{tmp_path}/cp").start()
+    q.awaitTermination(180)
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    want = streams.zero_alerts_batch(issues.select(ntz("as_of"), "station_id"), snaps.select("station_id", ntz("fetched_at"), "bike_count"))
+    assert {tuple(r) for r in spark.table("alerts").collect()} == {tuple(r) for r in want.collect()} != set()
