@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GeneralizedLinearRegression
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import scratch_folder
 from .features import shift_months
 
 CS = (0.01, 0.1, 1.0, 10.0)
 PHIS = (1.0, 1.5, 2.0, 3.0)
+ROUNDS_KEPT = 8
 
 
 def assemble(features: list[str], impute: bool = False) -> Pipeline:
@@ -31,18 +36,69 @@ def filled(df: DataFrame, features: list[str], value: float = -999.0) -> DataFra
     return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(value)) for f in features})
 
 
-def fit_counts(frame: DataFrame, features: list[str], stop_from: str, max_rounds: int = 30, depth: int = 5, target: str = "rentals", refit_frame: DataFrame | None = None):
-    """Boosted trees: the number of rounds is the best by absolute error on rows from ``stop_from`` on, then all rows are fitted
-    with it (ML-01). With ``refit_frame`` the first phase's statistics end at ``stop_from`` and the second's don't (ML-02)."""
+@dataclass
+class CountTrees:
+    """Boosted trees of a count's log mean: the log of the mean, and a learning rate times each tree's answer."""
+
+    base: float
+    rate: float
+    trees: list[DecisionTreeRegressionModel]
+
+    @property
+    def importances(self) -> np.ndarray:
+        """Gains of the features over all trees, each tree normalised."""
+        return sum((t.featureImportances.toArray() for t in self.trees), np.zeros(self.trees[0].numFeatures if self.trees else 0))
+
+    def transform(self, prepared: DataFrame) -> DataFrame:
+        out = prepared.withColumn("__f", F.lit(self.base))
+        for t in self.trees:
+            out = _grown(out, t, self.rate)
+        return out.withColumn("prediction", F.exp("__f")).drop("__f")
+
+
+def _grown(df: DataFrame, tree: DecisionTreeRegressionModel, rate: float) -> DataFrame:
+    return tree.transform(df).withColumn("__f", F.greatest(F.lit(-20.0), F.least(F.lit(20.0), F.col("__f") + rate * F.col("__t")))).drop("__t")
+
+
+def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check: DataFrame | None = None) -> tuple[CountTrees, list[float]]:
+    """Newton boosting of the Poisson deviance with a log link: a round's tree fits y / mu - 1 by weights mu, so a leaf answers
+    sum(y - mu) / sum(mu). ``check``: rows whose mean absolute error is told after every round. Both hold features and label; they and
+    running scores are written first and every ROUNDS_KEPT rounds, where lineage ends."""
+    spark = train.sparkSession
+    train = _kept(spark, train.select("features", "label"))
+    mean = train.agg(F.avg("label")).first()[0] or 0.0
+    model = CountTrees(math.log(max(mean, 1e-9)), rate, [])
+    held = None if check is None else _kept(spark, check.select("features", "label"))
+    now, held = (None if df is None else df.withColumn("__f", F.lit(model.base)) for df in (train, held))
+    errors = []
+    for i in range(rounds):
+        mu = F.exp("__f")
+        tree = DecisionTreeRegressor(labelCol="__z", weightCol="__w", predictionCol="__t", maxDepth=depth, seed=7).fit(now.withColumns({"__z": F.col("label") / mu - 1.0, "__w": mu}))
+        model.trees.append(tree)
+        now, held = (None if df is None else _grown(df, tree, rate) for df in (now, held))
+        if (i + 1) % ROUNDS_KEPT == 0 and i + 1 < rounds:
+            now, held = (None if df is None else _kept(spark, df) for df in (now, held))
+        if held is not None:
+            errors.append(held.agg(F.avg(F.abs(F.exp("__f") - F.col("label")))).first()[0])
+    return model, errors
+
+
+def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = scratch_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fit_counts(frame: DataFrame, features: list[str], stop_from: str, max_rounds: int = 30, depth: int = 5, target: str = "rentals", refit_frame: DataFrame | None = None, rate: float = 0.3) -> tuple[CountTrees, int, list[float]]:
+    """Boosted trees with the Poisson objective: the number of rounds is the best by absolute error on rows from ``stop_from`` on, then all rows
+    are fitted with it (ML-01). With ``refit_frame`` the first phase's statistics end at ``stop_from`` and the second's don't (ML-02)."""
+    def prepared(df: DataFrame) -> DataFrame:
+        return assemble(features).fit(df).transform(filled(df, features)).withColumn("label", F.col(target).cast("double"))
+
     cut = F.col("hour_start") >= F.lit(stop_from).cast("timestamp_ntz")
-    prepared = assemble(features).fit(frame).transform(filled(frame, features)).withColumn("label", F.col(target).cast("double"))
-    tree = GBTRegressor(labelCol="label", maxIter=max_rounds, maxDepth=depth, seed=7)
-    first = tree.fit(prepared.where(~cut))
-    errors = first.evaluateEachIteration(prepared.where(cut), "absolute")
+    _, errors = boost_counts(prepared(frame.where(~cut)), max_rounds, depth, rate, prepared(frame.where(cut)))
     rounds = 1 + min(range(len(errors)), key=lambda i: errors[i])
-    final = refit_frame if refit_frame is not None else frame
-    whole = assemble(features).fit(final).transform(filled(final, features)).withColumn("label", F.col(target).cast("double"))
-    return tree.copy({tree.maxIter: rounds}).fit(whole), rounds, errors
+    return boost_counts(prepared(frame if refit_frame is None else refit_frame), rounds, depth, rate)[0], rounds, errors
 
 
 def fit_poisson(frame: DataFrame, features: list[str], target: str = "rentals"):
@@ -59,7 +115,7 @@ def predict_counts(model, frame: DataFrame, features: list[str]) -> DataFrame:
 
 def gain_share(model, features: list[str], spark) -> DataFrame:
     """Normalised importances, falling (ML-04)."""
-    v = model.featureImportances.toArray()
+    v = model.importances
     return spark.createDataFrame([(f, float(x / (v.sum() or 1.0))) for f, x in zip(features, v, strict=True)], "feature string, share double").orderBy(F.desc("share"))
 
 

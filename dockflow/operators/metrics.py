@@ -87,10 +87,10 @@ def day_counts(days: DataFrame, day: str, replicates: int) -> DataFrame:
 
 def bootstrap_rank_metrics(df: DataFrame, score: str, y: str, day: str, replicates: int, by: list[str] | None = None) -> DataFrame:
     """auc and average_precision of every day-block replicate (MT-11): scores are aggregated by day once, and replicates weigh
-    the aggregates by a broadcast of (replicate, day, times)."""
+    the aggregates by (replicate, day, times), whose size the planner judges."""
     by = by or []
     daily = df.groupBy(*by, day, F.col(score).alias("score")).agg(F.sum(y).cast("double").alias("pos"), F.sum(1 - F.col(y)).cast("double").alias("neg"))
-    weighed = daily.join(F.broadcast(day_counts(df, day, replicates)), day)
+    weighed = daily.join(day_counts(df, day, replicates), day)
     groups = weighed.groupBy(*by, "replicate", "score").agg(F.sum(F.col("pos") * F.col("times")).alias("pos"), F.sum(F.col("neg") * F.col("times")).alias("neg"))
     return rank_metrics(groups, [*by, "replicate"])
 

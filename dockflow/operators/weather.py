@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import parse_amount, parse_number
 from ..functions.time import epoch, plus_hours, plus_minutes
+from .staging import stage_observations
 
 #: Lead times in hours, closed, and their names.
 LEAD_BUCKETS = ((1, 6, "1-6h"), (7, 24, "7-24h"), (25, 48, "25-48h"))
@@ -39,6 +40,15 @@ def lead_bucket(hour_start: Column, base: Column) -> Column:
     return out
 
 
+def observed_hourly(items: DataFrame) -> DataFrame:
+    """Observation items as text (observed_at and values, '' or NULL where there is none) to weather by hour, by the rules of the staged
+    observations (FW-03)."""
+    values = ("temp_c", "wind_ms", "humidity_pct", "rain_mm", "new_snow_3h_cm")
+    typed = items.select(F.try_to_timestamp("observed_at").cast("timestamp_ntz").alias("observed_at"), *(F.nullif(F.col(c), F.lit("")).try_cast("double").alias(c) for c in values))
+    staged = stage_observations(typed)
+    return staged.select("hour_start", "temp_c", "rain_mm", "wind_ms", "humidity_pct", F.col("is_new_snow").cast("int").alias("is_snow"))
+
+
 def forecast_pairs(pivoted: DataFrame, observed: DataFrame) -> DataFrame:
     """Forecast and observation of each issue and hour with a lead bucket."""
     o = observed.select("hour_start", *(F.col(c).alias(f"o_{c}") for c in ("temp_c", "rain_mm", "wind_ms", "humidity_pct")), F.col("is_new_snow").cast("int").alias("o_is_snow"))

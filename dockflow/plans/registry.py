@@ -325,6 +325,13 @@ _B = "case when lead between 1 and 6 then '1-6h' when lead between 7 and 24 then
 _PAIRS = f"(select {_B} as bucket, p.*, w.temp_c as ot, w.wind_ms as ow, w.rain_mm as orr, w.is_new_snow::int as os from (select *, (epoch(hour_start) + 3600 - epoch(base_at)) / 3600 as lead from pivoted) p join weather w using (hour_start) where {_B} is not null)"
 
 
+@query("fw03_observed_hourly", over("weather", "select hour_start, round(temp_c, 6) as temp_c, round(rain_mm, 6) as rain_mm, round(wind_ms, 6) as wind_ms, round(humidity_pct, 6) as humidity_pct, is_new_snow::int as is_snow from weather"))
+def fw03(s, d):
+    o = A.observations(s, d)
+    text = o.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in o.columns))
+    return r6(weather.observed_hourly(text), "temp_c", "rain_mm", "wind_ms", "humidity_pct")
+
+
 @query("fw04_08_weather_errors", over("pivoted weather", f"""select bucket, count(*) as pairs, count(distinct hour_start) as unique_hours, round(avg(abs(temp_c - ot)), 6) as temp_mae, round(avg(temp_c - ot), 6) as temp_bias, round(avg(abs(wind_ms - ow)), 6) as wind_mae, count(*) filter (where rain_mm is not null and orr is not null and orr > 0) as rain_observed,
     round(count(*) filter (where rain_mm > 0 and orr > 0) / nullif(count(*) filter (where rain_mm is not null and orr > 0), 0), 6) as rain_recall, round(count(*) filter (where rain_mm > 0 and orr > 0) / nullif(count(*) filter (where rain_mm > 0 and orr is not null), 0), 6) as rain_precision, round(avg(abs(rain_mm - orr)) filter (where orr > 0), 6) as rain_amount_mae,
     count(distinct case when is_snow is not null and os > 0 then hour_start end) > 0 as snow_measurable from {_PAIRS} group by 1"""))

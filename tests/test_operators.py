@@ -297,3 +297,23 @@ def test_training_window(spark):
     assert learn.training_window(spark.createDataFrame([(T(2024, 6, 29, 23),)], "hour_start timestamp_ntz"), "2024-01-01") == ("2024-01-01", "2024-06-01")
     with pytest.raises(ValueError):
         learn.training_window(g, "2024-01-01", "2024-02-01")
+
+
+def test_boosted_counts(spark):
+    """A leaf is a Newton step of the Poisson deviance; more rounds find the rates of two groups and the best round."""
+    rnd = np.random.RandomState(2)
+    x = rnd.randint(0, 2, 400)
+    y = rnd.poisson(np.where(x == 1, 6.0, 0.5))
+    d = spark.createDataFrame([(T(2024, 1, 1 + i // 100), float(a), int(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "hour_start timestamp_ntz, x double, rentals int")
+    prepared = learn.assemble(["x"]).fit(d).transform(d).withColumn("label", F.col("rentals").cast("double"))
+    one, _ = learn.boost_counts(prepared, 1, 1, 1.0)
+    mu = y.mean()
+    got = {r.x: r.prediction for r in one.transform(prepared).select("x", "prediction").distinct().collect()}
+    assert got == pytest.approx({g: mu * math.exp((y[x == g] - mu).sum() / (mu * (x == g).sum())) for g in (0, 1)})
+    model, rounds, errors = learn.fit_counts(d, ["x"], "2024-01-04", max_rounds=12, depth=2)
+    assert len(errors) == 12 and rounds == 1 + int(np.argmin(errors))
+    many, _ = learn.boost_counts(prepared, 20, 1, 0.3)
+    got = {r.x: r.prediction for r in many.transform(prepared).select("x", "prediction").distinct().collect()}
+    assert got == pytest.approx({g: y[x == g].mean() for g in (0, 1)}, rel=0.05)
+    assert [tuple(r) for r in learn.gain_share(model, ["x"], spark).collect()] == [("x", 1.0)]
+    assert learn.predict_counts(model, d, ["x"]).where("prediction < 0").count() == 0
