@@ -1,9 +1,10 @@
 """Operator 2: chat formatting with prefix-target expansion.
 
-A conversation is formatted once, as a transcript of turn segments with character offsets.  Every assistant turn is an
+A conversation's turns become segments of one transcript with character offsets.  Every assistant turn is exploded into an
 example of its own: its context is the transcript before it, its target the reply, and only the reply is under the loss
-mask.  An example is therefore (context end, loss start, loss end) on the shared transcript, so the expansion stays linear in the text
-however many turns a conversation has; ``example_texts`` writes the examples out in full where that is wanted.
+mask.  An example row holds (context end, loss start, loss end) on the shared transcript, so what is written stays linear in the text
+however many turns a conversation has; ``example_texts`` writes examples out in full where that is wanted.  Digests are
+read back from the two written tables: turns from the segments, and all that concerns the loss from the example rows.
 
 Template: ``<|role|>\\n`` text ``<|end|>\\n``.  Inside texts and roles ``\\``, ``<`` and ``[`` become ``\\s``, ``\\l``
 and ``\\b``: no control string of this or of the common bracket templates survives, and reading reverses it.
@@ -15,13 +16,12 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import store
 
 END = "<|end|>\n"
-FORMAT_SCHEMA = "conv_id long, seq long, segment string, seg_start long, seg_end long, loss_start long, loss_end long"
 
 
 def escape(c: Column) -> Column:
@@ -39,37 +39,25 @@ def with_probe(conversations: DataFrame) -> DataFrame:
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """One row per turn: its segment of the transcript and where it and its loss lie, in characters.
+    """The transcript: one row per turn with its segment, where it lies, and where its text does, in characters.
 
     Turns stand in order of turn, then role, then text; null texts and roles are empty; a null conv_id is a conversation
-    of its own; repeated rows are turns; other columns are ignored; an empty table gives no rows. A task streams its
-    conversations in order and keeps only the running offset, whatever the length of a conversation."""
-    ready = conversations.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).select("conv_id", "turn", "role", "text", F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>\n")).alias("head"), escape(F.col("text")).alias("body"))
-    ordered = ready.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "head", "body")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seq, at = object(), 0, 0
-        for batch in batches:
-            out = {k: [] for k in ("conv_id", "seq", "segment", "seg_start", "seg_end", "loss_start", "loss_end")}
-            for conv, role, head, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if conv != last:
-                    last, seq, at = conv, 0, 0
-                lose = role == "assistant"
-                loss = at + len(head)
-                end = loss + len(body) + len(END)
-                for k, v in zip(out, (conv, seq, head + body + END, at, end, loss if lose else None, loss + len(body) if lose else None), strict=True):
-                    out[k].append(v)
-                seq, at = seq + 1, end
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(k, pa.string() if k == "segment" else pa.int64()) for k in out]))
-
-    return ordered.mapInArrow(run, FORMAT_SCHEMA)
+    of its own; repeated rows are turns; other columns are ignored; an empty table gives no rows. Offsets are a running sum over a
+    conversation, which Spark sorts and spills, whatever its length."""
+    role, text = F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    ready = conversations.select("conv_id", "turn", role, text).withColumns({"head": F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>\n")), "body": escape(F.col("text"))})
+    turns = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    sized = ready.withColumn("size", (F.length("head") + F.length("body") + len(END)).cast("long"))
+    placed = sized.withColumns({"seq": F.row_number().over(turns) - 1, "seg_end": F.sum("size").over(turns.rowsBetween(Window.unboundedPreceding, 0))})
+    start = F.col("seg_end") - F.col("size")
+    return placed.select(
+        "conv_id", F.col("seq").cast("long").alias("seq"), (F.col("role") == "assistant").alias("replies"), F.concat("head", "body", F.lit(END)).alias("segment"),
+        start.alias("seg_start"), "seg_end", (start + F.length("head")).alias("text_start"), (F.col("seg_end") - len(END)).alias("text_end"))
 
 
 def examples(formatted: DataFrame) -> DataFrame:
     """One row per assistant turn: conv_id, target (its seq), context_end, loss_start, loss_end, example_end."""
-    return formatted.where("loss_start is not null").select("conv_id", F.col("seq").alias("target"), F.col("seg_start").alias("context_end"), "loss_start", "loss_end", F.col("seg_end").alias("example_end"))
+    return formatted.where("replies").select("conv_id", F.col("seq").alias("target"), F.col("seg_start").alias("context_end"), F.col("text_start").alias("loss_start"), F.col("text_end").alias("loss_end"), F.col("seg_end").alias("example_end"))
 
 
 def example_texts(formatted: DataFrame) -> DataFrame:
@@ -79,37 +67,44 @@ def example_texts(formatted: DataFrame) -> DataFrame:
     return whole.select("conv_id", "target", F.concat_ws("", F.col("parts.segment")).alias("text"), "loss_start", "loss_end")
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests read from the formatted output alone, one row per conversation."""
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq").select("conv_id", "segment", "seg_start", "seg_end", "loss_start", "loss_end")
+def read_back(transcript: DataFrame, expanded: DataFrame) -> DataFrame:
+    """Digests read from the written segments and examples alone, one row per conversation. A task streams its conversations in
+    order and holds one segment, whatever the length of a conversation (a digest of joined texts would hold all of it)."""
+    segments = transcript.select("conv_id", "seq", F.lit(1).alias("kind"), "segment", F.col("seg_start").alias("a"), F.col("seg_end").alias("b"))
+    targets = expanded.select("conv_id", F.col("target").alias("seq"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("segment"), F.col("loss_start").alias("a"), F.col("loss_end").alias("b"))
+    ordered = segments.unionByName(targets).repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind").drop("seq")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long, example_chars long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
         arrow = pa.schema([(n, pa.string() if n.endswith("sha256") else pa.int64()) for n in names])
-        last, state = None, None
+        last, state, target = None, None, None
 
         def row(s):
             return [s["conv"], s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["end"], s["examples"], s["example_chars"]]
 
         for batch in batches:
             done = []
-            for conv, segment, start, end, loss, loss_end in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for conv, kind, segment, a, b in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if state is None or conv != last:
                     if state is not None:
                         done.append(row(state))
                     last, state = conv, {"conv": conv, "turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "end": 0, "examples": 0, "example_chars": 0}
+                if kind == 0:
+                    target = (a, b)  # the example whose reply is the next segment
+                    continue
                 head, _, rest = segment.partition("|>\n")
                 role, text = unescape(head[2:]), unescape(rest[: len(rest) - len(END)])
                 state["turns"] += 1
                 state["all"].update(f"{role}\n{text}\n".encode())
-                state["end"] = end
-                if loss is not None:
-                    target = unescape(segment[loss - start : loss_end - start])
-                    state["chars"] += len(target)
-                    state["loss"].update(target.encode())
+                state["end"] = b
+                if target is not None:
+                    reply = unescape(segment[target[0] - a : target[1] - a])
+                    state["chars"] += len(reply)
+                    state["loss"].update(reply.encode())
                     state["examples"] += 1
-                    state["example_chars"] += end
+                    state["example_chars"] += b
+                    target = None
             if done:
                 yield pa.RecordBatch.from_pydict({n: [d[i] for d in done] for i, n in enumerate(names)}, schema=arrow)
         if state is not None:
@@ -119,7 +114,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def formatted_digests(conversations: DataFrame) -> DataFrame:
-    return read_back(store.written(format_conversations(conversations), "chat"))
+    """Write the transcript and its examples, and read their digests back. Nulls, ties, repeats and empty tables: see ``format_conversations``."""
+    formatted = store.written(format_conversations(conversations), "chat")
+    return read_back(formatted, store.written(examples(formatted), "chat-examples"))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
