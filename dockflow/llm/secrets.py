@@ -2,7 +2,8 @@
 
 The base scan finds three fixed kinds of match.  The field tags tokens as secret begin, inside or outside from the shape of a token,
 its neighbours (words and shapes) and the file's make-up, and adds the spans that the base scan doesn't cover.  It learns
-from a bounded sample of documents, where the values that the base scan finds are the secrets.
+from a bounded sample of documents, where the values that the base scan finds are the secrets.  So that it finds what the fixed
+kinds miss, it also sees the long ones in disguise: without the name and the sign that led to them, and drawn anew from other alphabets.
 
 Tokens, features and emissions are arrays over a batch.  Decoding is Viterbi: a token is certainly outside where no choice
 of neighbours could repay another tag, so the best path is decoded run by run of the other tokens, and is the same.
@@ -32,6 +33,9 @@ _STEMS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 SAMPLE_DOCS = 6_000
 WINDOWS, SPAN = 3_000, 31
 ROUNDS = 80
+#: Values of so many bytes are shown in disguise, with so many bytes of text on either side, drawn from these alphabets.
+DISGUISED_FROM, MARGIN = 16, 160
+ALPHABETS = (b"0123456789ABCDEF", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", b"abcdefghijklmnopqrstuvwxyz0123456789")
 SLOTS = 1 << 16
 OUT, BEGIN, INSIDE = 0, 1, 2
 
@@ -211,31 +215,54 @@ def decode(e: np.ndarray, rows: np.ndarray, t: np.ndarray) -> np.ndarray:
     return tags
 
 
+def _disguised(text: bytes, span: tuple[int, int, int, int, int]) -> tuple[bytes, int, int]:
+    """The surroundings of a base span with another value in its place, and where that stands. The draw depends on the value alone."""
+    _, start, end, vs, ve = span
+    draw = hashlib.blake2b(text[vs:ve], digest_size=64).digest()
+    alphabet = ALPHABETS[draw[0] % len(ALPHABETS)]
+    value = bytes(alphabet[(draw[(i + 1) % 64] + 31 * i) % len(alphabet)] for i in range(max(20, min(64, ve - vs))))
+    left = text[max(0, start - MARGIN) : start].rstrip() + b" "
+    return left + value + b" " + text[end : end + MARGIN].lstrip(), len(left), len(left) + len(value)
+
+
+def _windows(data: np.ndarray, offsets: np.ndarray, secrets: list[tuple[int, int, int]], plain: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Slots, tags and real tokens of windows around the secrets (row, start, end) of a batch, and, with ``plain``, of others."""
+    starts, ends, rows = tokens(data, offsets)
+    if not len(starts):
+        return
+    tags = np.zeros(len(starts), np.int64)
+    for r, s, e in secrets:
+        hit = np.flatnonzero((starts < offsets[r] + e) & (ends > offsets[r] + s) & (rows == r))
+        if len(hit):
+            tags[hit] = INSIDE
+            tags[hit[0]] = BEGIN
+    slots = features(data, starts, ends, rows, len(offsets) - 1)
+    middle = np.flatnonzero(tags == BEGIN)
+    step = max(SPAN, len(starts) // max(40, len(middle)))
+    for c in np.concatenate([middle, np.arange(SPAN // 2, len(starts), step)]) if plain else middle:
+        w = np.arange(c - SPAN // 2, c + SPAN // 2 + 1)
+        ok = (w >= 0) & (w < len(starts))
+        w = np.clip(w, 0, len(starts) - 1)
+        ok &= rows[w] == rows[c]
+        order = np.argsort(~ok, kind="stable")  # real tokens first
+        w, ok = w[order], ok[order]
+        yield slots[w], np.where(ok, tags[w], 0), ok
+
+
 def _training_rows(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     data, offsets = K.text_bytes(b.column(0))
     for lo, hi in K.slices(offsets):
         part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        starts, ends, rows = tokens(part, off)
-        if not len(starts):
-            continue
-        tags = np.zeros(len(starts), np.int64)
+        secrets, hidden = [], []
         for r in _suspects(part, off):
-            for _, _, _, vs, ve in base_spans(part[off[r] : off[r + 1]].tobytes()):
-                hit = np.flatnonzero((starts < off[r] + ve) & (ends > off[r] + vs) & (rows == r))
-                if len(hit):
-                    tags[hit] = INSIDE
-                    tags[hit[0]] = BEGIN
-        slots = features(part, starts, ends, rows, hi - lo)
-        middle = np.flatnonzero(tags == BEGIN)
-        step = max(SPAN, len(starts) // max(40, len(middle)))
-        for c in np.concatenate([middle, np.arange(SPAN // 2, len(starts), step)]):
-            w = np.arange(c - SPAN // 2, c + SPAN // 2 + 1)
-            ok = (w >= 0) & (w < len(starts))
-            w = np.clip(w, 0, len(starts) - 1)
-            ok &= rows[w] == rows[c]
-            order = np.argsort(~ok, kind="stable")  # real tokens first
-            w, ok = w[order], ok[order]
-            yield slots[w], np.where(ok, tags[w], 0), ok
+            text = part[off[r] : off[r + 1]].tobytes()
+            spans = base_spans(text)
+            secrets += [(r, vs, ve) for _, _, _, vs, ve in spans]
+            hidden += [_disguised(text, x) for x in spans if x[4] - x[3] >= DISGUISED_FROM]
+        yield from _windows(part, off, secrets, True)
+        if hidden:
+            texts = pa.array([t for t, _, _ in hidden], pa.binary())
+            yield from _windows(*K.text_bytes(texts), [(r, s, e) for r, (_, s, e) in enumerate(hidden)], False)
 
 
 def train(docs: DataFrame, limit: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +270,7 @@ def train(docs: DataFrame, limit: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.nda
     weights are 0 and no span is added."""
     total = docs.count()
     share = min(1.0, limit / max(1, total))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))).select("doc_id", "text").repartition(1).sortWithinPartitions("doc_id", "text").select("text")
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))).select("doc_id", "text").repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(5)), "doc_id", "text").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, plain = [], []
@@ -263,12 +290,12 @@ def train(docs: DataFrame, limit: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.nda
     return np.frombuffer(got[0], np.float32).reshape(SLOTS, 3), np.frombuffer(got[1], np.float32).reshape(3, 3)
 
 
-def secret_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, the base counts and digest, ``spans`` (all spans as kind:start:end in code points, by start, then kind) and n_crf.
+def secret_spans(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
+    """The field learns from ``docs``, or from other documents. doc_id, the base counts and digest, ``spans`` (all spans as kind:start:end in code points, by start, then kind) and n_crf.
 
     Null texts are empty; an empty text has no spans; repeated rows have the same spans; other columns are ignored; an empty table
     gives no rows. Base spans always stay; a span of the field is added if no base span overlaps it."""
-    held = docs.sparkSession.sparkContext.broadcast(train(docs))
+    held = docs.sparkSession.sparkContext.broadcast(train(docs if learn_from is None else learn_from))
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_crf long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
