@@ -3,9 +3,9 @@
 Domains are the classes of the labelled table (quality x toxic).  A classifier with one head for each label gives every
 document domain posteriors p; with n words it adds n * p to the expected totals of the domains.  Document rates r >= 0 are
 fitted so that the totals sum(r * n * p) match the targets: least squares, each domain over its own expected total,
-and a small pull towards 1, by projected gradient steps that start at r = 1.  In the metric of n the curvature of the fit is at most
-1, so the step is 1 / (1 + pull) and needs no search.  A step needs one sum over a table of a few numbers a document; a document's rate is the fold of the
-steps so far, so no rate is stored or shuffled between them.
+by projected gradient steps with momentum that start at r = 1 (so rates stay near 1 where the targets leave them free).  In the metric of n the
+curvature of the fit is at most 1, so the step is 1 and needs no search.  A step needs one sum over a table of a few numbers a document; a
+document's rate is the fold of the steps so far, so no rate is stored or shuffled between them.
 """
 
 from __future__ import annotations
@@ -22,20 +22,23 @@ from . import quality, store
 #: Domains in order: low and toxic are classes of the labelled table. Shares of the mixture.
 DOMAINS = ("clean", "toxic", "low", "low_toxic")
 TARGET_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "low": 0.015, "low_toxic": 0.005}
-#: Pull of the rates towards 1, which decides where the posteriors don't.
-RIDGE = 0.02
-TOLERANCE = 1e-4
-MAX_STEPS = 60
+#: How often the words of a domain may be used: a domain too small for its share is aimed at this multiple of what it has.
+REPEATS = 1.0
+HEADS, DESIGNS = ("quality", "toxic"), (quality.NGRAMS, quality.PRESENCE)
+#: Largest relative gap to a target at which the fit ends.
+TOLERANCE = 2e-3
+#: It also ends when the gaps haven't shrunk by STALL in PATIENCE steps: the targets are out of reach then.
+STALL, PATIENCE = 0.01, 25
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_tokens (words) and the posteriors p0.. of the domains, one row for each row of ``docs``. Null texts are
     empty and have the posteriors of the bias; without labels every head says one half."""
-    weights = docs.sparkSession.sparkContext.broadcast(quality.train(docs, labels, ("quality", "toxic")))
+    weights = docs.sparkSession.sparkContext.broadcast(quality.train(docs, labels, HEADS, DESIGNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p, words = quality.batch_scores(b.column(1), weights.value)
+            p, words = quality.batch_scores(b.column(1), weights.value, DESIGNS)
             good, toxic = p[:, 0], p[:, 1]
             cols = (good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words), *map(pa.array, cols)], ["doc_id", "n_tokens", "p0", "p1", "p2", "p3"])
@@ -43,10 +46,11 @@ def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, p0 double, p1 double, p2 double, p3 double")
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    r = np.ones(len(p))
-    for g in steps:
-        r = np.maximum(0.0, r - (p @ g + RIDGE * (r - 1)) / (1 + RIDGE))
+def _rates(p: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
+    """Rates after the steps (momentum, gradient of the domains)."""
+    r = before = np.ones(len(p))
+    for momentum, g in steps:
+        r, before = np.maximum(0.0, r + momentum * (r - before) - p @ g), r
     return r
 
 
@@ -63,34 +67,50 @@ def _totals(member: DataFrame, steps: list[np.ndarray]) -> np.ndarray:
     return np.array([x or 0.0 for x in row])
 
 
-def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Steps whose fold gives the rates, the totals they reach, and the targets. The budget is what leaves the domain
-    of the largest weight at its own expected total. A domain of no expected words can't be matched and is left out."""
+def _gaps(now: np.ndarray, target: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Gaps to the targets, relative to them (to a target of 0: to the domain's own expected total); 0 for a domain without words."""
+    whole = np.where(target > 0, target, base)
+    return np.where(base > 0, np.abs(now - target) / np.where(whole > 0, whole, 1.0), 0.0)
+
+
+def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray, float]:
+    """Steps whose fold gives the rates, the totals they reach, the targets, and the largest gap between them. The budget is what leaves the domain
+    of the largest weight at its own expected total; no domain is aimed at more than REPEATS of its own. A domain of no expected words
+    can't be matched and is left out.
+    Momentum starts anew when the fit gets worse."""
     share = np.array([weights.get(d, 0.0) for d in DOMAINS])
     base = _totals(member, [])
     lead = int(np.argmax(share))
-    target = share / share[lead] * base[lead]
+    target = np.minimum(share / share[lead] * base[lead], REPEATS * base)
     scale = np.where(base > 0, base, np.inf)
-    steps, now = [], base
-    for _ in range(MAX_STEPS):
-        steps.append((now - target) / scale)
-        was, now = now, _totals(member, steps)
-        if np.abs(now - was).sum() <= TOLERANCE * target.sum():
-            break
-    return steps, now, target
+    steps, now, before, run = [], base, base, 1.0
+    loss = lambda t: float((np.where(base > 0, t - target, 0.0) ** 2 / scale).sum())
+    best, since = loss(now), 0
+    while since < PATIENCE and _gaps(now, target, base).max() > TOLERANCE:
+        longer = (1 + np.sqrt(1 + 4 * run * run)) / 2
+        momentum, run = (run - 1) / longer, longer
+        ahead = now + momentum * (now - before)  # totals are linear in the rates
+        steps.append((momentum, (ahead - target) / scale))
+        now, before = _totals(member, steps), now
+        if loss(now) > loss(before):
+            run = 1.0
+        best, since = (loss(now), 0) if loss(now) < best * (1 - STALL) else (best, since + 1)
+    return steps, now, target, float(_gaps(now, target, base).max())
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) -> DataFrame:
-    """doc_id, n_tokens, rate and the posteriors, one row for each row of ``docs``; an empty table gives no rows."""
+    """doc_id, n_tokens, rate, the posteriors and target_gap (the largest relative gap that the fit leaves between a domain's expected
+    total and its target, the same in all rows; above TOLERANCE only where the targets are out of reach), one row for each row of ``docs``; an
+    empty table gives no rows."""
     member = store.written(posteriors(docs, labels), "posteriors")
-    steps, _, _ = fit_rates(member, weights)
+    steps, _, _, gap = fit_rates(member, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = np.stack([b.column(2 + k).to_numpy() for k in range(len(DOMAINS))], axis=1)
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(_rates(p, steps)), *b.columns[2:]], ["doc_id", "n_tokens", "rate", "p0", "p1", "p2", "p3"])
 
-    return member.mapInArrow(run, "doc_id long, n_tokens long, rate double, p0 double, p1 double, p2 double, p3 double")
+    return member.mapInArrow(run, "doc_id long, n_tokens long, rate double, p0 double, p1 double, p2 double, p3 double").withColumn("target_gap", F.lit(gap))
 
 
 def copies(rate, doc_id) -> F.Column:

@@ -3,11 +3,15 @@
 Features are hashes of single words and pairs of words, and of one, two and three word shapes (case, digits, symbols,
 length, sameness with the word before), each over the root of the number of words.  A text's score is one sparse dot product, taken
 with array operations over a whole batch.  Weights are one array of 2**18 floats, whatever the corpus.
+
+A head's ``Design`` says which features it has. Besides the n-grams there is ``PRESENCE``: whether a word occurs at all, with a
+penalty that leaves weights to the few words that tell (one such word tells as much in a long text as in a short one).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -89,41 +93,86 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(out) >> K.U64(64 - 18)).astype(np.int64), np.concatenate(at), np.diff(first)
 
 
-def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+def present_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slot of every word of letters and digits, its row, and the number of words of each row."""
+    n = len(offsets) - 1
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(n, np.int64)
+    kind = _KIND[data]
+    change = np.ones(len(data) + 1, bool)
+    change[1:-1] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    cut = np.flatnonzero(change)
+    word = kind[cut[:-1]] == 1
+    starts, ends = cut[:-1][word], cut[1:][word]
+    rows = np.searchsorted(offsets, starts, "right") - 1
+    return (K.range_hashes(K.LOWER[data], starts, ends) >> K.U64(64 - 18)).astype(np.int64), rows, np.bincount(rows, minlength=n)
+
+
+@dataclass(frozen=True)
+class Design:
+    """Features of a head; ``present``: a feature counts once a text, else as often as it occurs over the root of the words.
+    Step size and penalty of the fit, passes at least, and updates at least (a small sample is passed over more often)."""
+
+    features: Callable
+    present: bool
+    alpha: float
+    l1: float
+    passes: int
+    updates: int
+
+    def values(self, times: np.ndarray, size: int) -> np.ndarray:
+        return np.ones(len(times)) if self.present else times * (SCALE / max(1, size) ** 0.5)
+
+    def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(z) <= self.l1, 0.0, -(z - np.sign(z) * self.l1) / ((BETA + np.sqrt(n)) / self.alpha + L2))
+
+    def sums(self, slot: np.ndarray, row: np.ndarray, size: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Dot products of all rows of a batch, without the bias."""
+        if self.present:
+            told = w[slot] != 0  # few words have a weight
+            slot, row = K.distinct(slot[told], row[told])
+            return np.bincount(row, w[slot], len(size))
+        return np.bincount(row, w[slot], len(size)) * (SCALE / np.sqrt(np.maximum(1, size)))
+
+
+NGRAMS = Design(features, False, ALPHA, L1, PASSES, UPDATES)
+PRESENCE = Design(present_words, True, 0.3, 8.0, 8, UPDATES)
 
 
-def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], heads: int = 1) -> np.ndarray:
+def fit(texts_and_labels: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], designs: tuple[Design, ...] = (NGRAMS,)) -> np.ndarray:
     """Weights (heads x slots, the bias last) by the per-coordinate follow-the-regularised-leader rule, over batches of
     (data, offsets, labels: rows x heads). A label that is not a number doesn't move its head."""
-    examples = []
+    examples: dict[Callable, list] = {d.features: [] for d in designs}
+    truth = []
     for data, offsets, labels in texts_and_labels:
+        truth.append(labels)
         for lo, hi in K.slices(offsets):
-            slot, row, size = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            turn = np.argsort(row, kind="stable")
-            cuts = np.searchsorted(row[turn], np.arange(hi - lo + 1))
-            for r in range(hi - lo):
-                ids, times = np.unique(slot[turn[cuts[r] : cuts[r + 1]]], return_counts=True)
-                examples.append((np.append(ids, SLOTS).astype(np.int32), np.append(times * (SCALE / max(1, size[r]) ** 0.5), 1.0).astype(np.float32), labels[lo + r]))
-    out = np.zeros((heads, SLOTS + 1), np.float32)
-    passes = min(40, max(PASSES, UPDATES // max(1, len(examples))))
-    for head in range(heads):
+            for features_of, kept in examples.items():
+                slot, row, size = features_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                turn = np.argsort(row, kind="stable")
+                cuts = np.searchsorted(row[turn], np.arange(hi - lo + 1))
+                for r in range(hi - lo):
+                    ids, times = np.unique(slot[turn[cuts[r] : cuts[r + 1]]], return_counts=True)
+                    kept.append((np.append(ids, SLOTS).astype(np.int32), times, int(size[r])))
+    labels = np.concatenate(truth) if truth else np.zeros((0, len(designs)))
+    out = np.zeros((len(designs), SLOTS + 1), np.float32)
+    for head, design in enumerate(designs):
+        told = [(ids, np.append(design.values(times, size), 1.0).astype(np.float32), y) for (ids, times, size), y in zip(examples[design.features], labels[:, head], strict=True) if not np.isnan(y)]
         z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-        for _ in range(passes):
-            for ids, x, labels in examples:
-                if np.isnan(labels[head]):
-                    continue
+        for _ in range(min(40, max(design.passes, design.updates // max(1, len(labels))))):
+            for ids, x, y in told:
                 zi, ni = z[ids], n[ids]
-                w = _weights(zi, ni)
-                g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[head]) * x
+                w = design.weights(zi, ni)
+                g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
                 up = ni + g * g
-                z[ids] = zi + g - (np.sqrt(up) - np.sqrt(ni)) / ALPHA * w
+                z[ids] = zi + g - (np.sqrt(up) - np.sqrt(ni)) / design.alpha * w
                 n[ids] = up
-        out[head] = _weights(z, n)
+        out[head] = design.weights(z, n)
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quality",), limit: int = TRAINING_DOCS) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quality",), designs: tuple[Design, ...] = (NGRAMS,), limit: int = TRAINING_DOCS) -> np.ndarray:
     """Fit one head for each label column on at most ``limit`` labelled documents, those with the lowest hash of doc_id,
     whose crc32(doc_id) mod 5 is not 0. A document labelled more than once has its highest label; null labels don't count;
     without labels all weights are 0. Only ids (``limit`` of them) are broadcast and only the weights come to the driver."""
@@ -136,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quali
     heads = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = fit(((*K.text_bytes(b.column(0)), np.stack([b.column(1 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(heads)], axis=1)) for b in batches), heads)
+        w = fit(((*K.text_bytes(b.column(0)), np.stack([b.column(1 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(heads)], axis=1)) for b in batches), designs)
         yield pa.RecordBatch.from_pydict({"weights": [w.tobytes()]})
 
     got = sample.mapInArrow(run, "weights binary").first()
@@ -147,16 +196,18 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def batch_scores(column, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities (rows x heads) of a text column, and its numbers of words."""
+def batch_scores(column, weights: np.ndarray, designs: tuple[Design, ...] = (NGRAMS,)) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities (rows x heads) of a text column, and its numbers of words as the first head counts them."""
     data, offsets = K.text_bytes(column)
     out = np.tile(weights[:, SLOTS].astype(float), (len(offsets) - 1, 1))
     words = np.zeros(len(offsets) - 1, np.int64)
     for lo, hi in K.slices(offsets):
-        slot, row, size = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        words[lo:hi] = size
-        for head, w in enumerate(weights):
-            out[lo:hi, head] += np.bincount(row, w[slot], hi - lo) * (SCALE / np.sqrt(np.maximum(1, size)))
+        part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        for head, (w, design) in enumerate(zip(weights, designs, strict=True)):
+            slot, row, size = design.features(part, off)
+            if not head:
+                words[lo:hi] = size
+            out[lo:hi, head] += design.sums(slot, row, size, w)
     return 1 / (1 + np.exp(-np.clip(out, -700, 700))), words
 
 
