@@ -68,11 +68,13 @@ def merged(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def upsert_partition(path: str, rows: DataFrame, keys: list[str], partition: str) -> None:
     """Merge into the partitions that ``rows`` touches and overwrite only those. What is read is cut off from what is written
-    by a checkpoint."""
-    target = read_or_empty(rows.sparkSession, path, rows)
+    by a table in between."""
+    spark = rows.sparkSession
+    target, between = read_or_empty(spark, path, rows), scratch_folder(spark)
     touched = target.join(F.broadcast(rows.select(partition).distinct()), partition, "left_semi").select(*rows.columns)
-    out = merged(touched, rows, keys).checkpoint(eager=True)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    out = merged(touched, rows, keys)
+    out.write.parquet(between)
+    spark.read.schema(out.schema).parquet(between).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def load_snapshots(rows: DataFrame) -> DataFrame:
