@@ -120,6 +120,8 @@ def formatted_digests(conversations: DataFrame) -> DataFrame:
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the probe. Null texts and roles are empty; ties of turn stand by role, then text; repeated rows are turns; a null
+    conv_id is a conversation; other columns are ignored; an empty table gives the probe alone."""
     return formatted_digests(with_probe(store.table(spark, sf_dir, "conversations")))
 
 

@@ -195,10 +195,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents`` and ``benchmark``; for nulls, repeats and empty tables see ``leaks``."""
     return leaks(store.table(spark, sf_dir, "documents"), store.table(spark, sf_dir, "benchmark"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
+    """Pipeline stage: documents that hold a benchmark item go, with all rows of their doc_id. Rows with a null id or text stay; all columns
+    stay; an empty table, or an empty benchmark, changes nothing."""
     hit = leaks(docs, store.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(store.checked(hit, "leaks"), "doc_id", "left_anti").select(*docs.columns)

@@ -447,4 +447,5 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``embeddings``; for nulls, repeats and empty tables see ``near_vectors``."""
     return near_vectors(store.table(spark, sf_dir, "embeddings"))

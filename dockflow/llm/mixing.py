@@ -119,6 +119,8 @@ def copies(rate, doc_id) -> F.Column:
 
 
 def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents`` with a rate and whole copies. Null and empty texts have the rate of the bias' posteriors; rows of one doc_id have a rate
+    each; without labels all rates are alike; an empty table gives no rows."""
     got = document_rates(store.table(spark, sf_dir, "documents"), store.table(spark, sf_dir, "labels"))
     return got.withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
 

@@ -524,6 +524,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents``; for nulls, repeats and empty tables see ``similar_components``."""
     return similar_components(store.table(spark, sf_dir, "documents"))
 
 

@@ -371,4 +371,5 @@ def remove_repeats(docs: DataFrame, spans: bool = False, hot_phrases: int = HOT_
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents``; for nulls, repeats and empty tables see ``remove_repeats``."""
     return remove_repeats(store.table(spark, sf_dir, "documents"))

@@ -227,12 +227,16 @@ def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFram
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every row of ``documents``. Null texts are empty, empty texts have the score of the bias, repeated rows have one score each,
+    a null doc_id isn't held out, other columns are ignored, no labels give scores of one half, an empty table gives no rows."""
     docs = store.table(spark, sf_dir, "documents").select("doc_id", "text")
     got = score(docs, train(docs, store.table(spark, sf_dir, "labels")))
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the classifier rejects go. It learns from the labelled rows of ``docs``."""
+    """Pipeline stage: the documents that the classifier rejects go. It learns from the labelled rows of ``docs``. Null and
+    empty texts have the score of the bias; rows with a null or repeated doc_id are judged each by its own text; all columns stay; an empty table
+    stays empty."""
     kept = score(docs, train(docs, store.table(spark, sf_dir, "labels")), "__quality_score")
     return kept.where(F.col("__quality_score") >= THRESHOLD).select(*docs.columns)

@@ -6,6 +6,8 @@ from . import chat, decontam, hnsw, mixing, parity, prefixfree, quality, secrets
 
 
 def op8_token_binary(spark, sf_dir):
+    """All rows of ``documents``. Null texts are empty and get their end id; a null doc_id stands first; rows of one doc_id stand in order of text;
+    other columns are ignored; an empty table gives no rows."""
     return simple8b.token_file(store.table(spark, sf_dir, "documents"))
 
 

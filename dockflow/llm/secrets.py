@@ -344,4 +344,5 @@ def secret_spans(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFr
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents``; for nulls, repeats and empty tables see ``secret_spans``."""
     return secret_spans(store.table(spark, sf_dir, "documents"))

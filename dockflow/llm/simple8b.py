@@ -15,7 +15,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 BLOCK_IDS = 1024
 ROW_IDS = 1 << 20
+#: Characters of a text that the range of its row depends on, besides doc_id.
+TIE_CHARS = 32
 
 FILE_SCHEMA = "part int, seq int, start_in_part long, n_docs int, n_ids long, words binary, blocks binary, escapes binary, doc_words binary, doc_blocks binary, doc_escapes binary, len_words binary, len_blocks binary, len_escapes binary, null_ids binary"
 
@@ -123,18 +125,20 @@ def decode(words: np.ndarray, blocks: np.ndarray, escapes: np.ndarray, n: int) -
     return out
 
 
-#: Latin letters, digits and ASCII symbols but the apostrophe: runs of one kind, space-led or not, are pre-tokens.
+#: Latin letters, digits and ASCII symbols but the apostrophe: runs of one kind, space-led or not, are pre-tokens, and so is a line end
+#: between two of them.
 _LATIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
-_RUN = rf" ?(?:[{_LATIN}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)"
-_RUNS, _RUN = re.compile(f"(?:{_RUN})+"), re.compile(_RUN)
+_RUN = re.compile(rf" ?(?:[{_LATIN}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)|\n(?=\S)")
+#: A space that starts a pre-token, and one that may not.
+_SPACE, _LOOSE = re.compile(r" (?=\S)"), re.compile(r" (?!\S)")
 
 
 class Encoder:
-    """Token ids of whole texts by the ``tokenizers`` library, with a memory of what each space-led piece gave.
+    """Token ids of whole texts by the ``tokenizers`` library, with a memory of what each pre-token gave.
 
-    Byte-level pre-tokenisation always starts anew at a space before a non-space, so the pieces between single spaces are
-    encoded once per worker; a text with runs of spaces, or one that ends in a space, is encoded whole. A piece of plain
-    runs, with single line ends between them, is cut into its pre-tokens, which go straight to the model."""
+    A text of plain runs, with single line ends between them, is cut into its pre-tokens, which go straight to the model, a new one
+    once per worker. Any other text is cut at each space before a character that is no white space, where byte-level pre-tokenisation always starts
+    anew, and its pieces are encoded and remembered likewise. A text with a special token that holds a space is encoded whole."""
 
     KEEP = 700_000
 
@@ -145,49 +149,50 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         pre = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.table = {c: pre.pre_tokenize_str(chr(c))[0][0] for c in [10, *range(32, 127), *range(0xC0, 0x250)]}
-        self.pieces: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
+        self.pieces, self.tokens = _Memory(lambda p: self._piece(" " + p)), _Memory(self._model)
+        self.number = [array("I", [i]).tobytes() for i in range(self.tok.get_vocab_size())]
         self.special = [x.content for x in self.tok.get_added_tokens_decoder().values()]
 
     def _model(self, pretoken: str) -> bytes:
-        got = self.tokens.get(pretoken)
-        if got is None:
-            if len(self.tokens) >= self.KEEP:
-                self.tokens.clear()
-            got = self.tokens[pretoken] = array("I", [x.id for x in self.tok.model.tokenize(pretoken.translate(self.table))]).tobytes()
-        return got
+        spelled = pretoken.replace(" ", self.table[32]) if pretoken.isascii() and pretoken != "\n" else pretoken.translate(self.table)
+        return b"".join([self.number[x.id] for x in self.tok.model.tokenize(spelled)])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def _plain(self, text: str) -> bytes | None:
+        runs = _RUN.findall(text)
+        return b"".join(map(self.tokens.__getitem__, runs)) if sum(map(len, runs)) == len(text) else None
+
     def _piece(self, piece: str) -> bytes:
-        if any(s in piece for s in self.special):
-            return self._whole(piece)
-        if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
-            return self._model(piece)
-        out = []
-        for i, line in enumerate(piece.split("\n")):
-            if not _RUNS.fullmatch(line):
-                return self._whole(piece)
-            if i:
-                out.append(self._model("\n"))
-            out += map(self._model, _RUN.findall(line))
-        return b"".join(out)
+        got = None if any(s in piece for s in self.special) else self._plain(piece)
+        return self._whole(piece) if got is None else got
 
     def ids(self, text: str) -> bytes:
-        if "  " in text or text[-1:] == " " or any(" " in s and s in text for s in self.special):
+        """Ids of a text, as little-endian 32-bit numbers."""
+        for memory in (self.pieces, self.tokens):
+            if len(memory) >= self.KEEP:
+                memory.clear()
+        special = [s for s in self.special if s in text]
+        if any(" " in s for s in special):
             return self._whole(text)
-        parts, known = text.split(" "), self.pieces
-        first = parts.pop(0)
-        start = self._piece(first) if first else b""
-        try:
-            return start + b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) >= self.KEEP:
-                known.clear()
-            for p in set(parts).difference(known):
-                known[p] = self._piece(" " + p)
-            return start + b"".join([known[p] for p in parts])
+        got = None if special else self._plain(text)
+        if got is not None:
+            return got
+        first, *parts = text.split(" ") if _LOOSE.search(text) is None else _SPACE.split(text)
+        return (self._piece(first) if first else b"") + b"".join(map(self.pieces.__getitem__, parts))
+
+
+class _Memory(dict):
+    """What strings gave; a new one is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        got = self[text] = self.encode(text)
+        return got
 
 
 _encoders: dict[str, Encoder] = {}
@@ -216,7 +221,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
 
     A null text is empty and still gets its end id; a null doc_id sorts first; rows with the same doc_id stand in order of
     text; other columns are ignored; no rows make an empty folder with the schema. Documents are range-partitioned by
-    doc_id, so no task holds more than its range, and a lost task is encoded anew from its own range."""
+    doc_id and the first characters of the text (which part the rows of one id, and keep the sample of keys that comes to the driver
+    small); a task streams its range, sorted, and holds one file row of it. A lost task is encoded anew from its own range."""
     spark = docs.sparkSession
     schema = spark.createDataFrame([], FILE_SCHEMA).schema
     names = [f.name for f in schema.fields]
@@ -236,10 +242,10 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
 
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got = enc.ids(t.as_py() or "") + end
+                got = enc.ids(t.as_py() or "")
                 docs.append(d)
-                lengths.append(len(got) // 4)
-                chunks.append(got)
+                lengths.append(len(got) // 4 + 1)
+                chunks += (got, end)
                 held += lengths[-1]
                 if held >= ROW_IDS:
                     yield row()
@@ -248,7 +254,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
             yield row()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id"), F.substring("text", 1, TIE_CHARS)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(path)
 
 

@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a folder of our own only where that setting is missing (tests)."""
+    """The folder of ``spark.checkpoint.dir``; where that setting is missing, a folder of our own on one machine (tests), and an error on a
+    cluster, whose machines don't share such a folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
         if not folder:
+            if spark.sparkContext.master.split("[")[0] != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the cluster shares")
             folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
             spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -41,12 +44,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path through the file system that holds it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

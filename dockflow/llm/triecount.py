@@ -180,4 +180,5 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``documents``; for nulls, repeats and empty tables see ``token_counts``."""
     return token_counts(store.table(spark, sf_dir, "documents"))
