@@ -8,6 +8,8 @@ from dockflow.llm import decontam, mixing, parity, quality, simple8b, store
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The last stage: a token file of all rows, read back. Null texts are empty and get their end id; a null doc_id stands first; repeated rows are
+    documents each; other columns are left behind; an empty table gives no rows."""
     return simple8b.token_file(docs)
 
 
