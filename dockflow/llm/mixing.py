@@ -27,8 +27,8 @@ REPEATS = 1.0
 HEADS, DESIGNS = ("quality", "toxic"), (quality.NGRAMS, quality.PRESENCE)
 #: Largest relative gap to a target at which the fit ends.
 TOLERANCE = 2e-3
-#: It also ends when the gaps haven't shrunk by STALL in PATIENCE steps: the targets are out of reach then.
-STALL, PATIENCE = 0.01, 25
+#: It also ends when the squared gaps haven't shrunk by STALL in PATIENCE steps: the targets are out of reach then.
+STALL, PATIENCE = 0.05, 10
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
