@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hnsw, mixing, parity, prefixfree, quality, secrets, simple8b, store, triecount
+from . import chat, decontam, hnsw, mixing, packing, parity, prefixfree, prefixtrie, ptolemy, quality, secrets, simple8b, store, triecount
 
 
 def op8_token_binary(spark, sf_dir):
@@ -22,5 +22,8 @@ QUERIES = {
     "op8_token_binary": op8_token_binary,
     "op9_suffix_dedup": prefixfree.op9_suffix_dedup,
     "op10_token_counts": triecount.op10_token_counts,
+    "op11_centroid_clustering": ptolemy.op11_centroid_clustering,
+    "op12_conversation_prefix_trie": prefixtrie.op12_conversation_prefix_trie,
+    "op13_sum_of_squares_packing": packing.op13_sum_of_squares_packing,
 }
-ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE}
+ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE, "op11_centroid_clustering": ptolemy.ORACLE, "op12_conversation_prefix_trie": prefixtrie.ORACLE}
