@@ -7,7 +7,7 @@ come first, and no more sequences are opened than the group's tokens fill, as lo
 
 A group is what a task holds: GROUP_PIECES pieces or GROUP_TOKENS tokens at most.  The first level packs where documents are read, without a
 shuffle.  Sequences that are not full are dissolved and dealt anew, as groups of the next level, until one group is left or dealing no longer
-helps; so only a few of all tokens are ever shuffled, and at most one group ends with gaps that could have been shared.
+spares sequences; so only a few of all tokens are ever shuffled, and at most one group ends with gaps that could have been shared.
 
 File format: a Parquet row for each sequence: its ids as little-endian 32-bit numbers, and its pieces in order.
 """
@@ -34,8 +34,8 @@ CAPACITY = 2048
 GROUP_PIECES, GROUP_TOKENS = 1 << 14, 1 << 23
 #: Bytes of text that are encoded side by side.
 SLICE = 4 << 20
-#: Levels of packing, at most; each next one holds a small share of the last.
-LEVELS = 12
+#: Levels of packing, at most; each next one holds a small share of the last. A level that spares less than this share of its sequences is the last.
+LEVELS, GAIN = 12, 1e-3
 
 #: The text pipeline that the fast path below stands for.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -257,18 +257,18 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 0, ca
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
     made = store.written(_first_level(docs, tokenizer_path, end_id, capacity), "packed")
-    kept = []
+    kept, asked = [], None
     for level in range(1, LEVELS + 1):
         kept.append(made.where("whole"))
         rest = made.where("not whole")
-        pieces, tokens, before = (x or 0 for x in made.agg(F.sum(F.when(~F.col("whole"), F.size("pieces"))), F.sum(F.when(~F.col("whole"), F.length("ids") / 4)), F.sum(F.size("pieces"))).first())
-        if not pieces:
-            break
-        groups = max(-(-pieces // GROUP_PIECES), -(-int(tokens) // GROUP_TOKENS))
-        if level == LEVELS or level > 1 and 2 * pieces > before:  # dealing anew doesn't help: what is left can't be filled
+        count = lambda x: F.coalesce(F.sum(F.when(~F.col("whole"), x)), F.lit(0)).cast("long")
+        left, pieces, tokens, sequences = made.agg(count(F.lit(1)), count(F.size("pieces")), count(F.length("ids") / 4), F.count("*")).first()
+        spared = asked is None or asked - sequences >= GAIN * asked
+        if level == LEVELS or not spared or left <= -(-tokens // capacity):  # dealing anew didn't help, or can't
             kept.append(rest)
             break
-        made = store.written(_next_level(rest, groups, level, groups == 1, capacity), "packed")
+        groups = max(-(-pieces // GROUP_PIECES), -(-tokens // GROUP_TOKENS))
+        made, asked = store.written(_next_level(rest, groups, level, groups == 1, capacity), "packed"), left
     out = kept[0]
     for k in kept[1:]:
         out = out.unionByName(k)

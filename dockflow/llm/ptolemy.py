@@ -89,7 +89,7 @@ def starts(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The k vectors whose ``seed:vec_id`` has the smallest sha256, in that order; a null vec_id counts as no digits; ties stand in order of the vectors."""
     name = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     rows = vectors.orderBy(name, "vector").select("vector").limit(k).collect()
-    return np.array([r.vector for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.vector for r in rows], np.int64).reshape(len(rows), len(rows[0].vector) if rows else 0)
 
 
 def _rows(column, kind, wide: int) -> np.ndarray:
