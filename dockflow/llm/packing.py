@@ -19,6 +19,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ CAPACITY = 2048
 #: Pieces and tokens of a group, at most.
 GROUP_PIECES, GROUP_TOKENS = 1 << 14, 1 << 23
 #: Bytes of text that are encoded side by side.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Levels of packing, at most; each next one holds a small share of the last. A level that spares less than this share of its sequences is the last.
 LEVELS, GAIN = 12, 1e-3
 
@@ -63,7 +64,7 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         pre = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
-        self.words_apart = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])] == _NORMALIZERS and [x["type"] for x in pre] == ["Split", "ByteLevel"] and pre[0]["pattern"] == {"Regex": _SPLIT} and told["model"]["end_of_word_suffix"] == "</w>"
+        self.words_apart = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])] == _NORMALIZERS and [x["type"] for x in pre] == ["Split", "ByteLevel"] and pre[0]["pattern"] == {"Regex": _SPLIT} and told["model"]["end_of_word_suffix"] == "</w>" and not any(x["content"][:-1].isalpha() for x in told["added_tokens"])
         self.split = regex.compile(_SPLIT)
         marks = [i for w, i in told["model"]["vocab"].items() if w.endswith("</w>")]
         self.is_end = np.zeros(max([*told["model"]["vocab"].values(), 0]) + 1, bool)
@@ -81,42 +82,45 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _cut(self, word: str) -> list[str] | None:
-        """Pre-tokens of a word; None where only the whole tokenizer can tell."""
-        if not (word.isascii() or _PLAIN.fullmatch(word)) or any(s in word for s in self.special):
+    def _cut(self, word: str) -> str | list[str] | None:
+        """The pre-token that a word is, or its pre-tokens; None where only the whole tokenizer can tell."""
+        if not (word.isascii() or _PLAIN.fullmatch(word)):
             return None
         low = word.lower()
         if low.isalpha():
-            return [low]
-        return [low[:-1], low[-1]] if low[:-1].isalpha() and not low[-1].isalnum() else self.split.findall(low)
+            return low
+        if low[:-1].isalpha() and not low[-1].isalnum():
+            return [low[:-1], low[-1]]
+        return None if any(s in word for s in self.special) else self.split.findall(low)
 
     def _learn_pretokens(self, new: list[str]) -> None:
-        if len(self.pretokens) >= self.KEEP:
-            self.pretokens.clear()
         for lo in range(0, len(new), 4096):
             part = new[lo : lo + 4096]
-            ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
             if len(ends) != len(part):  # the model left something out
                 self.pretokens.update((p, self._whole(p)) for p in part)
                 continue
-            raw = ids.tobytes()
-            self.pretokens.update((p, raw[a:b]) for p, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        cuts = [self._cut(w) for w in words]
-        wanted = {p for c in cuts if c for p in c}
+            raw, at = ids.tobytes(), ends.tolist()
+            self.pretokens.update(zip(part, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Numbers of new words."""
+        cuts = list(map(self._cut, words))
+        wanted = {c for c in cuts if c.__class__ is str}
+        wanted.update(*(c for c in cuts if c.__class__ is list))
         if len(self.pretokens) + len(wanted) >= self.KEEP:
             self.pretokens.clear()
-        self._learn_pretokens([p for p in wanted if p not in self.pretokens])
         known = self.pretokens
-        got = [self._whole(w) if c is None else known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for w, c in zip(words, cuts, strict=True)]
+        self._learn_pretokens([p for p in wanted if p not in known])
+        got = [known[c] if c.__class__ is str else self._whole(w) if c is None else b"".join([known[p] for p in c]) for w, c in zip(words, cuts, strict=True)]
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         first = len(self.number)
         self.number.update(zip(words, range(first, first + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(got), np.uint32)])
+        return np.arange(first, first + len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), one after another, and where each text's ids end."""
@@ -125,13 +129,14 @@ class WordEncoder:
             return np.frombuffer(b"".join(got), np.uint32), np.cumsum(np.fromiter(map(len, got), np.int64, len(got)) // 4)
         parts = pc.ascii_split_whitespace(texts)
         told = parts.flatten().dictionary_encode()
-        words = told.dictionary.to_pylist()
+        words = told.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) >= self.KEEP:
             self._forget()
-        new = [w for w in words if w not in self.number]
-        if new:
-            self._learn(new)
-        word = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[told.indices.to_numpy()]
+        known = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = self._learn([words[i] for i in new.tolist()])
+        word = known[told.indices.to_numpy()]
         size = self.size[word]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.arange(ends[-1]) + np.repeat(self.start[word] - ends[:-1], size)]
@@ -156,15 +161,18 @@ def place(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     open_ = np.zeros(capacity + 1, np.int64)  # N, by gap
     waiting: list[list[int]] = [[] for _ in range(capacity + 1)]  # sequences of each gap
     sequences: list[list[int]] = []
-    fills = -(-int(lengths.sum()) // capacity)
     never = np.int64(1) << 40
-    for i in np.argsort(-lengths, kind="stable").tolist():
+    order = np.argsort(-lengths, kind="stable").tolist()
+    alone = int((lengths == capacity).sum())  # they come first, and leave no gap
+    sequences += [[i] for i in order[:alone]]
+    fills = -(-int(lengths.sum()) // capacity)
+    for i in order[alone:]:
         s = int(lengths[i])
         has = open_[s:]
         change = np.where(has > 0, 1 - 2 * has, never)
         change[1:] += 2 * open_[1 : capacity + 1 - s] + 1
         if len(sequences) < fills or not has[:-1].any():
-            change[-1] = 2 * open_[capacity - s] + 1 if s < capacity else 0
+            change[-1] = 2 * open_[capacity - s] + 1
         gap = s + int(change.argmin())
         if gap == capacity:
             at = len(sequences)
@@ -179,9 +187,9 @@ def place(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     return sequences
 
 
-PACKED = "sequence_id long, whole boolean, ids binary, pieces array<struct<doc_id: long, piece: int, start: long, length: long>>"
+PACKED = "sequence_id long, whole boolean, tokens int, n_pieces int, ids binary, pieces array<struct<doc_id: long, piece: int, start: long, length: long>>"
 _PIECES = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]))
-_ARROW = pa.schema([("sequence_id", pa.int64()), ("whole", pa.bool_()), ("ids", pa.binary()), ("pieces", _PIECES)])
+_ARROW = pa.schema([("sequence_id", pa.int64()), ("whole", pa.bool_()), ("tokens", pa.int32()), ("n_pieces", pa.int32()), ("ids", pa.binary()), ("pieces", _PIECES)])
 
 
 class Packer:
@@ -205,8 +213,9 @@ class Packer:
         made = place(lengths, self.capacity)
         for lo in range(0, len(made), 1024):
             part = made[lo : lo + 1024]
-            whole = [self.last or int(lengths[s].sum()) == self.capacity for s in part]
-            yield pa.RecordBatch.from_pydict({"sequence_id": range(self.next, self.next + len(part)), "whole": whole, "ids": [b"".join([self.held[i][1] for i in s]) for s in part], "pieces": [[self.held[i][0] for i in s] for s in part]}, schema=_ARROW)
+            tokens = [int(lengths[s].sum()) for s in part]
+            whole = [self.last or n == self.capacity for n in tokens]
+            yield pa.RecordBatch.from_pydict({"sequence_id": range(self.next, self.next + len(part)), "whole": whole, "tokens": tokens, "n_pieces": list(map(len, part)), "ids": [b"".join([self.held[i][1] for i in s]) for s in part], "pieces": [[self.held[i][0] for i in s] for s in part]}, schema=_ARROW)
             self.next += len(part)
         self.held, self.tokens = [], 0
 
@@ -256,23 +265,23 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 0, ca
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    made = store.written(_first_level(docs, tokenizer_path, end_id, capacity), "packed")
+    made = store.written(_first_level(docs, tokenizer_path, end_id, capacity), "packed", "whole")
     kept, asked = [], None
     for level in range(1, LEVELS + 1):
         kept.append(made.where("whole"))
         rest = made.where("not whole")
-        count = lambda x: F.coalesce(F.sum(F.when(~F.col("whole"), x)), F.lit(0)).cast("long")
-        left, pieces, tokens, sequences = made.agg(count(F.lit(1)), count(F.size("pieces")), count(F.length("ids") / 4), F.count("*")).first()
+        count = lambda x: F.coalesce(F.sum(F.when(~F.col("whole"), x if isinstance(x, F.Column) else F.col(x))), F.lit(0)).cast("long")
+        left, pieces, tokens, sequences = made.agg(count(F.lit(1)), count("n_pieces"), count("tokens"), F.count("*")).first()
         spared = asked is None or asked - sequences >= GAIN * asked
         if level == LEVELS or not spared or left <= -(-tokens // capacity):  # dealing anew didn't help, or can't
             kept.append(rest)
             break
         groups = max(-(-pieces // GROUP_PIECES), -(-tokens // GROUP_TOKENS))
-        made, asked = store.written(_next_level(rest, groups, level, groups == 1, capacity), "packed"), left
+        made, asked = store.written(_next_level(rest, groups, level, groups == 1, capacity), "packed", "whole"), left
     out = kept[0]
     for k in kept[1:]:
         out = out.unionByName(k)
-    return out.drop("whole")
+    return out.drop("whole", "tokens", "n_pieces")
 
 
 def piece_rows(sequences: DataFrame) -> DataFrame:

@@ -30,11 +30,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as Parquet to the shared folder and read it back: lineage ends there."""
+def written(df: DataFrame, name: str, folders: str | None = None) -> DataFrame:
+    """Write a frame as Parquet to the shared folder and read it back: lineage ends there. ``folders``: a column of few values, each with a folder of its own."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(folders) if folders else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
