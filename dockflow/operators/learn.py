@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 
 import numpy as np
@@ -240,9 +241,47 @@ def selected_model(reports: DataFrame) -> DataFrame:
     return reports.orderBy(F.desc("adopted"), F.desc("version")).limit(1)
 
 
-def predict_issue(model, features: list[str], rows: DataFrame, version: Column, created_at: Column) -> DataFrame:
-    """Scoring rows to versioned predictions (ML-08)."""
-    return predict_counts(model, rows, features).select("station_id", "hour_start", version.alias("model_version"), F.col("prediction").alias("predicted_rentals"), created_at.alias("created_at"))
+@dataclass
+class Baseline:
+    """A profile column as the model, for when no candidate is adopted (ML-05)."""
+
+    column: str = "b0"
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        return frame.withColumn("prediction", F.coalesce(F.col(self.column).cast("double"), F.lit(0.0)))
+
+
+def fresh_stations(snapshots: DataFrame, stations: DataFrame, now: datetime, max_age: timedelta) -> DataFrame:
+    """Known stations of the newest snapshot; an error where that is missing or older than ``max_age``."""
+    newest = snapshots.agg(F.max("fetched_at")).first()[0]
+    if newest is None or now - newest > max_age:
+        raise RuntimeError(f"no recent snapshot: the newest is of {newest}")
+    return stations.join(snapshots.where(F.col("fetched_at") == F.lit(newest)).select("station_id").distinct(), "station_id", "left_semi")
+
+
+def predict_issue(model, features: list[str], model_name: str, forecast: DataFrame, snapshots: DataFrame, stations: DataFrame, holidays: DataFrame, stats: dict[str, DataFrame], now: datetime, hours: int = 48, max_age: timedelta = timedelta(hours=6), grid: tuple[int, int] = (60, 127), created_at: Column | None = None) -> DataFrame:
+    """Predictions of the newest forecast issue of one grid cell for the stations of the newest snapshot and those of the next ``hours`` hours (from the current one)
+    that the issue covers, as one version (ML-08). ``stats``: frozen statistics (SR-26).
+
+    A RuntimeError where there is no forecast, no snapshot within ``max_age``, or no hour to predict. Three single values come to the driver."""
+    from ..functions.time import version_of
+    from .features import scoring_rows
+    from .staging import grid_filter
+    from .weather import pivot_forecast
+
+    own = grid_filter(forecast, *grid)
+    base = own.agg(F.max("base_at")).first()[0]
+    if base is None:
+        raise RuntimeError("no forecast")
+    live = fresh_stations(snapshots, stations, now, max_age)
+    first = now.replace(minute=0, second=0, microsecond=0)
+    weather = pivot_forecast(own.where(F.col("base_at") == F.lit(base))).where((F.col("hour_start") >= F.lit(first)) & (F.col("hour_start") < F.lit(first + timedelta(hours=hours))))
+    weather = weather.withColumn("is_new_snow", F.col("is_snow").cast("boolean")).drop("is_snow", "base_at")
+    if weather.isEmpty():
+        raise RuntimeError(f"the forecast of {base} covers none of the hours from {first}")
+    rows = scoring_rows(live, weather.select("hour_start"), weather, holidays, stats)
+    made = F.current_timestamp().cast("timestamp_ntz") if created_at is None else created_at
+    return predict_counts(model, rows, features).select("station_id", "hour_start", version_of(model_name, F.lit(base)).alias("model_version"), F.col("prediction").alias("predicted_rentals"), made.alias("created_at"))
 
 
 def predict_both(model, frame: DataFrame, features: list[str], other_weather: DataFrame, weather: list[str]) -> DataFrame:

@@ -26,21 +26,20 @@ def score_groups(df: DataFrame, score: str, y: str, by: list[str], weight: Colum
 
 
 def prefix_sums(groups: DataFrame, by: list[str], buckets: int = 64) -> DataFrame:
-    """Sums of pos and neg over all higher scores. Without ``by`` the scores are cut into value ranges first: sums within ranges are
-    windows, the totals of the ranges (``buckets`` rows) are added from a broadcast, and no task sees all scores."""
-    if by:
-        w = Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-        zero = F.lit(0.0)
-        return groups.withColumns({"pos_above": F.coalesce(F.sum("pos").over(w), zero), "neg_above": F.coalesce(F.sum("neg").over(w), zero)})
+    """Sums of pos and neg over all higher scores of a group (WN-06). Scores are cut into value ranges by quantiles of all rows, so the part of a group that
+    lies in one range has about 1 / ``buckets`` of all rows at most, however large the group. A window holds one such part, and starts with a row for
+    the totals of the group's higher ranges, which come from one row for each group and range."""
     cuts = F.percentile_approx("score", F.lit([i / buckets for i in range(1, buckets)]), 1000)
-    edge = F.broadcast(groups.agg(cuts.alias("__cuts")))
+    edge = F.broadcast(groups.agg(cuts.alias("__cuts")))  # one row
     ranged = groups.crossJoin(edge).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col("score")))).drop("__cuts")
-    totals = ranged.groupBy("__range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    up = Window.orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    above = totals.select("__range", F.coalesce(F.sum("p").over(up), F.lit(0.0)).alias("__p"), F.coalesce(F.sum("n").over(up), F.lit(0.0)).alias("__n"))
-    w = Window.partitionBy("__range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.join(F.broadcast(above), "__range").withColumns({
-        "pos_above": F.col("__p") + F.coalesce(F.sum("pos").over(w), F.lit(0.0)), "neg_above": F.col("__n") + F.coalesce(F.sum("neg").over(w), F.lit(0.0))}).drop("__range", "__p", "__n")
+    totals = ranged.groupBy(*by, "__range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    up = Window.partitionBy(*by).orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
+    higher = totals.select(*by, "__range", F.sum("pos").over(up).alias("pos"), F.sum("neg").over(up).alias("neg")).where("pos is not null")
+    parts = ranged.withColumn("__own", F.lit(1)).unionByName(higher.withColumn("__own", F.lit(0)), allowMissingColumns=True)
+    w = Window.partitionBy(*by, "__range").orderBy("__own", F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0.0)
+    summed = parts.withColumns({"pos_above": F.coalesce(F.sum("pos").over(w), zero), "neg_above": F.coalesce(F.sum("neg").over(w), zero)})
+    return summed.where("__own = 1").drop("__range", "__own")
 
 
 def rank_metrics(groups: DataFrame, by: list[str]) -> DataFrame:

@@ -8,16 +8,24 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch, hour_of, plus_minutes
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, values: list[str], strict: bool = True) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, values: list[str], strict: bool = True, stretch: int = 86400) -> DataFrame:
     """Each left row with the last right row before it (``strict``) or not after it, by key; NULLs where there is none (JN-05).
 
-    Both sides go into one window by key: one shuffle, no pair is made. On equal times left rows come first if strict, else
-    right ones. Among right rows of one time the one of the highest values counts."""
+    Both sides go into one window, no pair is made. On equal times left rows come first if strict, else right ones. Among right rows of one time the one
+    of the highest values counts. Where times are timestamps, a window holds ``stretch`` seconds of a key, and starts with the last right row of the
+    stretches before, which is found from one row for each key and stretch: a key with most of the rows is dealt to as many tasks as it has stretches."""
     rank = F.lit(1 if strict else 0)
     lefts = left.select(*(F.col(c) for c in by), F.col(left_time).alias("__at"), F.lit(0 if strict else 1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).cast(right.select(F.struct(right_time, *values).alias("v")).schema["v"].dataType).alias("__found"))
     rights = right.where(F.col(right_time).isNotNull()).select(*(F.col(c) for c in by), F.col(right_time).alias("__at"), rank.alias("__side"), F.lit(None).cast(lefts.schema["__row"].dataType).alias("__row"), F.struct(right_time, *values).alias("__found"))
-    w = Window.partitionBy(*by).orderBy("__at", "__side", "__found").rowsBetween(Window.unboundedPreceding, -1)
-    joined = lefts.unionByName(rights).withColumn("__hit", F.last("__found", ignorenulls=True).over(w)).where("__row is not null")
+    both, group = lefts.unionByName(rights), list(by)
+    if left.schema[left_time].dataType.typeName().startswith("timestamp"):
+        both, group = both.withColumn("__stretch", F.floor(epoch(F.col("__at")) / stretch)), [*by, "__stretch"]
+        last = F.max(F.when(F.col("__found").isNotNull(), F.struct("__at", "__found")))
+        before = F.last("__last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1))
+        carried = both.groupBy(*group).agg(last.alias("__last")).select(*group, before.alias("__carried")).where("__carried is not null and __stretch is not null")
+        both = both.unionByName(carried.select(*group, F.col("__carried.__found").alias("__found"), F.lit(-1).alias("__side")), allowMissingColumns=True)  # no time: first of its window
+    w = Window.partitionBy(*group).orderBy("__at", "__side", "__found").rowsBetween(Window.unboundedPreceding, -1)
+    joined = both.withColumn("__hit", F.last("__found", ignorenulls=True).over(w)).where("__row is not null")
     return joined.select("__row.*", *(F.col(f"__hit.{v}").alias(v if v not in left.columns else f"asof_{v}") for v in values), F.col(f"__hit.{right_time}").alias(f"asof_{right_time}"))
 
 

@@ -26,6 +26,16 @@ def pivot_forecast(forecast: DataFrame) -> DataFrame:
     )
 
 
+#: Categories that an issue has for each of its hours.
+CATEGORIES = ("TMP", "PCP", "WSD", "REH", "SNO", "POP")
+
+
+def whole_issues(forecast: DataFrame, hours: int = 48, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
+    """base_at of the issues that have every category for ``hours`` hours (ST-08)."""
+    cells = forecast.where(F.col("category").isin(*categories)).groupBy("base_at", "target_at").agg(F.count_distinct("category").alias("n")).where(F.col("n") == len(categories))
+    return cells.groupBy("base_at").agg(F.count("*").alias("n")).where(F.col("n") >= hours).select("base_at")
+
+
 def latest_issue(forecast: DataFrame, upto: Column | None = None) -> DataFrame:
     """Rows of the newest issue (at most ``upto``); none if there is none (FW-02)."""
     live = forecast if upto is None else forecast.where(F.col("base_at") <= upto)

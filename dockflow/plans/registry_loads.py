@@ -148,6 +148,22 @@ def ml01(s, d):
     return out.select("station_id", "hour_start", "rentals", F.round("prediction", 4).alias("prediction"))
 
 
+@query("ml08_predict_issue", over("grid cal dim snap issues", """select station_id, hour_start, model_version, round(coalesce(p.m, q.m)::float::double, 3) as predicted_rentals from (select station_id from snap where fetched_at = (select max(fetched_at) from snap)) join dim using (station_id)
+    cross join (select h as hour_start, 'v1-fcst' || strftime(b, '%Y%m%d%H%M') as model_version, hour(h)::int as hour_of_day, (h::date in (date '2024-01-01', date '2024-01-15') or isodow(h) >= 6) as is_offday from (select b, unnest(generate_series(b, b + interval 47 hour, interval 1 hour)) as h from (select max(base_at) as b from issues)))
+    left join (select station_id, is_offday, hour_of_day, avg(rentals) as m from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) p using (station_id, is_offday, hour_of_day)
+    left join (select is_offday, hour_of_day, avg(rentals) as m from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) q using (is_offday, hour_of_day)"""))
+def ml08(s, d):
+    """The newest issue at the time of the newest snapshot, by the profile baseline; stored twice, so the second run replaces the first."""
+    snaps, stations = A.snapshots(s, d), A.stations(s, d)
+    stats = features.history_stats(A.grid(s, d), A.full_calendar(s, d), stations, ("2024-01-01", "2024-01-22"))
+    now = snaps.agg(F.max("fetched_at")).first()[0]
+    made = learn.predict_issue(learn.Baseline("b0"), ["b0"], "v1", A.forecast(s, d), snaps, stations, A.holidays(s, d), stats, now, created_at=F.lit(now))
+    path = sinks.scratch_folder(s)
+    for _ in range(2):
+        sinks.write_predictions(path, made)
+    return s.read.parquet(path).select("station_id", "hour_start", "model_version", F.round("predicted_rentals", 3).alias("predicted_rentals"))
+
+
 @query("ml11_logistic")
 def ml11(s, d):
     rows = learn.nowcast_features(main_rows(s, d).where("reason = 'main'"))
@@ -214,7 +230,7 @@ def st07(s, d):
     return pit.latest_state(A.snapshots(s, d), after=F.lit("2024-01-30 23:00:00").cast("timestamp_ntz"))
 
 
-@query("st09_zero_alerts", over("win pred", "select w.as_of, w.station_id, min(fetched_at) as first_zero from win w join (select distinct station_id, created_at as as_of from pred) p on p.as_of = w.as_of and p.station_id = w.station_id where bike_count = 0 group by all"))
+@query("st09_zero_alerts", over("win pred", "select p.as_of, p.station_id, min(fetched_at) as first_zero from (select distinct station_id, created_at as as_of from pred) p left join win w on p.as_of = w.as_of and p.station_id = w.station_id and w.bike_count = 0 group by all"))
 def st09(s, d):
     rows = A.predictions(s, d).select(F.col("created_at").alias("as_of"), "station_id").distinct()
     return streams.zero_alerts_batch(rows, A.snapshots(s, d))

@@ -317,3 +317,97 @@ def test_boosted_counts(spark):
     assert got == pytest.approx({g: y[x == g].mean() for g in (0, 1)}, rel=0.05)
     assert [tuple(r) for r in learn.gain_share(model, ["x"], spark).collect()] == [("x", 1.0)]
     assert learn.predict_counts(model, d, ["x"]).where("prediction < 0").count() == 0
+
+
+def test_asof_join_of_a_hot_key_is_dealt_by_stretches(spark):
+    """One key has nearly all rows; any stretch gives the same rows, and a window holds one stretch of a key."""
+    import random
+    from datetime import datetime, timedelta
+
+    r, start = random.Random(2), datetime(2024, 1, 1)
+    keys = lambda: "hot" if r.random() < 0.9 else r.choice(["a", "b", None])
+    left = [(i, keys(), start + timedelta(minutes=r.randrange(30 * 1440))) for i in range(600)] + [(900, "hot", None), (901, None, start)]
+    right = [(keys(), start + timedelta(minutes=30 * r.randrange(10 * 48)), r.randrange(5)) for _ in range(80)] + [("hot", None, 9)]
+    a = spark.createDataFrame(left, "id int, k string, t timestamp_ntz")
+    b = spark.createDataFrame(right, "k string, u timestamp_ntz, v int")
+    for strict in (True, False):
+        want = {}
+        for i, k, t in left:
+            before = [(u, v) for q, u, v in right if q == k and u is not None and t is not None and (u < t or u == t and not strict)]
+            want[i] = max(before) if before else (None, None)
+        for stretch in (3600, 86400, 10**9):
+            out = pit.asof_join(a, b, ["k"], "t", "u", ["v"], strict, stretch)
+            assert {x.id: (x.asof_u, x.v) for x in out.collect()} == want
+    plan = pit.asof_join(a, b, ["k"], "t", "u", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "__stretch" in plan.split("Window", 1)[1].splitlines()[0]
+
+
+def test_rank_metrics_of_large_groups_are_dealt_by_ranges(spark):
+    """Continuous scores, one group with most of the rows, a null group: sums as in one window by group, and no window has more than a range's share."""
+    import random
+
+    from pyspark.sql import Window
+
+    r = random.Random(3)
+    rows = [("big" if r.random() < 0.8 else r.choice(["x", None]), r.gauss(0, 1), float(r.random() < 0.4), 1.0) for _ in range(4000)]
+    g = spark.createDataFrame(rows, "g string, score double, pos double, neg double")
+    got = metrics.prefix_sums(g, ["g"])
+    w = Window.partitionBy("g").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    want = g.withColumns({"pos_above": F.coalesce(F.sum("pos").over(w), F.lit(0.0)), "neg_above": F.coalesce(F.sum("neg").over(w), F.lit(0.0))})
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    windows = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g" in windows and "__range" in windows
+    cuts = g.selectExpr(f"percentile_approx(score, array({', '.join(str(i / 64) for i in range(1, 64))}), 1000) as c")
+    largest = g.crossJoin(cuts).groupBy("g", F.size(F.filter("c", lambda c: c < F.col("score")))).count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * 4000 / 64
+
+
+def _frozen(spark):
+    row = lambda values, schema: spark.createDataFrame(values, schema)
+    hours = [(off, h) for off in (False, True) for h in range(24)]
+    return {
+        "codes": row([("ST-1", 1)], "station_id string, station_code int"), "district_codes": row([("D1", 1)], "district string, district_code int"),
+        "profile": row([("ST-1", off, h, float(h)) for off, h in hours], "station_id string, is_offday boolean, hour_of_day int, profile_mean double"), "hour_profile": row([("ST-1", h, 1.0) for h in range(24)], "station_id string, hour_of_day int, hour_mean double"),
+        "trend": row([("ST-1", 1.0)], "station_id string, station_trend double"), "global_profile": row([(off, h, 100.0 + h) for off, h in hours], "is_offday boolean, hour_of_day int, global_profile_mean double"),
+        "global_hour": row([(h, 2.0) for h in range(24)], "hour_of_day int, global_hour_mean double"), "global_trend": row([(1.0,)], "global_trend double"),
+    }
+
+
+def _issue(spark, base, hours, now, snapshot_at, others=()):
+    from datetime import timedelta
+
+    cells = [(base, base + timedelta(hours=h), c, v, 60, 127) for h in hours for c, v in (("TMP", "20"), ("PCP", "none"))] + list(others)
+    forecast = spark.createDataFrame(cells, "base_at timestamp_ntz, target_at timestamp_ntz, category string, value string, nx int, ny int")
+    snaps = spark.createDataFrame([(s, snapshot_at, 3) for s in ("ST-1", "ST-9", "ST-unknown")] + [("ST-2", snapshot_at - timedelta(minutes=10), 3)], "station_id string, fetched_at timestamp_ntz, bike_count int")
+    stations = spark.createDataFrame([(s, "D1", 10, 37.0, 127.0) for s in ("ST-1", "ST-2", "ST-9")], "station_id string, district string, docks int, lat double, lon double")
+    holidays = spark.createDataFrame([], "holiday_date date, holiday_name string")
+    return learn.predict_issue(learn.Baseline("b0"), ["b0"], "v1-test", forecast, snaps, stations, holidays, _frozen(spark), now)
+
+
+def test_predict_issue_writes_and_overwrites(spark, tmp_path):
+    """Hours that the issue covers from the current one on, known stations of the newest snapshot, a version named by the issue; again: as many rows."""
+    from datetime import datetime, timedelta
+
+    base, now = datetime(2024, 3, 5, 5), datetime(2024, 3, 5, 8, 20)
+    other = [(base + timedelta(hours=3), base + timedelta(hours=4), "TMP", "35", 61, 128)]  # another cell's later issue
+    for _ in range(2):
+        made = _issue(spark, base, range(2, 8), now, now - timedelta(minutes=10), other)
+        sinks.write_predictions(f"file://{tmp_path}/p", made)
+    rows = spark.read.parquet(f"file://{tmp_path}/p").collect()
+    assert {r.model_version for r in rows} == {"v1-test-fcst202403050500"}
+    assert sorted((r.station_id, r.hour_start.hour, r.predicted_rentals) for r in rows) == sorted([("ST-1", h, float(h)) for h in range(8, 12)] + [("ST-9", h, 100.0 + h) for h in range(8, 12)])
+
+
+def test_predict_issue_refuses_stale_or_missing_input(spark):
+    from datetime import datetime, timedelta
+
+    import pytest
+
+    base, now = datetime(2024, 3, 5, 5), datetime(2024, 3, 5, 8)
+    assert _issue(spark, base, range(1, 9), now, now - timedelta(hours=6)).count() > 0
+    with pytest.raises(RuntimeError, match="snapshot"):
+        _issue(spark, base, range(1, 9), now, now - timedelta(hours=6, minutes=1))
+    with pytest.raises(RuntimeError, match="no forecast"):
+        _issue(spark, base, [], now, now)
+    with pytest.raises(RuntimeError, match="covers none"):
+        _issue(spark, base, range(1, 3), now, now)
