@@ -3,7 +3,8 @@
 A text becomes a template: numbers, names and units of measure are typed placeholders, other words are lower-cased.
 Windows of ``WINDOW`` template tokens are hashed and joined with the windows of the benchmark items.  A window also carries the
 values of its slots: over all windows that a document shares with an item, or those of one occurrence of it, the values must be one
-to one, as they are in a re-parameterised question, or the windows equal as they stand.  Texts are hashed with array operations; a bitmap of fixed size,
+to one, as they are in a re-parameterised question, or the windows equal as they stand.  A capital at the start of a sentence may be a name or not, so
+templates have three forms: without names, with names inside sentences, and with all capitals as names.  Texts are hashed with array operations; a bitmap of fixed size,
 filled from the benchmark, leaves out windows that cannot join, and the join itself is an ordinary equi-join on the hash.
 """
 
@@ -39,8 +40,12 @@ _STOP = np.zeros(256, bool)
 _STOP[[*b".!?:;\n\r\"|*#>-("]] = True
 
 
-def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash, slot value (0 outside slots) and row of every token of a batch."""
+#: Forms of a template: which words are names.
+NO_NAMES, INNER_NAMES, ALL_CAPITALS = range(3)
+
+
+def template(data: np.ndarray, offsets: np.ndarray, form: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template hash, slot value (0 outside slots) and row of every token of a batch. A row's tokens depend on nothing outside of it."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     kind = _KIND[data]
@@ -61,16 +66,18 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.nda
     near[1:] = number[:-1] & (rows[1:] == rows[:-1])
     unit = (_UNIT_HASHES[at] == raw) & near
     name = np.zeros(len(raw), bool)
-    if names:
+    if form != NO_NAMES:
         nxt = np.minimum(starts + 1, len(data) - 1)
         upper = ((data[starts] >= 65) & (data[starts] <= 90) & (ends - starts > 1) & (data[nxt] >= 97)) | ((data[starts] == 0xC3) & (data[nxt] >= 0x80) & (data[nxt] <= 0x9E))
-        # a capital right after a stop (white space aside), or at the start of a text, says nothing
-        solid = np.where(kind > 0, np.arange(len(data)), -1)
-        before = np.maximum.accumulate(solid)[np.maximum(starts - 1, 0)]
+        # a capital right after a stop (white space aside), or at the start of a text, may be no name
+        solid = np.maximum.accumulate(np.where(kind > 0, np.arange(len(data)), -1))
+        before = np.where(starts > offsets[rows], solid[starts - 1], -1)
         broke = np.cumsum(data == 10)
         newline = broke[np.maximum(starts - 1, 0)] > broke[np.maximum(before, 0)]
         opening = (before < offsets[rows]) | _STOP[data[np.maximum(before, 0)]] | newline
-        name = upper & ~opening & (kind[starts] == 1)
+        name = upper & (kind[starts] == 1)
+        if form == INNER_NAMES:
+            name &= ~opening
     gap = np.zeros(len(raw), np.int64)
     gap[1:] = starts[1:] - ends[:-1]
     same = np.zeros(len(raw), bool)
@@ -86,11 +93,11 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[np.nda
     return hashes[lead], np.where(slot[lead] > 0, value, K.U64(0)), rows[lead]
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, names: bool, bitmap: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], whole: bool, form: int, bitmap: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Hash, literal hash, row, place in the row (in template tokens), size, whether it is bare, and slot values of every window that
     ``bitmap`` lets through. A bare window has too few plain words for a template and is hashed as it stands. ``lengths``: besides
     WINDOW, shorter ones; ``whole``: a shorter length only for rows of exactly that many tokens."""
-    h, slot, rows = template(data, offsets, names)
+    h, slot, rows = template(data, offsets, form)
     per = np.bincount(rows, minlength=len(offsets) - 1) if len(rows) else np.zeros(len(offsets) - 1, np.int64)
     begin = np.cumsum(per) - per
     free = np.concatenate([[0], np.cumsum(slot == 0)])
@@ -125,7 +132,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], who
 
 
 def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole: bool, bitmap: np.ndarray | None) -> DataFrame:
-    """Windows of every row, once with names as slots and once without (``names``); ``source`` tells the texts of one key apart."""
+    """Windows of every row in each ``form``; ``source`` tells the texts of one key apart."""
     held = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,16 +140,16 @@ def _template_windows(df: DataFrame, key: str, lengths: tuple[int, ...], whole:
             data, offsets = K.text_bytes(b.column(2))
             for lo, hi in K.slices(offsets):
                 part, off = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                for names in (True, False):
-                    h, literal, row, at, size, bare, slots = windows(part, off, lengths, whole, names, held.value)
+                for form in (NO_NAMES, INNER_NAMES, ALL_CAPITALS):
+                    h, literal, row, at, size, bare, slots = windows(part, off, lengths, whole, form, held.value)
                     if len(h):
                         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(h) * WINDOW + 1, WINDOW), pa.int32()), pa.array(slots.ravel().view(np.int64)))
                         of = pa.array(lo + row)
-                        cols = [b.column(0).take(of), b.column(1).take(of), pa.array(np.full(len(h), names)), pa.array(h.view(np.int64)), pa.array(literal.view(np.int64)), pa.array(at), pa.array(size), pa.array(bare), lists]
-                        yield pa.RecordBatch.from_arrays(cols, [key, "source", "names", "h", "literal", "at", "size", "bare", "slots"])
+                        cols = [b.column(0).take(of), b.column(1).take(of), pa.array(np.full(len(h), form, np.int32)), pa.array(h.view(np.int64)), pa.array(literal.view(np.int64)), pa.array(at), pa.array(size), pa.array(bare), lists]
+                        yield pa.RecordBatch.from_arrays(cols, [key, "source", "form", "h", "literal", "at", "size", "bare", "slots"])
 
     texts = df.where(f"{key} is not null and text is not null").select(key, F.xxhash64("text").alias("source"), "text")
-    return texts.mapInArrow(run, f"{key} long, source long, names boolean, h long, literal long, at long, size int, bare boolean, slots array<long>")
+    return texts.mapInArrow(run, f"{key} long, source long, form int, h long, literal long, at long, size int, bare boolean, slots array<long>")
 
 
 def _held(n: str, template: str) -> F.Column:
@@ -155,10 +162,10 @@ def _held(n: str, template: str) -> F.Column:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, n_windows (distinct windows of the item that
-    the document shares), n_item_windows, reparameterised (true if some shared windows hold other slot values than the item's).
+    the document shares), n_item_windows (both of the form of template that shares most), reparameterised (true if some shared windows hold other slot values than the item's).
 
-    A document holds an item if it shares SHARED of its windows, or all of them if the item has fewer, and its slot values are one to
-    one with the item's over all shared windows, or stand as they do in the item. It also does if that is so for one occurrence
+    A document holds an item if, in one form of template, it shares SHARED of its windows, or all of them if the item has fewer, and its slot values are one to
+    one with the item's over all shared windows of that form, or stand as they do in the item. It also does if that is so for one occurrence
     alone: the shared windows that are as far apart in the document as in the item, whatever else the document shares. Windows with
     fewer plain words than PLAIN (and than tokens) are shared only as they stand; where an item has too few others for SHARED, all
     of the others suffice as well. Items shorter than WINDOW tokens are one window. Rows with a null id or text hold nothing;
@@ -171,12 +178,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = tuple(sorted(r[0] for r in items.select("size").distinct().collect()))  # WINDOW or less: other sizes join with nothing
     found = _template_windows(docs, "doc_id", lengths, False, np.packbits(bits, bitorder="little"))
     template = F.when(~F.col("bare"), F.col("h"))
-    needed = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"), F.countDistinct(template).alias("n_item_template"))
-    # a window without names is found without them too, so windows of one kind meet all that they can
-    own = items.select("item_id", "h", "names", F.col("source").alias("own_source"), F.col("literal").alias("own"), F.col("at").alias("own_at"), F.col("slots").alias("own_slots"), F.exists("slots", lambda x: x != 0).alias("slotted"))
+    needed = items.groupBy("item_id", "form").agg(F.countDistinct("h").alias("n_item_windows"), F.countDistinct(template).alias("n_item_template"))
+    own = items.select("item_id", "h", "form", F.col("source").alias("own_source"), F.col("literal").alias("own"), F.col("at").alias("own_at"), F.col("slots").alias("own_slots"), F.exists("slots", lambda x: x != 0).alias("slotted"))
     slots = F.filter(F.arrays_zip("own_slots", "slots"), lambda p: p["slots"] != 0)
-    place = ["doc_id", "item_id", "source", "own_source", "names"]
-    joined = store.written(found.join(own, ["h", "names"]).select(*place, (F.col("at") - F.col("own_at")).alias("shift"), "h", "bare", "slotted", (F.col("literal") == F.col("own")).alias("exact"), slots.alias("pairs")), "shared-windows")
+    pair = ["doc_id", "item_id", "form"]
+    joined = store.written(found.join(own, ["h", "form"]).select(*pair, "source", "own_source", (F.col("at") - F.col("own_at")).alias("shift"), "h", "bare", "slotted", (F.col("literal") == F.col("own")).alias("exact"), slots.alias("pairs")), "shared-windows")
 
     def distinct(condition: F.Column) -> F.Column:
         return F.size(F.collect_set(F.when(condition, F.col("h"))))
@@ -186,12 +192,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         distinct(F.lit(True)).cast("long").alias("n_windows"), distinct(~bare).alias("template_windows"), distinct(exact).alias("exact_windows"), distinct(exact & ~bare).alias("exact_template"),
         F.array_distinct(F.flatten(F.collect_set(F.when(~bare, F.col("pairs"))))).alias("filled"),
     ]
-    pairs = joined.groupBy("doc_id", "item_id").agg(*counts, distinct(slotted).alias("slotted"), distinct(slotted & exact).alias("exact_slotted")).join(needed, "item_id")
-    of_kind = items.groupBy("item_id", "names").agg(F.countDistinct("h").alias("n_kind"), F.countDistinct(template).alias("n_kind_template"))
-    occurrences = joined.groupBy(*place, "shift").agg(*counts).join(of_kind, ["item_id", "names"])
-    whole = occurrences.where(_held("n_kind", "n_kind_template")).select("doc_id", "item_id", F.lit(True).alias("whole")).distinct()
-    held = pairs.join(whole, ["doc_id", "item_id"], "left").where(_held("n_item_windows", "n_item_template") | F.col("whole"))
-    return held.select("doc_id", "item_id", "n_windows", "n_item_windows", (F.col("slotted") > F.col("exact_slotted")).alias("reparameterised"))
+    # what is shared in several forms counts once in each: forms aren't added up
+    pairs = joined.groupBy(*pair).agg(*counts, (distinct(slotted) > distinct(slotted & exact)).alias("changed")).join(needed, ["item_id", "form"])
+    occurrences = joined.groupBy(*pair, "source", "own_source", "shift").agg(*counts).join(needed, ["item_id", "form"])
+    whole = occurrences.where(_held("n_item_windows", "n_item_template")).select(*pair, F.lit(True).alias("whole")).distinct()
+    forms = pairs.join(whole, pair, "left").withColumn("holds", _held("n_item_windows", "n_item_template") | F.coalesce("whole", F.lit(False)))
+    most = F.max(F.struct("n_windows", "n_item_windows"))
+    told = forms.groupBy("doc_id", "item_id").agg(F.bool_or("holds").alias("holds"), most.alias("most"), F.bool_or("changed").alias("reparameterised")).where("holds")
+    return told.select("doc_id", "item_id", F.col("most.n_windows").alias("n_windows"), F.col("most.n_item_windows").alias("n_item_windows"), "reparameterised")
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +208,8 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go, with all rows of their doc_id. Rows with a null id or text stay; all columns
-    stay; an empty table, or an empty benchmark, changes nothing."""
-    hit = leaks(docs, store.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(store.checked(hit, "leaks"), "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: rows whose text holds a benchmark item go. A text is known by its 64-bit hash, not by its doc_id: rows without one are looked at, and
+    others of the same doc_id stay. Null texts stay; all columns stay; an empty table, or an empty benchmark, changes nothing."""
+    hit = leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), store.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
+    held = store.checked(hit, "leaks")
+    return docs.join(held, docs["text"].isNotNull() & (F.xxhash64(docs["text"]) == held["leak"]), "left_anti")

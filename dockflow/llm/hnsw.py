@@ -3,8 +3,8 @@
 Equal vectors are one node first.  Nodes are dealt to shards by a hash; each shard's graph is built in one task of bounded
 size and nodes query the shards, streamed past the graph in blocks: of two shards one queries the other, so every pair of
 nodes is looked for once.  Searches run side by side on arrays, beam by
-beam.  The first queries of a shard, in an order of chance, are compared with every node; the beam widens until it finds
-their links again, and where none does, or links are too few to tell, all queries are compared with every node.  For a single
+beam.  The first queries of a shard, in an order of chance, are compared with every node, and so are planted ones, which are nodes that were
+moved to a cosine of PLANTED; the beam widens until it finds their links again, and only where none does all queries are compared with every node.  For a single
 query the beam also widens as long as its whole beam is within the threshold; a query in a crowd that would fill a large beam is
 compared with every node.  Found pairs are verified by cosine in double precision.
 
@@ -35,8 +35,8 @@ DEGREE, UPPER_DEGREE = 24, 12
 BUILD_BEAM, FIRST_BEAM = 40, 32
 #: Queries of a shard's audit, and the share of their true neighbours that must be found.
 AUDIT, AUDIT_RECALL = 128, 0.99
-#: Links of these queries, at least, and links of one query that count.
-AUDIT_PAIRS, AUDIT_EACH = 400, 8
+#: Cosine of a planted query to the node it was made from: a link, but nearer to the threshold than most.
+PLANTED = 0.92
 #: The widest beam is this share of a shard, or WIDEST_BEAM if that is more: beyond it a walk costs more than comparing all nodes.
 WIDEST_SHARE, WIDEST_BEAM = 128, 256
 #: Cosines of unit vectors in single precision are off by less.
@@ -202,7 +202,7 @@ class Graph:
         open_ = np.flatnonzero(~good)
         for lo in range(0, len(open_), BLOCK * 16):
             at = open_[lo : lo + BLOCK * 16]
-            a, b = raw[q[at]], self.raw[n[at]]
+            a, b = scaled(raw[q[at]]), scaled(self.raw[n[at]])
             good[at] = np.einsum("pd,pd->p", a, b) / (np.sqrt(np.einsum("pd,pd->p", a, a)) * np.sqrt(np.einsum("pd,pd->p", b, b))) >= THRESHOLD
         return q[good], n[good]
 
@@ -213,30 +213,55 @@ class Graph:
         return self._verified(ids, raw, q, n, sims[q, n])
 
 
+def scaled(raw: np.ndarray) -> np.ndarray:
+    """Vectors over their largest component, so that squares neither vanish nor overflow; cosines stay."""
+    return raw / np.abs(raw).max(axis=1, keepdims=True) if len(raw) else raw
+
+
 def _unit(raw: np.ndarray) -> np.ndarray:
+    raw = scaled(raw)
     return (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
 
 
 class Audit:
-    """A stream of queries to a shard, in an order of chance. The first queries are compared with every node, until AUDIT of them
-    and AUDIT_PAIRS real links are seen (a query counts with AUDIT_EACH at most). Then ``beam`` is the first whose recall on the
-    queries with links passes, over all links and as a mean of the queries; if none does, every query is compared with every node."""
+    """A stream of queries to a shard, in an order of chance. AUDIT planted queries and the first AUDIT real ones are compared with every node.
+    Then ``beam`` is the first whose recall on those with links passes, over all links and as a mean of the queries; if none does, every query is
+    compared with every node. ``through_graph`` and ``exhaustive`` count the queries."""
 
     def __init__(self, shard: Graph):
-        self.shard, self.beam = shard, 0
-        self.seen, self.enough = 0, 0
+        self.shard, self.beam, self.seen = shard, 0, 0
+        self.through_graph = self.exhaustive = 0
         self.found, self.true = 0, 0  # links of the audited queries at the chosen beam
         self.held: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
-
-    def _add(self, ids: np.ndarray, raw: np.ndarray, q: np.ndarray, n: np.ndarray) -> None:
+        self._plant()
+
+    def _plant(self) -> None:
+        """Queries near the first nodes, which stand in an order of chance: each is moved in a direction of chance, at right angles."""
+        nodes = scaled(self.shard.raw[:AUDIT])
+        nodes = nodes / np.linalg.norm(nodes, axis=1, keepdims=True)
+        away = np.random.default_rng(len(self.shard.ids)).normal(size=nodes.shape)
+        away -= (away * nodes).sum(axis=1, keepdims=True) * nodes
+        far = np.linalg.norm(away, axis=1, keepdims=True)
+        moved = PLANTED * nodes + np.sqrt(1 - PLANTED**2) * away / np.where(far > 0, far, 1.0)
+        ids = -1 - np.arange(len(moved))
+        self._keep(ids, moved, *self.shard.exact(ids, moved))
+
+    def _keep(self, ids: np.ndarray, raw: np.ndarray, q: np.ndarray, n: np.ndarray) -> None:
         live, at, many = np.unique(q, return_index=True, return_counts=True)  # queries rise
         self.held.append((ids[live], raw[live], [n[a : a + m] for a, m in zip(at, many, strict=True)]))
+
+    def _add(self, ids: np.ndarray, raw: np.ndarray, q: np.ndarray, n: np.ndarray) -> None:
+        self._keep(ids, raw, q, n)
         self.seen += len(ids)
-        self.enough += int(np.minimum(many, AUDIT_EACH).sum())
-        if self.seen >= AUDIT and self.enough >= AUDIT_PAIRS:
+        if self.seen >= AUDIT:
             self.beam = self._passing()
             self.held = []
 
+    def end(self) -> None:
+        """Fewer than AUDIT queries came: all were compared with every node, and so were the planted ones."""
+        if not self.beam:
+            self.found = self.true = sum(len(n) for _, _, links in self.held for n in links)
+
     def _passing(self) -> int:
         ids, raw = (np.concatenate([h[i] for h in self.held]) for i in (0, 1))
         true = [n for h in self.held for n in h[2]]
@@ -261,12 +286,15 @@ class Audit:
         while lo < len(ids) and (not self.beam or self.beam >= len(self.shard.ids)):
             at = np.arange(lo, min(lo + AUDIT, len(ids)))
             q, n = self.shard.exact(ids[at], raw[at])
+            self.exhaustive += len(at)
             yield q + lo, n, True
             if not self.beam:
                 self._add(ids[at], raw[at], q, n)
             lo += AUDIT
         if lo < len(ids):
             q, n, crowded = self.shard.near(ids[lo:], raw[lo:], self.beam)
+            self.through_graph += len(ids) - lo - len(crowded)
+            self.exhaustive += len(crowded)
             yield q + lo, n, False
             for c in range(0, len(crowded), AUDIT):
                 at = crowded[c : c + AUDIT] + lo
@@ -390,6 +418,7 @@ def near_links(nodes: DataFrame) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if audit is not None:
+                audit.end()
                 u, v, node, links = told.rest()
                 yield _found(u, v)
                 yield _found(node, links=links)
@@ -423,7 +452,7 @@ def near_links(nodes: DataFrame) -> DataFrame:
 
 def near_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding), and audit_recall (the share of the links that the
-    audits found again, the same in all rows; null where no links were audited).
+    audits found again, planted ones among them; the same in all rows, null only where no vector can have links).
 
     Vectors that are null or zero, or hold null or non-finite components, link with nothing, nor do rows without a vec_id; vectors
     of different lengths don't link; equal vectors do; rows that share a vec_id are vectors of their own; other columns are

@@ -16,14 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import quality, store
 
 #: Domains in order: low and toxic are classes of the labelled table. Shares of the mixture.
 DOMAINS = ("clean", "toxic", "low", "low_toxic")
 TARGET_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "low": 0.015, "low_toxic": 0.005}
-#: How often the words of a domain may be used: a domain too small for its share is aimed at this multiple of what it has.
-REPEATS = 1.0
 HEADS, DESIGNS = ("quality", "toxic"), (quality.NGRAMS, quality.PRESENCE)
 #: Largest relative gap to a target at which the fit ends.
 TOLERANCE = 2e-3
@@ -31,17 +30,22 @@ TOLERANCE = 2e-3
 STALL, PATIENCE = 0.05, 10
 
 
-def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _domains(texts, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of the domains (a column each) and words of some texts."""
+    p, words = quality.batch_scores(texts, weights, DESIGNS)
+    good, toxic = p[:, 0], p[:, 1]
+    return np.stack([good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic], axis=1), words
+
+
+def posteriors(docs: DataFrame, labels: DataFrame, weights=None) -> DataFrame:
     """doc_id, n_tokens (words) and the posteriors p0.. of the domains, one row for each row of ``docs``. Null texts are
-    empty and have the posteriors of the bias; without labels every head says one half."""
-    weights = docs.sparkSession.sparkContext.broadcast(quality.train(docs, labels, HEADS, DESIGNS))
+    empty and have the posteriors of the bias; without labels every head says one half. ``weights``: a broadcast of fitted ones."""
+    weights = weights or docs.sparkSession.sparkContext.broadcast(quality.train(docs, labels, HEADS, DESIGNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p, words = quality.batch_scores(b.column(1), weights.value, DESIGNS)
-            good, toxic = p[:, 0], p[:, 1]
-            cols = (good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words), *map(pa.array, cols)], ["doc_id", "n_tokens", "p0", "p1", "p2", "p3"])
+            p, words = _domains(b.column(1), weights.value)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words), *(pa.array(x) for x in np.ascontiguousarray(p.T))], ["doc_id", "n_tokens", "p0", "p1", "p2", "p3"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, p0 double, p1 double, p2 double, p3 double")
 
@@ -73,15 +77,16 @@ def _gaps(now: np.ndarray, target: np.ndarray, base: np.ndarray) -> np.ndarray:
     return np.where(base > 0, np.abs(now - target) / np.where(whole > 0, whole, 1.0), 0.0)
 
 
-def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray, float]:
-    """Steps whose fold gives the rates, the totals they reach, the targets, and the largest gap between them. The budget is what leaves the domain
-    of the largest weight at its own expected total; no domain is aimed at more than REPEATS of its own. A domain of no expected words
-    can't be matched and is left out.
+def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS, repeats: float | None = None) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray, float]:
+    """Steps whose fold gives the rates, the totals they reach, the targets as asked, and the largest gap between them. The budget is what leaves the domain
+    of the largest weight at its own expected total; a scarce domain's documents are used more than once. With ``repeats`` no domain is aimed at more than
+    that multiple of its own total; the gap is to what was asked all the same. A domain of no expected words can't be matched and is left out.
     Momentum starts anew when the fit gets worse."""
     share = np.array([weights.get(d, 0.0) for d in DOMAINS])
     base = _totals(member, [])
     lead = int(np.argmax(share))
-    target = np.minimum(share / share[lead] * base[lead], REPEATS * base)
+    asked = share / share[lead] * base[lead]
+    target = asked if repeats is None else np.minimum(asked, repeats * base)
     scale = np.where(base > 0, base, np.inf)
     steps, now, before, run = [], base, base, 1.0
     loss = lambda t: float((np.where(base > 0, t - target, 0.0) ** 2 / scale).sum())
@@ -95,22 +100,27 @@ def fit_rates(member: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) ->
         if loss(now) > loss(before):
             run = 1.0
         best, since = (loss(now), 0) if loss(now) < best * (1 - STALL) else (best, since + 1)
-    return steps, now, target, float(_gaps(now, target, base).max())
+    return steps, now, asked, float(_gaps(now, asked, base).max())
+
+
+def _shares(totals: np.ndarray) -> list[float]:
+    return (totals / totals.sum() if totals.sum() else totals).tolist()
 
 
-def document_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS) -> DataFrame:
-    """doc_id, n_tokens, rate, the posteriors and target_gap (the largest relative gap that the fit leaves between a domain's expected
-    total and its target, the same in all rows; above TOLERANCE only where the targets are out of reach), one row for each row of ``docs``; an
-    empty table gives no rows."""
+def document_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS, repeats: float | None = None) -> DataFrame:
+    """doc_id, n_tokens, rate, the posteriors, and, the same in all rows: target_gap (the largest relative gap that the fit leaves between a domain's expected
+    total and its target; above TOLERANCE only where the targets are out of reach), asked_shares and reached_shares (of the mixture's words, by domain). One
+    row for each row of ``docs``; an empty table gives no rows."""
     member = store.written(posteriors(docs, labels), "posteriors")
-    steps, _, _, gap = fit_rates(member, weights)
+    steps, now, asked, gap = fit_rates(member, weights, repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = np.stack([b.column(2 + k).to_numpy() for k in range(len(DOMAINS))], axis=1)
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(_rates(p, steps)), *b.columns[2:]], ["doc_id", "n_tokens", "rate", "p0", "p1", "p2", "p3"])
 
-    return member.mapInArrow(run, "doc_id long, n_tokens long, rate double, p0 double, p1 double, p2 double, p3 double").withColumn("target_gap", F.lit(gap))
+    shares = {n: F.array(*map(F.lit, _shares(x))) for n, x in (("asked_shares", asked), ("reached_shares", now))}
+    return member.mapInArrow(run, "doc_id long, n_tokens long, rate double, p0 double, p1 double, p2 double, p3 double").withColumns({"target_gap": F.lit(gap)} | shares)
 
 
 def copies(rate, doc_id) -> F.Column:
@@ -126,7 +136,19 @@ def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as often as its rate says (rows of one doc_id have one rate, their lowest)."""
-    rates = document_rates(docs, store.table(spark, sf_dir, "labels")).groupBy("doc_id").agg(F.min("rate").alias("__rate"))
-    many = docs.join(rates, docs["doc_id"].eqNullSafe(rates["doc_id"])).drop(rates["doc_id"]).withColumn("__copies", copies(F.col("__rate"), docs["doc_id"]))
-    return many.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+    """Pipeline stage: each row as often as its own rate says. Texts are scored a second time with the fitted weights, so that a row and its rate stay together:
+    nothing is joined, and rows that share a doc_id, or have none, have a rate each. All columns stay; an empty table gives no rows."""
+    labels = store.table(spark, sf_dir, "labels")
+    weights = spark.sparkContext.broadcast(quality.train(docs, labels, HEADS, DESIGNS))
+    steps = fit_rates(store.written(posteriors(docs, labels, weights), "posteriors"))[0]
+    rate = "rate"
+    while rate in docs.columns:  # a name that no column has
+        rate += "_"
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(_domains(b.column(text), weights.value)[0], steps))], [*b.schema.names, rate])
+
+    rated = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(rate, T.DoubleType())]))
+    return rated.withColumn(rate, F.explode(F.array_repeat(F.lit(0), copies(F.col(rate), F.col("doc_id"))))).select(*docs.columns)

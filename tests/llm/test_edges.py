@@ -247,8 +247,8 @@ def test_leaks(spark, docs, empty, sf_dir, empty_dir):
     assert stage.columns == docs.columns and stage.count() == len(ROWS) - 2
 
 
-def plain_template(text, names):
-    """(kind or word, value) of each token, one by one."""
+def plain_template(text, form):
+    """(kind or word, value) of each token, one by one. Form 0: no names, 1: names inside sentences, 2: all capitals."""
     raw = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z]+|[0-9]+", text)]
     out, last = [], None
     for i, (w, s, e) in enumerate(raw):
@@ -257,7 +257,7 @@ def plain_template(text, names):
             kind = "number"
         elif before and before[0].isdigit() and w.lower() in decontam.UNITS:
             kind = "unit"
-        elif names and re.match(r"[A-Z][a-z]", w) and text[:s].strip() and "\n" not in text[len(text[:s].rstrip()) : s] and text[:s].rstrip()[-1] not in ".!?:;|\"*#>-(":
+        elif form == 2 and re.match(r"[A-Z][a-z]", w) or form == 1 and re.match(r"[A-Z][a-z]", w) and text[:s].strip() and "\n" not in text[len(text[:s].rstrip()) : s] and text[:s].rstrip()[-1] not in ".!?:;|\"*#>-(":
             kind = "name"
         else:
             kind = None
@@ -287,15 +287,15 @@ def plain_windows(text, names, lengths, whole):
 def plain_leaks(docs, items):
     got = set()
     for j, item in items:
-        sides = {names: plain_windows(item, names, range(1, decontam.WINDOW + 1), True) for names in (True, False)}
+        sides = {names: plain_windows(item, names, range(1, decontam.WINDOW + 1), True) for names in (0, 1, 2)}
         need = {names: ({w[0] for w in ws}, {w[0] for w in ws if not w[2]}) for names, ws in sides.items()}
         for d, text in docs:
             shared = []
             for names, ws in sides.items():
                 mine = plain_windows(text, names, {len(w[3]) for w in ws}, False)
                 shared += [(names, w, x) for w in mine for x in ws if w[0] == x[0]]
-            groups = [(shared, {w[0] for ws in sides.values() for w in ws}, {w[0] for ws in sides.values() for w in ws if not w[2]})]
-            for names in (True, False):
+            groups = [([x for x in shared if x[0] == names], *need[names]) for names in (0, 1, 2)]
+            for names in (0, 1, 2):
                 for shift in {w[1] - x[1] for n, w, x in shared if n == names}:
                     groups.append(([(n, w, x) for n, w, x in shared if n == names and w[1] - x[1] == shift], *need[names]))
             for rows, every, template in groups:
@@ -329,6 +329,59 @@ def test_leaks_against_plain_windows(spark):
     assert {(x.doc_id, x.item_id) for x in got.collect()} == want and 40 < len(want) < len(docs) * len(items) / 2
 
 
+def test_templates_do_not_depend_on_the_batch(spark):
+    """A text gives the same windows wherever it stands."""
+    texts = ["Maria has 5 pens and gives 2 away.", "", "Is it so? Carlos has 7 pens and gives 3 away.", "\nMaria has 5 pens and gives 2 away.", "Émile has 5 pens and gives 2 away to Ada King", "7 Ada has pens and gives all of them away"]
+    for form in (0, 1, 2):
+        def rows(texts, form=form):
+            data, offsets = K.text_bytes(pa.array(texts))
+            h, literal, row, at, *_ = decontam.windows(data, offsets, (8, 6), False, form)
+            return [sorted((int(a), int(b), int(c)) for a, b, r, c in zip(h, literal, row, at, strict=True) if r == i) for i in range(len(texts))]
+
+        alone = [rows([t])[0] for t in texts]
+        assert rows(texts) == alone and rows(texts[::-1]) == alone[::-1]
+        if form < 2:
+            data, offsets = K.text_bytes(pa.array(texts))
+            h, slot, row = decontam.template(data, offsets, form)
+            for i, t in enumerate(texts[:4] + texts[5:]):
+                assert [v is not None for _, v in plain_template(t, form)] == (slot[row == texts.index(t)] > 0).tolist()
+
+
+def test_renamed_openings_are_found(spark):
+    """Short questions that begin with a name, alone, after a sentence and after a line end; and in batches of any size."""
+    items = spark.createDataFrame([(0, "Maria has 5 pens and gives 2 away."), (1, "Ana reads 12 pages of her old book each day. How many days does Ana need for 60 pages?")], "item_id long, text string")
+    d = [
+        (0, "Carlos has 7 pens and gives 3 away."), (1, "It was late. Carlos has 7 pens and gives 3 away."), (2, "Notes\nCarlos has 7 pens and gives 3 away."), (3, "Maria has 5 pens and gives 2 away."),
+        (4, "Ida reads 9 pages of her old book each day. How many days does Ida need for 45 pages?"), (5, "Carlos had 7 pens but kept them all."), (6, "Ida reads 9 pages of her old book each day. How many days does Eva need for 45 pages?"),
+    ]
+    docs = spark.createDataFrame(d, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in (1, 1000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            for parts in (1, 3):
+                got = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.leaks(docs.repartition(parts), items).collect()}
+                assert {k for k in got if k[0] != 6} == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1)} and got[0, 0] and not got[3, 0]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_place_counts_once(spark):
+    """Two adjacent places that an item shares, with a name in them: in each form two windows, which are too few."""
+    item = spark.createDataFrame([(0, "we told young Ada about the green hills near our small town and then everybody went back home to sleep")], "item_id long, text string")
+    two = spark.createDataFrame([(0, "they say we told young Ada about the green hills near them"), (1, "they say we told young Ada about the green hills near our own")], "doc_id long, text string")
+    assert [(r.doc_id, r.n_windows) for r in decontam.leaks(two, item).collect()] == [(1, 3)]
+
+
+def test_decontamination_stage_looks_at_rows(spark, tmp_path):
+    """Leaks go whether or not they have a doc_id, and clean rows stay whatever rows share theirs."""
+    d = f"file://{tmp_path}"
+    spark.createDataFrame([(0, ITEM)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    rows = [(None, ITEM, 1), (14, f"so {ITEM}", 2), (14, prose(40, 71), 3), (None, prose(40, 72), 4), (15, None, 5), (None, None, 6), (16, ITEM, 7)]
+    out = decontam.drop_leaks(spark, spark.createDataFrame(rows, "doc_id long, text string, leak int").repartition(2), d)
+    assert sorted(r.leak for r in out.collect()) == [3, 4, 5, 6] and out.columns == ["doc_id", "text", "leak"]
+
+
 def test_slots_must_be_consistent(spark):
     item = spark.createDataFrame([(0, "there are 5 red apples and 5 green pears in one big basket today")], "item_id long, text string")
     d = spark.createDataFrame([(0, "there are 7 red apples and 7 green pears in one big basket today"), (1, "there are 7 red apples and 8 green pears in one big basket today")], "doc_id long, text string")
@@ -460,6 +513,39 @@ def test_mixing_against_dense_least_squares(spark, monkeypatch):
         assert gap <= near and (np.abs(now - a @ dense) <= (0.01 + near) * np.where(target > 0, target, base)).all()
 
 
+def test_scarce_domains_are_aimed_at_what_was_asked(monkeypatch):
+    """A corpus of 0.95/0.01/0.039/0.001 is asked for 0.50/0.30/0.15/0.05: documents of the scarce domains are used many times. With a limit the gap is still
+    the gap to what was asked."""
+    r = np.random.RandomState(2)
+    kind = r.choice(4, 4000, p=[0.95, 0.01, 0.039, 0.001])
+    p = np.full((4000, 4), 0.0005) + 0.998 * np.eye(4)[kind]
+    p, words = p / p.sum(axis=1, keepdims=True), r.randint(50, 500, 4000)
+    monkeypatch.setattr(mixing, "_totals", lambda _, steps: p.T @ (mixing._rates(p, steps) * words))
+    asked = {"clean": 0.5, "toxic": 0.3, "low": 0.15, "low_toxic": 0.05}
+    _, now, target, gap = mixing.fit_rates(None, asked)
+    assert gap <= mixing.TOLERANCE and np.allclose(now / now.sum(), list(asked.values()), atol=2e-3) and np.allclose(target / target.sum(), list(asked.values()))
+    _, now, target, gap = mixing.fit_rates(None, asked, repeats=1.0)
+    assert gap > 0.9 and np.allclose(target / target.sum(), list(asked.values())) and now[1] < 0.05 * target[1]
+
+
+def test_mixing_stage_rates_rows_of_one_id_by_themselves(spark, tmp_path):
+    """Rows of one doc_id, and of none, have a rate each; columns with the names of the stage's own come through unchanged."""
+    d = f"file://{tmp_path}"
+    rows = [(i, prose(80, i) if i % 4 else " ".join(w + "$$" for w in prose(80, i).split())) for i in range(400)]
+    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    docs = spark.createDataFrame([(i, t, i, i, i) for i, t in rows] + [(7, rows[4][1], -1, -1, -1), (7, rows[8][1], -2, -2, -2), (None, rows[12][1], -3, -3, -3), (None, rows[13][1], -4, -4, -4)], "doc_id long, text string, rate int, __copies int, n_tokens int")
+    out = mixing.mix_to_targets(spark, docs, d)
+    assert out.columns == docs.columns
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    weights = quality.train(docs, labels, mixing.HEADS, mixing.DESIGNS)
+    held = docs.collect()
+    steps = mixing.fit_rates(mixing.posteriors(docs, labels))[0]
+    rates = mixing._rates(mixing._domains(pa.array([r.text for r in held]), weights)[0], steps)
+    want = spark.createDataFrame([(r["rate"], r.doc_id, float(x)) for r, x in zip(held, rates, strict=True)], "n int, doc_id long, x double").select("n", mixing.copies(F.col("x"), F.col("doc_id")).alias("c"))
+    counts = collections.Counter(r["rate"] for r in out.collect())
+    assert {r.n: r.c for r in want.collect() if r.c} == counts
+
+
 def test_mixing_ends_where_targets_are_out_of_reach(monkeypatch):
     """All documents alike: shares can't change; the fit ends and tells the gap. A table without words has no gap."""
     p, words = np.tile([0.7, 0.1, 0.1, 0.1], (50, 1)), np.arange(10, 60)
@@ -519,7 +605,6 @@ def test_vectors_of_one_id_are_vectors_of_their_own(spark):
 def test_a_crowd_sends_counts_and_a_forest(spark, monkeypatch):
     """A third of all vectors within the threshold of each other, with copies, over several shards."""
     monkeypatch.setattr(hnsw, "SHARD_NODES", 200)
-    monkeypatch.setattr(hnsw, "AUDIT_PAIRS", 40)
     monkeypatch.setattr(hnsw, "AUDIT", 16)
     monkeypatch.setattr(hnsw, "WIDEST_BEAM", 32)
     r = np.random.RandomState(4)
@@ -561,6 +646,34 @@ def test_crowds_are_counted_from_both_ends(monkeypatch):
     assert len(asked) == 500 and (links == (near @ copies)[:500] + copies[:500]).all() and set(one.tolist()) <= set(ids[:500].tolist())
 
 
+def test_graphs_answer_nearly_all_queries():
+    """One vector in a hundred has a link: the audit is done on planted neighbours, and the graph finds the links."""
+    r = np.random.RandomState(8)
+    raw = r.randn(6000, 64)
+    turn = r.permutation(6000)
+    raw[turn[:60]] = raw[turn[60:120]] + 0.2 * r.randn(60, 64)
+    shard = hnsw.Graph(np.arange(6000), raw)
+    audit = hnsw.Audit(shard)
+    u, v = audit.links(np.arange(6000), raw)
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= hnsw.THRESHOLD, 1))
+    found = {(min(x, y), max(x, y)) for x, y in zip(u.tolist(), v.tolist(), strict=True)}
+    true = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert audit.through_graph >= 0.95 * 6000 and audit.through_graph + audit.exhaustive == 6000
+    assert len(true) >= 50 and found <= true and len(found) >= 0.98 * len(true)
+    assert audit.true >= hnsw.AUDIT and audit.found >= hnsw.AUDIT_RECALL * audit.true
+
+
+def test_vectors_of_extreme_size(spark):
+    """Components whose squares vanish or overflow; and the audit's recall is known without a real link."""
+    v = [1.0, 2.0, 3.0, -1.0]
+    rows = [(1, [x * 1e-200 for x in v]), (2, [x * 1e200 for x in v]), (3, v), (4, [5e-324, 0.0, 0.0, 0.0]), (5, [1e308, 0.0, 0.0, 0.0]), (6, [-1.0, 0.0, 0.0, 0.0])]
+    got = hnsw.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+    apart = hnsw.near_vectors(spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")).collect()
+    assert all(r.audit_recall == 1 and r.n_links == 0 for r in apart)
+
+
 def test_audit_counts_real_links_alone():
     r = np.random.RandomState(3)
     raw = r.randn(1500, 24)
