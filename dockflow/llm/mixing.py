@@ -23,6 +23,9 @@ from . import quality, store
 #: Domains in order: low and toxic are classes of the labelled table. Shares of the mixture.
 DOMAINS = ("clean", "toxic", "low", "low_toxic")
 TARGET_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "low": 0.015, "low_toxic": 0.005}
+#: In the pipeline no domain is aimed at more than this multiple of what it has: the classifier has rejected most of the low domains before, and their asked
+#: shares would repeat what is left of them hundreds of times.
+STAGE_REPEATS = 1.0
 HEADS, DESIGNS = ("quality", "toxic"), (quality.NGRAMS, quality.PRESENCE)
 #: Largest relative gap to a target at which the fit ends.
 TOLERANCE = 2e-3
@@ -136,11 +139,11 @@ def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each row as often as its own rate says. Texts are scored a second time with the fitted weights, so that a row and its rate stay together:
+    """Pipeline stage: each row as often as its own rate says, by a fit with STAGE_REPEATS. Texts are scored a second time with the fitted weights, so that a row and its rate stay together:
     nothing is joined, and rows that share a doc_id, or have none, have a rate each. All columns stay; an empty table gives no rows."""
     labels = store.table(spark, sf_dir, "labels")
     weights = spark.sparkContext.broadcast(quality.train(docs, labels, HEADS, DESIGNS))
-    steps = fit_rates(store.written(posteriors(docs, labels, weights), "posteriors"))[0]
+    steps = fit_rates(store.written(posteriors(docs, labels, weights), "posteriors"), repeats=STAGE_REPEATS)[0]
     rate = "rate"
     while rate in docs.columns:  # a name that no column has
         rate += "_"

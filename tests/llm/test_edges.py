@@ -539,7 +539,7 @@ def test_mixing_stage_rates_rows_of_one_id_by_themselves(spark, tmp_path):
     labels = spark.read.parquet(f"{d}/labels.parquet")
     weights = quality.train(docs, labels, mixing.HEADS, mixing.DESIGNS)
     held = docs.collect()
-    steps = mixing.fit_rates(mixing.posteriors(docs, labels))[0]
+    steps = mixing.fit_rates(mixing.posteriors(docs, labels), repeats=mixing.STAGE_REPEATS)[0]
     rates = mixing._rates(mixing._domains(pa.array([r.text for r in held]), weights)[0], steps)
     want = spark.createDataFrame([(r["rate"], r.doc_id, float(x)) for r, x in zip(held, rates, strict=True)], "n int, doc_id long, x double").select("n", mixing.copies(F.col("x"), F.col("doc_id")).alias("c"))
     counts = collections.Counter(r["rate"] for r in out.collect())
@@ -882,7 +882,7 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
         if not a or all(100 * len(a & b) < 75 * len(a | b) for b in (shingle_set(kept[j][1]) for j in first)):
             first.append(i)
     kept = [kept[i] for i in first if "kilometres do both" not in (kept[i][1] or "")]
-    stage = mixing.document_rates(spark.createDataFrame(kept, "doc_id long, text string"), side)
+    stage = mixing.document_rates(spark.createDataFrame(kept, "doc_id long, text string"), side, repeats=mixing.STAGE_REPEATS)
     times = {r.doc_id: r.c for r in stage.select("doc_id", mixing.copies(F.col("rate"), F.col("doc_id")).alias("c")).collect()}
     enc, want, at = simple8b.encoder(public_tokenizers.path("byte_bpe_50k.json")), [], 0
     for i, t in sorted(kept, key=lambda r: (r[0] is not None, r[0] or 0)):
