@@ -252,7 +252,7 @@ def fe07(s, d):
 @query("ml07_training_window", over("lgrid", "select strftime(date_trunc('month', max(hour_start)), '%Y-%m-01') as history_end from lgrid"))
 def ml07(s, d):
     g = A.levels_grid(s, d)
-    return g.agg(F.date_format(F.date_trunc("month", F.max("hour_start")), "yyyy-MM-01").alias("history_end"))
+    return s.createDataFrame([(learn.training_window(g, "1992-01-01")[1],)], "history_end string")
 
 
 @query("dm09_latest_snapshot", over("snaps_st", "select station_no, max(snapshot) as snapshot from snaps_st group by 1"))
