@@ -12,16 +12,20 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import scratch_folder
-from .features import shift_months
+from .features import Periods, feature_frame, shift_months
 
 CS = (0.01, 0.1, 1.0, 10.0)
 PHIS = (1.0, 1.5, 2.0, 3.0)
 ROUNDS_KEPT = 8
+#: Trees that one plan holds; a larger model writes its running scores in between.
+TREES_A_PLAN = 32
+#: Most rounds of a count model, and rounds without a better error after which it stops.
+MAX_ROUNDS, PATIENCE = 2000, 50
 
 
 def assemble(features: list[str], impute: bool = False) -> Pipeline:
@@ -52,8 +56,8 @@ class CountTrees:
 
     def transform(self, prepared: DataFrame) -> DataFrame:
         out = prepared.withColumn("__f", F.lit(self.base))
-        for t in self.trees:
-            out = _grown(out, t, self.rate)
+        for i, t in enumerate(self.trees):
+            out = _grown(out if i == 0 or i % TREES_A_PLAN else _kept(prepared.sparkSession, out), t, self.rate)
         return out.withColumn("prediction", F.exp("__f")).drop("__f")
 
 
@@ -61,10 +65,11 @@ def _grown(df: DataFrame, tree: DecisionTreeRegressionModel, rate: float) -> Dat
     return tree.transform(df).withColumn("__f", F.greatest(F.lit(-20.0), F.least(F.lit(20.0), F.col("__f") + rate * F.col("__t")))).drop("__t")
 
 
-def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check: DataFrame | None = None) -> tuple[CountTrees, list[float]]:
+def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check: DataFrame | None = None, patience: int | None = None) -> tuple[CountTrees, list[float]]:
     """Newton boosting of the Poisson deviance with a log link: a round's tree fits y / mu - 1 by weights mu, so a leaf answers
-    sum(y - mu) / sum(mu). ``check``: rows whose mean absolute error is told after every round. Both hold features and label; they and
-    running scores are written first and every ROUNDS_KEPT rounds, where lineage ends."""
+    sum(y - mu) / sum(mu). ``check``: rows whose mean absolute error is told after every round; with ``patience`` the
+    rounds end when it hasn't fallen for that many. Both hold features and label; they and running scores are written first and every
+    ROUNDS_KEPT rounds, where lineage ends."""
     spark = train.sparkSession
     train = _kept(spark, train.select("features", "label"))
     mean = train.agg(F.avg("label")).first()[0] or 0.0
@@ -81,6 +86,8 @@ def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check:
             now, held = (None if df is None else _kept(spark, df) for df in (now, held))
         if held is not None:
             errors.append(held.agg(F.avg(F.abs(F.exp("__f") - F.col("label")))).first()[0])
+            if patience is not None and i - errors.index(min(errors)) >= patience:
+                break
     return model, errors
 
 
@@ -90,22 +97,33 @@ def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fit_counts(frame: DataFrame, features: list[str], stop_from: str, max_rounds: int = 30, depth: int = 5, target: str = "rentals", refit_frame: DataFrame | None = None, rate: float = 0.3) -> tuple[CountTrees, int, list[float]]:
-    """Boosted trees with the Poisson objective: the number of rounds is the best by absolute error on rows from ``stop_from`` on, then all rows
-    are fitted with it (ML-01). With ``refit_frame`` the first phase's statistics end at ``stop_from`` and the second's don't (ML-02)."""
+def fit_counts(frame: DataFrame, features: list[str], stop_from: str, max_rounds: int = MAX_ROUNDS, depth: int = 5, target: str = "rentals", refit_frame: DataFrame | None = None, rate: float = 0.3, patience: int | None = PATIENCE) -> tuple[CountTrees, int, list[float]]:
+    """Boosted trees with the Poisson objective: the number of rounds is the best by absolute error on rows from ``stop_from`` on, where rounds
+    end after ``patience`` of them without a better one; then all rows are fitted with it (ML-01). ``refit_frame``: other features of the same rows for the second
+    phase (``fit_counts_leak_free``). A stop period without rows is a ValueError."""
     def prepared(df: DataFrame) -> DataFrame:
         return assemble(features).fit(df).transform(filled(df, features)).withColumn("label", F.col(target).cast("double"))
 
     cut = F.col("hour_start") >= F.lit(stop_from).cast("timestamp_ntz")
-    _, errors = boost_counts(prepared(frame.where(~cut)), max_rounds, depth, rate, prepared(frame.where(cut)))
+    _, errors = boost_counts(prepared(frame.where(~cut)), max_rounds, depth, rate, prepared(frame.where(cut)), patience)
+    if errors[0] is None:
+        raise ValueError(f"no rows from {stop_from} on")
     rounds = 1 + min(range(len(errors)), key=lambda i: errors[i])
     return boost_counts(prepared(frame if refit_frame is None else refit_frame), rounds, depth, rate)[0], rounds, errors
 
 
-def fit_poisson(frame: DataFrame, features: list[str], target: str = "rentals"):
-    """The Poisson count model as a baseline."""
-    p = assemble(features, impute=True).fit(frame)
-    return p, GeneralizedLinearRegression(family="poisson", link="log", labelCol=target, regParam=0.01).fit(p.transform(frame))
+def leak_free_frames(grid: DataFrame, calendar: DataFrame, stations: DataFrame, start: str, end: str, stop_from: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Feature frames of the same rows, [start, end), for the two phases of a fit (ML-02): the first's statistics end at ``stop_from``, so that no rental of the stop
+    period is in what stops the rounds; the second's end with the rows. ``options``: those of ``feature_frame``."""
+    first, second = (feature_frame(grid, calendar, stations, Periods((start, end), (start, until)), **options) for until in (stop_from, end))
+    return first, second
+
+
+def fit_counts_leak_free(grid: DataFrame, calendar: DataFrame, stations: DataFrame, features: list[str], start: str, end: str, stop_from: str, options: dict | None = None, **fit) -> tuple[CountTrees, int, list[float]]:
+    """The count model, with rounds chosen on features that know nothing of the stop period, and fitted on those that know it all (ML-02). ``fit``: arguments of
+    ``fit_counts``."""
+    first, second = leak_free_frames(grid, calendar, stations, start, end, stop_from, **(options or {}))
+    return fit_counts(first, features, stop_from, refit_frame=second, **fit)
 
 
 def predict_counts(model, frame: DataFrame, features: list[str]) -> DataFrame:
@@ -182,6 +200,17 @@ def probabilities(model, rows: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumn("p", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def logistic_gradient(model, rows: DataFrame, columns: list[str], c: float, label: str = "y") -> DataFrame:
+    """The gradient of the penalised mean loss at a fitted model (``fit_logistic``), which is 0 at its optimum: feature, rows and gradient, one row for each
+    scaled column and one for the intercept. A constant column has no scale and its gradient is 0. One aggregate over the scored rows."""
+    p = probabilities(model, rows, columns)
+    miss = F.col("p") - F.col(label)
+    sums = p.agg(F.count("*").alias("rows"), F.avg(miss).alias("intercept"), *(a.alias(f"{n}_{f}") for f in columns for n, a in (("g", F.avg(miss * F.col(f))), ("s", F.stddev_samp(F.col(f).cast("double"))))))
+    scaled = [F.struct(F.lit(f).alias("feature"), F.when(F.col(f"s_{f}") > 0, F.col(f"g_{f}") / F.col(f"s_{f}") + F.lit(float(w)) * F.col(f"s_{f}") / (c * F.col("rows"))).otherwise(0.0).alias("gradient")) for f, w in zip(columns, model.coefficients, strict=True)]
+    first = F.struct(F.lit("intercept").alias("feature"), F.col("intercept").alias("gradient"))
+    return sums.select("rows", F.inline(F.array(first, *scaled))).select("feature", "rows", "gradient")
+
+
 def forward_folds(rows: DataFrame, day: str, first: int = 4) -> DataFrame:
     """Every row's fold number: day k is validated on the days before it, from the fourth day on (ML-13). Days are few."""
     days = rows.select(day).distinct().withColumn("fold", F.dense_rank().over(Window.orderBy(day)))
@@ -238,7 +267,7 @@ def pick_challenger(table: DataFrame) -> DataFrame:
 
 def selected_model(reports: DataFrame) -> DataFrame:
     """The newest measurement that was adopted, else the first (ML-18)."""
-    return reports.orderBy(F.desc("adopted"), F.desc("version")).limit(1)
+    return reports.orderBy(F.desc("adopted"), F.when(F.col("adopted"), F.col("version")).desc_nulls_last(), "version").limit(1)
 
 
 @dataclass

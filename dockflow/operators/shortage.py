@@ -243,6 +243,3 @@ def snapshots_between(snapshots: DataFrame, first: str, last: str) -> DataFrame:
     t = F.col("fetched_at")
     return snapshots.where((t >= plus_minutes(F.lit(first).cast("timestamp_ntz"), -120)) & (t <= plus_minutes(F.lit(last).cast("timestamp_ntz"), 480)))
 
-
-def hour_fraction(ts: Column) -> Column:
-    return (epoch(ts) - epoch(hour_of(ts))) / 3600.0

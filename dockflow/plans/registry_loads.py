@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..functions import time as T
-from ..operators import features, learn, marts, metrics, pit, shortage
+from ..operators import features, learn, marts, metrics, pit, shortage, weather
 from ..sources import adapters as A
 from ..sources import readers, sinks
 from ..streaming import streams
 from .oracle import over
-from .registry import _AUC, _DRAWS, _RANK, main_rows, query, r6
+from .registry import _AUC, _DRAWS, _RANK, ORACLE, main_rows, query, r6
+
+_MAIN = "b0 >= 1 and ok and e is not null and r is not null and q is not null"
 
 #: Orders are moved eight years on, as file names have two digits for years from 2000 on.
 _FILES = "(select o_orderkey, 'trips_' || strftime(o_orderdate + interval 8 year, '%y%m') || '.csv' as source_file, strftime(o_orderdate + interval 8 year, '%Y-%m') as month from orders)"
@@ -171,6 +173,83 @@ def ml11(s, d):
     return learn.probabilities(learn.fit_logistic(rows, columns, 1.0), rows, columns).select("as_of", "station_id", "y", F.round("p", 4).alias("p"))
 
 
+@query("ml11_optimality", over("rows3", f"select feature, n as rows, true as optimal from (select count(*) as n from rows3 where {_MAIN}) cross join (select unnest(['intercept', 'log_b0', 'inverse_b0', 'log_e', 'log_r', 'log_q', 'z']) as feature)"))
+def ml11_optimality(s, d):
+    """A fit that SQL can't repeat, held against the condition that defines it: the penalised gradient vanishes in every column."""
+    rows = learn.nowcast_features(main_rows(s, d).where("reason = 'main'"))
+    columns = ["log_b0", "inverse_b0", "log_e", "log_r", "log_q", "z"]
+    return learn.logistic_gradient(learn.fit_logistic(rows, columns, 1.0), rows, columns, 1.0).select("feature", "rows", (F.abs("gradient") < 1e-3).alias("optimal"))
+
+
+@query("ml02_leak_free_frames", over("grid cal", """with h as (select * from grid join cal using (hour_start) where hour_start < '2024-01-29')
+    select station_id, hour_start, round(coalesce(a.m, b.m)::float::double, 3) as stop_b0, round(coalesce(c.m, e.m)::float::double, 3) as full_b0 from h
+    left join (select station_id, is_offday, hour_of_day, avg(rentals) as m from h where hour_start < '2024-01-22' group by all) a using (station_id, is_offday, hour_of_day)
+    left join (select is_offday, hour_of_day, avg(rentals) as m from h where hour_start < '2024-01-22' group by all) b using (is_offday, hour_of_day)
+    left join (select station_id, is_offday, hour_of_day, avg(rentals) as m from h group by all) c using (station_id, is_offday, hour_of_day)
+    left join (select is_offday, hour_of_day, avg(rentals) as m from h group by all) e using (is_offday, hour_of_day)""").replace("\nwith h as", ",\nh as"))
+def ml02(s, d):
+    """The same rows for both phases; what stops the rounds has seen no rental from 22 January on."""
+    first, second = learn.leak_free_frames(A.grid(s, d), A.full_calendar(s, d), A.stations(s, d), "2024-01-01", "2024-01-29", "2024-01-22")
+    b0 = lambda f, name: f.select("station_id", "hour_start", F.round(F.col("b0").cast("double"), 3).alias(name))
+    return b0(first, "stop_b0").join(b0(second, "full_b0"), ["station_id", "hour_start"])
+
+
+_DELTAS = ", ".join(f"(b0 - s{m}.bike_count)::double as d{m}, s{m}.bike_count is null as miss{m}" for m in (30, 60))
+_BEFORE = " ".join(f"left join snap s{m} on s{m}.station_id = l.station_id and s{m}.fetched_at = l.reference_at - interval {m} minute" for m in (30, 60))
+
+
+@query("ml10_tree_features", over("labels3 snap", f"select l.as_of, l.station_id, b0, {_DELTAS} from labels3 l {_BEFORE} where b0 >= 1"))
+def ml10(s, d):
+    snaps = A.snapshots(s, d)
+    rows = shortage.labels(A.issues(s, d).select("as_of"), snaps)
+    for m in (30, 60):
+        rows = shortage.deltas(rows, snaps, m)
+    return learn.nowcast_tree_features(rows).select("as_of", "station_id", "b0", "d30", "miss30", "d60", "miss60")
+
+
+@query("ml18_selected_model", over("scored", """with r as (select stratum as version, avg(abs(p - y)) as mae, avg(abs(0.5 - y)) as base from scored group by 1)
+    select 'measured' as reports, coalesce(max(version) filter (where mae <= 0.97 * base), min(version)) as version from r union all select 'none adopted', min(version) from r""").replace("\nwith r as", ",\nr as"))
+def ml18(s, d):
+    """Measurements by stratum, as they are and with none adopted."""
+    e = F.abs(F.col("p") - F.col("y"))
+    r = A.scored(s, d).groupBy(F.col("stratum").alias("version")).agg((F.avg(e) <= 0.97 * F.avg(F.abs(0.5 - F.col("y")))).alias("adopted"))
+    one = lambda name, reports: learn.selected_model(reports).select(F.lit(name).alias("reports"), "version")
+    return one("measured", r).unionByName(one("none adopted", r.withColumn("adopted", F.lit(False))))
+
+
+_KEPT = features.without(features.BASE_FEATURES, features.WEATHER_FEATURES)
+
+
+@query("fe09_without_weather", over("grid cal dim", f"""with g as (select d.district, d.docks, known from grid join cal using (hour_start) join dim d using (station_id)
+    left join (select distinct station_id, is_offday, hour_of_day, true as known from grid join cal using (hour_start) where hour_start < '2024-01-22') k using (station_id, is_offday, hour_of_day) where hour_start >= '2024-01-22' and hour_start < '2024-01-30')
+    select feature, case when feature = 'district_code' then count(district) when feature in ('docks', 'lat', 'lon') then count(docks) when feature = 'profile_mean' then count(known) when feature like '%trend' then 0 else count(*) end as n from g cross join (select unnest({_KEPT}) as feature) group by feature""").replace("\nwith g as", ",\ng as"))
+def fe09(s, d):
+    """The frame of the candidate without weather: how many rows have each of its features."""
+    f = features.feature_frame(A.grid(s, d), A.full_calendar(s, d), A.stations(s, d), features.Periods(("2024-01-22", "2024-01-30"), ("2024-01-01", "2024-01-22")))
+    counts = f.agg(*(F.count(c).alias(c) for c in _KEPT))
+    return counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("n")) for c in _KEPT))))
+
+
+@query("fw10_predict_both", over("grid pivoted weather", """select station_id, hour_start, round(greatest(0, coalesce(p.temp_c, 0)), 6) as from_forecast, round(greatest(0, coalesce(w.temp_c, 0)), 6) as from_observed
+    from grid join (select * from pivoted qualify row_number() over (partition by hour_start order by base_at desc) = 1) p using (hour_start) join weather w using (hour_start)"""))
+def fw10(s, d):
+    """Every hour's newest forecast swapped for the observed weather, under a model that answers with the temperature."""
+    newest = marts.latest_per_key(weather.pivot_forecast(A.forecast(s, d)), ["hour_start"], [F.desc("base_at")])
+    frame = A.grid(s, d).join(F.broadcast(newest.select("hour_start", "temp_c")), "hour_start")
+    return r6(learn.predict_both(learn.Baseline("temp_c"), frame, ["temp_c"], A.weather(s, d), ["temp_c"]), "from_forecast", "from_observed")
+
+
+@query("rb26_recomputed", over("grid cal dim", """select station_id, hour_start, round(coalesce(p.m, q.m)::float::double, 3) as predicted_rentals from dim
+    cross join (select h as hour_start, hour(h)::int as hour_of_day, (h::date in (date '2024-01-01', date '2024-01-15') or isodow(h) >= 6) as is_offday from (select unnest(generate_series(timestamp '2024-01-25 11:00:00', timestamp '2024-01-27 10:00:00', interval 1 hour)) as h))
+    left join (select station_id, is_offday, hour_of_day, avg(rentals) as m from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) p using (station_id, is_offday, hour_of_day)
+    left join (select is_offday, hour_of_day, avg(rentals) as m from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) q using (is_offday, hour_of_day)"""))
+def rb26(s, d):
+    stations = A.stations(s, d)
+    stats = features.history_stats(A.grid(s, d), A.full_calendar(s, d), stations, ("2024-01-01", "2024-01-22"))
+    made = learn.recompute_predictions(learn.Baseline("b0"), ["b0"], stations, A.forecast(s, d), "2024-01-25 11:00:00", A.holidays(s, d), stats)
+    return made.select("station_id", "hour_start", F.round("predicted_rentals", 3).alias("predicted_rentals"))
+
+
 @query("mt08_list_precision", over("rows3", "select count(p) as issues, round(avg(p), 6) as precision, round(avg(empty), 6) as already_empty_share, round(avg(n), 6) as mean_list_length from (select as_of, avg(y) filter (where ok) as p, avg((b0 = 0)::int) filter (where ok) as empty, count(*) as n from (select * from rows3 where e - b0 > 0 qualify row_number() over (partition by as_of order by e - b0 desc, station_id) <= 10) group by 1)"))
 def mt08(s, d):
     from ..operators.weather import top_lists
@@ -203,7 +282,10 @@ def mt15(s, d):
     return r6(metrics.horizon_report(t, "score", "y"), "auc", "average_precision")
 
 
-@query("rb10_relocation_report")
+_REPORTED = ", ".join(f"round(avg({c}::int), 6) as {c}, round(avg({c}::int) filter (where y = 1), 6) as {c}_positives" for c in ("recovery", "recovery_after_zero", "pickup_before_zero"))
+
+
+@query("rb10_relocation_report", f"select count(*) as rows, {_REPORTED} from ({ORACLE['rb09_relocation_events']}) ev join ({over('labels3', 'select as_of, station_id, y from labels3')}) l using (as_of, station_id)")
 def rb10(s, d):
     snaps = A.snapshots(s, d)
     rows = shortage.labels(A.issues(s, d).select("as_of"), snaps)
@@ -273,9 +355,6 @@ def rb21(s, d):
     return shortage.issue_log(main_rows(s, d), shortage.issue_status(A.issues(s, d).select("as_of"), A.snapshots(s, d)))
 
 
-_MAIN = "b0 >= 1 and ok and e is not null and r is not null and q is not null"
-
-
 @query("mt17_full_report", over("rows3", f"""with m as (select *, e - b0 as score from rows3 where {_MAIN}), strata as (select *, unnest(case when b0 >= 3 then ['all', 'b0>=2', 'b0>=3'] when b0 >= 2 then ['all', 'b0>=2'] else ['all'] end) as grp from m),
     g as (select grp, score, sum(y)::double as pos, sum(1 - y)::double as neg from strata group by all),
     {_RANK.format(part='partition by grp ')}, ranks as (select grp, {_AUC} from s group by 1)

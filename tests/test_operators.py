@@ -319,6 +319,42 @@ def test_boosted_counts(spark):
     assert learn.predict_counts(model, d, ["x"]).where("prediction < 0").count() == 0
 
 
+def test_counts_stop_when_errors_no_longer_fall(spark, monkeypatch):
+    """A stop period that says nothing of x: errors rise once the groups are told apart, so the best round is early and patience ends the fit; a model of
+    more trees than a plan holds answers the same."""
+    rnd = np.random.RandomState(5)
+    rows = [(T(2024, 1, 1 + i // 100), float(x), int(rnd.poisson(8.0 if x and i < 300 else 1.0))) for i, x in enumerate(rnd.randint(0, 2, 400))]
+    d = spark.createDataFrame(rows, "hour_start timestamp_ntz, x double, rentals int")
+    model, rounds, errors = learn.fit_counts(d, ["x"], "2024-01-04", depth=1, patience=3)
+    assert rounds == 1 + int(np.argmin(errors)) and len(errors) == rounds + 3 < learn.MAX_ROUNDS
+    model.trees *= 4
+    whole = [r.prediction for r in learn.predict_counts(model, d, ["x"]).orderBy("x").collect()]
+    monkeypatch.setattr(learn, "TREES_A_PLAN", 1)
+    assert [r.prediction for r in learn.predict_counts(model, d, ["x"]).orderBy("x").collect()] == pytest.approx(whole)
+    with pytest.raises(ValueError, match="no rows"):
+        learn.fit_counts(d, ["x"], "2025-01-01", depth=1, max_rounds=1)
+
+
+def test_stop_phase_knows_nothing_of_the_stop_period(spark):
+    """Rentals of the stop period are changed: the first frame's features stay as they were, the second's don't, and the rows are the same."""
+    from dockflow.sources import adapters as A
+
+    D = "/root/testdata/sf0.001"
+    grid, cal, st = A.grid(spark, D), A.full_calendar(spark, D), A.stations(spark, D)
+    later = grid.withColumn("rentals", F.when(F.col("hour_start") >= F.lit("2024-01-22").cast("timestamp_ntz"), F.col("rentals") + 5).otherwise(F.col("rentals")))
+    a, b = (learn.leak_free_frames(g, cal, st, "2024-01-08", "2024-01-29", "2024-01-22") for g in (grid, later))
+    plain = lambda f: sorted(map(tuple, f.drop("rentals").fillna(-1.0).collect()), key=repr)
+    assert plain(a[0]) == plain(b[0]) and plain(a[1]) != plain(b[1])
+    assert a[0].select("station_id", "hour_start").exceptAll(a[1].select("station_id", "hour_start")).isEmpty()
+    model, rounds, errors = learn.fit_counts_leak_free(grid, cal, st, ["b0", "hour_of_day"], "2024-01-08", "2024-01-29", "2024-01-22", max_rounds=2, depth=2)
+    assert len(model.trees) == rounds <= len(errors) == 2
+
+
+def test_the_first_measurement_is_used_where_none_was_adopted(spark):
+    one = lambda *rows: learn.selected_model(spark.createDataFrame(rows, "version string, adopted boolean")).first()["version"]
+    assert one(("v1", False), ("v2", True), ("v3", False)) == "v2" and one(("v1", True), ("v3", True)) == "v3" and one(("v2", False), ("v1", False)) == "v1"
+
+
 def test_asof_join_of_a_hot_key_is_dealt_by_stretches(spark):
     """One key has nearly all rows; any stretch gives the same rows, and a window holds one stretch of a key."""
     import random
