@@ -4,7 +4,9 @@ A conversation's turns become segments of one transcript with character offsets.
 example of its own: its context is the transcript before it, its target the reply, and only the reply is under the loss
 mask.  An example row holds (context end, loss start, loss end) on the shared transcript, so what is written stays linear in the text
 however many turns a conversation has; ``example_texts`` writes examples out in full where that is wanted.  Digests are
-read back from the two written tables: turns from the segments, and all that concerns the loss from the example rows.
+read back from the two written tables: turns from the segments, and all that concerns the loss from the example rows. Every example's whole
+text, context and reply, is digested: the digest of a conversation's transcript so far is copied where an example's context ends, so that
+this is linear too.
 
 Template: ``<|role|>\\n`` text ``<|end|>\\n``.  Inside texts and roles ``\\``, ``<`` and ``[`` become ``\\s``, ``\\l``
 and ``\\b``: no control string of this or of the common bracket templates survives, and reading reverses it.
@@ -69,11 +71,13 @@ def example_texts(formatted: DataFrame) -> DataFrame:
 
 def read_back(transcript: DataFrame, expanded: DataFrame) -> DataFrame:
     """Digests read from the written segments and examples alone, one row per conversation. A task streams its conversations in
-    order and holds one segment, whatever the length of a conversation (a digest of joined texts would hold all of it)."""
+    order and holds one segment, whatever the length of a conversation (a digest of joined texts would hold all of it). ``examples_sha256`` is the digest of the
+    hex digests of its examples' texts, in order. An example whose context isn't the transcript before its reply is a ValueError."""
     segments = transcript.select("conv_id", "seq", F.lit(1).alias("kind"), "segment", F.col("seg_start").alias("a"), F.col("seg_end").alias("b"))
-    targets = expanded.select("conv_id", F.col("target").alias("seq"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("segment"), F.col("loss_start").alias("a"), F.col("loss_end").alias("b"))
+    targets = expanded.select("conv_id", F.col("target").alias("seq"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("segment"), F.col("loss_start").alias("a"), F.col("loss_end").alias("b"), F.col("context_end").alias("c"), F.col("example_end").alias("d"))
+    segments = segments.withColumns({"c": F.lit(None).cast("long"), "d": F.lit(None).cast("long")})
     ordered = segments.unionByName(targets).repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind").drop("seq")
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long, example_chars long"
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long, example_chars long, examples_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
@@ -81,17 +85,17 @@ def read_back(transcript: DataFrame, expanded: DataFrame) -> DataFrame:
         last, state, target = None, None, None
 
         def row(s):
-            return [s["conv"], s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["end"], s["examples"], s["example_chars"]]
+            return [s["conv"], s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["end"], s["examples"], s["example_chars"], s["each"].hexdigest()]
 
         for batch in batches:
             done = []
-            for conv, kind, segment, a, b in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for conv, kind, segment, a, b, c, d in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if state is None or conv != last:
                     if state is not None:
                         done.append(row(state))
-                    last, state = conv, {"conv": conv, "turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "end": 0, "examples": 0, "example_chars": 0}
+                    last, state = conv, {"conv": conv, "turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "end": 0, "examples": 0, "example_chars": 0, "context": hashlib.sha256(), "each": hashlib.sha256()}
                 if kind == 0:
-                    target = (a, b)  # the example whose reply is the next segment
+                    target = (a, b, c, d)  # the example whose reply is the next segment
                     continue
                 head, _, rest = segment.partition("|>\n")
                 role, text = unescape(head[2:]), unescape(rest[: len(rest) - len(END)])
@@ -99,12 +103,19 @@ def read_back(transcript: DataFrame, expanded: DataFrame) -> DataFrame:
                 state["all"].update(f"{role}\n{text}\n".encode())
                 state["end"] = b
                 if target is not None:
-                    reply = unescape(segment[target[0] - a : target[1] - a])
+                    start, stop, context_end, example_end = target
+                    if context_end != a:
+                        raise ValueError(f"conversation {conv}: an example's context ends at {context_end}, its reply's segment starts at {a}")
+                    whole = state["context"].copy()
+                    whole.update(segment[: example_end - a].encode())
+                    state["each"].update(whole.hexdigest().encode())
+                    reply = unescape(segment[start - a : stop - a])
                     state["chars"] += len(reply)
                     state["loss"].update(reply.encode())
                     state["examples"] += 1
-                    state["example_chars"] += b
+                    state["example_chars"] += example_end
                     target = None
+                state["context"].update(segment.encode())
             if done:
                 yield pa.RecordBatch.from_pydict({n: [d[i] for d in done] for i, n in enumerate(names)}, schema=arrow)
         if state is not None:
@@ -121,7 +132,8 @@ def formatted_digests(conversations: DataFrame) -> DataFrame:
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the probe. Null texts and roles are empty; ties of turn stand by role, then text; repeated rows are turns; a null
-    conv_id is a conversation; other columns are ignored; an empty table gives the probe alone."""
+    conv_id is a conversation; rows of conversation -1, if the table has any, are one conversation with the probe's; other columns are ignored; an empty
+    table gives the probe alone."""
     return formatted_digests(with_probe(store.table(spark, sf_dir, "conversations")))
 
 
@@ -132,9 +144,11 @@ WITH t AS (
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), l AS (
   SELECT *, 2 + length(replace(replace(replace(role, '\\', '\\s'), '<', '\\l'), '[', '\\b')) + 3
-    + length(replace(replace(replace(text, '\\', '\\s'), '<', '\\l'), '[', '\\b')) + 8 AS chars FROM t
+    + length(replace(replace(replace(text, '\\', '\\s'), '<', '\\l'), '[', '\\b')) + 8 AS chars,
+    '<|' || replace(replace(replace(role, '\\', '\\s'), '<', '\\l'), '[', '\\b') || '|>' || chr(10) || replace(replace(replace(text, '\\', '\\s'), '<', '\\l'), '[', '\\b') || '<|end|>' || chr(10) AS segment FROM t
 ), r AS (
-  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto FROM l
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto,
+    sha256(string_agg(segment, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)) AS example FROM l
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
@@ -142,6 +156,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars,
   count(*) FILTER (WHERE role = 'assistant') AS n_examples,
-  coalesce(sum(upto) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS example_chars
+  coalesce(sum(upto) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS example_chars,
+  sha256(coalesce(string_agg(example, '' ORDER BY upto) FILTER (WHERE role = 'assistant'), '')) AS examples_sha256
 FROM r GROUP BY conv_id
 """

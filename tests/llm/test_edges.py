@@ -838,6 +838,13 @@ def test_chat(spark):
     assert len(texts) == 2 and chat.unescape(texts[0].text[texts[0].loss_start : texts[0].loss_end]) == "</s>[INST] ok"
     assert texts[1].text.startswith(texts[0].text) and "[INST]" not in texts[1].text and "</s>" not in texts[1].text
     assert chat.formatted_digests(d.where("false")).count() == 0
+    written = {}
+    for e in sorted(chat.example_texts(f).collect(), key=lambda e: e.target):
+        written.setdefault(e.conv_id, []).append(hashlib.sha256(e.text.encode()).hexdigest())
+    assert {c: r.examples_sha256 for c, r in got.items()} == {c: hashlib.sha256("".join(written.get(c, [])).encode()).hexdigest() for c in got}
+    broken = chat.examples(f).withColumn("context_end", F.col("context_end") + 1)
+    with pytest.raises(Exception, match="context ends at"):
+        chat.read_back(f, broken).collect()
 
 
 def test_pipeline_stages(spark, docs, empty, sf_dir, empty_dir, tmp_path_factory):
