@@ -3,7 +3,10 @@
 The distinct pre-tokens (white-space words, each led by a space) of a slice of texts are sorted, which lays their trie out
 level by level: words with a common prefix are neighbours.  The best score of a prefix is computed once for all words that share
 it, for a whole level of the trie at a time, from the levels before; a word's terminal node holds its number of tokens.
-A document's count is the sum over its words.
+A document's count is the sum over its words.  A long word is cut wherever no piece of more than one byte crosses, and its distinct parts
+go through the trie like words; the best score of a whole is the sum of its parts' scores, so nothing is lost by that.  A part that is itself
+longer than a trie should be deep is scored in blocks at once: a block's scores are linear in the last few before it (with min for
+sum), so every block is scored from each of these places, and blocks are joined in order.
 
 The pieces are those of a public vocabulary file, its path a parameter; a piece of rank r costs ln(r + 2), a byte
 that is no piece falls back to one token of a high cost. Of segmentations of equal cost the one of fewest tokens counts.
@@ -20,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from . import kernel as K
 from . import store
 
-#: Words of more bytes go by themselves instead of through the trie.
-WIDE = 48
-_COST = 1 << 24  # one unit of cost in a value; the low bits count tokens
+#: Words of as many bytes are cut into parts; parts of more than DEEP bytes are scored by blocks of BLOCK bytes, STRETCH bytes at a time.
+WIDE, DEEP, BLOCK, STRETCH = 48, 1024, 512, 1 << 18
+_COST = 1 << 32  # one unit of cost in a value; the low bits count tokens
+_FAR = 1 << 61  # no way to get there
 _FALLBACK = 20_000
 _B = K.U64(0x2545F4914F6CDD1D)
 _BITS = 21
@@ -56,20 +60,92 @@ class Pieces:
             bitmap[(K.mix(h) >> K.U64(64 - _BITS)).astype(np.int64)] = True
             self.by_length[n] = (h[turn], (np.array([self.cost[p] for p in pieces], np.int64) * _COST + 1)[turn], bitmap)
 
-    def one(self, word: bytes) -> int:
-        """Tokens of one word (without its leading space), position by position."""
-        text = b" " + word
-        best = [0] + [1 << 80] * len(text)
-        for k in range(1, len(text) + 1):
-            value = best[k - 1] + int(self.single[text[k - 1]])
-            for n in self.lengths:
-                if n > k:
-                    break
-                cost = self.cost.get(text[k - n : k])
-                if cost is not None:
-                    value = min(value, best[k - n] + cost * _COST + 1)
-            best[k] = value
-        return best[-1] & (_COST - 1)
+    def matches(self, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, starts, values) of the pieces of n bytes, two or more, in a text, one n after the other."""
+        h = np.zeros(len(text) + 1, np.uint64)
+        for n in range(1, min(self.longest, len(text)) + 1):
+            h = h[: len(text) - n + 1] * _B + (text[n - 1 :].astype(np.uint64) + K.U64(1))
+            if n == 1 or n not in self.by_length or not len(self.by_length[n][0]):
+                continue
+            known, cost, bitmap = self.by_length[n]
+            at = np.flatnonzero(bitmap[(K.mix(h) >> K.U64(64 - _BITS)).astype(np.int64)])
+            i = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
+            good = known[i] == h[at]
+            yield n, at[good], cost[i[good]]
+
+    def parts(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of the parts of a text that no piece joins. A space begins a part, as no piece holds one but in front."""
+        crossed = np.zeros(len(text) + 1, np.int32)
+        for a in range(0, len(text), 16 * STRETCH):
+            piece = text[a : a + 16 * STRETCH + self.longest - 1]
+            change = np.zeros(len(piece) + 1, np.int64)
+            for n, at, _ in self.matches(piece):
+                at = at[at < 16 * STRETCH]  # the others begin in the next stretch
+                change += np.bincount(at + 1, minlength=len(change)) - np.bincount(at + n, minlength=len(change))
+            crossed[a : a + len(change)] += change.astype(np.int32)
+        starts = np.flatnonzero(np.cumsum(crossed[:-1], dtype=np.int32) == 0)
+        return starts, np.append(starts[1:], len(text))
+
+    def block_count(self, part: np.ndarray) -> int:
+        """Tokens of one long part."""
+        back, index = self.longest, {n: k for k, n in enumerate(self.lengths)}
+        total, last = 0, np.full(back, _FAR)  # the score of the place reached, and those of the places up to there over it
+        last[0] = 0
+        for a in range(0, len(part), STRETCH):
+            b, low = min(len(part), a + STRETCH), max(0, a - back + 1)
+            blocks = -(-(b - a) // BLOCK)
+            cost = np.full((len(self.lengths), blocks * BLOCK), _FAR)
+            cost[index[1]] = 0  # past the end nothing is added
+            cost[index[1], : b - a] = self.single[part[a:b]]
+            for n, at, value in self.matches(part[low:b]):
+                end = low + at + n - a - 1
+                cost[index[n], end[end >= 0]] = value[end >= 0]
+            cost = np.ascontiguousarray(cost.reshape(len(self.lengths), blocks, BLOCK).transpose(2, 0, 1))
+            rows = []  # by how far back, then block, then the place before the block that is its start
+            for u in range(back):
+                rows.append(np.full((blocks, back), _FAR))
+                rows[u][:, u] = 0
+            for step in cost:
+                value = rows[0] + step[index[1]][:, None]
+                for n, k in index.items():
+                    hit = np.flatnonzero(step[k] < _FAR) if n > 1 else ()
+                    if len(hit):
+                        value[hit] = np.minimum(value[hit], rows[n - 1][hit] + step[k, hit][:, None])
+                rows = [np.minimum(value, _FAR), *rows[:-1]]
+            whole = np.stack(rows, axis=1)
+            for block in whole:
+                last = (block + last).min(axis=1)
+                total += int(last[0])
+                last -= last[0]
+        return total & (_COST - 1)
+
+    def distinct_counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: int) -> np.ndarray:
+        """Tokens of distinct strings of a slice, behind ``lead`` spaces."""
+        length, tokens = ends - starts, np.zeros(len(starts), np.int64)
+        for lo, hi in ((0, 8), (8, 16), (16, WIDE), (WIDE, 256), (256, DEEP + 1)):  # similar lengths pad little
+            k = np.flatnonzero((length >= lo) & (length < hi))
+            if len(k):
+                width = int(length[k].max())
+                grid = np.full((len(k), width + lead), 32, np.uint8)
+                at = starts[k][:, None] + np.arange(width)
+                inside = np.arange(width) < length[k][:, None]
+                grid[:, lead:] = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
+                tokens[k] = self.trie_counts(grid, length[k] + lead)
+        for k in np.flatnonzero(length > DEEP):
+            tokens[k] = self.block_count(data[starts[k] : ends[k]])
+        return tokens
+
+    def long_counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of long words of a slice, by their parts."""
+        first = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+        text = np.empty(first[-1], np.uint8)
+        for f, s, e in zip(first[:-1], starts, ends, strict=True):
+            text[f] = 32
+            text[f + 1 : f + 1 + e - s] = data[s:e]
+        s, e = self.parts(text)
+        _, one, back = np.unique(K.range_hashes(text, s, e), return_index=True, return_inverse=True)
+        counts = self.distinct_counts(text, s[one], e[one], 0)
+        return np.bincount(np.searchsorted(first, s, "right") - 1, counts[back], len(starts)).astype(np.int64)
 
     def trie_counts(self, grid: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Tokens of distinct words: ``grid`` holds their bytes (leading space included), padded, ``size`` how many."""
@@ -142,20 +218,10 @@ def count_batch(data: np.ndarray, offsets: np.ndarray, model: Pieces) -> tuple[n
     _, first, back = np.unique(K.range_hashes(data, starts, ends), return_index=True, return_inverse=True)
     s, e = starts[first], ends[first]
     tokens = np.zeros(len(first), np.int64)
-    length = e - s
-    short = np.flatnonzero(length < WIDE)
-    for lo, hi in ((0, 8), (8, 16), (16, WIDE)):  # similar lengths pad little
-        k = short[(length[short] >= lo) & (length[short] < hi)]
-        if len(k):
-            width = int(length[k].max())
-            grid = np.zeros((len(k), width + 1), np.uint8)
-            grid[:, 0] = 32
-            at = s[k][:, None] + np.arange(width)
-            inside = np.arange(width) < length[k][:, None]
-            grid[:, 1:] = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
-            tokens[k] = model.trie_counts(grid, length[k] + 1)
-    for k in np.flatnonzero(length >= WIDE):
-        tokens[k] = model.one(data[s[k] : e[k]].tobytes())
+    long = e - s >= WIDE
+    tokens[~long] = model.distinct_counts(data, s[~long], e[~long], 1)
+    if long.any():
+        tokens[long] = model.long_counts(data, s[long], e[long])
     return np.bincount(rows, minlength=n), np.bincount(rows, tokens[back], n).astype(np.int64)
 
 

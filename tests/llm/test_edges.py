@@ -784,6 +784,40 @@ def test_suffix_ranks():
     assert [by_rank[int(rank[i])] for i in starts] == [order[s] for s in strings]
 
 
+def tokens_of(model, word):
+    """Tokens of one word (without its leading space), position by position: the lowest cost, then the fewest tokens."""
+    text = b" " + word
+    best = [(0, 0)]
+    for k in range(1, len(text) + 1):
+        ways = [(best[k - 1][0] + model.cost.get(text[k - 1 : k], 20_000), best[k - 1][1] + 1)]
+        ways += [(best[k - n][0] + model.cost[text[k - n : k]], best[k - n][1] + 1) for n in model.lengths if n <= k and text[k - n : k] in model.cost]
+        best.append(min(ways))
+    return best[-1][1]
+
+
+def test_token_counts_of_long_words(monkeypatch):
+    """Words of one letter, of a few, of a base-64 alphabet and of other scripts, around all the bounds, and by short blocks and stretches."""
+    import public_tokenizers
+
+    model = triecount.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    r = random.Random(8)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    alphabets = ["a", "ab", "theinrsto", b64, "\u4e2d\u6587\u5b57\u7684\u662f", "\u00e9\u00e8a", "\U0001f600x"]
+    words = [("".join(r.choice(a) for _ in range(n))).encode() for a in alphabets for n in (47, 48, 49, 255, 256, 1023, 1024, 1025, 1536, 3000)]
+    want = [tokens_of(model, w) for w in words]
+
+    def got():
+        data = np.frombuffer(b" ".join(words), np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        return [int(triecount.count_batch(data, np.array([0, len(data)]), model)[1][0])] + [int(x) for x in model.long_counts(data, ends - [len(w) for w in words], ends)]
+
+    assert got() == [sum(want), *want]
+    monkeypatch.setattr(triecount, "DEEP", 100)
+    monkeypatch.setattr(triecount, "BLOCK", 64)
+    monkeypatch.setattr(triecount, "STRETCH", 256)
+    assert got() == [sum(want), *want]
+
+
 def test_token_counts(spark, docs, empty):
     import public_tokenizers
 
@@ -794,7 +828,7 @@ def test_token_counts(spark, docs, empty):
     for d, t, _ in ROWS:
         words = re.findall(rb"[^\x20\x09-\x0D]+", bytes_of(t))
         for w in set(words) - memo.keys():
-            memo[w] = model.one(w)
+            memo[w] = tokens_of(model, w)
         want.append((d, len(words), sum(memo[w] for w in words)))
     assert got == sorted(want, key=repr)
     assert triecount.token_counts(empty).count() == 0
@@ -817,7 +851,7 @@ def test_one_word_against_every_segmentation():
         return min(out)
 
     for w in ("the", "reading", "xq", "é", "zzz", "inter"):
-        assert model.one(w.encode()) == best(b" " + w.encode())[1]
+        assert tokens_of(model, w.encode()) == best(b" " + w.encode())[1]
 
 
 def test_chat(spark):
