@@ -539,3 +539,26 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW_KEY)).alias("first")).select(F.col(f"first.{ROW_KEY}").alias(ROW_KEY))
     gone = members.select(ROW_KEY).join(first, ROW_KEY, "left_anti")
     return keyed.join(store.checked(gone, "copies"), ROW_KEY, "left_anti").select(*docs.columns)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle FROM d, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS u(i)
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 75 * (a.size + b.size - shared)
+), ways AS MATERIALIZED (
+  SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked
+), reach(doc_id, seen) AS (
+  SELECT x, x FROM ways UNION SELECT reach.doc_id, ways.y FROM reach JOIN ways ON ways.x = reach.seen
+), least_seen AS (
+  SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least_seen USING (doc_id)
+"""

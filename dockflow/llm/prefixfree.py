@@ -25,6 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,8 +168,8 @@ def _gather(t: pa.Table) -> pa.Table:
 def _settle(t: pa.Table, part_count: int, hot: int | None) -> pa.Table:
     """A bucket's phrases or strings to runs: a key that stood earlier is a repeat; of phrases (whose ``keys`` are their triggers; ``hot`` is
     given), a new one of a trigger that has others stays open, or is hot if the trigger has more than ``hot``."""
-    done = t.filter(pa.compute.equal(pa.compute.binary_length(t["keys"]), 0))
-    t = t.filter(pa.compute.greater(pa.compute.binary_length(t["keys"]), 0))
+    done = t.filter(pc.equal(pc.binary_length(t["keys"]), 0))
+    t = t.filter(pc.greater(pc.binary_length(t["keys"]), 0))
     parts = []
     if done.num_rows:
         owner = np.repeat(_column(done, "owners", np.int64), _column(done, "counts", np.uint32))
@@ -373,3 +374,26 @@ def remove_repeats(docs: DataFrame, spans: bool = False, hot_phrases: int = HOT_
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows of ``documents``; for nulls, repeats and empty tables see ``remove_repeats``."""
     return remove_repeats(store.table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), strings AS MATERIALIZED (
+  SELECT doc_id, i, md5_number(substr(digits, 2 * i + 1, 200)) AS string FROM d, unnest(range(0, n_bytes - 99)) AS u(i)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY string ORDER BY doc_id, i) AS k FROM strings) WHERE k > 1
+), edges AS (
+  SELECT doc_id, i, i - 100 > lag(i, 1, -200) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM later
+), spans AS MATERIALIZED (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, -1, 0 FROM d)
+), kept AS (
+  SELECT doc_id, string_agg(substr(digits, 2 * a + 1, 2 * (coalesce(b, n_bytes) - a)), '' ORDER BY a) AS digits FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+), gone AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.digits)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""

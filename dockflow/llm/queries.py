@@ -26,4 +26,4 @@ QUERIES = {
     "op12_conversation_prefix_trie": prefixtrie.op12_conversation_prefix_trie,
     "op13_sum_of_squares_packing": packing.op13_sum_of_squares_packing,
 }
-ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE, "op11_centroid_clustering": ptolemy.ORACLE, "op12_conversation_prefix_trie": prefixtrie.ORACLE}
+ORACLE_SQL = {"op2_chat_formatting": chat.ORACLE, "op4_ngram_jaccard": parity.ORACLE, "op9_suffix_dedup": prefixfree.ORACLE, "op11_centroid_clustering": ptolemy.ORACLE, "op12_conversation_prefix_trie": prefixtrie.ORACLE}
