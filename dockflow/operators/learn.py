@@ -13,10 +13,10 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import scratch_folder
+from ..sources.sinks import kept
 from .features import Periods, feature_frame, shift_months
 
 CS = (0.01, 0.1, 1.0, 10.0)
@@ -57,7 +57,7 @@ class CountTrees:
     def transform(self, prepared: DataFrame) -> DataFrame:
         out = prepared.withColumn("__f", F.lit(self.base))
         for i, t in enumerate(self.trees):
-            out = _grown(out if i == 0 or i % TREES_A_PLAN else _kept(prepared.sparkSession, out), t, self.rate)
+            out = _grown(out if i == 0 or i % TREES_A_PLAN else kept(out), t, self.rate)
         return out.withColumn("prediction", F.exp("__f")).drop("__f")
 
 
@@ -70,11 +70,10 @@ def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check:
     sum(y - mu) / sum(mu). ``check``: rows whose mean absolute error is told after every round; with ``patience`` the
     rounds end when it hasn't fallen for that many. Both hold features and label; they and running scores are written first and every
     ROUNDS_KEPT rounds, where lineage ends."""
-    spark = train.sparkSession
-    train = _kept(spark, train.select("features", "label"))
+    train = kept(train.select("features", "label"))
     mean = train.agg(F.avg("label")).first()[0] or 0.0
     model = CountTrees(math.log(max(mean, 1e-9)), rate, [])
-    held = None if check is None else _kept(spark, check.select("features", "label"))
+    held = None if check is None else kept(check.select("features", "label"))
     now, held = (None if df is None else df.withColumn("__f", F.lit(model.base)) for df in (train, held))
     errors = []
     for i in range(rounds):
@@ -83,7 +82,7 @@ def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check:
         model.trees.append(tree)
         now, held = (None if df is None else _grown(df, tree, rate) for df in (now, held))
         if (i + 1) % ROUNDS_KEPT == 0 and i + 1 < rounds:
-            now, held = (None if df is None else _kept(spark, df) for df in (now, held))
+            now, held = (None if df is None else kept(df) for df in (now, held))
         if held is not None:
             errors.append(held.agg(F.avg(F.abs(F.exp("__f") - F.col("label")))).first()[0])
             if patience is not None and i - errors.index(min(errors)) >= patience:
@@ -91,12 +90,6 @@ def boost_counts(train: DataFrame, rounds: int, depth: int, rate: float, check:
     return model, errors
 
 
-def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = scratch_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fit_counts(frame: DataFrame, features: list[str], stop_from: str, max_rounds: int = MAX_ROUNDS, depth: int = 5, target: str = "rentals", refit_frame: DataFrame | None = None, rate: float = 0.3, patience: int | None = PATIENCE) -> tuple[CountTrees, int, list[float]]:
     """Boosted trees with the Poisson objective: the number of rounds is the best by absolute error on rows from ``stop_from`` on, where rounds
     end after ``patience`` of them without a better one; then all rows are fitted with it (ML-01). ``refit_frame``: other features of the same rows for the second

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch, hour_of, overlap_weight, plus_hours, plus_minutes, slot_of
-from .pit import nearest_snapshot, overlapping_hours, reference_snapshot, window_rows
+from ..sources.sinks import kept
+from .pit import nearest_snapshot, overlapping_hours
 
 MAIN_HOURS = 3
 SLOTS_PER_HOUR = 5
 JUMP = 5
 HEADROOM = 30
 PIECE = 50.0
+REFERENCE_MINUTES = 30
 
 
 def horizon_sum(rows: DataFrame, values: DataFrame, hours: int, by: list[str], value: str, name: str) -> DataFrame:
@@ -26,12 +28,35 @@ def horizon_sum(rows: DataFrame, values: DataFrame, hours: int, by: list[str], v
     return got.groupBy(*by).agg(F.when(F.count("__v") == F.count("*"), F.sum(F.col("__v") * F.col("weight"))).alias(name))
 
 
+def slot_words(used: Column, slot: Column, first: Column, hours: int) -> dict[str, Column]:
+    """Aggregates that mark a window's ten-minute slots as bits of longs (60 slots a word, in the order of their names). They are
+    combined before a shuffle, unlike a distinct count."""
+    at = slot - first
+    return {f"__w{w}": F.bit_or(F.when(used & (F.floor(at / 60) == w), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(60)).cast("int")))) for w in range(hours * 6 // 60 + 1)}
+
+
+def slots_in(words: dict[str, Column]) -> Column:
+    """How many slots ``slot_words`` has marked."""
+    total = F.lit(0).cast("long")
+    for name in words:
+        total = total + F.coalesce(F.bit_count(name), F.lit(0))
+    return total
+
+
+def _near(issues: DataFrame, snapshots: DataFrame, hours: int) -> DataFrame:
+    """Snapshot rows from half an hour before an issue to the end of its window: candidates of the reference and rows of the window meet the
+    issue in one equi-join on the hour."""
+    as_of, span = F.col("as_of"), F.sequence(hour_of(plus_minutes(F.col("as_of"), -REFERENCE_MINUTES)), hour_of(plus_hours(F.col("as_of"), hours)), F.expr("interval 1 hour"))
+    met = issues.withColumn("__hour", F.explode(span)).join(snapshots.withColumn("__hour", hour_of(F.col("fetched_at"))), "__hour").drop("__hour")
+    return met.where((F.col("fetched_at") >= plus_minutes(as_of, -REFERENCE_MINUTES)) & (F.col("fetched_at") <= plus_hours(as_of, hours)))
+
+
 def issue_status(issues: DataFrame, snapshots: DataFrame, predictions: DataFrame | None = None, hours: int = MAIN_HOURS) -> DataFrame:
-    """no_reference, sparse (too few ten-minute slots in the window), no_predictions or ok (RB-03, AG-12)."""
-    ref = reference_snapshot(issues, snapshots.select("fetched_at"))
-    times = snapshots.select("fetched_at").distinct()
-    slots = window_rows(issues, times, hours).groupBy("as_of").agg(F.countDistinct(slot_of(F.col("fetched_at"))).alias("slots"))
-    out = ref.join(slots, "as_of", "left").withColumn("slots", F.coalesce("slots", F.lit(0).cast("long")))
+    """no_reference, sparse (too few ten-minute slots in the window), no_predictions or ok (RB-03, AG-12). Snapshot times are read once."""
+    later = F.col("fetched_at") > F.col("as_of")
+    words = slot_words(later, slot_of(F.col("fetched_at")), slot_of(F.col("as_of")), hours)
+    near = _near(issues.select("as_of").distinct(), snapshots.select("fetched_at").distinct(), hours).groupBy("as_of").agg(F.max(F.when(~later, F.col("fetched_at"))).alias("reference_at"), *(c.alias(n) for n, c in words.items()))
+    out = issues.join(near, "as_of", "left").withColumn("slots", slots_in(words)).drop(*words)
     none = F.lit(False)
     if predictions is not None:
         have = predictions.select("as_of").distinct().withColumn("__have", F.lit(True))
@@ -43,15 +68,18 @@ def issue_status(issues: DataFrame, snapshots: DataFrame, predictions: DataFrame
 
 def labels(issues: DataFrame, snapshots: DataFrame, hours: int = MAIN_HOURS) -> DataFrame:
     """b0 of every station of the reference snapshot, whether it reaches zero in the window (y), recovers, and has slots enough
-    (ok) (RB-04, RB-05, AG-13, AG-14). One window join for all of them."""
-    status = issue_status(issues, snapshots, None, hours).where("reference_at is not null")
-    base = status.join(snapshots.withColumnRenamed("fetched_at", "reference_at"), "reference_at").select("as_of", "reference_at", "station_id", F.col("bike_count").alias("b0"), F.col("slots").alias("issue_slots"))
-    win = window_rows(status.select("as_of"), snapshots, hours).groupBy("as_of", "station_id").agg(
-        F.countDistinct(slot_of(F.col("fetched_at"))).alias("station_slots"), F.max((F.col("bike_count") == 0).cast("int")).alias("hit"), F.max((F.col("bike_count") >= 1).cast("int")).alias("back"))
+    (ok) (RB-04, RB-05, AG-13, AG-14). Reference and window are one pass over the snapshots, summed by issue and station before the
+    shuffle. A station that is in the reference snapshot more than once counts once, with the most bikes."""
+    status = issue_status(issues, snapshots, None, hours).where("reference_at is not null").select("as_of", "reference_at", F.col("slots").alias("issue_slots"))
+    at_reference, later = F.col("fetched_at") == F.col("reference_at"), F.col("fetched_at") > F.col("as_of")
+    words = slot_words(later, slot_of(F.col("fetched_at")), slot_of(F.col("as_of")), hours)
+    seen = _near(status, snapshots.select("station_id", "fetched_at", "bike_count"), hours).where(at_reference | later).groupBy("as_of", "reference_at", "issue_slots", "station_id").agg(
+        F.max(at_reference).alias("__known"), F.max(F.when(at_reference, F.col("bike_count"))).alias("b0"), *(c.alias(n) for n, c in words.items()),
+        F.max(F.when(later, (F.col("bike_count") == 0).cast("int"))).alias("hit"), F.max(F.when(later, (F.col("bike_count") >= 1).cast("int"))).alias("back"))
     enough = SLOTS_PER_HOUR * hours
-    return base.join(win, ["as_of", "station_id"], "left").select(
+    return seen.where("__known").select(
         "as_of", "reference_at", "station_id", "b0", F.coalesce("hit", F.lit(0)).alias("y"), F.coalesce("back", F.lit(0)).cast("boolean").alias("recovered"),
-        ((F.coalesce("station_slots", F.lit(0)) >= enough) & (F.col("issue_slots") >= enough)).alias("ok"))
+        ((slots_in(words) >= enough) & (F.col("issue_slots") >= enough)).alias("ok"))
 
 
 def deltas(rows: DataFrame, snapshots: DataFrame, minutes: int) -> DataFrame:
@@ -65,17 +93,20 @@ def deltas(rows: DataFrame, snapshots: DataFrame, minutes: int) -> DataFrame:
 
 def relocation_events(rows: DataFrame, snapshots: DataFrame, hours: int = MAIN_HOURS) -> DataFrame:
     """Jumps of five bikes between neighbouring snapshots of the window, the reference included, and whether they come after or
-    before the first zero (RB-09). A change counts only if the station is in both snapshots, so neighbours are joined by snapshot number, not by
-    the station's own rows."""
-    issues = rows.select("as_of", "reference_at").distinct()
-    times = window_rows(issues.select("as_of", "reference_at"), snapshots.select("fetched_at").distinct(), hours).select("as_of", "fetched_at").union(issues.select("as_of", F.col("reference_at").alias("fetched_at"))).distinct()
-    numbered = times.withColumn("i", F.row_number().over(Window.partitionBy("as_of").orderBy("fetched_at")) - 1)
-    seq = numbered.join(snapshots.select("station_id", "fetched_at", "bike_count"), "fetched_at").join(rows.select("as_of", "station_id"), ["as_of", "station_id"], "left_semi")
-    zero = seq.where("i > 0 and bike_count = 0").groupBy("as_of", "station_id").agg(F.min("i").alias("first_zero"))
-    prev = seq.select("as_of", "station_id", (F.col("i") + 1).alias("i"), F.col("bike_count").alias("__p"))
-    change = seq.join(prev, ["as_of", "station_id", "i"]).join(zero, ["as_of", "station_id"], "left").withColumns({"up": F.col("bike_count") - F.col("__p") >= JUMP, "down": F.col("bike_count") - F.col("__p") <= -JUMP})
+    before the first zero (RB-09). A change counts only if the station is in both snapshots: a window over an issue's station looks back one row, and
+    compares the numbers of the snapshots. ``rows`` are written once, as they give the issues and take the result."""
+    rows = kept(rows.select("as_of", "reference_at", "station_id"))
+    issues, times = rows.select("as_of", "reference_at").distinct(), snapshots.select("fetched_at").distinct()
+    inside = _near(issues, times, hours).where((F.col("fetched_at") > F.col("as_of")) | (F.col("fetched_at") == F.col("reference_at"))).select("as_of", "fetched_at")
+    numbered = inside.withColumn("i", F.row_number().over(Window.partitionBy("as_of").orderBy("fetched_at")) - 1)
+    seq = numbered.join(snapshots.select("station_id", "fetched_at", "bike_count"), "fetched_at")
+    own, i = Window.partitionBy("as_of", "station_id"), F.col("i")
+    back = own.orderBy("i")
+    first_zero = F.min(F.when((i > 0) & (F.col("bike_count") == 0), i)).over(own)
+    step = F.when(F.lag("i").over(back) == i - 1, F.col("bike_count") - F.lag("bike_count").over(back))
+    change = seq.withColumns({"step": step, "first_zero": first_zero}).withColumns({"up": F.col("step") >= JUMP, "down": F.col("step") <= -JUMP})
     agg = change.groupBy("as_of", "station_id").agg(
-        F.max(F.col("up").cast("int")).alias("a"), F.max((F.col("up") & (F.col("i") - 1 >= F.col("first_zero"))).cast("int")).alias("b"), F.max((F.col("down") & (F.col("i") <= F.col("first_zero"))).cast("int")).alias("c"))
+        F.max(F.col("up").cast("int")).alias("a"), F.max((F.col("up") & (i - 1 >= F.col("first_zero"))).cast("int")).alias("b"), F.max((F.col("down") & (i <= F.col("first_zero"))).cast("int")).alias("c"))
     flag = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("boolean")
     return rows.select("as_of", "station_id").join(agg, ["as_of", "station_id"], "left").select("as_of", "station_id", flag("a").alias("recovery"), flag("b").alias("recovery_after_zero"), flag("c").alias("pickup_before_zero"))
 
@@ -108,18 +139,19 @@ def horizon_inputs(rows: DataFrame, values: DataFrame, value: str, horizons: tup
 
 def build_rows(issues: DataFrame, snapshots: DataFrame, predictions: DataFrame, profile: DataFrame, calendar: DataFrame, hours: int = MAIN_HOURS) -> DataFrame:
     """Labelled rows of every issue with E, R, Q over the horizon and the reason they are or aren't main rows (RB-08, RB-12,
-    RB-21). ``predictions``: station_id, hour_start, as_of, predicted_rentals; ``profile``: rent_mean and return_mean by station, off day, hour."""
-    by = ["as_of", "station_id"]
+    RB-21). Hours are exploded once and summed once for E, R and Q. ``predictions``: station_id, hour_start, as_of, predicted_rentals; ``profile``: rent_mean and return_mean by station, off day, hour."""
     rows = labels(issues.select("as_of"), snapshots, hours)
-    e = horizon_sum(rows.select(*by), predictions, hours, by, "predicted_rentals", "e")
-    cal = F.broadcast(calendar.select("hour_start", "is_offday", "hour_of_day"))
-    hourly = overlapping_hours(rows.select(*by), hours).join(cal, "hour_start", "left").join(profile, ["station_id", "is_offday", "hour_of_day"], "left")
+    cal = calendar.select("hour_start", "is_offday", "hour_of_day")
+    hourly = (
+        overlapping_hours(rows, hours).join(predictions.select("station_id", "hour_start", "as_of", "predicted_rentals"), ["station_id", "hour_start", "as_of"], "left")
+        .join(F.broadcast(cal), "hour_start", "left").join(profile, ["station_id", "is_offday", "hour_of_day"], "left")
+    )
 
     def total(c: str) -> Column:
         return F.when(F.count(c) == F.count("*"), F.sum(F.col(c) * F.col("weight")))
 
-    rq = hourly.groupBy(*by).agg(total("rent_mean").alias("r"), total("return_mean").alias("q"))
-    return rows.join(e, by).join(rq, by).withColumn("reason", exclusion_reason(F.col("b0"), F.col("ok"), F.col("e"), F.col("r"), F.col("q")))
+    whole = hourly.groupBy(*rows.columns).agg(total("predicted_rentals").alias("e"), total("rent_mean").alias("r"), total("return_mean").alias("q"))
+    return whole.withColumn("reason", exclusion_reason(F.col("b0"), F.col("ok"), F.col("e"), F.col("r"), F.col("q")))
 
 
 def issue_log(rows: DataFrame, status: DataFrame) -> DataFrame:

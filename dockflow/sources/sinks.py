@@ -16,8 +16,20 @@ def write_month_partition(df: DataFrame, path: str, partition: str = "month") ->
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder beside the warehouse, which a cluster's nodes share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    """A new folder in ``spark.checkpoint.dir``, or beside the warehouse where that isn't set. A cluster whose warehouse is on the machines' own disks is an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        root, conf = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.getConf()
+        if spark.sparkContext.master.split("[")[0] != "local" and not conf.contains("spark.sql.warehouse.dir"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the cluster shares")
+    return f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Write a frame to a scratch folder and read it back: lineage ends, and its size is known to what reads it."""
+    path = scratch_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_csv_file(df: DataFrame, path: str, header: bool = True) -> None:
