@@ -92,10 +92,16 @@ def active_span(hourly: DataFrame, stations: DataFrame, calendar_end: str) -> Da
     return hourly.where(F.col("hour_start") < end).join(used, "station_id", "left_semi").groupBy("station_id").agg(day_of(F.min("hour_start")).alias("first_day"), day_of(F.max("hour_start")).alias("last_day"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that are few before an explode and many after it, dealt to as many tasks as shuffles have: adaptive execution would put a shuffle of so
+    few bytes into one task, which then makes all rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def densify(hourly: DataFrame, spans: DataFrame) -> DataFrame:
     """Every hour of each span, rentals 0 where there is no row (AG-03). Spans are one row a station, so the shuffle of the join
     is on the facts' own key."""
-    every = spans.select("station_id", F.explode(F.sequence("first_day", plus_hours(F.col("last_day"), 23), F.expr("interval 1 hour"))).alias("hour_start"))
+    every = spread(spans, "station_id").select("station_id", F.explode(F.sequence("first_day", plus_hours(F.col("last_day"), 23), F.expr("interval 1 hour"))).alias("hour_start"))
     return every.join(hourly.select("station_id", "hour_start", "rentals"), ["station_id", "hour_start"], "left").select("station_id", "hour_start", F.coalesce("rentals", F.lit(0)).cast("int").alias("rentals"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch, hour_of, overlap_weight, plus_hours, plus_minutes, slot_of
-from ..sources.sinks import kept
+from ..sources.sinks import checked, kept
 from .pit import nearest_snapshot, overlapping_hours
 
 MAIN_HOURS = 3
@@ -45,9 +45,9 @@ def slots_in(words: dict[str, Column]) -> Column:
 
 def _near(issues: DataFrame, snapshots: DataFrame, hours: int) -> DataFrame:
     """Snapshot rows from half an hour before an issue to the end of its window: candidates of the reference and rows of the window meet the
-    issue in one equi-join on the hour."""
+    issue in one equi-join on the hour, for which few issues are broadcast and snapshots never are."""
     as_of, span = F.col("as_of"), F.sequence(hour_of(plus_minutes(F.col("as_of"), -REFERENCE_MINUTES)), hour_of(plus_hours(F.col("as_of"), hours)), F.expr("interval 1 hour"))
-    met = issues.withColumn("__hour", F.explode(span)).join(snapshots.withColumn("__hour", hour_of(F.col("fetched_at"))), "__hour").drop("__hour")
+    met = checked(issues.withColumn("__hour", F.explode(span))).join(snapshots.withColumn("__hour", hour_of(F.col("fetched_at"))), "__hour").drop("__hour")
     return met.where((F.col("fetched_at") >= plus_minutes(as_of, -REFERENCE_MINUTES)) & (F.col("fetched_at") <= plus_hours(as_of, hours)))
 
 
@@ -99,7 +99,7 @@ def relocation_events(rows: DataFrame, snapshots: DataFrame, hours: int = MAIN_H
     issues, times = rows.select("as_of", "reference_at").distinct(), snapshots.select("fetched_at").distinct()
     inside = _near(issues, times, hours).where((F.col("fetched_at") > F.col("as_of")) | (F.col("fetched_at") == F.col("reference_at"))).select("as_of", "fetched_at")
     numbered = inside.withColumn("i", F.row_number().over(Window.partitionBy("as_of").orderBy("fetched_at")) - 1)
-    seq = numbered.join(snapshots.select("station_id", "fetched_at", "bike_count"), "fetched_at")
+    seq = checked(numbered).join(snapshots.select("station_id", "fetched_at", "bike_count"), "fetched_at")
     own, i = Window.partitionBy("as_of", "station_id"), F.col("i")
     back = own.orderBy("i")
     first_zero = F.min(F.when((i > 0) & (F.col("bike_count") == 0), i)).over(own)
@@ -143,8 +143,8 @@ def build_rows(issues: DataFrame, snapshots: DataFrame, predictions: DataFrame,
     rows = labels(issues.select("as_of"), snapshots, hours)
     cal = calendar.select("hour_start", "is_offday", "hour_of_day")
     hourly = (
-        overlapping_hours(rows, hours).join(predictions.select("station_id", "hour_start", "as_of", "predicted_rentals"), ["station_id", "hour_start", "as_of"], "left")
-        .join(F.broadcast(cal), "hour_start", "left").join(profile, ["station_id", "is_offday", "hour_of_day"], "left")
+        overlapping_hours(rows, hours).join(predictions.select("station_id", "hour_start", "as_of", "predicted_rentals").hint("merge"), ["station_id", "hour_start", "as_of"], "left")
+        .join(F.broadcast(cal), "hour_start", "left").join(checked(profile), ["station_id", "is_offday", "hour_of_day"], "left")
     )
 
     def total(c: str) -> Column:

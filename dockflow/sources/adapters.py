@@ -58,7 +58,7 @@ def full_calendar(spark: SparkSession, d: str) -> DataFrame:
 
 def station_days(spark: SparkSession, d: str) -> DataFrame:
     """A station for each user, on the days with events of theirs."""
-    return table(spark, d, "events").select(F.col("user_id").cast("int").alias("s"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).distinct()
+    return marts.spread(table(spark, d, "events").select(F.col("user_id").cast("int").alias("s"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")), "s", "day").distinct()
 
 
 def snapshots_of_stations(spark: SparkSession, d: str) -> DataFrame:
