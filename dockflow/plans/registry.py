@@ -279,7 +279,8 @@ _FRAME = ", ".join(f"round({c}::float::double, 3) as {c}" for c in ("docks", "te
     left join (select station_id, is_offday, hour_of_day, avg(rentals) as pm from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) using (station_id, is_offday, hour_of_day) left join (select station_id, hour_of_day, avg(rentals) as hm from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) using (station_id, hour_of_day)
     left join (select is_offday, hour_of_day, avg(rentals) as gp from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) using (is_offday, hour_of_day) left join (select hour_of_day, avg(rentals) as gh from grid join cal using (hour_start) where hour_start < '2024-01-22' group by all) using (hour_of_day) where g.hour_start >= '2024-01-22' and g.hour_start < '2024-01-30')"""))
 def fe08(s, d):
-    f = features.feature_frame(A.grid(s, d), A.full_calendar(s, d), A.stations(s, d), features.Periods(("2024-01-22", "2024-01-30"), ("2024-01-01", "2024-01-22")), active_only=False)
+    _, stations, grid = A.built(s, d)
+    f = features.feature_frame(grid, A.full_calendar(s, d), stations, features.Periods(("2024-01-22", "2024-01-30"), ("2024-01-01", "2024-01-22")), active_only=False)
     out = f.select("station_id", "hour_start", F.col("rentals").cast("double").alias("rentals"), "day_index", F.col("station_code").cast("double").alias("station_code"), F.col("district_code").cast("double").alias("district_code"), "docks", "temp_c", "rain_mm", "profile_mean", "b0", "b1")
     return out.withColumns({c: F.round(F.col(c).cast("double"), 3) for c in ("docks", "temp_c", "rain_mm", "profile_mean", "b0", "b1")})
 
@@ -287,7 +288,7 @@ def fe08(s, d):
 @query("fe11_fe12_parity", over("grid cal", "select count(*) as shared, 0::bigint as different, count(*) filter (where hour(hour_start) = 3) as different_after_change from grid join cal using (hour_start) where hour_start >= '2024-01-28' and hour_start < '2024-01-30'"))
 def fe12(s, d):
     """Training and scoring rows agree; where one side's weather is changed at one hour, those rows are found."""
-    g, c, st = A.grid(s, d), A.full_calendar(s, d), A.stations(s, d)
+    (_, st, g), c = A.built(s, d), A.full_calendar(s, d)
     periods = features.Periods(("2024-01-28", "2024-01-30"), ("2024-01-01", "2024-01-22"))
     train = features.feature_frame(g, c, st, periods)
     hours = staging.period_filter(c, *periods.rows)
@@ -300,7 +301,7 @@ def fe12(s, d):
 @query("fe13_leak_check", over("grid", "select 0::bigint as changed, 2 * count(*) as changed_by_target from grid where hour_start >= '2024-01-15' and hour_start < '2024-01-22'"))
 def fe13(s, d):
     """Facts after the rows' period change nothing; facts inside it change every row of it (once on each side)."""
-    g, c, st = A.grid(s, d), A.full_calendar(s, d), A.stations(s, d)
+    (_, st, g), c = A.built(s, d), A.full_calendar(s, d)
     periods = features.Periods(("2024-01-15", "2024-01-22"), ("2024-01-01", "2024-01-15"))
     frame = features.feature_frame(g, c, st, periods)
 
@@ -386,9 +387,9 @@ def fw14(s, d):
       round((select avg(abs(a - b)) from (select sum(actual) as a, sum(predicted) as b from p group by station_id, date, hour // 3)), 6) as block_mae from p""").replace("\nwith p as", ",\np as"))
 def mt01(s, d):
     periods = features.Periods(("2024-01-22", "2024-01-30"), ("2024-01-01", "2024-01-22"))
-    cal = A.calendar(s, d)
-    st = features.history_stats(A.grid(s, d), cal, A.stations(s, d), periods.history)
-    rows = staging.period_filter(A.grid(s, d), *periods.rows).join(F.broadcast(cal), "hour_start").join(st["profile"], ["station_id", "is_offday", "hour_of_day"], "left").join(F.broadcast(st["global_profile"]), ["is_offday", "hour_of_day"], "left")
+    (_, stations, grid), cal = A.built(s, d), A.calendar(s, d)
+    st = features.history_stats(grid, cal, stations, periods.history)
+    rows = staging.period_filter(grid, *periods.rows).join(F.broadcast(cal), "hour_start").join(st["profile"], ["station_id", "is_offday", "hour_of_day"], "left").join(F.broadcast(st["global_profile"]), ["is_offday", "hour_of_day"], "left")
     p = rows.select("station_id", "date", F.col("hour_of_day").alias("hour"), F.col("rentals").cast("double").alias("actual"), F.coalesce("profile_mean", "global_profile_mean").alias("predicted"))
     return r6(metrics.regression_metrics(p).crossJoin(metrics.block_mae(p, ["station_id", "date"])), "mae", "peak_mae", "wape", "mean_actual", "mean_predicted", "block_mae")
 
@@ -481,7 +482,8 @@ def rb09(s, d):
 
 def main_rows(s, d) -> DataFrame:
     p = A.predictions(s, d).select("station_id", "hour_start", F.col("created_at").alias("as_of"), "predicted_rentals")
-    profile = features.season_profile(A.hourly(s, d), A.grid(s, d), A.calendar(s, d), "2024-01-01", "2024-02-01")
+    hourly, _, grid = A.built(s, d)
+    profile = features.season_profile(hourly, grid, A.calendar(s, d), "2024-01-01", "2024-02-01")
     return shortage.build_rows(A.issues(s, d), A.snapshots(s, d), p, profile, A.calendar(s, d))
 
 

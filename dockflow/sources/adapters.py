@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import epoch, hour_of, month_key, plus_hours, plus_minutes, slot_of
 from ..operators import marts, staging
+from .sinks import kept
 
 CALENDAR_END = "2024-01-30"
 
@@ -84,6 +85,13 @@ def grid(spark: SparkSession, d: str) -> DataFrame:
     return marts.station_hour_grid(staged_trips(spark, d), snapshots_of_stations(spark, d), CALENDAR_END)
 
 
+def built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hourly counts, stations and grid as tables, each written once and from those before it, for queries that read them several times."""
+    trips = kept(staged_trips(spark, d))
+    hours, dim = kept(marts.hourly_counts(trips)), kept(marts.dim_stations(trips, snapshots_of_stations(spark, d)))
+    return hours, dim, kept(marts.densify(hours, marts.active_span(hours, dim, CALENDAR_END)))
+
+
 def levels_grid(spark: SparkSession, d: str) -> DataFrame:
     """Orders by station and day, as a grid over years."""
     return table(spark, d, "orders").groupBy(F.concat(F.lit("ST-"), F.col("o_custkey") % 20).alias("station_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("hour_start")).agg(F.count("*").cast("int").alias("rentals"))
