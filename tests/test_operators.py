@@ -447,3 +447,27 @@ def test_predict_issue_refuses_stale_or_missing_input(spark):
         _issue(spark, base, [], now, now)
     with pytest.raises(RuntimeError, match="covers none"):
         _issue(spark, base, range(1, 3), now, now)
+
+
+def test_labels_of_long_windows_and_stations_outside_the_reference(spark):
+    """Slots beyond the first word of bits count; a station that the reference snapshot lacks has no row; repeated rows count once; no snapshots, no rows."""
+    from datetime import timedelta
+
+    start, as_of = T(2024, 1, 1, 8, 10), T(2024, 1, 1, 8, 15)
+    seen = [("A", start, 3)] * 2 + [("A", start + timedelta(minutes=10 * i), 0 if i == 70 else 2) for i in range(1, 80)] + [("B", start + timedelta(minutes=10), 1), ("C", start, 0)]
+    snaps = spark.createDataFrame(seen, "station_id string, fetched_at timestamp_ntz, bike_count int")
+    issues = spark.createDataFrame([(as_of,), (T(2024, 1, 2),)], "as_of timestamp_ntz")
+    got = {r.station_id: (r.b0, r.y, r.recovered, r.ok) for r in shortage.labels(issues, snaps, 12).collect()}
+    assert got == {"A": (3, 1, True, True), "C": (0, 0, False, False)}
+    status = {r.as_of: (r.slots, r.status) for r in shortage.issue_status(issues, snaps, None, 12).collect()}
+    assert status == {as_of: (72, "ok"), T(2024, 1, 2): (0, "no_reference")}
+    assert shortage.labels(issues, snaps.limit(0)).count() == 0
+
+
+def test_a_join_side_over_the_limit_is_not_broadcast(spark):
+    from dockflow.sources.sinks import checked
+
+    small, facts = spark.range(10), spark.range(1000)
+    plan = lambda limit: facts.join(checked(small, limit), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(10) and "SortMergeJoin" in plan(9)
+    assert facts.join(checked(small, 9), "id").count() == 10
