@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 
 def write_month_partition(df: DataFrame, path: str, partition: str = "month") -> None:
-    """Replace the months that ``df`` holds, and no others (SR-06)."""
-    df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
+    """Replace the months that ``df`` holds, and no others (SR-06). Adaptive execution cuts a month that is larger than a shuffle partition should be into
+    several tasks and files, and puts small ones together."""
+    df.hint("rebalance", F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -471,3 +471,18 @@ def test_a_join_side_over_the_limit_is_not_broadcast(spark):
     plan = lambda limit: facts.join(checked(small, limit), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(10) and "SortMergeJoin" in plan(9)
     assert facts.join(checked(small, 9), "id").count() == 10
+
+
+def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
+    from dockflow.sources.sinks import write_month_partition
+
+    d = spark.range(0, 400000, 1, 8).select("id", F.rand(1).alias("v"), F.when(F.col("id") % 10 == 0, "2024-02").otherwise("2024-01").alias("month"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_month_partition(d, f"{tmp_path}/t")
+        write_month_partition(d.where("month = '2024-02'"), f"{tmp_path}/t")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    got = {r["month"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/t").groupBy("month").count().collect()}
+    assert {str(k)[:7]: n for k, n in got.items()} == {"2024-01": 360000, "2024-02": 40000}
+    assert len(list((tmp_path / "t" / "month=2024-01").glob("*.parquet"))) > 3
