@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockflow.functions import parse
-from dockflow.operators import checks, learn, marts, metrics, pit, serving, shortage, staging
+from dockflow.operators import checks, learn, marts, metrics, pit, serving, shortage, staging, weather
 from dockflow.sources import readers, sinks
 
 T = dt.datetime
@@ -486,3 +486,48 @@ def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
     got = {r["month"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/t").groupBy("month").count().collect()}
     assert {str(k)[:7]: n for k, n in got.items()} == {"2024-01": 360000, "2024-02": 40000}
     assert len(list((tmp_path / "t" / "month=2024-01").glob("*.parquet"))) > 3
+
+
+def _joins(frame):
+    """The join operators of a physical plan, adaptive execution aside."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line.split("(")[0].strip(" :+-*") for line in plan.split("\n") if "Join" in line], plan
+
+
+def _many(spark, n=40):
+    """Snapshots that Catalyst takes for a few rows: they come out of an explode."""
+    days = spark.createDataFrame([(f"S{i}", T(2024, 1, 1)) for i in range(n)], "station_id string, day timestamp_ntz")
+    return days.select("station_id", F.explode(F.expr("sequence(day, day + interval 1430 minute, interval 10 minute)")).alias("fetched_at")).withColumn("bike_count", F.minute("fetched_at"))
+
+
+def test_snapshots_are_not_broadcast_for_deltas(spark):
+    """The counts before the references are as many as the rows; both changes are one pass."""
+    rows = spark.createDataFrame([("S1", T(2024, 1, 1, 8, 10), 30), ("S1", T(2024, 1, 1, 0, 0), 3), ("X", T(2024, 1, 1, 8, 10), 1)], "station_id string, reference_at timestamp_ntz, b0 int")
+    out = shortage.deltas(rows, _many(spark), 30, 60)
+    names, plan = _joins(out)
+    assert names[0].startswith("SortMergeJoin") and plan.count("BroadcastHashJoin") <= 1
+    got = {(r.station_id, r.reference_at.hour): (r.d30, r.miss30, r.d60, r.miss60) for r in out.collect()}
+    assert got == {("S1", 8): (-10.0, False, 20.0, False), ("S1", 0): (0.0, True, 0.0, True), ("X", 8): (0.0, True, 0.0, True)}
+
+
+def test_hours_of_horizons_are_not_joined(spark):
+    """Values of an issue's hours are one row before the join, which sorts; an hour without a value, or with a NULL among two, has no sum."""
+    rows = spark.createDataFrame([(s, T(2024, 1, 1, 8, 15)) for s in "ABC"], "station_id string, as_of timestamp_ntz")
+    v = spark.createDataFrame([("A", h, 1.0 * h) for h in (8, 9, 10)] + [("B", 8, 4.0), ("B", 10, 4.0), ("C", 8, 4.0), ("C", 8, None), ("A", 7, 9.0)], "station_id string, h int, p double")
+    v = v.select("station_id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, h)").cast("timestamp_ntz").alias("hour_start"), F.lit(T(2024, 1, 1, 8, 15)).cast("timestamp_ntz").alias("as_of"), "p")
+    out = shortage.horizon_inputs(rows, v, "p", (1, 2))
+    assert "Broadcast" not in _joins(out)[1]
+    assert {(r.station_id, r.horizon): r.p for r in out.collect()} == {("A", 1): 8 * 0.75 + 9 * 0.25, ("A", 2): 8 * 0.75 + 9 + 10 * 0.25, ("B", 1): None, ("B", 2): None, ("C", 1): None, ("C", 2): None}
+    same = shortage.horizon_inputs(rows, v.drop("as_of"), "p", (1, 2))
+    assert sorted(map(tuple, same.collect()), key=repr) == sorted(map(tuple, out.collect()), key=repr)
+
+
+def test_snapshots_are_not_broadcast_for_issues(spark):
+    """Few issues are broadcast, and the snapshots on the other side never; nor are predictions against others."""
+    issues = spark.createDataFrame([(T(2024, 1, 1, 8, 15),)], "as_of timestamp_ntz")
+    out = weather.snapshot_for_issue(issues, _many(spark, 3))
+    assert "BroadcastHashJoin" in _joins(out)[0][0] and "BuildLeft" in _joins(out)[1]
+    assert {(r.station_id, r.bike_count) for r in out.collect()} == {(f"S{i}", 10) for i in range(3)}
+    p = _many(spark)
+    pairs = shortage.stored_vs_recomputed(p, p, ["station_id", "fetched_at"], "station_id", "bike_count")
+    assert "Broadcast" not in _joins(pairs)[1] and pairs.where("rows = 144 and max_difference = 0").count() == 40
