@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockflow.functions import parse
-from dockflow.operators import checks, learn, marts, metrics, pit, serving, shortage, staging, weather
+from dockflow.operators import checks, features, learn, marts, metrics, pit, serving, shortage, staging, weather
 from dockflow.sources import readers, sinks
 
 T = dt.datetime
@@ -531,3 +531,30 @@ def test_snapshots_are_not_broadcast_for_issues(spark):
     p = _many(spark)
     pairs = shortage.stored_vs_recomputed(p, p, ["station_id", "fetched_at"], "station_id", "bike_count")
     assert "Broadcast" not in _joins(pairs)[1] and pairs.where("rows = 144 and max_difference = 0").count() == 40
+
+
+def test_main_rows_are_not_multiplied_by_their_hours(spark):
+    """Each issue and station is one row all the way: no hour of a row is shuffled, an hour without a prediction or a calendar has no sum."""
+    snaps = _many(spark, 3).where("minute(fetched_at) <> 50").withColumn("bike_count", F.lit(2))
+    issues = spark.createDataFrame([(T(2024, 1, 1, 8, 15),), (T(2024, 1, 1, 20, 15),)], "as_of timestamp_ntz")
+    hours = lambda names, days=(1,): [(n, T(2024, 1, day, h)) for n in names for day in days for h in range(24)]
+    cal = spark.createDataFrame([(t, False, t.hour) for _, t in hours("c")], "hour_start timestamp_ntz, is_offday boolean, hour_of_day int").where("hour_of_day <> 22")
+    pred = spark.createDataFrame(hours(["S0", "S1"]), "station_id string, hour_start timestamp_ntz").crossJoin(issues).where("station_id = 'S0' or hour(hour_start) <> 9").withColumn("predicted_rentals", F.hour("hour_start").cast("double"))
+    profile = spark.createDataFrame([(f"S{i}", False, h, float(h), 1.0) for i in range(2) for h in range(24)], "station_id string, is_offday boolean, hour_of_day int, rent_mean double, return_mean double")
+    out = shortage.build_rows(issues, snaps, pred, profile, cal)
+    plan = _joins(out)[1]
+    assert "explode" not in plan.lower() or plan.lower().count("generate explode") == 1  # the snapshots' own
+    got = {(r.station_id, r.as_of.hour): (r.e, r.r, r.q, r.reason) for r in out.collect()}
+    whole = 8 * 0.75 + 9 + 10 + 11 * 0.25
+    assert got[("S0", 8)] == (whole, whole, 3.0, "main") and got[("S1", 8)] == (None, whole, 3.0, "no_prediction") and got[("S2", 8)] == (None, None, None, "no_prediction")
+    assert got[("S0", 20)] == (20 * 0.75 + 21 + 22 + 23 * 0.25, None, None, "no_profile") and len(got) == 6
+
+
+def test_profile_of_spans_is_that_of_the_grid(spark):
+    h = spark.createDataFrame([("A", T(2024, 1, 1, 5), 2, 1), ("A", T(2024, 1, 3, 7), 1, 0), ("B", T(2024, 1, 2, 5), 4, 0), ("C", T(2024, 1, 2, 5), 0, 3)], "station_id string, hour_start timestamp_ntz, rentals long, returns long")
+    spans = marts.active_span(h, spark.createDataFrame([("A", 3), ("B", 4), ("C", 0)], "station_id string, total_rentals long"), "2024-01-30")
+    cal = spark.createDataFrame([(T(2024, 1, d, x), d == 1, x) for d in range(1, 5) for x in range(24)], "hour_start timestamp_ntz, is_offday boolean, hour_of_day int")
+    args = cal, "2024-01-01", "2024-01-03"
+    want = features.season_profile(h, marts.densify(h, spans), *args)
+    got = features.season_profile_of_spans(h, spans, *args)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and got.count() == 72
