@@ -558,3 +558,13 @@ def test_profile_of_spans_is_that_of_the_grid(spark):
     want = features.season_profile(h, marts.densify(h, spans), *args)
     got = features.season_profile_of_spans(h, spans, *args)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and got.count() == 72
+
+
+def test_rows_for_a_fit_are_written_once(spark, monkeypatch):
+    """Counting, fitting and scoring read a table, not the plan of the main rows."""
+    from dockflow.plans import registry_loads
+
+    rows = spark.createDataFrame([(T(2024, 1, 1, 8), "A", 2, 1, 1.0, 1.0, 1.0, "main", 0), (T(2024, 1, 1, 8), "B", 0, 1, 1.0, 1.0, 1.0, "already_empty", 0)], "as_of timestamp_ntz, station_id string, b0 int, y int, e double, r double, q double, reason string, other int")
+    monkeypatch.setattr(registry_loads, "main_rows", lambda s, d: rows)
+    out = registry_loads._fitted_rows(spark, "")
+    assert "scratch-" in out.inputFiles()[0] and out.count() == 1 and "other" not in out.columns
