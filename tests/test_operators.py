@@ -568,3 +568,16 @@ def test_rows_for_a_fit_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(registry_loads, "main_rows", lambda s, d: rows)
     out = registry_loads._fitted_rows(spark, "")
     assert "scratch-" in out.inputFiles()[0] and out.count() == 1 and "other" not in out.columns
+
+
+def test_absorption_of_many_cases_at_once(spark):
+    """Cases of different counts, terms and hours in one batch, nulls among them, answer as each does alone; equal ones are solved once."""
+    rnd = np.random.RandomState(4)
+    b0, lam, mu = rnd.randint(0, 9, 300), rnd.randint(0, 30, (300, 3)) / 4, rnd.randint(0, 9, (300, 3)) / 4
+    together = shortage.absorbed(b0, lam, mu, np.ones((300, 3)))
+    assert together == pytest.approx([shortage.absorbed(b0[i : i + 1], lam[i : i + 1], mu[i : i + 1], np.ones((1, 3)))[0] for i in range(300)], abs=1e-12)
+    rows = [(i, int(b0[i % 300]), lam[i % 300].tolist(), mu[i % 300].tolist(), [1.0] * 3) for i in range(900)] + [(900, None, [1.0], [1.0], [1.0]), (901, 2, [None], [1.0], [1.0]), (902, 0, [1.0], [1.0], [1.0])]
+    d = spark.createDataFrame(rows, "i int, b0 int, r array<double>, q array<double>, t array<double>").repartition(1)
+    out = d.select("i", shortage.absorption(F.col("b0"), F.col("r"), F.col("q"), F.col("t")).alias("p"))
+    got = dict(map(tuple, out.collect()))
+    assert [got[i] for i in range(900)] == pytest.approx(list(together) * 3, abs=1e-12) and (got[900], got[901], got[902]) == (None, None, 1.0)
