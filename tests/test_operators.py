@@ -581,3 +581,13 @@ def test_absorption_of_many_cases_at_once(spark):
     out = d.select("i", shortage.absorption(F.col("b0"), F.col("r"), F.col("q"), F.col("t")).alias("p"))
     got = dict(map(tuple, out.collect()))
     assert [got[i] for i in range(900)] == pytest.approx(list(together) * 3, abs=1e-12) and (got[900], got[901], got[902]) == (None, None, 1.0)
+
+
+def test_equal_sums_of_tenths_are_ties(spark, monkeypatch):
+    """The eleventh station's tenths come in another order, whose sum is larger in its last bit; it is still the last of eleven equal ones."""
+    from dockflow.plans import registry
+
+    parts = [(f"S{i:02d}", x) for i in range(11) for x in ((0.1, 0.2, 0.3) if i == 10 else (0.3, 0.2, 0.1))]
+    pairs = spark.createDataFrame([("v", s, 1.0, x) for s, x in parts], "issue string, station_id string, from_forecast double, from_observed double").coalesce(1)
+    monkeypatch.setattr(registry, "_shift_pairs", lambda s, d: pairs)
+    assert [tuple(r) for r in registry.QUERIES["fw12_list_overlap"](spark, "").collect()] == [("v", 10, 1.0)]
