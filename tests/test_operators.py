@@ -591,3 +591,12 @@ def test_equal_sums_of_tenths_are_ties(spark, monkeypatch):
     pairs = spark.createDataFrame([("v", s, 1.0, x) for s, x in parts], "issue string, station_id string, from_forecast double, from_observed double").coalesce(1)
     monkeypatch.setattr(registry, "_shift_pairs", lambda s, d: pairs)
     assert [tuple(r) for r in registry.QUERIES["fw12_list_overlap"](spark, "").collect()] == [("v", 10, 1.0)]
+
+
+def test_leak_check_reads_each_side_once(spark):
+    """The rows that either side has more often, NULLs being equal, from one read of each side."""
+    a = spark.createDataFrame([(1, None), (1, None), (2, 0.5), (3, 1.0)], "k int, v double")
+    b = spark.createDataFrame([(1, None), (2, 0.5), (3, 2.0), (3, 2.0)], "k int, v double")
+    out = features.leak_check(a, b)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, None), (3, 1.0), (3, 2.0), (3, 2.0)], key=repr)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2 and features.leak_check(a, a).count() == 0
