@@ -188,6 +188,15 @@ def test_insert_ignore_is_idempotent(spark, tmp_path):
     assert sorted((r.k, r.v) for r in spark.read.parquet(p).collect()) == [(1, "a"), (2, "c")]
 
 
+def test_insert_ignore_sorts_and_joins_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "x", 3), ("a", "x", 2), ("b", "x", None), ("b", "x", 1), (None, "y", 5)], "k string, day string, n int")
+    p = f"file://{tmp_path}/t"
+    assert sinks.insert_ignore(p, rows, ["k"], "day") == 3 and sinks.insert_ignore(p, rows, ["k"], "day") == 0  # NULL keys are equal
+    assert {(r.k, r.day, r.n) for r in spark.read.parquet(p).collect()} == {("a", "x", 2), ("b", "x", None), (None, "y", 5)}
+    plan = sinks.unseen(spark.read.schema(rows.schema).parquet(p), rows, ["k"], ("day",), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan and "Join" not in plan
+
+
 def test_insert_ignore_reads_the_partitions_of_the_batch_alone(spark, tmp_path):
     p = f"file://{tmp_path}/t"
     first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, part string")
