@@ -181,6 +181,14 @@ def test_parameter_bounds():
             serving.check_bounds(*bad)
 
 
+def test_labels_truncate_no_wall_clock_time_of_a_snapshot(spark):
+    issues = spark.sql("select timestamp_ntz'2024-01-10 02:15:00' as as_of")
+    snaps = spark.sql("select 'S' as station_id, timestamp_ntz'2024-01-10 02:00:00' + make_dt_interval(0, 0, 10 * id, 0) as fetched_at, cast(19 - id as int) as bike_count from range(20)")
+    got = shortage.labels(issues, snaps)
+    assert "trunc" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.b0, r.y, r.ok) for r in got.collect()] == [(18, 1, True)]
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
