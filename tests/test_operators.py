@@ -189,6 +189,18 @@ def test_labels_truncate_no_wall_clock_time_of_a_snapshot(spark):
     assert [(r.b0, r.y, r.ok) for r in got.collect()] == [(18, 1, True)]
 
 
+def test_upsert_deals_by_partition_and_writes_new_ones_once(spark, tmp_path, monkeypatch):
+    between, p = [], f"file://{tmp_path}/t"
+    monkeypatch.setattr(sinks, "scratch_folder", lambda _: between.append(f"file://{tmp_path}/b{len(between)}") or between[-1])
+    monkeypatch.setattr(sinks, "UPSERT_ROWS", 10)
+    rows = spark.range(0, 100, 1, 8).selectExpr("id as k", "concat('v', id % 5) as version", "id * 1.0D as x", "0 as updated_at")
+    sinks.upsert_partition(p, rows, ["k", "version"], "version")
+    assert not between and all(len(list(d.glob("*.parquet"))) <= 2 for d in (tmp_path / "t").glob("version=*"))
+    sinks.upsert_partition(p, rows.where("k < 3").unionByName(rows.where("k < 3").selectExpr("k", "version", "-1.0D as x", "1 as updated_at")), ["k", "version"], "version")
+    got = {r.k: r.x for r in spark.read.parquet(p).collect()}
+    assert len(between) == 1 and got == {k: -1.0 if k < 3 else float(k) for k in range(100)}
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
