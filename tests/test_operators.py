@@ -201,6 +201,15 @@ def test_upsert_deals_by_partition_and_writes_new_ones_once(spark, tmp_path, mon
     assert len(between) == 1 and got == {k: -1.0 if k < 3 else float(k) for k in range(100)}
 
 
+def test_relocation_events_take_one_window(spark):
+    rows = spark.sql("select timestamp_ntz'2024-01-10 02:15:00' as as_of, timestamp_ntz'2024-01-10 02:10:00' as reference_at, 'S' as station_id")
+    counts = [9, 3, 0, 6, 6, 0]
+    snaps = spark.createDataFrame([(n, c) for n, c in enumerate(counts)], "n int, c int").selectExpr("'S' as station_id", "timestamp_ntz'2024-01-10 02:10:00' + make_dt_interval(0, 0, 10 * n, 0) as fetched_at", "c as bike_count")
+    got = shortage.relocation_events(rows, snaps)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert [(r.recovery, r.recovery_after_zero, r.pickup_before_zero) for r in got.collect()] == [(True, True, True)]
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
