@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators.pit import window_rows
 from ..operators.weather import whole_issues
 from ..sources.readers import SNAPSHOT_SCHEMA, snapshot_rows
-from ..sources.sinks import insert_ignore, load_forecasts, load_snapshots, read_or_empty, recover_days, upsert_partition
+from ..sources.sinks import insert_ignore, kept, load_forecasts, load_snapshots, read_or_empty, recover_days, upsert_partition
 
 LATE = "7 days"
 
@@ -180,6 +180,6 @@ def zero_alerts(rows: DataFrame, snapshots: DataFrame, hours: int = 3, late: str
 def zero_alerts_batch(rows: DataFrame, snapshots: DataFrame, hours: int = 3) -> DataFrame:
     """The batch twin: the same join by station and hour."""
     zeros = snapshots.where("bike_count = 0").select("station_id", F.col("fetched_at").alias("zero_at"))
-    issues = rows.select("as_of", "station_id").distinct()
+    issues = kept(rows.select("as_of", "station_id").distinct())
     met = window_rows(issues, zeros, hours, time="zero_at", by=["station_id"])
     return issues.join(met.groupBy("as_of", "station_id").agg(F.min("zero_at").alias("first_zero")), ["as_of", "station_id"], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions import parse
 from dockflow.operators import checks, features, learn, marts, metrics, pit, serving, shortage, staging, weather
+from dockflow.streaming import streams
 from dockflow.sources import readers, sinks
 
 T = dt.datetime
@@ -210,6 +211,14 @@ def test_relocation_events_take_one_window(spark):
     assert [(r.recovery, r.recovery_after_zero, r.pickup_before_zero) for r in got.collect()] == [(True, True, True)]
 
 
+def test_zero_alerts_truncate_no_time(spark):
+    rows = spark.sql("select timestamp_ntz'2024-01-10 02:15:00' as as_of, 'S' as station_id")
+    snaps = spark.sql("select 'S' as station_id, timestamp_ntz'2024-01-10 05:15:00' as fetched_at, 0 as bike_count")
+    got = streams.zero_alerts_batch(rows, snaps)
+    assert "trunc" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [str(r.first_zero) for r in got.collect()] == ["2024-01-10 05:15:00"]
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
