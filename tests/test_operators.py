@@ -219,6 +219,23 @@ def test_zero_alerts_truncate_no_time(spark):
     assert [str(r.first_zero) for r in got.collect()] == ["2024-01-10 05:15:00"]
 
 
+def test_feature_rows_meet_their_station_once(spark):
+    d = "/root/testdata/sf0.001"
+    _, st, g = A.built(spark, d)
+    f = features.feature_frame(g, A.full_calendar(spark, d), st, features.Periods(("2024-01-22", "2024-01-29"), ("2024-01-01", "2024-01-22")))
+    plan = f.drop("hour_of_day")._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Join " in line and "station_id" in line and "hour_of_day" in line]
+    assert not keys and f.count() > 0  # no statistic is joined by station and hour
+
+
+def test_queries_that_read_the_grid_twice_write_it_once(spark, monkeypatch):
+    from dockflow.plans import registry, registry_loads  # noqa: F401
+
+    monkeypatch.setattr(A, "grid", lambda *_: pytest.fail("the grid is built anew"))
+    for name in ("ml02_leak_free_frames", "ag05_07_profiles"):
+        assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
