@@ -236,6 +236,12 @@ def test_queries_that_read_the_grid_twice_write_it_once(spark, monkeypatch):
         assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
 
 
+def test_parity_of_changed_columns_is_the_same_pass(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, None), (3, 5.0)], "k int, x double")
+    got = features.parity_check(a, a, ["k"], ["x"], {"x": F.when(F.col("k") == 2, F.lit(0.0)).otherwise(F.col("x"))}).first()
+    assert (got.shared, got.different, got.different_after_change) == (3, 0, 1)
+
+
 def test_insert_ignore_is_idempotent(spark, tmp_path):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     p = f"file://{tmp_path}/t"
