@@ -214,7 +214,7 @@ def test_relocation_events_take_one_window(spark):
 
 def test_zero_alerts_truncate_no_time(spark):
     rows = spark.sql("select timestamp_ntz'2024-01-10 02:15:00' as as_of, 'S' as station_id")
-    snaps = spark.sql("select 'S' as station_id, timestamp_ntz'2024-01-10 05:15:00' as fetched_at, 0 as bike_count")
+    snaps = spark.sql("select 'S' as station_id, timestamp_ntz'2024-01-10 05:15:00' + make_dt_interval(0, 0, cast(id as int), 0) as fetched_at, 0 as bike_count from range(2)")
     got = streams.zero_alerts_batch(rows, snaps)
     assert "trunc" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert [str(r.first_zero) for r in got.collect()] == ["2024-01-10 05:15:00"]
