@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions import parse
 from dockflow.operators import checks, features, learn, marts, metrics, pit, serving, shortage, staging, weather
+from dockflow.plans import registry_loads
 from dockflow.sources import adapters as A
 from dockflow.sources import readers, sinks
 from dockflow.streaming import streams
@@ -259,6 +260,30 @@ def test_insert_ignore_sorts_and_joins_nothing(spark, tmp_path):
     assert "HashAggregate" in plan and "Sort" not in plan and "Join" not in plan
 
 
+def test_insert_ignore_of_dealt_rows(spark, tmp_path):
+    p, dealt = f"file://{tmp_path}/t", spark.createDataFrame([("a",), ("b",), (None,)], "k string").repartition(3, "k")
+    rows = dealt.select("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(2))).alias("t")).select("k", "t", F.concat(F.lit("d"), "t").alias("day"), F.when(F.col("t") == 1, 7).alias("n"))
+    put = lambda df, by=("k",): sinks.insert_ignore(p, df, ["k", "t"], "day", by, 3)
+    assert [put(rows), put(rows)] == [6, 0]  # NULL keys are equal
+    other = spark.createDataFrame([("a", 2, "d2", 9), ("a", 3, "d3", 9), ("a", 3, "d3", 8), (None, 3, "d3", 5)], rows.schema)  # not dealt as it says
+    assert [put(other), put(other, ("k", "day"))] == [2, 0]
+    assert {tuple(r) for r in spark.read.parquet(p).select("k", "t", "day", "n").collect()} == {(k, t, f"d{t}", n) for k in ("a", "b", None) for t, n in ((1, 7), (2, None))} | {("a", 3, "d3", 8), (None, 3, "d3", 5)}
+
+
+def test_day_routing_shuffles_no_snapshots(spark, monkeypatch):
+    plans, unseen, d = [], sinks.unseen, "/root/testdata/sf0.001"
+
+    def seen(*a):
+        plans.append((found := unseen(*a))._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(sinks, "unseen", seen)
+    assert registry_loads.st05(spark, d).agg(F.sum("n")).first()[0] == A.snapshots(spark, d).count()
+    rows, tasks = A.snapshots_by_day(spark, d, 1000)
+    assert rows.exceptAll(A.snapshots(spark, d).withColumn("day", F.to_date("fetched_at"))).isEmpty() and rows.count() == A.snapshots(spark, d).count() and tasks > 4
+    assert len(plans) == 2 and all("HashAggregate" in (above := p.split("Generate explode")[0]) and "Exchange" not in above for p in plans)  # shuffled before they are multiplied
+
+
 def test_insert_ignore_reads_the_partitions_of_the_batch_alone(spark, tmp_path):
     p = f"file://{tmp_path}/t"
     first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, part string")
